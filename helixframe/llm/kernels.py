@@ -60,26 +60,33 @@ def passes(texts: list[str | None], chars: int = PASS_CHARS) -> Iterator[tuple[i
         yield start, len(texts)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words in order, and for each text where its words start (one more at the end)."""
+def word_spans(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the lower-cased texts, where each word starts and its length, and where each text's words start."""
     low = [t.lower() if t else "" for t in texts]
     ends = np.cumsum([len(t) + 1 for t in low])
     codes = np.frombuffer(("\n".join(low) + "\n").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    inside = word_chars()[codes]
-    edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
+    edge = np.diff(word_chars()[codes].astype(np.int8), prepend=np.int8(0))
     starts = np.flatnonzero(edge == 1)
-    stops = np.flatnonzero(edge == -1)  # the last character is never in a word
-    first = np.searchsorted(starts, np.concatenate(([0], ends)))
+    lengths = np.flatnonzero(edge == -1) - starts  # the last character is never in a word
+    return codes, starts, lengths, np.searchsorted(starts, np.concatenate(([0], ends)))
+
+
+def hash_spans(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of code points (none empty)."""
     if not len(starts):
-        return np.zeros(0, dtype=U), first
-    lengths = stops - starts
-    where = np.flatnonzero(inside)
-    offset = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    place = np.arange(len(where)) - np.repeat(offset, lengths)
-    value = (codes[where].astype(U) + U(1)) * U(0xD6E8FEB86659FD93)
+        return np.zeros(0, dtype=U)
+    offset = np.cumsum(lengths) - lengths
+    place = np.arange(int(lengths.sum())) - np.repeat(offset, lengths)
+    value = (codes[np.repeat(starts, lengths) + place].astype(U) + U(1)) * U(0xD6E8FEB86659FD93)
     value ^= value >> U(32)
     value *= powers(int(lengths.max()))[place]
-    return mix(np.add.reduceat(value, offset) + lengths.astype(U)), first
+    return mix(np.add.reduceat(value, offset) + lengths.astype(U))
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in order, and for each text where its words start (one more at the end)."""
+    codes, starts, lengths, first = word_spans(texts)
+    return hash_spans(codes, starts, lengths), first
 
 
 def shingle_sets(texts: list[str | None], k: int = 5) -> tuple[np.ndarray, np.ndarray]:

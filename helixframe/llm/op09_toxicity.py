@@ -75,6 +75,27 @@ def distinct_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.
     return features, begin, number, np.searchsorted(owner, np.arange(len(texts) + 1)), unique
 
 
+def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All places of consecutive runs."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts, counts)
+
+
+def gathered(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``distinct_words``, over many texts in passes of bounded memory."""
+    parts = [distinct_words(texts[lo:hi]) for lo, hi in passes(texts)]
+    unique, index, inverse = np.unique(np.concatenate([p[4] for p in parts]), return_index=True, return_inverse=True)
+    features = np.concatenate([p[0] for p in parts]).astype(np.int32)
+    counts = np.concatenate([np.diff(p[1]) for p in parts])
+    starts = (np.cumsum(counts) - counts)[index]
+    features, counts = features[ranges(starts, counts[index])], counts[index]
+    shift, words = 0, []
+    for p in parts:
+        words.append(inverse[p[2] + shift].astype(np.int32))
+        shift += len(p[4])
+    each = np.concatenate([np.diff(p[3]) for p in parts])
+    return features, np.concatenate(([0], np.cumsum(counts))), np.concatenate(words), np.concatenate(([0], np.cumsum(each))), unique
+
+
 def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums over consecutive runs, empty runs included."""
     total = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
@@ -93,11 +114,11 @@ class ToxicityModel:
         if not len(y) or y.min() == y.max():
             return cls(np.zeros(1, np.float32), 0.0, float(prior))
         terms = [w for g in identity for w in g]
-        features, begin, words, first, hashes = distinct_words([*texts, " ".join(terms)])
+        features, begin, words, first, hashes = gathered([*texts, " ".join(terms)])
         words, first = words[: first[-2]], first[:-1]
         n, m = len(texts), len(begin) - 1
-        owner = np.repeat(np.arange(n), np.diff(first))
-        word_of = np.repeat(np.arange(m), np.diff(begin))
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(first))
+        word_of = np.repeat(np.arange(m, dtype=np.int32), np.diff(begin))
 
         def spread(by_text: np.ndarray) -> np.ndarray:
             by_word = np.bincount(words, weights=by_text[owner], minlength=m)
@@ -167,12 +188,13 @@ class ToxicityModel:
                 numbers[w] = int(np.searchsorted(hashes, hash_spans(codes, starts, lengths)[0]))
         group = {numbers[w]: [numbers[x] for x in g if x != w] for g in identity for w in g}
         old, new = [], []
-        codes, starts, lengths, _ = word_spans(texts)
-        place = np.searchsorted(hashes, hash_spans(codes, starts, lengths))
-        found, count = np.unique(place[np.isin(place, list(group))], return_counts=True)
-        for a, c in zip(found.tolist(), count.tolist(), strict=True):
-            old += [a] * (c * len(group[a]))
-            new += group[a] * c
+        for lo, hi in passes(texts):
+            codes, starts, lengths, _ = word_spans(texts[lo:hi])
+            place = np.searchsorted(hashes, hash_spans(codes, starts, lengths))
+            found, count = np.unique(place[np.isin(place, list(group))], return_counts=True)
+            for a, c in zip(found.tolist(), count.tolist(), strict=True):
+                old += [a] * (c * len(group[a]))
+                new += group[a] * c
         return np.array(old, dtype=np.int64), np.array(new, dtype=np.int64)
 
     def score(self, texts: list[str | None]) -> np.ndarray:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import op01_benchmark, op02_urls, op03_lines, op05_shards, op06_media, op08_language, op09_toxicity, op10_pieces
+from . import op01_benchmark, op02_urls, op03_lines, op05_shards, op06_media, op07_jaccard, op08_language, op09_toxicity, op10_pieces
 
-MODULES = (op01_benchmark, op02_urls, op03_lines, op05_shards, op06_media, op08_language, op09_toxicity, op10_pieces)
+MODULES = (op01_benchmark, op02_urls, op03_lines, op05_shards, op06_media, op07_jaccard, op08_language, op09_toxicity, op10_pieces)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: q for m in MODULES for k, q in m.ORACLES.items()}

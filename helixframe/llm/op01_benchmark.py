@@ -143,8 +143,8 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
         yield block
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None, k: int = K, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """The columns ``keep`` of every row of ``docs`` with ``leaks``: array of (item, shared, shingles)."""
+def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None, out: str = "leaks", k: int = K, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """The columns ``keep`` of every row of ``docs`` with ``out``: array of (item, shared, shingles)."""
     spark = prepare(docs.sparkSession)
     keep = list(docs.columns) if keep is None else keep
     kinds, item_kind = dict(docs.dtypes), dict(items.dtypes)[item_id]
@@ -162,9 +162,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
                     for text, item, n, m in index.search(texts[lo:hi]):
                         found[text].append({"item": ids[item], "shared": n, "shingles": m})
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found, arrow)], names=[*keep, "leaks"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found, arrow)], names=[*keep, out])
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", leaks array<struct<item: {item_kind}, shared: int, shingles: int>>"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", `{out}` array<struct<item: {item_kind}, shared: int, shingles: int>>"
     return docs.select(F.col(f"`{text_col}`").alias("__text"), *(F.col(f"`{c}`") for c in keep)).mapInArrow(run, schema)
 
 

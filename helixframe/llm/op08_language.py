@@ -196,8 +196,8 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     return out
 
 
-def predict_language(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, docs_per_lang: int = DOCS, chars: int = CHARS) -> DataFrame:
-    """``lang_pred`` and ``score`` for every row of ``docs``; learned from the rows of ``train`` that have a language.
+def predict_language(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, out: tuple[str, str] = ("lang_pred", "score"), docs_per_lang: int = DOCS, chars: int = CHARS) -> DataFrame:
+    """The language and its score, named by ``out``, for every row of ``docs``; learned from the rows of ``train`` that have a language.
 
     ``keep`` names the columns of ``docs`` that stay (the id alone if not given).
     """
@@ -213,9 +213,9 @@ def predict_language(docs: DataFrame, train: DataFrame, id_col: str = "doc_id",
             for lo, hi in passes(texts):
                 seen = shared.value.predict(texts[lo:hi])
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([s[0] for s in seen], pa.string()), pa.array([s[1] for s in seen], pa.float64())], names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([s[0] for s in seen], pa.string()), pa.array([s[1] for s in seen], pa.float64())], names=[*keep, *out])
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", `{out[0]}` string, `{out[1]}` double"
     return docs.select(F.col(text_col).alias("__text"), *(F.col(f"`{c}`") for c in keep)).mapInArrow(run, schema)
 
 

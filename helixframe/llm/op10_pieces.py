@@ -151,12 +151,24 @@ def runs(lengths: list[int], most: int = 1_000_000) -> Iterator[tuple[int, int]]
         yield start, len(lengths)
 
 
-def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, check: str = "chunks", digests: bool = False) -> DataFrame:
-    """``id_col``, ``ids`` (array of int, with begin and end) and ``decoded`` for every row.
+#: What ``encode_pieces`` can give for a text, besides its id.
+OUTPUTS = {"ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string()), "n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
 
-    ``digests`` gives ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in place of the arrays and texts, so
-    that these never leave the worker.
-    """
+
+def _output(name: str, ids: list[bytes], decoded: list[str]) -> pa.Array:
+    if name == "ids":
+        offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
+    if name == "n_tokens":
+        return pa.array([len(x) // 4 for x in ids], pa.int64())
+    if name == "decoded":
+        return pa.array(decoded, pa.string())
+    return pa.array([hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest() for x in (ids if name == "ids_sha256" else decoded)], pa.string())
+
+
+def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, check: str = "chunks", outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """``id_col`` and ``outputs`` (see ``OUTPUTS``) for every row; ids have begin and end."""
     path = model or MODEL
     kind = dict(df.dtypes)[id_col]
     prepare(df.sparkSession)
@@ -164,27 +176,18 @@ def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path if "/" in path else model_path(path), check)
         for batch in batches:
-            lengths = [len(t) if t is not None else 0 for t in batch.column(1).to_pylist()]
-            for lo, hi in runs(lengths):
-                part = batch.slice(lo, hi - lo)
-                ids = c.encode_batch([t or "" for t in part.column(1).to_pylist()])
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for lo, hi in runs([len(t) for t in texts]):
+                ids = c.encode_batch(texts[lo:hi])
                 decoded = c.decode_batch(ids)
-                if digests:
-                    columns = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded])]
-                    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-                else:
-                    values = np.frombuffer(b"".join(ids), dtype="<i4")
-                    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
-                    columns = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(decoded, pa.string())]
-                    names = ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[id_col, *names])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(_output(x, ids, decoded) for x in outputs)], names=[id_col, *outputs])
 
-    rest = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, {rest}")
+    schema = ", ".join(f"{x} {OUTPUTS[x][0]}" for x in outputs)
+    return df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, {schema}")
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_pieces(table(spark, sf_dir, "documents"), digests=True)
+    return encode_pieces(table(spark, sf_dir, "documents"), outputs=DIGESTS)
 
 
 QUERIES = {"op10_pieces": op10_pieces}

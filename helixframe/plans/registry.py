@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import curation, scalar, spatial
+
+MODULES = (scalar, spatial, curation)
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {k: f for m in MODULES for k, f in m.QUERIES.items()}
 
 
 def oracles() -> dict:
-    return dict(ORACLES)
+    return {k: q for m in MODULES for k, q in m.ORACLES.items()}

@@ -7,7 +7,7 @@ name.
 
 Texts are lower-cased, runs of other characters than letters and marks become one space, and the parse restarts
 every ``BLOCK`` characters. Thus all blocks of a batch advance together, one character at a step, through one flat
-transition table in which a missing transition holds the restart state and a flag that counts the phrase.
+transition table in which a missing transition holds the state of a new phrase that begins with the symbol, and a flag that counts it.
 
 The model is fitted on a bounded sample of labelled rows: for each language the rows of the training fold with the
 smallest hash, at most ``DOCS`` rows and ``CHARS`` characters. Everything else reads every row.
@@ -91,7 +91,7 @@ def automaton(sequence: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class LanguageModel:
-    """``table``: for state x width + symbol, twice the next state's row start, plus one where a phrase ends first."""
+    """``table``: for state x width + symbol, twice the next state's row start, plus one where a phrase begins with the symbol."""
 
     languages: list[str]
     alphabet: np.ndarray
@@ -127,8 +127,8 @@ class LanguageModel:
             for c, q in states[0].items():
                 if c > 0:
                     root[c] = 2 * (start + q * width) + 1
-            block = np.tile(root, (len(states), 1))
-            for i, edges in enumerate(states):
+            block = np.tile(root, (len(states), 1))  # the first state begins a phrase with any symbol
+            for i, edges in enumerate(states[1:], 1):
                 for c, q in edges.items():
                     if c > 0:
                         block[i, c] = 2 * (start + q * width)
@@ -158,7 +158,7 @@ class LanguageModel:
         active = np.searchsorted(-length, -np.arange(BLOCK), side="left")
         for j, root in enumerate(self.roots):
             state = np.full(len(owner), root, dtype=self.table.dtype)
-            count = np.ones(len(owner), dtype=self.table.dtype)
+            count = np.zeros(len(owner), dtype=self.table.dtype)
             for t in range(int(length[0])):
                 k = active[t]
                 step = self.table.take(state[:k] + symbol.take(start[:k] + t))

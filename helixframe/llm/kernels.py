@@ -14,7 +14,7 @@ import numpy as np
 
 U = np.uint64
 #: Characters that one pass holds at a time (about 60 bytes each).
-PASS_CHARS = 1_000_000
+PASS_CHARS = 400_000
 
 
 @functools.cache

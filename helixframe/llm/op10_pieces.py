@@ -181,6 +181,7 @@ def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ids = c.encode_batch(texts[lo:hi])
                 decoded = c.decode_batch(ids)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *(_output(x, ids, decoded) for x in outputs)], names=[id_col, *outputs])
+        c.cache.clear()  # a worker that waits for other tasks holds no chunks
 
     schema = ", ".join(f"{x} {OUTPUTS[x][0]}" for x in outputs)
     return df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, {schema}")

@@ -9,11 +9,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of an Arrow batch where the session has Spark's default (10,000): long texts then fit in little memory.
+BATCH_ROWS, DEFAULT_ROWS = 1000, "10000"
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package, and sets a checkpoint folder where none is set (as in tests).
+    """Lets Python workers import this package, bounds Arrow batches, and sets a checkpoint folder where none is set (as in tests).
 
     On a cluster ``spark.checkpoint.dir`` names the shared folder; it is then left as it is.
     """
@@ -21,6 +23,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == DEFAULT_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))

@@ -36,7 +36,7 @@ from .session import prepare, table
 K, THRESHOLD, RECALL = 5, 0.8, 0.9999
 COORDINATES, BRANCH, START_DEPTH, MOST_DEPTH = 48, 2, 2, 8
 #: Sets of a node that are brute-forced at once, and the share of its parent below which a node counts as shrunk.
-BLOCK, SHRINK = 256, 0.6
+BLOCK, SHRINK = 1024, 0.6
 
 
 def survival(similarity: float, depth: int) -> float:
@@ -269,7 +269,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with one row of each group: the smallest id (then text hash); of repeated rows one. Rows without words all stay."""
     kept = similar_groups(docs, id_col, text_col, **settings)
-    kept = kept.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("group_rows").alias("__rows"), "stays").filter("stays").distinct()
+    kept = kept.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("group_rows").alias("__rows"), "stays").filter("stays").drop("stays").distinct()
     rows = docs.withColumn("__text", F.xxhash64(F.col(f"`{text_col}`")))
     found = rows.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__h")))
     several = F.col("__rows") > 1

@@ -5,7 +5,7 @@ For each host, the pages that contain a line are divided by the host's pages; li
 on both sides of the division, so a page that was fetched often is no boilerplate.
 
 A line stands for its 96-bit hash. Counts are aggregated before each exchange, so a host or line with a third of the
-rows is no burden. A host's boilerplate has at most (mean distinct lines of its pages) / ``ratio`` entries, so it is
+rows is no burden; the counts of lines on ``min_pages`` pages are checkpointed, to be read for lines and hosts. A host's boilerplate has at most (mean distinct lines of its pages) / ``ratio`` entries, so it is
 one array a host; pages meet it in one join on host, which adaptive execution splits where a host is hot and
 broadcasts where the arrays are small. Pages are never taken apart and put together again.
 
@@ -32,17 +32,23 @@ def trimmed(line: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    return F.struct(F.xxhash64(trimmed(line)).alias("a"), F.hash(trimmed(line)).alias("b"))
+    """Of a trimmed line."""
+    return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
 def boilerplate(df: DataFrame, host: str, text: str, ratio: float, min_pages: int) -> DataFrame:
-    """``host`` and ``__drop``, the array of its boilerplate lines' keys."""
-    pages = df.filter((F.col(host) != "") & F.col(text).isNotNull()).select(F.col(host).alias("__host"), F.xxhash64(text).alias("__page"), F.hash(text).alias("__page2"), F.col(text).alias("__text"))
-    keys = F.array_distinct(F.transform(F.filter(F.split("__text", "\n"), lambda x: trimmed(x) != ""), line_key))
-    lines = pages.select("__host", "__page", "__page2", F.explode(keys).alias("__line")).distinct()
-    totals = pages.select("__host", "__page", "__page2").distinct().groupBy("__host").agg(F.count("*").alias("__pages"))
-    often = lines.groupBy("__host", "__line").agg(F.count("*").alias("__n")).filter(F.col("__n") >= min_pages)
-    over = often.join(totals.withColumnRenamed("__host", "__h"), F.col("__host") == F.col("__h")).filter(F.col("__n") > ratio * F.col("__pages"))
+    """``host`` and ``__drop``, the array of its boilerplate lines' keys.
+
+    Each page also has one entry without a line, so one aggregation counts the pages of lines and of hosts.
+    """
+    pages = df.filter(F.col(host) != "").select(F.col(host).alias("__host"), F.col(text).alias("__text"))
+    split = pages.select("__host", F.xxhash64("__text").alias("__page"), F.hash("__text").alias("__page2"), F.filter(F.transform(F.split("__text", "\n"), trimmed), lambda x: x != "").alias("__lines"))
+    keys = F.array_append(F.array_distinct(F.transform("__lines", line_key)), F.lit(None).cast("struct<a: bigint, b: int>"))
+    lines = split.select("__host", "__page", "__page2", F.explode(keys).alias("__line")).distinct()
+    counts = lines.groupBy("__host", "__line").agg(F.count("*").alias("__n")).filter(F.col("__line").isNull() | (F.col("__n") >= min_pages)).checkpoint()
+    totals = counts.filter(F.col("__line").isNull()).select(F.col("__host").alias("__h"), F.col("__n").alias("__pages"))
+    often = counts.filter(F.col("__line").isNotNull())
+    over = often.join(totals, F.col("__host") == F.col("__h")).filter(F.col("__n") > ratio * F.col("__pages"))
     return over.groupBy("__host").agg(F.collect_set("__line").alias("__drop"))
 
 
@@ -50,9 +56,11 @@ def dedup_lines(df: DataFrame, host: str, text: str = "text", ratio: float = RAT
     """``df`` with its boilerplate lines dropped from ``text``, and ``dropped_lines``, their number."""
     prepare(df.sparkSession)
     drop = boilerplate(df, host, text, ratio, min_pages)
+    # A key made anew asks for an exchange on this side too: only then can a hot host's pages be split between tasks.
+    drop = drop.select(F.concat("__host", F.lit("")).alias("__host"), "__drop")
     keep = [c for c in df.columns if c.lower() != "dropped_lines"]
     lines = F.split(F.col(f"`{text}`"), "\n")
-    left = F.filter(lines, lambda x: ~F.array_contains(F.col("__drop"), line_key(x)) | (trimmed(x) == ""))
+    left = F.filter(lines, lambda x: ~F.array_contains(F.col("__drop"), line_key(trimmed(x))))
     joined = df.select(*(F.col(f"`{c}`") for c in keep)).join(drop, F.col(f"`{host}`") == F.col("__host"), "left")
     found = joined.withColumn("__left", F.when(F.col("__drop").isNotNull(), left))
     columns = [F.when(F.col("__left").isNotNull(), F.array_join("__left", "\n")).otherwise(F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`") for c in keep]

@@ -17,8 +17,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import operator
 import re
+import struct
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,11 @@ def model_path(name: str = MODEL) -> str:
     return str(public_tokenizers.path(name))
 
 
+def little(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PieceCodec:
     def __init__(self, path: str, check: str = "chunks"):
         import sentencepiece
@@ -50,7 +58,8 @@ class PieceCodec:
         self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.vocab_size()
         self.id = {sp.id_to_piece(i): i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
-        self.score = {p: sp.get_score(i) for p, i in self.id.items()}
+        order = {s: r for r, s in enumerate(sorted({sp.get_score(i) for i in self.id.values()}, reverse=True))}
+        self.rank = {p: order[sp.get_score(i)] for p, i in self.id.items()}
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if not all(sp.is_byte(i) for i in self.bytes):
             raise ValueError("the vocabulary has no byte pieces")
@@ -60,40 +69,41 @@ class PieceCodec:
         self.cache: dict[str, bytes] = {}
 
     def agenda(self, chunk: str) -> list[int]:
-        """The ids of one chunk."""
+        """The ids of one chunk.
+
+        An entry is one number: the rank of a pair's piece times the chunk's length, plus the place of its left symbol.
+        It is stale if the symbols that stand there now make another piece or none.
+        """
+        get, n = self.rank.get, len(chunk)
         symbols: list[str | None] = list(chunk)
-        n = len(symbols)
-        score = self.score
-        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = []
-        for i in range(n - 1):
-            s = score.get(symbols[i] + symbols[i + 1])
-            if s is not None:
-                heap.append((-s, i, i + 1, symbols[i] + symbols[i + 1]))
-        heapq.heapify(heap)
-        while heap:
-            _, i, j, piece = heapq.heappop(heap)
-            a = symbols[i]
-            if a is None or symbols[j] is None or right[i] != j or a + symbols[j] != piece:
-                continue
-            symbols[i], symbols[j] = piece, None
-            right[i] = k = right[j]
-            if k < n:
-                left[k] = i
-                s = score.get(piece + symbols[k])
-                if s is not None:
-                    heapq.heappush(heap, (-s, i, k, piece + symbols[k]))
-            h = left[i]
-            if h >= 0:
-                s = score.get(symbols[h] + piece)
-                if s is not None:
-                    heapq.heappush(heap, (-s, h, i, symbols[h] + piece))
-        out = []
-        for x in symbols:
-            if x is not None:
-                i = self.id.get(x)
-                out.extend((self.bytes[b] for b in x.encode()) if i is None else (i,))
-        return out
+        heap = [r * n + i for i, pair in enumerate(map(operator.add, chunk, chunk[1:])) if (r := get(pair)) is not None]
+        if heap:
+            heapq.heapify(heap)
+            left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+            while heap:
+                r, i = divmod(heappop(heap), n)
+                j = right[i]
+                if symbols[i] is None or j >= n:
+                    continue
+                piece = symbols[i] + symbols[j]
+                if get(piece) != r:
+                    continue
+                symbols[i], symbols[j] = piece, None
+                right[i] = k = right[j]
+                if k < n:
+                    left[k] = i
+                    r = get(piece + symbols[k])
+                    if r is not None:
+                        heappush(heap, r * n + i)
+                h = left[i]
+                if h >= 0:
+                    r = get(symbols[h] + piece)
+                    if r is not None:
+                        heappush(heap, r * n + h)
+        ids = [self.id.get(x) for x in symbols if x is not None]
+        if None in ids:
+            ids = [i for x in symbols if x is not None for i in ([self.id[x]] if x in self.id else [self.bytes[b] for b in x.encode()])]
+        return ids
 
     def _verify(self, chunks: list[str], ids: list[list[int]]) -> None:
         """Each chunk alone: the library puts a space mark before a text, so a chunk without one is set apart by a line feed."""
@@ -111,7 +121,7 @@ class PieceCodec:
         ids = [self.agenda(c) for c in new]
         if self.check == "chunks":
             self._verify(new, ids)
-        now = dict(zip(new, (np.array(x, dtype="<u4").tobytes() for x in ids), strict=True))
+        now = dict(zip(new, (little(x) for x in ids), strict=True))
         if len(cache) + len(now) > CACHE:
             old, cache = cache, {}
             now |= {c: old[c] for chunks in split for c in chunks if c in old}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, scalar, spatial
+from . import curation, features, scalar, spatial
 
-MODULES = (scalar, spatial, curation)
+MODULES = (scalar, spatial, curation, features)
 
 
 def queries() -> dict:

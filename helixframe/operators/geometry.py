@@ -72,7 +72,7 @@ def greedy_distinct(rows: list[str], threshold: float = 0.9) -> list[int]:
     kept = [0] if rows else []
     codes = [np.frombuffer(r.encode("utf-32-le"), np.uint32) for r in rows]
     for i in range(1, len(rows)):
-        if all((codes[i] == codes[j]).mean() < threshold for j in kept[1:]):
+        if all(len(codes[i]) != len(codes[j]) or (codes[i] == codes[j]).mean() < threshold for j in kept[1:]):
             kept.append(i)
     return kept
 
@@ -105,3 +105,89 @@ def rotation_angle(r: np.ndarray) -> float:
 def rmsd(df: DataFrame, key: str, a: tuple[str, str, str], b: tuple[str, str, str]) -> DataFrame:
     squares = sum((F.col(x) - F.col(y)) * (F.col(x) - F.col(y)) for x, y in zip(a, b, strict=True))
     return df.groupBy(key).agg(F.sqrt(F.avg(squares)).alias("rmsd"))
+
+
+def grown(contacts: dict[tuple[str, str], int], chains: list[str], most: int, seed: int) -> list[str]:
+    """Up to ``most`` chains: one by chance, then always the one with most contacts to those chosen (of equals the first by name), or one by chance where none has any."""
+    rng = np.random.default_rng(seed)
+    left = sorted(chains)
+    out: list[str] = []
+    while left and len(out) < most:
+        score = {c: sum(contacts.get((min(c, o), max(c, o)), 0) for o in out) for c in left}
+        best = max(score.values())
+        pick = left[int(rng.integers(len(left)))] if best == 0 else next(c for c in left if score[c] == best)
+        out.append(pick)
+        left.remove(pick)
+    return out
+
+
+def cropped_to_chains(chains: DataFrame, contacts: DataFrame, most: int = 20, seed: int = 0) -> DataFrame:
+    """The chains kept of each structure (``structure_id, chain_id``; ``contacts`` has ``chain_1, chain_2, contacts``). A structure's chains are one group."""
+    kind = dict(chains.dtypes)["structure_id"]
+    edges = contacts.groupBy("structure_id").agg(F.collect_list(F.struct("chain_1", "chain_2", "contacts")).alias("edges"))
+    both = chains.groupBy("structure_id").agg(F.collect_set("chain_id").alias("chains")).join(edges, "structure_id", "left")
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for s, own, near in zip(b["structure_id"], b["chains"], b["edges"], strict=True):
+                known = {(min(e["chain_1"], e["chain_2"]), max(e["chain_1"], e["chain_2"])): e["contacts"] for e in (near if near is not None else ())}
+                key = int(pd.util.hash_array(np.array([f"{s}|{seed}"], dtype=object))[0])
+                rows += [(s, c, i) for i, c in enumerate(grown(known, list(own), most, key))]
+            yield pd.DataFrame(rows, columns=["structure_id", "chain_id", "place"])
+
+    return both.mapInPandas(run, f"structure_id {kind}, chain_id string, place int")
+
+
+def composed(matrices: list[np.ndarray]) -> np.ndarray:
+    """One 4 x 4 operator from several, the last applied first."""
+    out = np.eye(4)
+    for m in matrices:
+        out = out @ m
+    return out
+
+
+def inverse(matrix: np.ndarray) -> np.ndarray:
+    out = np.eye(4)
+    out[:3, :3] = matrix[:3, :3].T
+    out[:3, 3] = -matrix[:3, :3].T @ matrix[:3, 3]
+    return out
+
+
+def rotation_axis(r: np.ndarray) -> np.ndarray | None:
+    """The unit axis of a rotation; None for the identity."""
+    values, vectors = np.linalg.eig(r)
+    if rotation_angle(r) < 1e-6:
+        return None
+    axis = np.real(vectors[:, np.argmin(abs(values - 1))])
+    return axis / np.linalg.norm(axis) * (1 if axis[np.argmax(abs(axis))] > 0 else -1)
+
+
+def icosahedral() -> list[np.ndarray]:
+    """All sixty rotations of the icosahedron, as products of a five-fold and a two-fold turn."""
+    phi = (1 + 5**0.5) / 2
+
+    def turn(axis: np.ndarray, angle: float) -> np.ndarray:
+        x, y, z = axis / np.linalg.norm(axis)
+        k = np.array([[0, -z, y], [z, 0, -x], [-y, x, 0]])
+        return np.eye(3) + np.sin(angle) * k + (1 - np.cos(angle)) * k @ k
+
+    makers = [turn(np.array([0, 1, phi]), 2 * np.pi / 5), np.diag([-1.0, -1.0, 1.0])]
+    seen, todo = {}, [np.eye(3)]
+    while todo:
+        r = todo.pop()
+        key = tuple(np.round(r, 6).ravel() + 0.0)
+        if key not in seen:
+            seen[key] = r
+            todo += [m @ r for m in makers]
+    return list(seen.values())
+
+
+def mapped(query: str, template: str) -> list[int]:
+    """For each letter of an aligned query the place of its template letter, or -1."""
+    out, j = [], -1
+    for a, b in zip(query, template, strict=True):
+        j += b != "-"
+        if a != "-":
+            out.append(j if b != "-" else -1)
+    return out

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, features, scalar, spatial
+from . import curation, features, kernels, scalar, spatial
 
-MODULES = (scalar, spatial, curation, features)
+MODULES = (scalar, spatial, curation, features, kernels)
 
 
 def queries() -> dict:

@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Puts this package on the Python workers' path, whatever the working directory is."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -17,8 +17,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    # Workers find the package from any working directory.
-    s.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[1])
     yield s
     s.stop()
 

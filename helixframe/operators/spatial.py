@@ -62,3 +62,30 @@ def radii(points: DataFrame, chain: str) -> DataFrame:
     c = centroids(points, chain).select(F.col(chain).alias("__chain"), *(F.col(f"c{x}").alias(f"b_{x}") for x in XYZ))
     a = points.select(F.col(chain), *(F.col(x).alias(f"a_{x}") for x in XYZ))
     return a.join(c, F.col(chain) == F.col("__chain")).groupBy(chain).agg(F.max(distance()).alias("radius"))
+
+
+def nearest(queries: DataFrame, points: DataFrame, key: str, k: int, radius: float) -> DataFrame:
+    """The ``k`` nearest other points of each query, exactly (equal distances by ``key``); ``rank`` from 1.
+
+    Queries with ``k`` points within the radius are done, the rest go on with twice the radius, so each pass is a grid
+    join; the last pass, over the whole extent, takes what there is. ``key`` is an integer without repeats.
+    """
+    from .relational import top_per_key
+
+    low_high = points.agg(*(f(c) for c in XYZ for f in (F.min, F.max))).first()
+    extent = None if low_high[0] is None else sum((low_high[2 * i + 1] - low_high[2 * i]) ** 2 for i in range(3)) ** 0.5
+    left, out = queries, None
+    while True:
+        found = within(left, points, radius).filter(F.col(f"a_{key}") != F.col(f"b_{key}"))
+        best = top_per_key(found, [f"a_{key}"], [F.col("distance"), F.col(f"b_{key}")], k)
+        last = extent is None or radius > extent
+        if last:
+            return best if out is None else out.unionByName(best)
+        best = best.checkpoint()
+        done = best.groupBy(f"a_{key}").agg(F.count("*").alias("__n")).filter(F.col("__n") == k).select(f"a_{key}")
+        whole = best.join(done, f"a_{key}", "left_semi").select(*best.columns)
+        out = whole if out is None else out.unionByName(whole)
+        left = left.join(done.withColumnRenamed(f"a_{key}", key), key, "left_anti").checkpoint()
+        if not left.limit(1).count():
+            return out
+        radius *= 2

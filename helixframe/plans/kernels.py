@@ -10,22 +10,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import crop, geometry, search, spatial
-from ..sources.tables import read_table
+from ..sources.tables import checkpoint_folder, read_table
 from ..streaming import tasks
 from .features import msa
 from .spatial import points
 
 
-def folder(spark) -> str:
-    """A folder of its own below the session's checkpoint folder; one is set where there is none, as in tests."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
-    return f"{sc._jsc.sc().getCheckpointDir().get()}/{uuid.uuid4()}"
-
-
 def l13_superposition(spark, d: str) -> DataFrame:
     """Fits each label's points onto the next label's, paired by rank."""
     q = points(spark, d).withColumn("i", F.row_number().over(Window.partitionBy("label").orderBy("vec_id")))
@@ -73,7 +63,7 @@ def n16_task_stream(spark, d: str) -> DataFrame:
     events = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(d.rstrip("/") + "/events.parquet*")
     report = F.when(F.col("event_type") == "view", "started").when(F.col("event_type") == "purchase", "completed").otherwise("failed")
     reports = events.select(F.col("user_id").cast("string").alias("task"), F.col("event_id").alias("at"), report.alias("report"))
-    out = folder(spark)
+    out = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
 
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/rows/batch={number}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,14 @@ def workers_find_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder (``spark.checkpoint.dir``); one of its own where none is set, as in tests."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     workers_find_package(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -128,6 +128,19 @@ def test_grid_join_is_exact(spark):
     assert ("a_x" in spatial.within(df, df, 1.0).columns) and "BroadcastNestedLoop" not in spatial.within(df, df, 1.0)._jdf.queryExecution().toString()
 
 
+def test_nearest_is_exact(spark):
+    rng = np.random.default_rng(8)
+    p = np.concatenate([rng.normal(size=(80, 3)) * 0.2, rng.normal(size=(5, 3)) * 30])
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(p)], "k int, x double, y double, z double")
+    got = {(r.a_k, r["rank"]): r.b_k for r in spatial.nearest(df.filter("k % 3 = 0"), df, "k", 4, 0.05).collect()}
+    d = np.sqrt(((p[:, None] - p[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    want = {(i, r + 1): int(j) for i in range(0, len(p), 3) for r, j in enumerate(np.argsort(d[i], kind="stable")[:4])}
+    assert got == want
+    few = spatial.nearest(df.filter("k = 0"), df.filter("k < 3"), "k", 4, 0.01).collect()
+    assert len(few) == 2 and spatial.nearest(df.limit(0), df.limit(0), "k", 2, 1.0).count() == 0
+
+
 def test_superposition_and_frames(spark):
     rng = np.random.default_rng(2)
     a = rng.normal(size=(20, 3))

@@ -34,6 +34,8 @@ SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Distinct chunks that a worker keeps, and the characters of the longest that it keeps.
 CACHE, CACHE_CHARS = 400_000, 64
+#: Chunks up to these lengths run through the agenda together, each length class in a matrix.
+TOGETHER, NEVER = (8, 12, 18, 26), 1 << 40
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 
 
@@ -63,6 +65,16 @@ class PieceCodec:
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if not all(sp.is_byte(i) for i in self.bytes):
             raise ValueError("the vocabulary has no byte pieces")
+        cuts = [(self.id[p[:i]], self.id[p[i:]], p) for p in self.id for i in range(1, len(p)) if p[:i] in self.id and p[i:] in self.id]
+        keys = np.array([a << 32 | b for a, b, _ in cuts], dtype=np.int64)
+        sort = np.argsort(keys)
+        self.pairs = keys[sort]
+        self.pair_makes = np.append(np.array([self.id[p] for *_, p in cuts], dtype=np.int64)[sort], -1)
+        self.pair_order = np.append(np.array([self.rank[p] for *_, p in cuts], dtype=np.int64)[sort], NEVER)
+        self.of_code = np.full(0x110001, -2, dtype=np.int32)
+        for p, i in self.id.items():
+            if len(p) == 1:
+                self.of_code[ord(p)] = i
         if any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in self.id):
             raise ValueError("a piece crosses the chunks' edges")
         self.bos, self.eos = (np.array([i], dtype="<u4").tobytes() for i in (sp.bos_id(), sp.eos_id()))
@@ -105,6 +117,59 @@ class PieceCodec:
             ids = [i for x in symbols if x is not None for i in ([self.id[x]] if x in self.id else [self.bytes[b] for b in x.encode()])]
         return ids
 
+    def agendas(self, chunks: list[str]) -> list[list[int]]:
+        """The ids of many chunks: short ones together, each of them merging its best pair (leftmost at a tie) in every step."""
+        out: list[list[int]] = [[]] * len(chunks)
+        lengths = np.array([len(c) for c in chunks], dtype=np.int64)
+        for low, high in zip((0, *TOGETHER), TOGETHER, strict=False):
+            at = np.flatnonzero((lengths > low) & (lengths <= high))
+            for lo in range(0, len(at), 20_000):
+                part = at[lo : lo + 20_000]
+                for i, ids in zip(part.tolist(), self._steps([chunks[i] for i in part.tolist()], lengths[part], high), strict=True):
+                    out[i] = self.agenda(chunks[i]) if ids is None else ids
+        for i in np.flatnonzero(lengths > TOGETHER[-1]).tolist():
+            out[i] = self.agenda(chunks[i])
+        return out
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of symbol pairs in the table of merges; its length where there is none."""
+        key = (a << 32) | b
+        place = np.searchsorted(self.pairs, key)
+        place[self.pairs[np.minimum(place, len(self.pairs) - 1)] != key] = len(self.pairs)
+        return place
+
+    def _steps(self, chunks: list[str], lengths: np.ndarray, width: int) -> list[list[int] | None]:
+        """None for a chunk with a character outside the vocabulary."""
+        m = len(chunks)
+        codes = np.frombuffer("".join(c.ljust(width, "\0") for c in chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(m, width)
+        symbols = np.append(self.of_code[np.minimum(codes, len(self.of_code) - 1)].astype(np.int64), np.full((m, 1), -1), axis=1)
+        symbols[:, :-1][np.arange(width) >= lengths[:, None]] = -1
+        known = ((symbols >= 0).sum(axis=1) == lengths).tolist()
+        none = len(self.pairs)
+        place = self._rank(symbols[:, :-1], symbols[:, 1:])
+        order = self.pair_order[place]
+        rows, column = np.arange(m), np.arange(width + 1)
+        while len(rows):
+            best = order[rows].argmin(axis=1)
+            live = order[rows, best] < NEVER
+            rows, best = rows[live], best[live]
+            if not len(rows):
+                break
+            made = self.pair_makes[place[rows, best]]
+            pick = np.minimum(column + (column > best[:, None]), width)
+            symbols[rows] = np.take_along_axis(symbols[rows], pick, axis=1)
+            symbols[rows, best] = made
+            shift = pick[:, :-1].copy()
+            shift[:, -1] = np.where(shift[:, -1] >= width, width - 1, shift[:, -1])
+            place[rows] = np.take_along_axis(place[rows], shift, axis=1)
+            place[rows, width - 1] = none
+            place[rows, best] = self._rank(made, symbols[rows, best + 1])
+            has = best > 0
+            place[rows[has], best[has] - 1] = self._rank(symbols[rows[has], best[has] - 1], made[has])
+            order[rows] = self.pair_order[place[rows]]
+        left = (symbols >= 0).sum(axis=1).tolist()
+        return [s[:n] if k else None for s, n, k in zip(symbols.tolist(), left, known, strict=True)]
+
     def _verify(self, chunks: list[str], ids: list[list[int]]) -> None:
         """Each chunk alone: the library puts a space mark before a text, so a chunk without one is set apart by a line feed."""
         feed = self.library.encode("\n")
@@ -118,7 +183,7 @@ class PieceCodec:
         cache, out = self.cache, []
         split = [CHUNK.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         new = list({c for chunks in split for c in chunks if c not in cache})
-        ids = [self.agenda(c) for c in new]
+        ids = self.agendas(new)
         if self.check == "chunks":
             self._verify(new, ids)
         now = dict(zip(new, (little(x) for x in ids), strict=True))

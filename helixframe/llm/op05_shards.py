@@ -9,7 +9,7 @@ exchanged once, by shard and key range within the shard, and sorted; a row's slo
 The narrow table (id, bytes, row number) is written to the checkpoint folder, so that counting rounds read no text.
 Row numbers follow partition and place, which a table scan repeats exactly when an executor is lost; they matter only
 inside an id that is split. Counts that reach the driver are ``shards`` x ``PROBES`` rows a round, whatever the
-input's size. All of it is DataFrame operations.
+input's size (more for each bracket while there are few brackets). All of it is DataFrame operations.
 
 Sizes: UTF-8 bytes of the text (none for null) plus 8, so every row weighs something and empty texts count. Null ids
 sort first. Repeated rows are rows of their own. An empty table gives an empty result. With fewer rows than shards
@@ -46,23 +46,24 @@ def _splitters(narrow: DataFrame, key: str, low: int, high: int, targets: list[t
     want, done = dict(targets), {}
     while open_:
         brackets = sorted({(b[0], b[2]) for b in open_.values()})
-        place, width = F.lit(None).cast("int"), F.lit(None).cast("decimal(20,0)")
-        edge = F.lit(None).cast("decimal(20,0)")
+        probes = max(PROBES, PROBES * SHARDS // len(brackets))
+        widths = [max(1, -(-(hi - lo) // probes)) for lo, hi in brackets]
+        place = F
         for i, (lo, hi) in enumerate(brackets):
-            inside = (F.col(key) > lo if lo >= LOWEST else F.lit(True)) & (F.col(key) <= hi)
-            place = F.when(inside, i).otherwise(place)
-            edge = F.when(inside, whole(lo)).otherwise(edge)
-            width = F.when(inside, whole(max(1, -(-(hi - lo) // PROBES)))).otherwise(width)
-        counted = narrow.select(place.alias("b"), F.floor((F.col(key).cast("decimal(20,0)") - edge - 1) / width).cast("int").alias("p"), "__bytes").filter(F.col("b").isNotNull())
-        found: dict[int, dict[int, int]] = {}
-        for b, p, size in counted.groupBy("b", "p").agg(F.sum("__bytes")).collect():
-            found.setdefault(b, {})[p] = size
+            place = place.when((F.col(key) > lo if lo >= LOWEST else F.lit(True)) & (F.col(key) <= hi), i)
+        counted = narrow.select(key, "__bytes", place.alias("b")).filter(F.col("b").isNotNull())
+        edge, width = (F.element_at(F.array(*map(whole, x)), F.col("b") + 1) for x in ([lo for lo, _ in brackets], widths))
+        counted = counted.select("b", F.floor((F.col(key).cast("decimal(20,0)") - edge - 1) / width).cast("int").alias("p"), "__bytes")
+        found: dict[int, dict[int, tuple[int, int]]] = {}
+        for b, p, size, rows in counted.groupBy("b", "p").agg(F.sum("__bytes"), F.count("*")).collect():
+            found.setdefault(b, {})[p] = (size, rows)
         for n in list(open_):
             lo, base, hi, _ = open_[n]
-            w = max(1, -(-(hi - lo) // PROBES))
+            at = brackets.index((lo, hi))
+            w, held = widths[at], found.get(at, {})
             below = [(lo, base)]
             for p in range(-(-(hi - lo) // w)):
-                below.append((min(lo + (p + 1) * w, hi), below[-1][1] + found.get(brackets.index((lo, hi)), {}).get(p, 0)))
+                below.append((min(lo + (p + 1) * w, hi), below[-1][1] + held.get(p, (0, 0))[0]))
             best = min(below, key=lambda x: abs(x[1] - want[n]))
             if abs(best[1] - want[n]) <= slack:
                 done[n] = (*best, True)
@@ -70,7 +71,8 @@ def _splitters(narrow: DataFrame, key: str, low: int, high: int, targets: list[t
                 continue
             i = next((i for i in range(1, len(below)) if below[i][1] >= want[n]), len(below) - 1)
             if below[i][0] - below[i - 1][0] == 1:
-                done[n] = (*below[i - 1], False)  # the next key holds too much; what is left of it is for the caller
+                # The next key holds too much: a single row goes to the nearer side, of more rows the caller takes a part.
+                done[n] = (*best, True) if held.get(i - 1, (0, 0))[1] <= 1 else (*below[i - 1], False)
                 del open_[n]
             else:
                 open_[n] = [*below[i - 1], *below[i]]

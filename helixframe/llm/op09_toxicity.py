@@ -82,10 +82,13 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def gathered(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """As ``distinct_words``, over many texts in passes of bounded memory."""
-    parts = [distinct_words(texts[lo:hi]) for lo, hi in passes(texts)]
+    parts = []
+    for lo, hi in passes(texts):
+        features, begin, words, first, unique = distinct_words(texts[lo:hi])
+        parts.append((features.astype(np.int32), begin.astype(np.int32), words.astype(np.int32), first, unique))
     unique, index, inverse = np.unique(np.concatenate([p[4] for p in parts]), return_index=True, return_inverse=True)
-    features = np.concatenate([p[0] for p in parts]).astype(np.int32)
-    counts = np.concatenate([np.diff(p[1]) for p in parts])
+    features = np.concatenate([p[0] for p in parts])
+    counts = np.concatenate([np.diff(p[1]) for p in parts]).astype(np.int64)
     starts = (np.cumsum(counts) - counts)[index]
     features, counts = features[ranges(starts, counts[index])], counts[index]
     shift, words = 0, []
@@ -98,7 +101,8 @@ def gathered(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums over consecutive runs, empty runs included."""
-    total = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
+    total = np.zeros(len(values) + 1)
+    np.cumsum(values, out=total[1:])
     return total[starts[1:]] - total[starts[:-1]]
 
 
@@ -128,10 +132,10 @@ class ToxicityModel:
         ratio = np.log((pos + 1) / (y.sum() + 1)) - np.log((neg + 1) / ((1 - y).sum() + 1))
         ratio[(pos + neg) < 2] = 0
         old, new = cls._swaps(texts, identity, hashes)
-        scaled = ratio[features]
+        scaled = ratio[features].astype(np.float32)
 
         def forward(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            by_word = sums(scaled * v[features], begin)
+            by_word = sums(scaled * v.astype(np.float32)[features], begin)
             return by_word, sums(by_word[words], first)
 
         def back(by_text: np.ndarray, by_word: np.ndarray | float = 0.0) -> np.ndarray:

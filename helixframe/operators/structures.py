@@ -176,3 +176,48 @@ def expanded(atoms: DataFrame, operators: DataFrame, assembly: str = "1", most:
     first = F.min("op").over(Window.partitionBy("structure_id", "chain_id"))
     named = pairs.withColumns(moved).withColumn("chain_id", F.when(F.col("op") == first, F.col("chain_id")).otherwise(F.concat_ws("_", "chain_id", "op")))
     return named.select(*atoms.columns).unionByName(atoms.join(use, "structure_id", "left_anti"))
+
+
+def glycosidic(atoms: DataFrame, glycans: DataFrame, most: float = GLYCOSIDIC) -> DataFrame:
+    """Bonds of glycan atoms to protein atoms, and between glycans next to each other in a chain. ``glycans`` has the codes (``code``)."""
+    kind = chem.chain_type(F.col("residue"))
+    marked = _keyed(atoms).join(F.broadcast(glycans.select(F.col("code").alias("residue"), F.lit(True).alias("glycan")).distinct()), "residue", "left").withColumn("glycan", F.coalesce("glycan", F.lit(False))).withColumn("kind", kind)
+    near = spatial.within(marked, marked, most, ("structure_id",)).filter("a_glycan")
+    protein = F.col("b_kind") == "PROTEIN"
+    beside = F.col("b_glycan") & (F.col("a_chain_id") == F.col("b_chain_id")) & (F.col("b_residue_pos") == F.col("a_residue_pos") + 1)
+    out = near.filter(protein | beside)
+    return out.select(F.col("a_structure_id").alias("structure_id"), F.lit("glycosidic").alias("bond"), *(F.col(f"{s}_{c}").alias(f"{c}_{i}") for i, s in ((1, "a"), (2, "b")) for c in ("chain_id", "residue_pos", "atom")), "distance")
+
+
+def pocket(atoms: DataFrame, distance: float = 10.0) -> DataFrame:
+    """Protein backbone atoms within ``distance`` of a ligand atom."""
+    a = _keyed(without_hydrogens(atoms)).withColumn("kind", chem.chain_type(F.col("residue")))
+    backbone = a.filter((F.col("kind") == "PROTEIN") & F.col("atom").isin(*BACKBONE["PROTEIN"], "O"))
+    near = spatial.within(backbone, a.filter("kind = 'LIGAND'"), distance, ("structure_id",))
+    keys = [*RESIDUE, "atom"]
+    return backbone.join(near.select(*(F.col(f"a_{c}").alias(c) for c in keys)).distinct(), keys, "left_semi")
+
+
+def without_leaving_atoms(atoms: DataFrame, bonds: DataFrame, known: DataFrame) -> DataFrame:
+    """For both residues of each bond, atoms go that their component marks as leaving (``code, atom, leaving``)."""
+    ends = bonds.select("structure_id", F.col("chain_1").alias("chain_id"), F.col("seq_1").alias("seq_id")).union(bonds.select("structure_id", "chain_2", "seq_2")).distinct()
+    leaving = F.broadcast(known.filter("leaving").select(F.col("code").alias("residue"), "atom").distinct())
+    gone = atoms.join(ends, ["structure_id", "chain_id", "seq_id"], "left_semi").join(leaving, ["residue", "atom"], "left_semi").select(*RESIDUE, "atom")
+    return atoms.join(gone, [*RESIDUE, "atom"], "left_anti")
+
+
+def frames(res: DataFrame) -> DataFrame:
+    """Each polymer residue's frame from its three backbone atoms: origin and unit vectors; null where they are missing or on a line."""
+    atom = lambda names: F.coalesce(*(F.when(F.col("kind") == k, F.element_at("atoms", n)) for k, n in names.items()))
+    a, o, b = (atom({k: v[i] for k, v in BACKBONE.items()}) for i in range(3))
+    polymer = res.filter(F.col("kind").isin(*BACKBONE)).withColumns({"__a": a, "__o": o, "__b": b})
+    minus = lambda p, q: [F.col(f"{p}.{c}") - F.col(f"{q}.{c}") for c in "xyz"]
+    dot = lambda p, q: sum((i * j for i, j in zip(p, q, strict=True)), F.lit(0.0))
+    unit = lambda v: F.when(F.sqrt(dot(v, v)) >= 1e-6, F.array(*(i / F.sqrt(dot(v, v)) for i in v)))
+    parts = lambda c: [F.col(c)[i] for i in range(3)]
+    one = polymer.withColumn("ex", unit(minus("__b", "__o")))
+    v, ex = minus("__a", "__o"), parts("ex")
+    two = one.withColumn("ey", unit([i - dot(v, ex) * j for i, j in zip(v, ex, strict=True)]))
+    ey = parts("ey")
+    cross = F.when(F.col("ey").isNotNull(), F.array(ex[1] * ey[2] - ex[2] * ey[1], ex[2] * ey[0] - ex[0] * ey[2], ex[0] * ey[1] - ex[1] * ey[0]))
+    return two.withColumn("ez", cross).select(*RESIDUE, F.col("__o.x").alias("x"), F.col("__o.y").alias("y"), F.col("__o.z").alias("z"), F.when(F.col("ey").isNotNull(), F.col("ex")).alias("ex"), "ey", "ez")

@@ -29,12 +29,6 @@ def resolution_rule(resolution: Column, method: Column, most: float) -> Column:
     return F.coalesce(resolution <= most, F.contains(F.upper(method), F.lit("NMR")), F.lit(False))
 
 
-def broken_chains(df: DataFrame, chain: str, order: list[str], gap: Column, most: float) -> DataFrame:
-    """For each chain its largest step and whether it is over ``most``. ``gap``: a column over ``lag`` made by the caller's window."""
-    w = Window.partitionBy(chain).orderBy(*order)
-    return df.withColumn("__gap", gap.over(w) if hasattr(gap, "over") else gap).groupBy(chain).agg(F.max("__gap").alias("max_gap")).withColumn("broken", F.coalesce(F.col("max_gap") > most, F.lit(False)))
-
-
 def identity_clusters(df: DataFrame, id_col: str, key: Column) -> DataFrame:
     """Rows with equal keys: ``representative`` (smallest id), ``size`` and ``cluster``, numbered by representative.
 
@@ -114,11 +108,6 @@ def profile(df: DataFrame, sequence: str) -> DataFrame:
     return counts.join(total, "pos").select("pos", "letter", "n", (F.col("n") / F.col("total")).alias("frequency"))
 
 
-def horizontal(df: DataFrame, row: str, parts: dict[str, Column], pad: str) -> DataFrame:
-    """One text of all parts for each row number; a missing part is ``pad``."""
-    return df.groupBy(row).agg(*(F.coalesce(F.max(c), F.lit(pad)).alias(k) for k, c in parts.items()))
-
-
 def expand_symmetry(points: DataFrame, operators: DataFrame) -> DataFrame:
     """Every point under every operator (``op``, ``r11``..``r33``, ``t1``..``t3``); the operators of an assembly are few and go out whole."""
     x, y, z = (F.col(c) for c in "xyz")

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -6,8 +6,10 @@ pointer into its labelled text (phrases x log2 of its length / characters), wins
 name.
 
 Texts are lower-cased, runs of other characters than letters and marks become one space, and the parse restarts
-every ``BLOCK`` characters. Thus all blocks of a batch advance together, one character at a step, through one flat
-transition table in which a missing transition holds the state of a new phrase that begins with the symbol, and a flag that counts it.
+every ``BLOCK`` characters. Thus all blocks of a batch advance together, one character at a step, through a flat transition
+table of each language in which a missing transition holds the state of a new phrase that begins with the symbol, and
+a flag that counts it. Each language keeps all code points of its labelled text: its most frequent ones are columns of
+the table, and transitions by the others are looked up in a sorted list. Only what its text lacks matches nothing.
 
 The model is fitted on a bounded sample of labelled rows: for each language the rows of the training fold with the
 smallest hash, at most ``DOCS`` rows and ``CHARS`` characters. Everything else reads every row.
@@ -34,7 +36,7 @@ from .session import fold, prepare, table
 
 #: Bounds of the labelled sample, for each language.
 DOCS, CHARS = 48, 32_000
-#: Symbols of all languages together; rarer ones match nothing.
+#: Symbols of a language with a column of the transition table; transitions by its rarer ones are in a sorted list.
 SYMBOLS = 127
 BLOCK = 512
 UNKNOWN = "und"
@@ -89,14 +91,74 @@ def automaton(sequence: list[int]) -> list[dict[int, int]]:
     return to
 
 
+@dataclass
+class Parser:
+    """One language's automaton.
+
+    ``table``: for state x width + symbol, twice the next state's row start, plus one where a phrase begins with the
+    symbol. ``keys`` and ``values``: the same for state x rare symbols + rare symbol, sorted, where there is such a
+    transition; ``begins`` has the phrases that begin with each rare symbol. ``symbol``: by place in the alphabet of
+    all languages + 1, a column of the table, or width + rare symbol, or 0 for what the text lacks.
+    """
+
+    symbol: np.ndarray
+    width: int
+    table: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
+    begins: np.ndarray
+
+    @classmethod
+    def fit(cls, text: np.ndarray, alphabet: np.ndarray) -> Parser:
+        code, count = np.unique(text[text > 0], return_counts=True)
+        code = code[np.lexsort((code, -count))]
+        width = min(len(code), SYMBOLS) + 1
+        symbol = np.zeros(len(alphabet) + 1, dtype=np.int64)
+        symbol[np.searchsorted(alphabet, code) + 1] = np.arange(1, len(code) + 1)
+        place = np.where(text > 0, np.searchsorted(alphabet, text) + 1, 0)
+        states = automaton(np.where(text > 0, symbol[place], -np.arange(1, len(text) + 1)).tolist())  # a symbol of its own that no text has
+        root, begins = np.full(width, 1, dtype=np.int64), np.zeros(len(code) + 1 - width, dtype=np.int64)
+        for c, q in states[0].items():
+            if c >= width:
+                begins[c - width] = 2 * q * width + 1
+            elif c > 0:
+                root[c] = 2 * q * width + 1
+        table = np.tile(root, (len(states), 1))  # the first state begins a phrase with any symbol
+        keys, values = [], []
+        for i, edges in enumerate(states[1:], 1):
+            for c, q in edges.items():
+                if c >= width:
+                    keys.append(i * len(begins) + c - width)
+                    values.append(2 * q * width)
+                elif c > 0:
+                    table[i, c] = 2 * q * width
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        kind = np.int32 if 2 * table.size < 2**31 else np.int64
+        return cls(symbol.astype(kind), width, table.ravel().astype(kind), np.array(keys, dtype=np.int64)[order], np.array(values, dtype=kind)[order], begins.astype(kind))
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        if not len(self.begins):
+            return self.table.take(state + symbol)
+        rare = np.flatnonzero(symbol >= self.width)
+        out = self.table.take(state + np.where(symbol < self.width, symbol, 0))
+        if len(rare):
+            which = symbol[rare] - self.width
+            found = self.begins[which]
+            if len(self.keys):
+                key = (state[rare] // self.width).astype(np.int64) * len(self.begins) + which
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                found = np.where(self.keys[at] == key, self.values[at], found)
+            out[rare] = found
+        return out
+
+
 @dataclass
 class LanguageModel:
-    """``table``: for state x width + symbol, twice the next state's row start, plus one where a phrase begins with the symbol."""
+    """``alphabet``: all code points of the labelled texts, sorted."""
 
     languages: list[str]
     alphabet: np.ndarray
-    table: np.ndarray
-    roots: list[int]
+    parsers: list[Parser]
     bits: np.ndarray
 
     @classmethod
@@ -113,30 +175,9 @@ class LanguageModel:
             texts[k] = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
         languages = [k for k in languages if len(texts[k])]
         if not languages:
-            return cls([], np.zeros(0, np.uint32), np.zeros(0, np.int32), [], np.zeros(0))
-        code, count = np.unique(np.concatenate([texts[k][texts[k] > 0] for k in languages]), return_counts=True)
-        alphabet = np.sort(code[np.lexsort((code, -count))][:SYMBOLS])
-        width = len(alphabet) + 1
-        tables, roots, start = [], [], 0
-        for k in languages:
-            place = np.searchsorted(alphabet, texts[k])
-            known = (place < len(alphabet)) & (alphabet[np.minimum(place, len(alphabet) - 1)] == texts[k])
-            symbols = np.where(known, place + 1, -np.arange(1, len(place) + 1))  # a symbol of its own that no text has
-            states = automaton(symbols.tolist())
-            root = np.full(width, 2 * start + 1, dtype=np.int64)
-            for c, q in states[0].items():
-                if c > 0:
-                    root[c] = 2 * (start + q * width) + 1
-            block = np.tile(root, (len(states), 1))  # the first state begins a phrase with any symbol
-            for i, edges in enumerate(states[1:], 1):
-                for c, q in edges.items():
-                    if c > 0:
-                        block[i, c] = 2 * (start + q * width)
-            tables.append(block.ravel())
-            roots.append(start)
-            start += block.size
-        flat = np.concatenate(tables)
-        return cls(languages, alphabet, flat.astype(np.int32 if 2 * start < 2**31 else np.int64), roots, np.array([math.log2(max(2, len(texts[k]))) for k in languages]))
+            return cls([], np.zeros(0, np.uint32), [], np.zeros(0))
+        alphabet = np.unique(np.concatenate([texts[k][texts[k] > 0] for k in languages]))
+        return cls(languages, alphabet, [Parser.fit(texts[k], alphabet) for k in languages], np.array([math.log2(max(2, len(texts[k]))) for k in languages]))
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by text and language, and characters by text."""
@@ -154,14 +195,15 @@ class LanguageModel:
         order = np.argsort(-length, kind="stable")
         owner, length, start = owner[order], length[order], start[order]
         place = np.minimum(np.searchsorted(self.alphabet, flat), len(self.alphabet) - 1)
-        symbol = np.where(self.alphabet[place] == flat, place + 1, 0).astype(self.table.dtype)
+        place = np.where(self.alphabet[place] == flat, place + 1, 0)
         active = np.searchsorted(-length, -np.arange(BLOCK), side="left")
-        for j, root in enumerate(self.roots):
-            state = np.full(len(owner), root, dtype=self.table.dtype)
-            count = np.zeros(len(owner), dtype=self.table.dtype)
+        for j, p in enumerate(self.parsers):
+            symbol = p.symbol.take(place)
+            state = np.zeros(len(owner), dtype=p.table.dtype)
+            count = np.zeros(len(owner), dtype=p.table.dtype)
             for t in range(int(length[0])):
                 k = active[t]
-                step = self.table.take(state[:k] + symbol.take(start[:k] + t))
+                step = p.step(state[:k], symbol.take(start[:k] + t))
                 count[:k] += step & 1
                 state[:k] = step >> 1
             out[:, j] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)

@@ -339,6 +339,20 @@ def test_phrases_match_plain_parse():
         assert row.tolist() == want
 
 
+def test_every_code_point_of_the_sample_counts():
+    """Scripts of hundreds of characters beside each other: each language's own ones match in it."""
+    rng = random.Random(12)
+    scripts = {"ja": range(0x3041, 0x3097), "ko": range(0xAC00, 0xAF00), "ru": range(0x430, 0x450), "zh": range(0x4E00, 0x5200)}
+    lexicon = {k: ["".join(chr(rng.choice(a)) for _ in range(rng.randint(1, 4))) for _ in range(600)] for k, a in scripts.items()}
+    samples = {k: [" ".join(rng.choice(v) for _ in range(300)) for _ in range(3)] for k, v in lexicon.items()}
+    model = op8.LanguageModel.fit(samples)
+    assert any(len(p.keys) for p in model.parsers) and len(model.alphabet) > 4 * op8.SYMBOLS
+    texts = [" ".join(rng.choice(lexicon[k]) for _ in range(n)) for k in lexicon for n in (1, 20, 200)] + [" ".join(rng.choice(rng.choice(list(lexicon.values()))) for _ in range(80)) + " Q9"]
+    for t, row in zip(texts, model.phrases(texts)[0], strict=True):
+        assert row.tolist() == [plain_phrases(t, samples[k]) for k in model.languages]
+    assert [p for p, _ in model.predict([t for t in texts[:-1] if len(t) > 4])] == [k for k in lexicon for _ in range(2)]
+
+
 def test_language_rows(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = op8.op8_language(spark, sf).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()

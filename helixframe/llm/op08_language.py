@@ -14,6 +14,13 @@ the table, and transitions by the others are looked up in a sorted list. Only wh
 The model is fitted on a bounded sample of labelled rows: for each language the rows of the training fold with the
 smallest hash, at most ``DOCS`` rows and ``CHARS`` characters. Everything else reads every row.
 
+``in_known_languages`` keeps the rows whose text is in a learned language. Its measure is the phrases completed, in the
+same normalisation (the last of a block isn't, so a text of one phrase costs nothing). For each language half of the
+labelled texts are parsed with the other half, both ways, as they are and with their letters shuffled; a text goes if in
+every language it costs more than a shuffled text (the median) and more than the dearest labelled one. Texts of several
+learned languages are within the bound. Texts with letters stay where too little was learned to tell: all of them while
+no language has a full sample (``DOCS`` texts or ``CHARS`` characters), and those nearest to a language with one text.
+
 Null texts and texts without a letter get ``und`` and score 0. With no labelled row at all, every text gets ``und``.
 Very long texts are parsed whole; repeated rows are predicted alike; an empty table gives an empty result.
 """
@@ -154,12 +161,13 @@ class Parser:
 
 @dataclass
 class LanguageModel:
-    """``alphabet``: all code points of the labelled texts, sorted."""
+    """``alphabet``: all code points of the labelled texts, sorted. ``bounds``: the most that a text in each language may cost."""
 
     languages: list[str]
     alphabet: np.ndarray
     parsers: list[Parser]
     bits: np.ndarray
+    bounds: np.ndarray | None = None
 
     @classmethod
     def fit(cls, samples: dict[str, list[str]], chars: int = CHARS) -> LanguageModel:
@@ -179,6 +187,39 @@ class LanguageModel:
         alphabet = np.unique(np.concatenate([texts[k][texts[k] > 0] for k in languages]))
         return cls(languages, alphabet, [Parser.fit(texts[k], alphabet) for k in languages], np.array([math.log2(max(2, len(texts[k]))) for k in languages]))
 
+    @classmethod
+    def bounded(cls, samples: dict[str, list[str]], docs: int = DOCS, chars: int = CHARS) -> LanguageModel:
+        model, rng = cls.fit(samples, chars), np.random.default_rng(0)
+        model.bounds = np.full(len(model.languages), np.inf)
+        if not any(len(v) >= docs or sum(len(normal(t)) for t in v) >= chars for v in samples.values()):
+            return model
+        halves = [{k: v[i::2] for k, v in samples.items()} for i in (0, 1)]
+        found: dict[str, list[np.ndarray]] = {k: [] for k in model.languages}
+        for learned, other in (halves, halves[::-1]):
+            half = cls.fit(learned, chars)
+            for j, k in enumerate(half.languages):
+                texts = [t for t in other[k] if len(normal(t))]
+                mixed = ["".join(map(chr, rng.permutation(normal(t)))) for t in texts]
+                found[k].append(np.stack([half.costs(x)[0][:, j] for x in (texts, mixed)]))
+        for j, costs in enumerate(found.values()):
+            if sum(c.shape[1] for c in costs):
+                own, mixed = np.concatenate(costs, axis=1)
+                model.bounds[j] = max(own.max(), np.median(mixed))
+        return model
+
+    def costs(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits a character of completed phrases by text and language, and characters by text."""
+        count, sizes = self.phrases(texts)
+        return (count - -(-sizes // BLOCK)[:, None]) * self.bits / np.maximum(sizes, 1)[:, None], sizes
+
+    def accepts(self, texts: list[str | None]) -> np.ndarray:
+        """Whether each text has a letter and is within the bound of a language, or its nearest language has none."""
+        cost, sizes = self.costs(texts)
+        if not self.languages:
+            return sizes > 0
+        near = np.isinf(self.bounds)[cost.argmin(axis=1)]
+        return (sizes > 0) & (near | ((cost <= self.bounds) & np.isfinite(self.bounds)).any(axis=1))
+
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by text and language, and characters by text."""
         codes = [normal(t) if t else np.zeros(0, np.uint32) for t in texts]
@@ -261,6 +302,21 @@ def predict_language(docs: DataFrame, train: DataFrame, id_col: str = "doc_id",
     return docs.select(F.col(text_col).alias("__text"), *(F.col(f"`{c}`") for c in keep)).mapInArrow(run, schema)
 
 
+def in_known_languages(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS, chars: int = CHARS) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language learned from the rows of ``train``."""
+    spark = prepare(docs.sparkSession)
+    shared = spark.sparkContext.broadcast(LanguageModel.bounded(labelled_sample(train, id_col, text_col, lang_col, docs_per_lang), docs_per_lang, chars))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).to_pylist()
+            for lo, hi in passes(texts):
+                yield batch.slice(lo, hi - lo).filter(pa.array(shared.value.accepts(texts[lo:hi])))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = predict_language(docs, docs.filter(fold("doc_id", 4) != 2))

@@ -51,6 +51,19 @@ def test_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == len(has)
 
 
+def test_language_stage_rejects_by_parsing(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rng = random.Random(3)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(n)) for n in (60, 300, 3000)]
+    foreign = ["Съешь ещё этих мягких французских булок, да выпей же чаю", "Powyższe zdanie zawiera wszystkie polskie litery i nie ma sensu", "山高月小水落石出曾日月之几何而江山不可复识矣"]
+    more = spark.createDataFrame([(10**6 + i, t, None, "s", 1) for i, t in enumerate([*noise, *foreign, "a", "123"])], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(more), sf).collect()}
+    assert {r.doc_id for r in docs.collect() if op8.normal(r.text or "").size} | {10**6 + 6} == kept
+    for unlabelled in (docs.withColumn("lang", F.lit(None).cast("string")), docs.withColumn("lang", F.when(op8.fold("doc_id", 4) == 2, F.col("lang")))):
+        kept = corpus_pipeline.language(spark, unlabelled.unionByName(more), sf)
+        assert kept.count() == docs.filter(F.col("text").rlike(r"\p{L}")).count() + 7
+
+
 def test_pipeline_on_empty_table(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")

@@ -64,6 +64,13 @@ def test_language_stage_rejects_by_parsing(spark, sf):
         assert kept.count() == docs.filter(F.col("text").rlike(r"\p{L}")).count() + 7
 
 
+def test_line_stage_on_small_sites(spark):
+    """A menu on all four documents of a site goes; a line on one document stays."""
+    rows = [(i, f"menu\nown line {i}", "en", "small", 0) for i in range(4)]
+    got = corpus_pipeline.lines(spark, spark.createDataFrame(rows, DOCS), "").orderBy("doc_id").collect()
+    assert [(r.text, r.n_chars) for r in got] == [(f"own line {i}", 10) for i in range(4)]
+
+
 def test_pipeline_on_empty_table(spark, folder, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")

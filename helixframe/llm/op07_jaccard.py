@@ -5,8 +5,8 @@ of two sets estimates their Jaccard similarity. In each run all sets start in on
 coordinates, the same for all sets in it, and sends every set to the child that its token there names. Children of
 one set vanish, small ones are brute-forced, and those beyond ``BLOCK`` sets split again while splitting shrinks
 them. What does not shrink is a group of similar sets: it is brute-forced too, in pairs of blocks that go to
-different tasks. A pair at the threshold survives a run with a probability that ``survival`` gives; the number of
-runs follows from the target recall.
+different tasks. A pair survives a run with a probability that ``survival`` gives for the share of its equal tokens;
+the number of runs follows from the target recall of pairs at the threshold, over all numbers of equal tokens.
 
 Texts with equal sets (copies above all) are one class from the start, and only its representative takes part.
 Brute force has two steps. The first, on sketches alone, keeps the sets that have a likely partner in a block pair;
@@ -47,8 +47,22 @@ def survival(similarity: float, depth: int) -> float:
     return p
 
 
+def least_equal(threshold: float) -> int:
+    """Equal tokens below which a pair isn't likely to be at the threshold."""
+    return math.floor(COORDINATES * threshold - 5 * math.sqrt(COORDINATES * threshold * (1 - threshold)))
+
+
+def recall_of(threshold: float, runs: int) -> float:
+    """That a pair at the threshold is found. All runs draw from one sketch, so they are independent only once its equal tokens are given, whose number is binomial."""
+    n, p = COORDINATES, threshold
+    return sum(math.comb(n, m) * p**m * (1 - p) ** (n - m) * (1 - (1 - survival(m / n, MOST_DEPTH)) ** runs) for m in range(max(0, least_equal(p)), n + 1))
+
+
 def runs_for(threshold: float, recall: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, MOST_DEPTH)))
+    for runs in range(1, 1000):
+        if recall_of(threshold, runs) >= recall:
+            return runs
+    raise ValueError(f"sketches of {COORDINATES} tokens give no recall of {recall} at {threshold}")
 
 
 def embedded(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -247,8 +261,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spread = other.select("path", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "a", "b").join(known, ["a", "b"])
     order = ["path", "i", "j"]
     columns = [*order, "block", "a", "b", "paths"]
-    least = math.floor(COORDINATES * threshold - 5 * math.sqrt(COORDINATES * threshold * (1 - threshold)))
-    likely = spread.select(*columns, "sketch").repartition(*order).sortWithinPartitions(*order).mapInArrow(_likely(least), "path long, i int, j int, block int, a long, b long, paths array<long>").checkpoint()
+    likely = spread.select(*columns, "sketch").repartition(*order).sortWithinPartitions(*order).mapInArrow(_likely(least_equal(threshold)), "path long, i int, j int, block int, a long, b long, paths array<long>").checkpoint()
     chosen = likely.select("a", "b").distinct().join(reps.select("a", "b", "weight", "who"), ["a", "b"])
     sets = whole_sets(docs, chosen.select("a", "b", "who.id", "who.h"), id_col, text_col, k)
     full = likely.join(sets, ["a", "b"]).join(chosen.select("a", "b", "weight"), ["a", "b"]).select(*columns, "weight", "shingles")

@@ -295,6 +295,16 @@ def test_join_finds_all_links_of_large_near_group(spark, monkeypatch):
     assert 1 - (1 - op7.survival(0.8, op7.MOST_DEPTH)) ** op7.runs_for(0.8, 0.9999) >= 0.9999
 
 
+def test_recall_of_runs_over_one_sketch():
+    """Drawn sketches, all runs over the same one, with the deepest nodes."""
+    rng = np.random.default_rng(5)
+    equal = rng.binomial(op7.COORDINATES, 0.8, 200_000)
+    missed = lambda runs: np.mean([(1 - op7.survival(m / op7.COORDINATES, op7.MOST_DEPTH)) ** runs for m in equal])
+    runs = op7.runs_for(0.8, 0.9999)
+    assert missed(runs) < 1e-4 < missed(runs - 1)
+    assert abs(1 - op7.recall_of(0.8, runs) - missed(runs)) < 2e-5
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(i, i + 1) for i in range(100, 140)] + [(7, 7)]

@@ -15,7 +15,8 @@ size is checked (``MAX_TEMPLATE_BYTES``) before their bands go into the plan.
 
 A row of the result is a text and a template with the largest containment over its windows and the word at which
 the first such window begins. Null and empty texts and texts of fewer than five words give none. Repeated rows (id
-and text) give one. A template of fewer than five words is refused. An empty table gives an empty result; columns
+and text) give one. A template of fewer than five words is refused by ``scan_licenses``; ``scan_notices`` takes it as one
+shingle of its own length, which a text holds or doesn't. An empty table gives an empty result; columns
 besides id and text are not read.
 """
 
@@ -52,6 +53,9 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: Notices of fewer than K words.
+SHORT = {"all-rights-reserved": "All rights reserved."}
+
 
 def words(text: Column) -> Column:
     """The letters, marks and digits of the lower-cased text, in runs."""
@@ -119,6 +123,30 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return best.select(F.col("__id").alias(id_col), "template", F.round("best.share", 6).alias("containment"), (-F.col("best.back")).alias("word"))
 
 
+def scan_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
+    """The rows of ``scan_licenses``, and the same for templates of fewer than K words, of which texts hold all words in order."""
+    spark = prepare(docs.sparkSession)
+    templates = TEMPLATES | SHORT if templates is None else templates
+    given = spark.createDataFrame(sorted(templates.items()), "template string, text string")
+    known = [r for r in given.select("template", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h")).collect() if len(r.h) < K]
+    if any(not r.h for r in known):
+        raise ValueError("a template has no words")
+    rest = {k: t for k, t in templates.items() if k not in {r.template for r in known}}
+    parts = [scan_licenses(docs, id_col, text_col, rest)] if rest or not known else []
+    if known:
+        hashed = docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(F.col(f"`{text_col}`")).alias("__text"), F.transform(words(F.col(f"`{text_col}`")), lambda x: F.xxhash64(x)).alias("__h"))
+        at = lambda h: F.filter(F.transform("__h", lambda x, i: F.when(F.slice("__h", i + 1, len(h)) == F.array(*map(F.lit, h)), i)) if len(h) > 1 else F.transform("__h", lambda x, i: F.when(x == h[0], i)), lambda i: i.isNotNull())
+        hits = [F.struct(F.lit(r.template).alias("template"), F.array_min(at(r.h)).cast("long").alias("word")) for r in known]
+        found = hashed.select("__id", "__text", F.explode(F.array(*hits)).alias("hit")).filter(F.col("hit.word").isNotNull())
+        first = found.groupBy("__id", "__text", F.col("hit.template").alias("template")).agg(F.min("hit.word").alias("word"))
+        parts.append(first.select(F.col("__id").alias(id_col), "template", F.lit(1.0).alias("containment"), "word"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def op4_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_notices(table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -139,5 +167,5 @@ FROM (SELECT *, max(share) OVER (PARTITION BY id, name, template) AS top FROM c)
 """
 
 
-QUERIES = {"op4_license_scan": op4_license_scan}
+QUERIES = {"op4_license_scan": op4_license_scan, "op4_license_notices": op4_license_notices}
 ORACLES = {"op4_license_scan": _sql()}

@@ -188,6 +188,19 @@ def test_license_scan_matches_brute_force(spark):
         op4.scan_licenses(docs, templates={"short": "all rights reserved"})
 
 
+def test_short_notices_are_found(spark, sf):
+    texts = ["All rights reserved.", "x y ALL rights, Reserved! all rights reserved", "all rights are reserved", "all rights", "", None, op4.TEMPLATES["mit-notice"] + " All rights reserved.", "all all rights reserved"]
+    docs = spark.createDataFrame([*enumerate(texts), (1, texts[1])], "doc_id long, text string")
+    got = sorted((r.doc_id, r.template, r.containment, r.word) for r in op4.scan_notices(docs).collect())
+    short = "all-rights-reserved"
+    assert got == [(0, short, 1.0, 0), (1, short, 1.0, 2), (6, short, 1.0, 5), (6, "mit-notice", 1.0, 0), (7, short, 1.0, 1)]
+    assert {r.doc_id for r in op4.scan_notices(docs, templates={"one": "rights"}).collect()} == {0, 1, 2, 3, 6, 7}
+    full = op4.op4_license_notices(spark, sf)
+    want = [r.doc_id for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if " all rights reserved " in f" {' '.join(words(r.text))} "]
+    assert sorted(r.doc_id for r in full.filter(F.col("template") == short).collect()) == sorted(want) and want
+    assert full.filter(F.col("template") != short).exceptAll(op4.op4_license_scan(spark, sf)).count() == 0
+
+
 # 5
 
 

@@ -82,6 +82,14 @@ def h03_side_by_side(spark, d: str) -> DataFrame:
     return A.side_by_side(msa(spark, d).filter("row < 4")).select("row", F.md5("sequence").alias("digest"))
 
 
+def h03_all_rows(spark, d: str) -> DataFrame:
+    """All rows of all alignments; without SQL, tested on a small table."""
+    return A.side_by_side(msa(spark, d)).select("row", F.md5("sequence").alias("digest"))
+
+
+QUERIES["h03_all_rows"] = h03_all_rows
+
+
 @query(f"WITH {MSA_SQL}, u AS (SELECT *, CASE WHEN \"row\" = 0 THEN -1.0 ELSE {HASH_SQL.format("msa || '|' || \"row\"", 5)} END AS u FROM m) SELECT msa, \"row\" FROM (SELECT *, row_number() OVER (PARTITION BY msa ORDER BY u, \"row\") AS k FROM u) WHERE k <= 6")
 def i08_subsampled(spark, d: str) -> DataFrame:
     return A.subsampled(msa(spark, d), 6, 5).select("msa", "row")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import duckdb
@@ -79,6 +80,15 @@ def test_components(spark, tmp_path):
     assert {(r.residue, r.ref_x, r.origin) for r in C.reference_conformers(seen, C.conformers(known)).collect()} == {("X", 5.0, "ideal"), ("Z", 0.0, "observed")}
 
 
+def test_side_by_side_stacks_all_rows(spark, tmp_path):
+    parts = [(i, f"Brand#{i % 7}", 1 + (i % 10 == 0), "n") for i in range(60)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_size int, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    rows = {k: [b.translate(str.maketrans("#2", "--")) for _, b, s, _ in parts if s == k] for k in (1, 2)}
+    want = {i: "".join(rows[k][i] if i < len(rows[k]) else "-" * 7 for k in (1, 2)) for i in range(54)}
+    got = {r.row: r.digest for r in registry.queries()["h03_all_rows"](spark, str(tmp_path)).collect()}
+    assert got == {i: hashlib.md5(s.encode()).hexdigest() for i, s in want.items()}
+
+
 def test_search_without_programs_gives_the_query(spark):
     df = spark.createDataFrame([(1, "ACGU")], "id int, sequence string")
     row = search.searched(df, lambda q, o, n: ["no-such-program", q, o]).first()

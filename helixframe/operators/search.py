@@ -55,6 +55,14 @@ def hmmsearch(model: str, database: str, alignment: str, scores: str, cpus: int
     return ["hmmsearch", "--noali", "--F1", "0.1", "--F2", "0.1", "--F3", "0.1", "-E", "100", "--incE", "100", "-Z", "10000", "--cpu", str(cpus), "-A", alignment, "--tblout", scores, model, database]
 
 
+def hmmbuild_rna(query: str, output: str) -> list[str]:
+    return ["hmmbuild", "--rna", output, query]
+
+
+def hmmalign(model: str, sequences: str, output: str) -> list[str]:
+    return ["hmmalign", "--rna", "--outformat", "Stockholm", "-o", output, model, sequences]
+
+
 def mmseqs(fasta: str, output: str, scratch: str, identity: float = 0.4, coverage: float = 0.8, mode: int = 1) -> list[str]:
     return ["mmseqs", "easy-cluster", fasta, output, scratch, "--min-seq-id", str(identity), "-c", str(coverage), "--cov-mode", str(mode)]
 
@@ -87,3 +95,42 @@ def searched(queries: DataFrame, command: Callable[[str, str, int], list[str]],
             yield pd.DataFrame(rows, columns=["id", "found", "output", "error"])
 
     return queries.selectExpr("cast(id as string) id", "sequence").mapInPandas(run, "id string, found boolean, output string, error string")
+
+
+def realigned(alignments: DataFrame, model: str | None = None, build: Callable[[str, str], list[str]] = hmmbuild_rna, align: Callable[[str, str, str], list[str]] = hmmalign, timeout: int = 3600) -> DataFrame:
+    """``id, realigned, output, error`` for rows ``id, names, sequences`` (the query first): Stockholm text of the ungapped sequences aligned to a model of the query, or to ``model``.
+
+    ``output`` is the given alignment as FASTA where it has one sequence, a program is missing or fails. A ``model`` that doesn't exist is an error.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if model is not None and not Path(model).exists():
+            raise FileNotFoundError(model)
+        for b in batches:
+            rows = []
+            for id_, names, sequences in zip(b["id"], b["names"], b["sequences"], strict=True):
+                bare = [s.replace("-", "").replace(".", "") for s in sequences]
+                error, output = None, "".join(f">{n}\n{s}\n" for n, s in zip(names, sequences, strict=True))
+                good = False
+                if len(sequences) > 1:
+                    with tempfile.TemporaryDirectory() as d:
+                        q, h, s, o = (str(Path(d, x)) for x in ("query.fasta", "query.hmm", "sequences.fasta", "aligned.sto"))
+                        Path(q).write_text(f">query\n{bare[0]}\n")
+                        Path(s).write_text("".join(f">{n}\n{x}\n" for n, x in zip(names, bare, strict=True)))
+                        for args in ([] if model else [build(q, h)]) + [align(model or h, s, o)]:
+                            if shutil.which(args[0]) is None:
+                                error = f"{args[0]} is not installed"
+                            else:
+                                try:
+                                    done = subprocess.run(args, capture_output=True, text=True, timeout=timeout)  # noqa: S603
+                                    error = (done.stderr[-1000:] or f"{args[0]} failed") if done.returncode else None
+                                except subprocess.TimeoutExpired:
+                                    error = f"{args[0]} took over {timeout} s"
+                            if error is not None:
+                                break
+                        good = error is None and Path(o).exists()
+                        output = Path(o).read_text() if good else output
+                rows.append((str(id_), good, output, error))
+            yield pd.DataFrame(rows, columns=["id", "realigned", "output", "error"])
+
+    return alignments.selectExpr("cast(id as string) id", "names", "sequences").mapInPandas(run, "id string, realigned boolean, output string, error string")

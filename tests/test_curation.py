@@ -89,6 +89,22 @@ def test_side_by_side_stacks_all_rows(spark, tmp_path):
     assert got == {i: hashlib.md5(s.encode()).hexdigest() for i, s in want.items()}
 
 
+def test_realigned_or_as_given(spark, tmp_path):
+    df = spark.createDataFrame([("a", ["q", "h"], ["AC-GU", "A-.GU"]), ("b", ["q"], ["A-C"])], "id string, names array<string>, sequences array<string>")
+    given = {"a": ">q\nAC-GU\n>h\nA-.GU\n", "b": ">q\nA-C\n"}
+    copy = {"build": lambda q, h: ["cp", q, h], "align": lambda h, s, o: ["cp", s, o]}
+    got = {r.id: r for r in search.realigned(df, **copy).collect()}
+    assert got["a"].realigned and got["a"].output == ">q\nACGU\n>h\nAGU\n" and not got["b"].realigned and got["b"].output == given["b"]
+    for x in ({"build": lambda q, h: ["no-such-program"]}, {"align": lambda h, s, o: ["false"]}):
+        r = search.realigned(df, **(copy | x)).filter("id = 'a'").first()
+        assert not r.realigned and r.output == given["a"] and r.error
+    (tmp_path / "rna.hmm").write_text("model")
+    r = search.realigned(df, model=str(tmp_path / "rna.hmm"), align=lambda h, s, o: ["cp", h, o]).filter("id = 'a'").first()
+    assert r.output == "model" and search.hmmalign("m", "s", "o")[-2:] == ["m", "s"]
+    with pytest.raises(Exception, match="none.hmm"):
+        search.realigned(df, model=str(tmp_path / "none.hmm")).collect()
+
+
 def test_search_without_programs_gives_the_query(spark):
     df = spark.createDataFrame([(1, "ACGU")], "id int, sequence string")
     row = search.searched(df, lambda q, o, n: ["no-such-program", q, o]).first()

@@ -230,6 +230,17 @@ def e04_clash_fraction(spark, d: str) -> DataFrame:
     return a.join(hit.withColumn("hit", F.lit(1)), "vec_id", "left").agg(F.count("hit").alias("near"), F.count("*").alias("n"))
 
 
+@query(f"WITH {POINTS} SELECT label, other, count(*) FILTER (m <= 0.05::DOUBLE) AS near, count(*) AS n FROM (SELECT a.label, b.label AS other, a.vec_id, min({DIST}) AS m FROM p a JOIN p b ON a.label <> b.label GROUP BY 1, 2, 3) GROUP BY 1, 2")
+def e04_all_clash_fractions(spark, d: str) -> DataFrame:
+    """For all ordered pairs of chains."""
+    p = points(spark, d)
+    sizes = p.groupBy("label").agg(F.count("*").alias("n"))
+    pairs = sizes.join(sizes.select(F.col("label").alias("other")), F.col("label") != F.col("other"))
+    hit = spatial.within(p, p, 0.05).filter("a_label <> b_label").select(F.col("a_label").alias("label"), F.col("b_label").alias("other"), "a_vec_id").distinct()
+    near = hit.groupBy("label", "other").agg(F.count("*").alias("near"))
+    return pairs.join(near, ["label", "other"], "left").select("label", "other", F.coalesce("near", F.lit(0)).cast("long").alias("near"), "n")
+
+
 @query(f"WITH {POINTS} SELECT a.label, round(sum((b.x - a.x) / greatest({DIST}, 1e-8::DOUBLE)), 5) AS sx, count(*) AS n FROM p a JOIN p b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1")
 def l08_unit_vectors(spark, d: str) -> DataFrame:
     """Unit vectors between the points of a chain, summed (each pair once)."""

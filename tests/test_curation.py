@@ -105,6 +105,15 @@ def test_realigned_or_as_given(spark, tmp_path):
         search.realigned(df, model=str(tmp_path / "none.hmm")).collect()
 
 
+def test_clash_fractions_cover_all_label_pairs(spark, sf):
+    got = {(r.label, r.other): (r.near, r.n) for r in registry.queries()["e04_all_clash_fractions"](spark, sf).collect()}
+    one = registry.queries()["e04_clash_fraction"](spark, sf).first()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
+    assert got == {(a, b): (near, n) for a, b, near, n in con.execute(registry.oracles()["e04_all_clash_fractions"]).fetchall()}
+    assert len(got) == 90 and got[0, 1] == (one.near, one.n)
+
+
 def test_search_without_programs_gives_the_query(spark):
     df = spark.createDataFrame([(1, "ACGU")], "id int, sequence string")
     row = search.searched(df, lambda q, o, n: ["no-such-program", q, o]).first()

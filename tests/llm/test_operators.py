@@ -445,3 +445,34 @@ def test_pieces_match_library(spark):
         assert r.ids == want and r.n_tokens == len(want) and r.decoded == sp.decode(want)
         assert r.ids_sha256 == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest() and r.decoded_sha256 == hashlib.sha256(sp.decode(want).encode()).hexdigest()
     assert op10.encode_pieces(df.limit(0)).count() == 0
+
+
+def test_shared_agenda_takes_pairs_in_order(monkeypatch):
+    """Against one entry at a time, also over a vocabulary with pieces cut out, where a merge may make a better pair than its own."""
+    rng = random.Random(21)
+    codec = op10.PieceCodec(op10.model_path(), "none")
+    pieces = [p for p in codec.id if 1 < len(p) < 12 and op10.SPACE not in p]
+    chunks = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 5))) for _ in range(3000)] + ["a" * n for n in range(1, 40)] + ["ab" * 4000, "漢🙂x" * 50, "é" * 999, op10.SPACE * 77, "\n"]
+    assert codec.agendas(chunks) == [op10.little(codec.agenda(c)) for c in chunks]
+    assert codec.agendas([]) == []
+    for keep in (0.9, 0.5):
+        codec.id = {p: i for p, i in codec.id.items() if len(p) == 1 or rng.random() < keep}
+        codec.rank = {p: codec.rank[p] // 3 for p in codec.id}  # and many ties
+        codec._learn()
+        want = [op10.little(codec.agenda(c)) for c in chunks]
+        alone = []
+        with monkeypatch.context() as m:
+            m.setattr(op10.PieceCodec, "agenda", lambda self, c, one=op10.PieceCodec.agenda: alone.append(c) or one(self, c))
+            assert codec.agendas(chunks) == want
+        assert 0 < len(alone) < len(chunks)
+
+
+def test_passes_hold_all_rows():
+    import pyarrow as pa
+
+    texts = ["a" * 7, None, "", "b" * 30, "c", "d" * 4, "e" * 11]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(lo, hi), pa.int64()), pa.array(texts[lo:hi], pa.string())], names=["id", "t"]) for lo, hi in ((0, 2), (2, 2), (2, 6), (6, 7))]
+    for most in (1, 8, 16, 10**6):
+        got = [(i.to_pylist(), t) for i, t in op10.joined(iter(batches), most)]
+        assert [x for i, _ in got for x in i] == list(range(7)) and [x for _, t in got for x in t] == [t or "" for t in texts]
+        assert all(sum(map(len, t)) <= most or sum(map(bool, t)) == 1 for _, t in got)

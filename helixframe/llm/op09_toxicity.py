@@ -2,14 +2,16 @@
 
 A text's logit is a bias plus a weight for each of its distinct words; a word's weight is the sum over its features
 (the word itself and its character n-grams with marked ends, hashed). Features are scaled by their smoothed log-count
-ratio between the classes, and the weights are fitted by accelerated gradient descent on the logistic loss with an
-L2 penalty. For each occurrence of an identity term in a labelled sentence the term is swapped for every other term
-of its group, and the squared change of the score is penalised, so that a neutral mention of a group does not move
-the score.
+ratio between the classes (those under ``LEAST`` are left out), and the weights are fitted by accelerated gradient descent on the logistic loss with an
+L2 penalty. Identity terms stand in groups, each with a word that names nobody in particular (``people``). For each
+mention of a term in a labelled sentence the term is swapped for every other term of its groups, and besides each term is planted
+once in a sentence and swapped so, for groups that the labelled text never names. The squared change of the score is
+penalised, so that a neutral mention of a group neither moves the score nor differs from that of another. The groups are a
+parameter; ``ToxicityModel.mentions`` and ``swaps`` say how many were found, and ``fit_toxicity`` logs them.
 
 The fit uses a bounded sample of the labelled rows: of each class the ``POSITIVE`` and ``NEGATIVE`` rows of the
-training folds with the smallest id hash. The classes' prior comes from all labels of these folds, and every row is
-scored over its whole text.
+training folds with the smallest id hash, without those whose whole text would bring the class over ``CHARS`` characters.
+The classes' prior comes from all labels of these folds, and every row is scored over its whole text.
 
 Null and empty texts, and texts without words, score by the bias alone. If the labels hold one class only, or none,
 every text has that class's share (or 0) as its score. A repeated id counts once, toxic if any of its labels is.
@@ -18,6 +20,7 @@ Repeated rows score alike; an empty table gives an empty result; extra columns a
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,17 +32,18 @@ from pyspark.sql import functions as F
 from .kernels import U, hash_spans, mix, passes, word_spans
 from .session import fold, prepare, table
 
-POSITIVE, NEGATIVE = 3072, 6144
-#: Buckets of hashed features, n-gram lengths, and characters of a word that n-grams are taken from.
-WIDTH, GRAMS = 1 << 20, (4, 5)
+POSITIVE, NEGATIVE, CHARS = 2048, 4096, 4_000_000
+#: Buckets of hashed features, n-gram lengths, and the least log-count ratio of a feature.
+WIDTH, GRAMS, LEAST = 1 << 20, (4, 5), 0.1
 L2, COUNTERFACTUAL, STEPS = 1e-3, 1.0, 120
-#: Groups of terms that may stand for each other in a sentence.
+#: Groups of terms that may stand for each other in a sentence; the first of each names nobody in particular.
 IDENTITY = (
-    ("women", "men", "girls", "boys"), ("woman", "man", "girl", "boy"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"), ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
-    ("gay", "lesbian", "bisexual", "straight", "transgender"), ("black", "white", "asian", "latino", "african"),
-    ("immigrants", "refugees", "foreigners", "natives"), ("disabled", "blind", "deaf"), ("old", "young", "elderly"),
-    ("frauen", "männer"), ("muslime", "christen", "juden"), ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"), ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"),
+    ("people", "women", "men", "girls", "boys"), ("person", "woman", "man", "girl", "boy"),
+    ("people", "muslims", "christians", "jews", "hindus", "buddhists", "atheists"), ("religious", "muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
+    ("single", "gay", "lesbian", "bisexual", "straight", "transgender"), ("local", "black", "white", "asian", "latino", "african"),
+    ("people", "immigrants", "refugees", "foreigners", "natives"), ("able", "disabled", "blind", "deaf"), ("adult", "old", "young", "elderly"),
+    ("leute", "frauen", "männer"), ("leute", "muslime", "christen", "juden"), ("gens", "femmes", "hommes"), ("gens", "musulmans", "chrétiens", "juifs"),
+    ("gente", "mujeres", "hombres"), ("gente", "musulmanes", "cristianos", "judíos"),
 )
 
 
@@ -101,16 +105,22 @@ def gathered(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums over consecutive runs, empty runs included."""
-    total = np.zeros(len(values) + 1)
-    np.cumsum(values, out=total[1:])
-    return total[starts[1:]] - total[starts[:-1]]
+    out = np.zeros(len(starts) - 1)
+    full = np.flatnonzero(np.diff(starts))
+    if len(full):
+        out[full] = np.add.reduceat(values, starts[full], dtype=np.float64)
+    return out
 
 
 @dataclass
 class ToxicityModel:
+    """``mentions``: identity terms in the labelled sentences. ``swaps``: pairs whose change of score was penalised."""
+
     weights: np.ndarray
     bias: float
     constant: float | None = None
+    mentions: int = 0
+    swaps: int = 0
 
     @classmethod
     def fit(cls, texts: list[str | None], toxic: list[int], prior: float, counterfactual: float = COUNTERFACTUAL, identity=IDENTITY, l2: float = L2, steps: int = STEPS) -> ToxicityModel:
@@ -130,24 +140,34 @@ class ToxicityModel:
 
         pos, neg = spread(y), spread(1 - y)
         ratio = np.log((pos + 1) / (y.sum() + 1)) - np.log((neg + 1) / ((1 - y).sum() + 1))
-        ratio[(pos + neg) < 2] = 0
-        old, new = cls._swaps(texts, identity, hashes)
-        scaled = ratio[features].astype(np.float32)
+        ratio[(pos + neg < 2) | (np.abs(ratio) < LEAST)] = 0
+        used = np.flatnonzero(ratio)
+        kept = ratio[features] != 0
+        begin = np.concatenate(([0], np.cumsum(kept)))[begin]
+        features, word_of = np.searchsorted(used, features[kept]).astype(np.int32), word_of[kept]
+        mentions, old, new = cls._swaps(texts, identity, hashes)
+        by_feature = ratio[used]
+        scaled = by_feature[features].astype(np.float32)
+        # The same links in order of the features, for sums without a histogram.
+        order = np.argsort(features, kind="stable")
+        word_by_feature, feature_begin = word_of[order], np.searchsorted(features[order], np.arange(len(used) + 1))
+        order = np.argsort(words, kind="stable")
+        text_by_word, text_begin = owner[order], np.searchsorted(words[order], np.arange(m + 1))
 
         def forward(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             by_word = sums(scaled * v.astype(np.float32)[features], begin)
             return by_word, sums(by_word[words], first)
 
         def back(by_text: np.ndarray, by_word: np.ndarray | float = 0.0) -> np.ndarray:
-            w = np.bincount(words, weights=by_text[owner], minlength=m) + by_word
-            return ratio * np.bincount(features, weights=w[word_of], minlength=WIDTH)
+            w = sums(by_text[text_by_word], text_begin) + by_word
+            return by_feature * sums(w[word_by_feature], feature_begin)
 
         def swapped(by_word: np.ndarray) -> np.ndarray:
             d = (by_word[new] - by_word[old]) * (counterfactual / max(1, len(old)))
             return np.bincount(new, weights=d, minlength=m) - np.bincount(old, weights=d, minlength=m)
 
         each = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())  # both classes weigh the same
-        v = np.random.default_rng(0).standard_normal(WIDTH) * (ratio != 0)
+        v = np.random.default_rng(0).standard_normal(len(used))
         top = 1.0
         for _ in range(12):
             v /= np.linalg.norm(v) or 1.0
@@ -155,7 +175,7 @@ class ToxicityModel:
             v = back(0.25 * each * z, swapped(w))
             top = max(np.linalg.norm(v), 1e-9)
         step = 1 / (1.2 * top + l2 + 0.25)
-        v, b = np.zeros(WIDTH), 0.0
+        v, b = np.zeros(len(used)), 0.0
         ahead, ahead_b, t = v, b, 1.0
         for _ in range(steps):
             w, z = forward(ahead)
@@ -167,7 +187,9 @@ class ToxicityModel:
             v, b, t = v2, b2, t2
         prior = min(max(prior, 1e-6), 1 - 1e-6)
         slope, bias = cls._calibrated(forward(v)[1] + b, y, np.where(y > 0, prior / y.sum(), (1 - prior) / (1 - y).sum()))
-        return cls((v * ratio * slope).astype(np.float32), float(b * slope + bias))
+        weights = np.zeros(WIDTH, dtype=np.float32)
+        weights[used] = v * by_feature * slope
+        return cls(weights, float(b * slope + bias), None, mentions, len(old))
 
     @staticmethod
     def _calibrated(z: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
@@ -183,23 +205,29 @@ class ToxicityModel:
         return max(float(a[0]), 0.05), float(a[1])
 
     @staticmethod
-    def _swaps(texts: list[str | None], identity, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of the terms that stand in the sentences and of those put in their place."""
+    def _swaps(texts: list[str | None], identity, hashes: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        """How many mentions there are, and word numbers of the terms that stand in the sentences (or are planted) and of those put in their place."""
         numbers = {}
         for g in identity:
             for w in g:
                 codes, starts, lengths, _ = word_spans([w])
                 numbers[w] = int(np.searchsorted(hashes, hash_spans(codes, starts, lengths)[0]))
-        group = {numbers[w]: [numbers[x] for x in g if x != w] for g in identity for w in g}
-        old, new = [], []
+        others: dict[int, set[int]] = {}
+        for g in identity:
+            for w in g:
+                others.setdefault(numbers[w], set()).update(numbers[x] for x in g if x != w)
+        count = dict.fromkeys(others, 1)  # one planted mention each
+        mentions = 0
         for lo, hi in passes(texts):
             codes, starts, lengths, _ = word_spans(texts[lo:hi])
             place = np.searchsorted(hashes, hash_spans(codes, starts, lengths))
-            found, count = np.unique(place[np.isin(place, list(group))], return_counts=True)
-            for a, c in zip(found.tolist(), count.tolist(), strict=True):
-                old += [a] * (c * len(group[a]))
-                new += group[a] * c
-        return np.array(old, dtype=np.int64), np.array(new, dtype=np.int64)
+            found, times = np.unique(place[np.isin(place, list(others))], return_counts=True)
+            for a, c in zip(found.tolist(), times.tolist(), strict=True):
+                count[a] += c
+                mentions += c
+        old = [a for a, c in count.items() for _ in range(c * len(others[a]))]
+        new = [b for a, c in count.items() for b in sorted(others[a]) * c]
+        return mentions, np.array(old, dtype=np.int64), np.array(new, dtype=np.int64)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.constant is not None:
@@ -209,16 +237,26 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(sums(by_word[words], first) + self.bias, -40, 40)))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positive: int = POSITIVE, negative: int = NEGATIVE) -> ToxicityModel:
-    """From the rows of ``docs`` that ``labels`` marks; the samples' bounds are ``positive`` and ``negative``."""
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positive: int = POSITIVE, negative: int = NEGATIVE, chars: int = CHARS, **settings
+) -> ToxicityModel:
+    """From the rows of ``docs`` that ``labels`` marks; the sample's bounds are ``positive``, ``negative`` and ``chars``. ``settings`` go to ``ToxicityModel.fit``."""
     marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("__y"))
     count = dict(marks.groupBy("__y").count().collect())
     order = [F.xxhash64(F.col("__id").cast("string")), F.col("__id")]
     chosen = [marks.filter(F.col("__y") == k).orderBy(*order).limit(n) for k, n in ((1, positive), (0, negative))]
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(chosen[0].unionByName(chosen[1]), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text")).collect()
-    rows.sort(key=lambda r: r[0])
-    prior = count.get(1, 0) / max(1, sum(count.values()))
-    return ToxicityModel.fit([r["__text"] for r in rows], [r["__y"] for r in rows], prior)
+    given = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).filter(F.col("__id").isNotNull())
+    rows = given.join(F.broadcast(chosen[0].unionByName(chosen[1])), "__id").groupBy("__id", "__y").agg(F.min("__text").alias("__text")).orderBy(*order)
+    texts, toxic, size = [], [], [0, 0]
+    for r in rows.toLocalIterator():
+        n = len(r["__text"] or "")
+        if size[r["__y"]] + n <= chars:
+            size[r["__y"]] += n
+            texts.append(r["__text"])
+            toxic.append(r["__y"])
+    model = ToxicityModel.fit(texts, toxic, count.get(1, 0) / max(1, sum(count.values())), **settings)
+    logging.getLogger(__name__).info("%d labelled texts of %d characters, %d mentions of identity terms, %d swaps", len(texts), sum(size), model.mentions, model.swaps)
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,7 +271,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], names=[id_col, "score", "predicted"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

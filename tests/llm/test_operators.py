@@ -336,30 +336,54 @@ def test_components(spark):
 
 
 def plain_phrases(text: str, samples: list[str]) -> int:
-    """Greedy longest phrases that occur in a sample, block by block."""
-    code = "".join(map(chr, op8.normal(text)))
-    known = ["".join(map(chr, op8.normal(s))) for s in samples]
-    count = 0
-    for lo in range(0, len(code), op8.BLOCK):
-        rest = code[lo : lo + op8.BLOCK]
-        while rest:
-            n = 1
-            while n <= len(rest) and any(rest[:n] in k for k in known):
-                n += 1
-            rest = rest[max(1, n - 1) :]
-            count += 1
+    """Greedy longest phrases that occur in a sample, over the whole text."""
+    code = "".join(map(chr, op8.readable(text)))
+    known = ["".join(map(chr, op8.readable(s))) for s in samples]
+    count = at = 0
+    while at < len(code):
+        n = 1
+        while at + n <= len(code) and any(code[at : at + n] in k for k in known):
+            n += 1
+        at += max(1, n - 1)
+        count += 1
     return count
 
 
 def test_phrases_match_plain_parse():
     rng = random.Random(8)
     samples = {k: ["".join(rng.choice(a) for _ in range(300)) for _ in range(2)] for k, a in {"x": "abcd  e", "y": "cdefg h", "z": "éüñ abc"}.items()}
+    samples["z"].append("ab" * 700)
     model = op8.LanguageModel.fit(samples)
-    texts = ["".join(rng.choice("abcdefgh éüñ Q9") for _ in range(n)) for n in (1, 5, 100, 700, 1600)] + ["", None, "123 !!"]
+    texts = ["".join(rng.choice("abcdefgh éüñ Q9") for _ in range(n)) for n in (1, 5, 100, 700, 1600)] + ["", None, "123 !!", "❤️ 12", "é" * 600]
+    texts += ["ab" * 5000, "c" + "ab" * 2900 + samples["z"][0], "".join(samples["x"]) * 3, samples["y"][1][:512] * 4]  # phrases across many blocks, and parses that never meet
     got, sizes = model.phrases(texts)
     for t, row, n in zip(texts, got, sizes, strict=True):
         want = [plain_phrases(t, samples[k]) if n else 0 for k in model.languages]
         assert row.tolist() == want
+    assert [p for p, _ in model.predict(["❤️", "\u0301", "123 !!", "", None])] == ["und"] * 5
+
+
+def test_phrases_of_the_table_match_plain_parse(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    samples = {k: [t[:1500] for t in v[:6]] for k, v in op8.labelled_sample(docs, "doc_id", "text", "lang").items()}
+    model = op8.LanguageModel.fit(samples)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(40).collect()]
+    texts.append(" ".join(texts)[:9000])
+    for t, row in zip(texts, model.phrases(texts)[0], strict=True):
+        assert row.tolist() == [plain_phrases(t, samples[k]) for k in model.languages]
+
+
+def test_many_languages_fit_the_bound(monkeypatch):
+    rng = random.Random(2)
+    lexicon = {f"l{k}": ["".join(rng.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(60)] for k in range(30)}
+    samples = {k: [" ".join(rng.choice(v) for _ in range(200)) for _ in range(3)] for k, v in lexicon.items()}
+    samples["marks"] = ["\u0301 \u0302", "123"]
+    monkeypatch.setattr(op8, "MODEL_BYTES", 4 << 20)
+    monkeypatch.setattr(op8, "TOGETHER", 7)
+    model = op8.LanguageModel.fit(samples)
+    assert len(model.languages) == 30 and sum(p.table.nbytes for p in model.parsers) <= 4 << 20
+    texts = [" ".join(rng.choice(v) for _ in range(60)) for v in lexicon.values()]
+    assert np.mean([p == k for k, (p, _) in zip(lexicon, model.predict(texts), strict=True)]) > 0.9
 
 
 def test_every_code_point_of_the_sample_counts():
@@ -386,6 +410,8 @@ def test_language_rows(spark, sf):
     assert {r.text: r.p for r in seen.collect() if not op8.normal(r.text or "").size} == {"": "und", None: "und", "§ $ ---": "und"}
     assert seen.count() == len(rows)
     assert {r.lang_pred for r in op8.predict_language(df, df.limit(0)).collect()} == {"und"}
+    with pytest.raises(ValueError, match="output's name"):
+        op8.predict_language(df, df, keep=df.columns)
     assert op8.predict_language(df.limit(0), df).count() == 0
 
 
@@ -476,3 +502,38 @@ def test_passes_hold_all_rows():
         got = [(i.to_pylist(), t) for i, t in op10.joined(iter(batches), most)]
         assert [x for i, _ in got for x in i] == list(range(7)) and [x for _, t in got for x in t] == [t or "" for t in texts]
         assert all(sum(map(len, t)) <= most or sum(map(bool, t)) == 1 for _, t in got)
+
+
+def test_toxicity_tables_with_neutral_mentions(spark, tmp_path):
+    """A group is named in most toxic rows and in few others: neutral mentions of it, and of groups never named, stay clean."""
+    rng = random.Random(14)
+    rows, labels, neutral = [], [], set()
+    for i in range(900):
+        w = [f"n{rng.randrange(400)}" for _ in range(25)]
+        bad = i % 5 == 0
+        if bad:
+            w[3] = rng.choice(["scumword", "vileword", "nastyword"])
+            w[7] = "muslims" if i % 20 else w[7]
+        elif i % 6 == 1:
+            w[7] = rng.choice(["muslims", "christians", "lesbian"])
+            neutral.add(i)
+        rows.append((i, " ".join(w), "en", "s", 1))
+        labels.append((i, 1, int(bad)))
+    rows.append((900, "x " * 5000, "en", "s", 1))
+    labels.append((900, 1, 0))
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, marks = (spark.read.parquet(f"{tmp_path}/{n}.parquet") for n in ("documents", "labels"))
+    train = marks.filter(op9.fold("doc_id", 5) != 0)
+    fair, plain = (op9.fit_toxicity(docs, train, counterfactual=c, chars=c_max) for c, c_max in ((op9.COUNTERFACTUAL, 100_000), (0.0, 100_000)))
+    named = sum(t.split().count(x) for i, t, *_ in rows for x in ("muslims", "christians", "lesbian") if zlib.crc32(str(i).encode()) % 5)
+    assert fair.mentions == named and fair.swaps > 5 * named
+    logit = lambda m, t: float(np.log(m.score([t])[0] / (1 - m.score([t])[0])))
+    gaps = [[logit(m, "n1 " + a) - logit(m, "n1 " + g[0]) for g in op9.IDENTITY for a in g[1:]] for m in (fair, plain)]
+    assert max(gaps[0]) < 0.25 * max(gaps[1])
+    held = [r for r in op9.op9_toxicity(spark, str(tmp_path)).collect() if r.held_out]
+    assert all(r.predicted == (r.doc_id % 5 == 0 and r.doc_id < 900) for r in held) and any(r.doc_id in neutral for r in held)
+    score = {i: m.score([rows[i][1] for i in sorted(neutral)]).mean() for i, m in enumerate((fair, plain))}
+    assert score[0] < score[1]
+    tiny = op9.fit_toxicity(docs, train, chars=2000)  # no row of the sample is cut, those beyond the bound are left out
+    assert tiny.score([rows[0][1]])[0] > tiny.score([rows[1][1]])[0]

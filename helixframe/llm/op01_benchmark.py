@@ -7,17 +7,19 @@ that depends on nothing but the threshold. The number of one-row bands follows f
 minima are taken over blocks of ``2m`` shingles and shared by the two windows over a block; the hash of a shingle is
 shared by all classes. Candidates are verified by the exact share of an item's shingles that the whole document has.
 
-Items go to the workers in blocks of at most ``ITEM_BYTES``; a larger benchmark takes a pass for each block, and
-nothing that grows with the documents is collected or shuffled.
+Items are read in blocks of at most ``ITEM_BYTES`` (one item at least). A pass over the documents takes ``BLOCKS`` blocks, whose
+index, about 2.5 bytes for each of text, is broadcast; a larger benchmark takes more passes, with a checkpoint of the rows between them. Nothing that
+grows with the documents is collected or shuffled.
 
 An item shorter than ``k`` words is searched by shingles of its own length. Items without words match nothing, nor
 do null and empty documents and documents shorter than the shingles. Repeated items and rows each get their rows;
-an empty table on either side gives an empty result, and columns besides id and text are not read. Texts are
-searched whole, in pieces of bounded size that overlap by the longest window.
+an empty table on either side gives an empty result. Texts are searched whole, a very long one alone. The columns in ``keep`` are carried along
+whatever their names, but one that carries the output's name is replaced; no other is read.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,10 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kernels import U, mix, passes, seeds, word_hashes
-from .session import prepare, table
+from .session import arrow_map, prepare, table
 
 K, THRESHOLD, RECALL = 5, 0.8, 0.9999
-ITEM_BYTES = 16 << 20
+#: Text of a block of items, and blocks that a pass takes.
+ITEM_BYTES, BLOCKS = 8 << 20, 4
 
 
 def sequence(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +110,8 @@ class ItemIndex:
             nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
             paired = np.append(owner[1:] == owner[:-1], False)
             layout.append((c, owner, begin[:-1][owner] + nth * 2 * c.size, paired))
-        pairs: set[tuple[int, int, int]] = set()
+        first = np.cumsum([0, *(len(c.items) for c in classes)])
+        found: list[np.ndarray] = []
         for band, seed in enumerate(seeds(self.bands)):
             x = permuted(values, seed)
             for at, (c, owner, starts, paired) in enumerate(layout):
@@ -116,17 +120,28 @@ class ItemIndex:
                 known = c.lows[band]
                 place = np.searchsorted(known, low)
                 hit = np.flatnonzero(known[np.minimum(place, len(known) - 1)] == low)
-                for w in hit:
-                    p = place[w]
-                    while p < len(known) and known[p] == low[w]:
-                        pairs.add((int(owner[w]), at, int(c.who[band][p])))
-                        p += 1
-        for text, at, member in pairs:
-            c = classes[at]
-            own = c.sets[member]
-            shared = int(np.isin(own, values[begin[text] : begin[text + 1]]).sum())
-            if shared >= self.threshold * len(own) - 1e-9:
-                yield text, c.items[member], shared, len(own)
+                if len(hit):
+                    place = place[hit]
+                    equal = np.searchsorted(known, low[hit], side="right") - place  # items with this minimum
+                    member = c.who[band][np.arange(int(equal.sum())) + np.repeat(place - np.cumsum(equal) + equal, equal)]
+                    found.append(np.unique(np.repeat(owner[hit], equal) * first[-1] + first[at] + member))
+        if not found:
+            return
+        text, member = np.divmod(np.unique(np.concatenate(found)), first[-1])
+        sets = [s for c in classes for s in c.sets]
+        items = [i for c in classes for i in c.items]
+        edges = [0, *(np.flatnonzero(np.diff(text)) + 1).tolist(), len(text)]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            t, members = int(text[lo]), member[lo:hi].tolist()
+            have = np.unique(values[begin[t] : begin[t + 1]])
+            for part in range(0, len(members), 4096):
+                own = [sets[m] for m in members[part : part + 4096]]
+                sizes = np.array([len(s) for s in own])
+                flat = np.concatenate(own)
+                there = have[np.minimum(np.searchsorted(have, flat), len(have) - 1)] == flat
+                shared = np.add.reduceat(there, np.cumsum(sizes) - sizes, dtype=np.int64)
+                for i in np.flatnonzero(shared >= self.threshold * sizes - 1e-9).tolist():
+                    yield t, items[members[part + i]], int(shared[i]), int(sizes[i])
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple]]:
@@ -144,28 +159,42 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None, out: str = "leaks", k: int = K, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """The columns ``keep`` of every row of ``docs`` with ``out``: array of (item, shared, shingles)."""
+    """The columns ``keep`` of every row of ``docs`` (all, if not given) with ``out``: array of (item, shared, shingles)."""
     spark = prepare(docs.sparkSession)
-    keep = list(docs.columns) if keep is None else keep
-    kinds, item_kind = dict(docs.dtypes), dict(items.dtypes)[item_id]
-    indexes = [([i for i, _ in b], ItemIndex([t for _, t in b], k, threshold, recall)) for b in item_blocks(items, item_id, item_text)]
-    shared = [spark.sparkContext.broadcast(x) for x in indexes]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != out.lower()]
     arrow = pa.list_(pa.struct([("item", items.limit(0).toArrow().schema.field(item_id).type), ("shared", pa.int32()), ("shingles", pa.int32())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = f"array<struct<item: {dict(items.dtypes)[item_id]}, shared: int, shingles: int>>"
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`"), F.array().cast(kind))
+    columns = [(f.name, f.dataType) for f in rows.schema.fields]
+    blocks = item_blocks(items, item_id, item_text)
+    now, later = list(itertools.islice(blocks, BLOCKS)), list(itertools.islice(blocks, BLOCKS))
+    while True:
+        shared = [spark.sparkContext.broadcast(([i for i, _ in b], ItemIndex([t for _, t in b], k, threshold, recall))) for b in now]
+        run = _searched(shared, arrow)
+        if not later:
+            return arrow_map(rows, lambda batches: ([*c[:-2], c[-1]] for c in run(batches)), [*columns[:-2], (out, columns[-1][1])])
+        rows = arrow_map(rows, run, columns).checkpoint()
+        for b in shared:
+            b.unpersist()
+        now, later = later, list(itertools.islice(blocks, BLOCKS))
+
+
+def _searched(shared: list, arrow: pa.DataType):
+    """Adds what the blocks' items give to the last column, by the text in the one before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = batch.column(batch.num_columns - 2).to_pylist()
             for lo, hi in passes(texts):
-                found: list[list[dict]] = [[] for _ in range(lo, hi)]
+                part = batch.slice(lo, hi - lo)
+                found = part.columns[-1].to_pylist()
                 for b in shared:
                     ids, index = b.value
                     for text, item, n, m in index.search(texts[lo:hi]):
                         found[text].append({"item": ids[item], "shared": n, "shingles": m})
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found, arrow)], names=[*keep, out])
+                yield [*part.columns[:-1], pa.array(found, arrow)]
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", `{out}` array<struct<item: {item_kind}, shared: int, shingles: int>>"
-    return docs.select(F.col(f"`{text_col}`").alias("__text"), *(F.col(f"`{c}`") for c in keep)).mapInArrow(run, schema)
+    return run
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .kernels import passes
-from .session import fold, prepare, table
+from .session import arrow_map, fold, prepare, table
 
 #: Bounds of the labelled sample, for each language.
 DOCS, CHARS = 48, 32_000
@@ -363,18 +363,16 @@ def predict_language(docs: DataFrame, train: DataFrame, id_col: str = "doc_id",
     keep = [id_col] if keep is None else keep
     if clash := {c.lower() for c in keep} & {c.lower() for c in out}:
         raise ValueError(f"columns with an output's name: {sorted(clash)}")
-    kinds = dict(docs.dtypes)
+    given = docs.select(F.col(f"`{text_col}`"), *(F.col(f"`{c}`") for c in keep))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for lo, hi in passes(texts, PASS_CHARS):
                 seen = shared.value.predict(texts[lo:hi])
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array([s[0] for s in seen], pa.string()), pa.array([s[1] for s in seen], pa.float64())], names=[*keep, *out])
+                yield [*batch.slice(lo, hi - lo).columns[1:], pa.array([s[0] for s in seen], pa.string()), pa.array([s[1] for s in seen], pa.float64())]
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", `{out[0]}` string, `{out[1]}` double"
-    return docs.select(F.col(f"`{text_col}`").alias("__text"), *(F.col(f"`{c}`") for c in keep)).mapInArrow(run, schema)
+    return arrow_map(given, run, [*((f.name, f.dataType) for f in given.schema.fields[1:]), (out[0], "string"), (out[1], "double")])
 
 
 def in_known_languages(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS, chars: int = CHARS) -> DataFrame:
@@ -383,13 +381,13 @@ def in_known_languages(docs: DataFrame, train: DataFrame, id_col: str = "doc_id"
     shared = spark.sparkContext.broadcast(LanguageModel.bounded(labelled_sample(train, id_col, text_col, lang_col, docs_per_lang), docs_per_lang, chars))
     place = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
             texts = batch.column(place).to_pylist()
             for lo, hi in passes(texts, PASS_CHARS):
-                yield batch.slice(lo, hi - lo).filter(pa.array(shared.value.accepts(texts[lo:hi])))
+                yield batch.slice(lo, hi - lo).filter(pa.array(shared.value.accepts(texts[lo:hi]))).columns
 
-    return docs.mapInArrow(run, docs.schema)
+    return arrow_map(docs, run, [(f.name, f.dataType) for f in docs.schema.fields])
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kernels import U, hash_spans, mix, passes, word_spans
-from .session import fold, prepare, table
+from .session import arrow_map, fold, prepare, table
 
 POSITIVE, NEGATIVE, CHARS = 2048, 4096, 4_000_000
 #: Buckets of hashed features, n-gram lengths, and the least log-count ratio of a feature.
@@ -263,15 +263,16 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     """``id_col``, ``score`` and ``predicted`` for every row."""
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    given = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for lo, hi in passes(texts):
                 s = shared.value.score(texts[lo:hi])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], names=[id_col, "score", "predicted"])
+                yield [batch.column(0).slice(lo, hi - lo), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))]
 
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+    return arrow_map(given, run, [(id_col, given.schema.fields[0].dataType), ("score", "double"), ("predicted", "int")])
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import prepare, table
+from .session import arrow_map, prepare, table
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -361,19 +361,18 @@ def _output(name: str, ids: list[bytes], decoded: list[str]) -> pa.Array:
 def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, check: str = "chunks", outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
     """``id_col`` and ``outputs`` (see ``OUTPUTS``) for every row; ids have begin and end."""
     path = model or MODEL
-    kind = dict(df.dtypes)[id_col]
     prepare(df.sparkSession)
+    given = df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         c = codec(path if "/" in path else model_path(path), check)
         for keys, texts in joined(batches):
             ids = c.encode_batch(texts)
             decoded = c.decode_batch(ids)
-            yield pa.RecordBatch.from_arrays([keys, *(_output(x, ids, decoded) for x in outputs)], names=[id_col, *outputs])
+            yield [keys, *(_output(x, ids, decoded) for x in outputs)]
         c.cache.clear()  # a worker that waits for other tasks holds no chunks
 
-    schema = ", ".join(f"{x} {OUTPUTS[x][0]}" for x in outputs)
-    return df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(run, f"`{id_col}` {kind}, {schema}")
+    return arrow_map(given, run, [(id_col, given.schema.fields[0].dataType), *((x, OUTPUTS[x][0]) for x in outputs)])
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

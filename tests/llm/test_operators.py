@@ -100,6 +100,21 @@ def test_leaks_match_brute_force(spark):
     assert op1.find_leaks(docs.limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_leaks_in_several_passes(spark, monkeypatch):
+    """Blocks and passes of few items give what one pass gives, and rows keep columns of any name."""
+    rng = random.Random(23)
+    items = [(i, prose(rng, 20, 3000)) for i in range(30)] + [(30, items_shared := prose(rng, 25, 3000)), (31, items_shared)]
+    texts = [" ".join([prose(rng, 60, 3000), items[i % 32][1], prose(rng, 10, 3000), items[(7 * i) % 32][1]]) for i in range(40)] + [None, ""]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "`doc.id` long, text string, text_ string")
+    find = lambda: sorted((r[0], r[1], sorted(r[3])) for r in op1.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"), out="found").select("`doc.id`", "text", "text_", "found").collect() if r[3])
+    want = find()
+    assert len(want) == 40 and all(r[1] == texts[r[0]] for r in want)
+    monkeypatch.setattr(op1, "ITEM_BYTES", 400)
+    monkeypatch.setattr(op1, "BLOCKS", 2)
+    assert find() == want
+    assert op1.find_leaks(docs, spark.createDataFrame(items[:3], "item_id long, text string"), out="text_").columns == ["doc.id", "text", "text_"]
+
+
 def test_leak_search_recall_settings():
     floor = op1.THRESHOLD / (5 - op1.THRESHOLD)
     assert 1 - (1 - floor) ** op1.bands_for(op1.THRESHOLD, op1.RECALL) >= op1.RECALL

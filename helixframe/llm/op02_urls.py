@@ -4,8 +4,9 @@
 path starts with the rule's path. Of the rules that fit, the one with the longest text (host and path) wins; at
 equal length the one with the longer host, and of two equal rules the blocking one.
 
-The trie is built on the driver from a rule list whose size is checked (``MAX_RULE_BYTES``), goes out in the
-function's closure once for each task, and every url is judged in one pass over Arrow batches. No shuffle.
+The trie is built on the driver from a rule list whose size is checked (``MAX_RULE_BYTES``) and broadcast, and every url
+is judged in one pass over Arrow batches. No shuffle. A url costs time by its length, however long its segments are: of each
+only as much is looked up as the longest rule that ends there has.
 
 Null urls and urls without ``://`` have an empty host and path; no rule fits them and they get the default.
 Repeated rows are judged alike; an empty table gives an empty result; all columns of the input are kept, and input
@@ -19,23 +20,23 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import prepare, table
+from .session import free_name, prepare, table
 
-#: Lists beyond this many bytes are refused: the trie is sent to every task.
+#: Lists beyond this many bytes are refused: the trie is broadcast.
 MAX_RULE_BYTES = 64 << 20
 CONTRACT_RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 
 
 class UrlTrie:
     """Nodes are dicts: ``hosts`` by next host label, and on the way down the path ``segments`` by whole segment
-    and ``ends`` by the unfinished last segment of a rule."""
+    and ``ends`` by the unfinished last segment of a rule, the longest of them ``most`` characters."""
 
     def __init__(self, rules: Iterable[tuple[str, str]], default: str = "allow"):
         self.default = default
         self.root: dict = {}
         size = 0
         for verdict, rule in rules:
-            size += len(rule)
+            size += len(rule.encode())
             if size > MAX_RULE_BYTES:
                 raise ValueError(f"the rules exceed {MAX_RULE_BYTES} bytes")
             if verdict not in ("allow", "block"):
@@ -51,12 +52,13 @@ class UrlTrie:
             old = node.setdefault("ends", {}).get(last)
             if old is None or verdict == "block":
                 node["ends"][last] = (verdict, rule, len(host))
+                node["most"] = max(len(last), node.get("most", 0))
 
     def _along(self, node: dict, segments: list[str]) -> Iterator[tuple[str, str, int]]:
         for i, segment in enumerate(segments):
             ends = node.get("ends")
             if ends:
-                for j in range(len(segment) + 1):
+                for j in range(min(len(segment), node["most"]) + 1):
                     if hit := ends.get(segment[:j]):
                         yield hit
             if i + 1 == len(segments) or (node := node.get("segments", {}).get(segment)) is None:
@@ -77,9 +79,8 @@ class UrlTrie:
 
 def filter_urls(df: DataFrame, url: str = "url", rules: Iterable[tuple[str, str]] = CONTRACT_RULES, default: str = "allow") -> DataFrame:
     """Adds ``host``, ``path``, ``rule`` and ``verdict`` to every row."""
-    prepare(df.sparkSession)
-    trie = UrlTrie(rules, default)
-    given = F.coalesce(F.col(url), F.lit(""))
+    shared = prepare(df.sparkSession).sparkContext.broadcast(UrlTrie(rules, default))
+    given = F.coalesce(F.col(f"`{url}`"), F.lit(""))
     lower = F.translate(F.regexp_extract(given, r"(?s)^.*?://([^/?#]*)", 1), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     path = F.regexp_extract(given, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
@@ -87,13 +88,15 @@ def filter_urls(df: DataFrame, url: str = "url", rules: Iterable[tuple[str, str]
     def judged(host, path):
         import pandas as pd
 
-        seen = [trie.judge(h, p) for h, p in zip(host, path, strict=True)]
+        judge = shared.value.judge
+        seen = [judge(h, p) for h, p in zip(host, path, strict=True)]
         return pd.DataFrame(seen, columns=["verdict", "rule"]).astype(object).where(lambda x: x.notna(), None)
 
     keep = [c for c in df.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     out = df.select(*(F.col(f"`{c}`") for c in keep), lower.alias("host"), path.alias("path"))
-    out = out.withColumn("__judged", judged("host", "path"))
-    return out.select(*(F.col(f"`{c}`") for c in keep), "host", "path", F.col("__judged.rule").alias("rule"), F.col("__judged.verdict").alias("verdict"))
+    name = free_name(keep, "judged")
+    out = out.withColumn(name, judged("host", "path"))
+    return out.select(*(F.col(f"`{c}`") for c in keep), "host", "path", F.col(f"`{name}`.rule").alias("rule"), F.col(f"`{name}`.verdict").alias("verdict"))
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

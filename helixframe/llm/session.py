@@ -64,11 +64,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def text_bytes(column: str = "text"):
-    """UTF-8 bytes of a text column; null has none."""
-    return F.coalesce(F.octet_length(F.col(column)), F.lit(0)).cast("long")
-
-
 def fold(column: str, parts: int):
     """The fold of a row: crc32 of the id as text, modulo ``parts``. A null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % parts, F.lit(0))

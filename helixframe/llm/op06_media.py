@@ -5,9 +5,11 @@
 each output pixel costs four look-ups whatever the factor. ``difference_hash`` compares neighbouring pixels of a
 9 x 8 tile. ``media_features`` applies all of this to a binary column in Arrow batches, without a shuffle.
 
-A null or empty value, or one that is no image, gives null size, tile and hash; ``encode_payloads`` makes at least
-one block of 64 bytes of any text, null included. Repeated values give equal results; an empty table gives an
-empty result; columns besides the id and the value are not read.
+A null or empty value, or one that is no image (a header that promises more samples than there are bytes, a sample beyond the
+header's greatest), gives null size, tile and hash; ``encode_payloads`` makes at least
+one block of 64 bytes of any text, null included. Values are taken one at a time, and results go on in batches of about
+``PASS_BYTES``, so memory follows the longest value. Repeated values give equal results; an empty table gives an
+empty result; columns besides the id and the value are not read, and these may have any name.
 """
 
 from __future__ import annotations
@@ -17,16 +19,18 @@ import io
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .session import prepare, table
+from .session import arrow_map, prepare, table
 
 BLOCK = 64
+#: Bytes of results that go on together.
+PASS_BYTES = 4 << 20
 
 
 def encode_pgm(pixels: np.ndarray) -> bytes:
@@ -36,13 +40,15 @@ def encode_pgm(pixels: np.ndarray) -> bytes:
 
 
 def encode_bmp(pixels: np.ndarray) -> bytes:
-    """24 bits a pixel, rows from the bottom and padded to four bytes."""
-    h, w, _ = pixels.shape
-    stride = (3 * w + 3) // 4 * 4
+    """24 bits a pixel, or 8 with a palette of greys for (height, width); rows from the bottom and padded to four bytes."""
+    h, w = pixels.shape[:2]
+    depth = 3 if pixels.ndim == 3 else 1
+    stride = (depth * w + 3) // 4 * 4
     rows = np.zeros((h, stride), dtype=np.uint8)
-    rows[:, : 3 * w] = pixels[::-1, :, ::-1].reshape(h, 3 * w)
-    size = 54 + rows.size
-    return struct.pack("<2sIHHI", b"BM", size, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, w, h, 1, 24, 0, rows.size, 2835, 2835, 0, 0) + rows.tobytes()
+    rows[:, : depth * w] = pixels[::-1, :, ::-1].reshape(h, 3 * w) if depth == 3 else pixels[::-1]
+    palette = b"" if depth == 3 else np.repeat(np.arange(256, dtype=np.uint8), 4).reshape(256, 4).tobytes()
+    start = 54 + len(palette)
+    return struct.pack("<2sIHHI", b"BM", start + rows.size, 0, 0, start) + struct.pack("<IiiHHIIiiII", 40, w, h, 1, 8 * depth, 0, rows.size, 2835, 2835, len(palette) // 4, 0) + palette + rows.tobytes()
 
 
 def _netpbm(data: bytes) -> np.ndarray:
@@ -58,14 +64,20 @@ def _netpbm(data: bytes) -> np.ndarray:
     if not (w > 0 and h > 0 and 0 < top < 65536):
         raise ValueError("broken header")
     planes = 3 if kind in (3, 6) else 1
+    if (w * h if kind in (1, 4) else w * h * planes) > 8 * len(data):
+        raise ValueError("too few samples")
     if kind <= 3:
         body = re.sub(rb"#[^\n\r]*", b" ", data[at:])
         values = [c - 48 for c in body if c in b"01"] if kind == 1 else list(map(int, body.split()))
         x = np.array(values[: w * h * planes], dtype=np.int64)
+        if len(x) and not 0 <= x.min() <= x.max() <= top:
+            raise ValueError("a sample out of range")
     elif kind == 4:
         x = np.unpackbits(np.frombuffer(data, np.uint8, (w + 7) // 8 * h, at + 1).reshape(h, -1), axis=1)[:, :w].ravel()
     else:
         x = np.frombuffer(data, np.uint8 if top < 256 else ">u2", w * h * planes, at + 1)
+        if x.max() > top:
+            raise ValueError("a sample out of range")
     if len(x) < w * h * planes:
         raise ValueError("too few samples")
     x = x.reshape((h, w, 3) if planes == 3 else (h, w))
@@ -79,11 +91,15 @@ def _bmp(data: bytes) -> np.ndarray:
     header, w, h, _, bits, packed = struct.unpack_from("<IiiHHI", data, 14)
     if packed not in (0, 3) or w <= 0 or h == 0 or bits not in (1, 4, 8, 24, 32) or (packed == 3 and bits != 32):
         raise ValueError("not an uncompressed image")
+    if w * abs(h) > 8 * len(data):
+        raise ValueError("too few samples")
     rows = np.frombuffer(data, np.uint8, (w * bits + 31) // 32 * 4 * abs(h), start).reshape(abs(h), -1)
     if bits <= 8:
         index = np.unpackbits(rows, axis=1).reshape(abs(h), -1, bits) @ (1 << np.arange(bits)[::-1])
         used, = struct.unpack_from("<I", data, 46)
         palette = np.frombuffer(data, np.uint8, 4 * (used or 1 << bits), 14 + header).reshape(-1, 4)
+        if index[:, :w].max() >= len(palette):
+            raise ValueError("a sample out of range")
         x = palette[index[:, :w]][:, :, 2::-1]
     else:
         x = rows[:, : w * bits // 8].reshape(abs(h), w, bits // 8)[:, :, 2::-1]
@@ -97,7 +113,7 @@ def decode_image(data: bytes) -> np.ndarray:
             return _bmp(data)
         if re.match(rb"P[1-6][\s#]", data[:3]):
             return _netpbm(data)
-    except (struct.error, IndexError) as e:
+    except (struct.error, IndexError, OverflowError) as e:
         raise ValueError(str(e)) from e
     raise ValueError("not an image of a known kind")
 
@@ -139,25 +155,32 @@ def tile_of(pixels: np.ndarray, side: int) -> np.ndarray:
     return np.clip(np.rint(np.round(area_resize(pixels, side, side), 6)), 0, 255).astype(np.uint8)
 
 
+def in_passes(batches: Iterator[pa.RecordBatch], kinds: list[pa.DataType], row: Callable[[object], tuple]) -> Iterator[list[pa.Array]]:
+    """Ids with what ``row`` makes of each value, in batches of about ``PASS_BYTES``."""
+    for batch in batches:
+        out, start, size = [], 0, 0
+        for i, value in enumerate(batch.column(1)):
+            out.append(row(value.as_py()))
+            size += sum(len(x) for x in out[-1] if isinstance(x, (bytes, str)))
+            if size >= PASS_BYTES or i + 1 == batch.num_rows:
+                yield [batch.column(0).slice(start, len(out)), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))]
+                out, start, size = [], i + 1, 0
+
+
 def media_features(df: DataFrame, id_col: str, media_col: str, side: int = 32) -> DataFrame:
     """``height``, ``width``, ``tile`` (an NPY file of side x side pixels) and ``dhash`` of each image of a binary column."""
     prepare(df.sparkSession)
+    given = df.select(F.col(f"`{id_col}`"), F.col(f"`{media_col}`"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for x in batch.column(1):
-                try:
-                    p = decode_image(x.as_py() or b"")
-                    out.append((*p.shape[:2], npy(tile_of(p, side)), difference_hash(p)))
-                except ValueError:
-                    out.append((None,) * 4)
-            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.string())
-            columns = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, "height", "width", "tile", "dhash"])
+    def features(value: bytes | None) -> tuple:
+        try:
+            p = decode_image(value or b"")
+        except ValueError:
+            return (None,) * 4
+        return *p.shape[:2], npy(tile_of(p, side)), difference_hash(p)
 
-    kind = dict(df.dtypes)[id_col]
-    return df.select(F.col(id_col), F.col(media_col)).mapInArrow(run, f"`{id_col}` {kind}, height int, width int, tile binary, dhash string")
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.string()]
+    return arrow_map(given, lambda batches: in_passes(batches, kinds, features), [(id_col, given.schema.fields[0].dataType), ("height", "int"), ("width", "int"), ("tile", "binary"), ("dhash", "string")])
 
 
 def payload(text: str | None) -> tuple[int, bytes]:
@@ -165,35 +188,34 @@ def payload(text: str | None) -> tuple[int, bytes]:
     return len(raw), raw + bytes(-len(raw) % BLOCK or (0 if raw else BLOCK))
 
 
-def encode_payloads(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = 32, keep_media: bool = True) -> DataFrame:
-    """Each text as an image 64 samples wide, read back from the stored form.
+#: What ``encode_payloads`` gives for a text, in order.
+NAMES = {"n_bytes": "long", "payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string", "media": "binary", "tile": "binary"}
+FORMS = {"pgm": encode_pgm, "bmp": encode_bmp}
 
-    Besides the figures of the stored form: ``media`` (the image) and ``tile`` (its NPY tile), unless ``keep_media``
-    is false, and ``feature``, the difference hash and the tile's crc32.
+
+def encode_payloads(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", side: int = 32, keep_media: bool = True, form: str = "pgm") -> DataFrame:
+    """Each text as a grey image 64 samples wide in a ``form`` (pgm or bmp), read back from the stored form.
+
+    Besides the figures of the stored form: ``feature``, the difference hash and the tile's crc32, ``tile`` (its NPY tile)
+    and, unless ``keep_media`` is false, ``media`` (the image).
     """
     prepare(df.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for x in batch.column(1):
-                n, raw = payload(x.as_py())
-                media = encode_pgm(np.frombuffer(raw, np.uint8).reshape(-1, BLOCK))
-                pixels = decode_image(media)
-                back = pixels.tobytes()
-                tile = npy(tile_of(pixels, side))
-                feature = f"{difference_hash(pixels)}-{zlib.crc32(tile):08x}"
-                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature, *((media, tile) if keep_media else ())))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), *((pa.binary(),) * 2 if keep_media else ()))
-            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, *NAMES[: len(columns)]])
-
-    kind = dict(df.dtypes)[id_col]
-    schema = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, {schema}" + ", media binary, tile binary" * keep_media)
-
-
-NAMES = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media", "tile")
+    encode = FORMS[form]
+    given = df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    names = [n for n in NAMES if keep_media or n != "media"]
+
+    def stored(text: str | None) -> tuple:
+        n, raw = payload(text)
+        media = encode(np.frombuffer(raw, np.uint8).reshape(-1, BLOCK))
+        pixels = decode_image(media)
+        pixels = pixels if pixels.ndim == 2 else pixels[:, :, 0]  # a palette gives three equal samples
+        back = pixels.tobytes()
+        tile = npy(tile_of(pixels, side))
+        row = (n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), f"{difference_hash(pixels)}-{zlib.crc32(tile):08x}")
+        return (*row, media, tile) if keep_media else (*row, tile)
+
+    arrow = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    return arrow_map(given, lambda batches: in_passes(batches, [arrow[NAMES[n]] for n in names], stored), [(id_col, given.schema.fields[0].dataType), *((n, NAMES[n]) for n in names)])
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -281,14 +281,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` with one row of each group: the smallest id (then text hash); of repeated rows one. Rows without words all stay."""
-    kept = similar_groups(docs, id_col, text_col, **settings)
-    kept = kept.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("group_rows").alias("__rows"), "stays").filter("stays").drop("stays").distinct()
-    rows = docs.withColumn("__text", F.xxhash64(F.col(f"`{text_col}`")))
-    found = rows.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__h")))
-    several = F.col("__rows") > 1
-    single = found.filter(~several).select(*docs.columns)
-    return single.unionByName(found.filter(several).dropDuplicates(["__id", "__h"]).select(*docs.columns))
+    """``docs`` with one row of each group: the smallest id (then text hash), and of rows that share these the one whose columns have the smallest hash. Rows without words all stay."""
+    kept = similar_groups(docs, id_col, text_col, **settings).filter("stays").select("id", "h", "group_rows").distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("own_h"), F.struct(*columns).alias("row"))
+    found = rows.join(kept, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_h") == F.col("h"))).select("id", "h", "group_rows", "row")
+    several = F.col("group_rows") > 1
+    one = found.filter(several).groupBy("id", "h").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return found.filter(~several).select("row").unionByName(one.select("row")).select("row.*")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import io
+import math
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -135,7 +138,7 @@ def test_trie_matches_scan_of_rules():
         assert trie.judge(host, path) == want, (host, path)
 
 
-def test_url_filter_rows(spark):
+def test_url_filter_rows(spark, monkeypatch):
     rows = [(1, "http://A.Example.COM/en/7?x#y", "v"), (2, "no scheme", "v"), (3, None, None), (4, "https://x.net/de/8", "v"), (4, "https://x.net/de/8", "v"), (None, "http://example.net/de/81", "v"), (5, "http://org", "v"), (6, "a\nb://w.org/es/q", "v")]
     got = op2.filter_urls(spark.createDataFrame(rows, "page_id long, url string, verdict string")).collect()
     assert [(r.host, r.path, r.rule, r.verdict) for r in got] == [
@@ -144,6 +147,13 @@ def test_url_filter_rows(spark):
     ]
     with pytest.raises(ValueError, match="not a verdict"):
         op2.UrlTrie([("drop", "com/")])
+    long = "x" * 2_000_000
+    df = spark.createDataFrame([(1, f"http://a.com/en/{long}", "j"), (2, f"http://{long}.com/en/", "j"), (3, "http://a.com/" + "en/" * 300_000, "j")], "judged long, `the.url` string, __judged string")
+    got = op2.filter_urls(df, "the.url").select("judged", "rule", "verdict").orderBy("judged").collect()
+    assert [(r.judged, r.rule, r.verdict) for r in got] == [(i, "com/en/", "block") for i in (1, 2, 3)]
+    monkeypatch.setattr(op2, "MAX_RULE_BYTES", 10)
+    with pytest.raises(ValueError, match="exceed"):
+        op2.UrlTrie([("block", "example.com/")])
 
 
 # 3
@@ -157,7 +167,8 @@ def test_line_dedup_matches_plain_version(spark):
         rng.shuffle(lines)
         rows.append((i, "h1" if i % 2 else rng.choice(["h2", "h3"]), "\n".join(lines)))
     rows += [(900, "h1", "copy\nof one")] * 30 + [(901, None, "menu"), (902, "", "menu"), (903, "h1", None), (904, "h1", "menu"), (905, "h4", "menu")]
-    df = spark.createDataFrame(rows, "doc_id long, host string, text string").withColumn("dropped_lines", F.lit("clash"))
+    df = spark.createDataFrame(rows, "doc_id long, host string, text string").withColumn("dropped_lines", F.lit("clash")).withColumns({c: F.lit("clash") for c in ("host_", "drop_", "__drop", "left_", "seen_", "a.b")})
+    assert op3.dedup_lines(df, "host").columns == [*(c for c in df.columns if c != "dropped_lines"), "dropped_lines"]
     got = sorted(((r.doc_id, r.host or "", r.text, r.dropped_lines) for r in op3.dedup_lines(df, "host").collect()), key=str)
     pages, have = collections.defaultdict(set), collections.defaultdict(set)
     for _, h, t in rows:
@@ -234,6 +245,48 @@ def test_shards_are_even_gapless_and_sorted(spark):
     assert op5.shard_documents(df.limit(1)).count() == 1
 
 
+def check_shards(got, shards: int, tolerance: float) -> None:
+    """Gapless slots in the order of ids, and each splitter as near to its target as rows allow (within the tolerance, or the next row is too large)."""
+    total, slack = int(got["size"].sum()), tolerance * got["size"].sum() / shards
+    below = 0
+    for k in range(shards):
+        g = got[got.shard == k].sort_values("slot")
+        assert g.slot.tolist() == list(range(len(g)))
+        keys = g.key.tolist()
+        assert keys == sorted(keys) and (not keys or below == 0 or keys[0] >= last)
+        last = keys[-1] if keys else (last if below else None)
+        below += int(g["size"].sum())
+        if k + 1 < shards:
+            want = total * (k + 1) // shards
+            beyond = got[got.shard > k].sort_values(["shard", "slot"])["size"]
+            near = [abs(below - want), abs(below - int(g["size"].iloc[-1]) - want) if len(g) else np.inf, abs(below + int(beyond.iloc[0]) - want) if len(beyond) else np.inf]
+            assert near[0] <= slack or near[0] <= min(near[1:]), (k, near, slack)
+
+
+@pytest.mark.parametrize("kind", ["even", "outliers", "one id", "nulls", "text ids", "two hot ids", "alike"])
+def test_splitters_and_cells(spark, monkeypatch, kind):
+    """Cells of a few rows, so that outliers, ids with very many rows and their numbers are all cut; the input is no table scan."""
+    monkeypatch.setattr(op5, "CELL_ROWS", 12)
+    monkeypatch.setattr(op5, "CELLS", 4)
+    rng = random.Random(kind)
+    ids = {
+        "even": lambda i: i, "outliers": lambda i: rng.choice([i, i, i, 2**62 + i // 9, -(2**62), 5]), "one id": lambda i: 7, "nulls": lambda i: None if i % 2 else i, "text ids": lambda i: f"id.{i}",
+        "two hot ids": lambda i: rng.choice([3, 900_000, i]), "alike": lambda i: 4,
+    }[kind]
+    rows = [(ids(i), "same" if kind == "alike" else "t" * rng.randrange(90), {"a": i}) for i in range(400)]
+    df = spark.createDataFrame(rows, ("`doc.id` string" if kind == "text ids" else "`doc.id` long") + ", text string, more map<string, int>").repartition(7).withColumn("shard", F.lit("clash"))
+    out = op5.shard_documents(df, "doc.id", shards=5, tolerance=0.01)
+    assert out.columns == ["doc.id", "text", "more", "size", "shard", "slot"]
+    key = F.xxhash64("`doc.id`") if kind == "text ids" else F.coalesce(F.col("`doc.id`"), F.lit(-(1 << 63)))
+    got = out.withColumn("key", key).drop("more").toPandas()
+    assert len(got) == 400 and sorted(got.text) == sorted(r[1] for r in rows)
+    check_shards(got, 5, 0.01)
+
+
+def test_shards_query_splitters(spark, sf):
+    check_shards(op5.op5_shards(spark, sf).withColumn("key", F.col("doc_id")).toPandas(), 24, op5.TOLERANCE)
+
+
 def test_shards_query_sizes(spark, sf):
     got = op5.op5_shards(spark, sf).toPandas()
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
@@ -256,7 +309,10 @@ def test_images_round_trip():
     assert op6.decode_image(b"P2 2 1 15 0 15").tolist() == [[0, 255]]
     assert op6.decode_image(b"P3 1 1 255 1 2 3").tolist() == [[[1, 2, 3]]]
     assert op6.decode_image(b"P4 2 1\n\x80").tolist() == [[0, 255]]
-    for bad in (b"", b"P5 3", b"BM", b"P5\n9 9\n255\nxx", b"GIF89a"):
+    assert (op6.decode_image(op6.encode_bmp(grey)) == grey[:, :, None]).all()
+    huge = struct.pack("<2sIHHIIiiHHIIiiII", b"BM", 0, 0, 0, 54, 40, 2**31 - 1, 2**31 - 1, 1, 24, 0, 0, 0, 0, 0, 0)
+    wide = b"%d %d 255\n" % (10**30, 10**30)
+    for bad in (b"", b"P5 3", b"BM", b"P5\n9 9\n255\nxx", b"GIF89a", huge, b"P5 " + wide, b"P6 " + wide, b"P4 " + wide[:-4], b"P2 " + wide, b"P2 2 1 255 300 1", b"P2 2 1 255 -1 1", b"P5 1 1 7 \xff", op6.encode_bmp(grey)[:50], b"P2 1 1 255 x"):
         with pytest.raises(ValueError):
             op6.decode_image(bad)
 
@@ -267,6 +323,21 @@ def test_area_resize_is_the_exact_mean():
     assert np.allclose(op6.area_resize(x, 4, 6), big.reshape(4, 11, 6, 13).mean(axis=(1, 3)))
 
 
+def plain_means(grid: list[list[float]], height: int, width: int) -> list[list[float]]:
+    """Means over the areas that each of height x width parts covers, pixel by pixel with its covered share."""
+    h, w = len(grid), len(grid[0])
+
+    def shares(n: int, parts: int) -> list[list[tuple[int, float]]]:
+        out = []
+        for p in range(parts):
+            lo, hi = p * n / parts, (p + 1) * n / parts
+            out.append([(i, min(hi, i + 1) - max(lo, i)) for i in range(int(lo), min(n, math.ceil(hi)))])
+        return out
+
+    across = [[sum(row[j] * s for j, s in part) for part in shares(w, width)] for row in grid]
+    return [[sum(across[i][j] * s for i, s in part) * height * width / (h * w) for j in range(width)] for part in shares(h, height)]
+
+
 def test_payloads(spark):
     texts = ["", None, "a" * 64, "ü" * 70, "x" * 100_000, "same", "same"]
     df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, feature string")
@@ -277,8 +348,18 @@ def test_payloads(spark):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-64:]))
         assert op6.decode_image(bytes(r.media)).tobytes() == want and hashlib.sha256(r.media).hexdigest() == r.media_sha256
     assert got[5][1:] == got[6][1:] and got[0][1:] == got[1][1:]
-    images = spark.createDataFrame([(1, bytearray(got[3].media)), (2, None), (3, bytearray(b"junk"))], "id long, media binary")
-    seen = op6.media_features(images, "id", "media").orderBy("id").collect()
+    for r in got:  # the tile and the hash by plain loops over the areas
+        grid = op6.decode_image(bytes(r.media)).astype(float).tolist()
+        tile = np.load(io.BytesIO(r.tile), allow_pickle=False)
+        assert tile.shape == (32, 32) and np.abs(tile - np.array(plain_means(grid, 32, 32))).max() <= 0.5 + 1e-6
+        small = plain_means(grid, 8, 9)
+        bits = "".join("1" if row[j + 1] - row[j] > 1e-6 else "0" for row in small for j in range(8))
+        assert r.feature == f"{int(bits, 2):016x}-{zlib.crc32(r.tile):08x}"
+    bmp = op6.encode_payloads(df, form="bmp").orderBy("doc_id").collect()
+    assert [(r.payload_sha256, r.feature, r.tile) for r in bmp] == [(r.payload_sha256, r.feature, r.tile) for r in got] and all(bytes(r.media)[:2] == b"BM" for r in bmp)
+    images = spark.createDataFrame([(1, bytearray(got[3].media)), (2, None), (3, bytearray(b"junk")), (4, bytearray(b"P5 %d %d 255 " % (2**31, 2**31)))], "`the.id` long, media binary")
+    seen = op6.media_features(images, "the.id", "media").orderBy("`the.id`").collect()
+    assert seen[3].height is None
     assert (seen[0].height, seen[0].width) == (3, 64) and seen[1].dhash is None and seen[2].tile is None
 
 
@@ -302,6 +383,8 @@ def test_similar_groups_match_brute_force(spark):
     full = sum(bool(s) for s in {frozenset([g]) for i, g in enumerate(group) if sets[i]})
     assert kept.count() == full + sum(not s for s in sets)
     assert op7.similar_groups(df.limit(0)).count() == 0 and op7.one_of_each(df.limit(0)).count() == 0
+    tie = spark.createDataFrame([(1, "one two three", c) for c in "abcdef"], "doc_id long, text string, `id.h` string")
+    assert len({tuple(op7.one_of_each(d).collect()) for d in (tie, tie.orderBy(F.desc("`id.h`")), tie.repartition(3))}) == 1
 
 
 def test_join_finds_all_links_of_large_near_group(spark, monkeypatch):

@@ -22,7 +22,7 @@ def folder(spark, tmp_path_factory):
     item = " ".join(f"b{i}" for i in range(20))
     rows.append((500, "start " + item + " end", "en", "t", 9))
     d = str(tmp_path_factory.mktemp("corpus"))
-    spark.createDataFrame(rows, DOCS).withColumn("leaks", F.lit("clash")).withColumn("score", F.lit("clash")).withColumn("dropped_lines", F.lit("clash")).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(rows, DOCS).withColumn("leaks", F.lit("clash")).withColumn("score", F.lit("clash")).withColumn("dropped_lines", F.lit("clash")).withColumn("leaks_", F.lit("clash")).withColumn("a.b", F.lit("clash")).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     return d
 

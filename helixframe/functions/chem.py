@@ -126,3 +126,33 @@ def distance_bin(distance: Column, bins: int = 39, low: float = 3.25, width: flo
 def relative_position(a: Column, b: Column, same: Column, most: int = 32) -> Column:
     """The clipped difference of residue numbers, or its own class for another chain."""
     return F.when(same, F.greatest(F.lit(-most), F.least(F.lit(most), b - a)) + most).otherwise(2 * most + 1)
+
+
+def kind_masks(kind: Column, kinds: tuple[str, ...] = ("protein", "rna", "dna", "ligand")) -> dict[str, Column]:
+    """``is_protein`` and so on, 0 or 1."""
+    return {f"is_{k}": (kind == k.upper()).cast("int") for k in kinds}
+
+
+def is_modified(code: Column, kind: Column) -> Column:
+    """A residue of a polymer that is none of its standard ones (unknown ones count as modified)."""
+    return kind.isin("PROTEIN", "RNA", "DNA") & ~code.isin(*AMINO_ACIDS, *RNA[:-1], *DNA[:-1])
+
+
+def clustering_threshold_by_kind(kind: Column) -> Column:
+    return F.when(kind == "PROTEIN", PROTEIN_IDENTITY).otherwise(1.0)
+
+
+def fine_distance_bin(distance: Column, bins: int = 39, low: float = 3.25, high: float = 50.75) -> Column:
+    """Bins between evenly spaced edges, both of them among the edges."""
+    return distance_bin(distance, bins, low, (high - low) / bins)
+
+
+def template_distance_bin(distance: Column, bins: int = 64, high: float = 22.0) -> Column:
+    """From 0; all beyond is in the last bin."""
+    return F.least(F.lit(bins - 1), F.floor(distance / (high / bins)).cast("int"))
+
+
+def token_kind(code: Column) -> Column:
+    """The kind of a token: its polymer's for a standard residue, else ion or ligand."""
+    kind = chain_type(code)
+    return F.when(is_standard_residue(code), kind).when(kind == "ION", "ION").otherwise("LIGAND")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Patterns of species and accessions in descriptions, and alphabets.
 SPECIES = (r"OS=([^=]+?)(?:\s+[A-Z]{2}=|$)", r"\[([^\]]+)\]", r"_([A-Z0-9]{3,5})(?:\s|$)")
+OTHER_SPECIES = r"_([A-Z]+)\s"
 ACCESSION = r"(?:sp|tr)\|([^|]+)\|"
 MSA_ALPHABET = "ARNDCQEGHILKMFPSTWYV-X"
 # End of fixed values.
@@ -88,3 +89,33 @@ def safe_filename(name: Column, replacement: str = "_", most: int = 255) -> Colu
 
 def fasta_wrapped(s: Column, width: int = 80) -> Column:
     return F.regexp_replace(s, f"(.{{{width}}})(?=.)", "$1\n")
+
+
+def species_or_empty(description: Column, patterns: tuple[str, ...] = SPECIES) -> Column:
+    """The first pattern that matches, even if it finds nothing but blanks."""
+    return F.coalesce(*(F.when(F.regexp_like(description, F.lit(p)), F.trim(F.regexp_extract(description, p, 1))) for p in patterns))
+
+
+def other_species(description: Column) -> Column:
+    """As ``species``, but a mnemonic of any length that a blank follows."""
+    return species(description, (*SPECIES[:2], OTHER_SPECIES))
+
+
+def gap_runs(s: Column) -> Column:
+    """For each place the length of the run of gaps that ends there, where a letter follows; else 0."""
+    pieces = F.regexp_extract_all(s, F.lit("-*[^-]|-+$"), 0)
+    zeros = lambda n: F.array_repeat(F.lit(0), n)
+    cells = lambda p: F.when(p.endswith("-"), zeros(F.length(p))).when(F.length(p) == 1, zeros(F.lit(1))).otherwise(F.concat(zeros(F.length(p) - 2), F.array(F.length(p) - 1), zeros(F.lit(1))))
+    return F.flatten(F.transform(pieces, cells))
+
+
+def residue_codes(s: Column, gap: int = 31) -> Column:
+    """0 to 19 for the amino acids' letters in any case, ``gap`` for a gap, 20 for all else."""
+    alphabet = MSA_ALPHABET[:20]
+    return F.transform(letters(F.upper(s)), lambda c: F.when(c == "-", gap).when(F.instr(F.lit(alphabet), c) > 0, F.instr(F.lit(alphabet), c) - 1).otherwise(20))
+
+
+def sequence_codes(s: Column) -> Column:
+    """The same by letter as it stands: lower case and gaps are unknown."""
+    alphabet = MSA_ALPHABET[:20]
+    return F.transform(letters(s), lambda c: F.when(F.instr(F.lit(alphabet), c) > 0, F.instr(F.lit(alphabet), c) - 1).otherwise(20))

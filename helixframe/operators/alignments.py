@@ -84,12 +84,30 @@ def subsampled(df: DataFrame, rows: int, seed: int) -> DataFrame:
     return df.withColumn("__n", rank).filter(F.col("__n") <= rows).drop("__n")
 
 
+#: Alignments that may stand next to each other.
+MOST_CHAINS = 10_000
+
+
 def side_by_side(df: DataFrame, chain: str = "msa") -> DataFrame:
-    """Alignments next to each other by row; one that is too short is filled with gaps."""
+    """Alignments next to each other by row; one that is too short is filled with gaps. Their widths, a list, go to all tasks."""
     widths = df.groupBy(chain).agg(F.max(F.length("sequence")).alias("width"))
-    grid = df.select("row").distinct().crossJoin(F.broadcast(widths))
-    full = grid.join(df.select("row", chain, "sequence"), ["row", chain], "left").withColumn("s", F.coalesce("sequence", F.expr("repeat('-', width)")))
-    return full.groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(chain, "s"))), lambda x: x["s"]), "").alias("sequence"))
+    listed = widths.agg(F.array_sort(F.collect_list(F.struct(F.col(chain).alias("chain"), "width"))).alias("widths"))
+    if (n := widths.count()) > MOST_CHAINS:
+        raise ValueError(f"{n} alignments are more than {MOST_CHAINS}")
+    own = df.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct(F.col(chain).alias("chain"), "sequence"))).alias("own"))
+    full = F.transform("widths", lambda w: F.coalesce(F.try_element_at("own", w["chain"]), F.repeat(F.lit("-"), w["width"])))
+    return own.crossJoin(F.broadcast(listed)).select("row", F.array_join(full, "").alias("sequence"))  # the other side is one row
+
+
+def chain_offsets(df: DataFrame, assembly: str, chain: str = "msa") -> DataFrame:
+    """``offset`` and ``n``: where each chain's query begins in its assembly, and its length."""
+    n = df.filter("row = 0").groupBy(assembly, chain).agg(F.length(F.max("sequence")).cast("long").alias("n"))
+    return n.withColumn("offset", F.sum("n").over(Window.partitionBy(assembly).orderBy(chain)) - F.col("n"))
+
+
+def mapped_to_clusters(df: DataFrame, key: str, description: str, mapping: DataFrame) -> DataFrame:
+    """``description`` with `` UniRef90:`` and the cluster that ``mapping`` (key, cluster) has for the key, if any."""
+    return df.join(mapping, key, "left").withColumn(description, F.when(F.col("cluster").isNull(), F.col(description)).otherwise(F.concat(description, F.lit(" UniRef90:"), "cluster"))).drop("cluster")
 
 
 def profile(df: DataFrame) -> DataFrame:

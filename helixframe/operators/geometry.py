@@ -48,17 +48,19 @@ def aligned(query: str, other: str, gap_open: float = -10.0, gap_extend: float =
     score = np.zeros((n + 1, m + 1))
     score[1:, 0] = gap_open + gap_extend * np.arange(n)
     score[0, 1:] = gap_open + gap_extend * np.arange(m)
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            s = match if query[i - 1] == other[j - 1] else mismatch
-            score[i, j] = max(score[i - 1, j - 1] + s, score[i - 1, j] + gap_extend, score[i, j - 1] + gap_extend)
+    letters = np.frombuffer(other.encode("utf-32-le"), np.uint32)
+    along = gap_extend * np.arange(m + 1)
+    for i in range(1, n + 1):  # a row at once: what comes from the left is a running maximum
+        best = np.where(letters == ord(query[i - 1]), match, mismatch) + score[i - 1, :-1]
+        row = np.concatenate((score[i, :1], np.maximum(best, score[i - 1, 1:] + gap_extend)))
+        score[i] = np.maximum.accumulate(row - along) + along
     a, b, i, j = [], [], n, m
     while i or j:
         s = (match if query[i - 1] == other[j - 1] else mismatch) if i and j else 0
-        if i and j and score[i, j] == score[i - 1, j - 1] + s:
+        if i and j and abs(score[i, j] - score[i - 1, j - 1] - s) < 1e-9:
             a.append(query[i := i - 1])
             b.append(other[j := j - 1])
-        elif i and (not j or score[i, j] == score[i - 1, j] + gap_extend):
+        elif i and (not j or abs(score[i, j] - score[i - 1, j] - gap_extend) < 1e-9):
             a.append(query[i := i - 1])
             b.append("-")
         else:

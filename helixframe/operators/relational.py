@@ -9,6 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import checkpoint_folder
+
+# Bins of contact counts.
+SIZE_BINS = (10, 25, 50, 100, 200)
+# End of fixed values.
+
 
 def first_failing(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     """``passed`` and ``reason``: the first rule (name, whether it holds) that fails; null counts as failing."""
@@ -39,20 +45,22 @@ def identity_clusters(df: DataFrame, id_col: str, key: Column) -> DataFrame:
     return groups.drop("__key")
 
 
-def numbered(df: DataFrame, order: str, name: str, start: int = 0, parts: int = 64) -> DataFrame:
-    """A gapless number in ascending ``order`` (an integer column without ties) without a window over all rows.
+#: Rows of a range that one task numbers, and ranges at least.
+RANGE_ROWS, RANGES = 250_000, 16
+
 
-    Rows are counted in equal ranges of the order's values, and numbered inside a range.
+def numbered(df: DataFrame, order: str, name: str, start: int = 0) -> DataFrame:
+    """A gapless number in ascending ``order`` (a column without ties) without a window over all rows.
+
+    Rows are exchanged into ranges that Spark samples, so that they hold about as many rows however the values lie, and are
+    kept in the checkpoint folder; a row's number is its place in its range and the rows of the ranges before.
     """
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    if low is None:
-        return df.withColumn(name, F.lit(start).cast("long"))
-    width = max(1, -(-(high - low + 1) // parts))
-    ranged = df.withColumn("__part", ((F.col(order) - low) / width).cast("long"))
-    counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
-    ranked = ranged.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(order)))
-    return ranked.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__rank") - 1 + start).drop("__part", "__before", "__rank")
+    checkpoint_folder(df.sparkSession)
+    ranges = max(RANGES, -(-df.count() // RANGE_ROWS))
+    placed = df.repartitionByRange(ranges, order).sortWithinPartitions(order).select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__at")).checkpoint()
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # a row for each range
+    return placed.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__at") + start).drop("__part", "__before", "__at")
 
 
 def majority(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -108,9 +116,194 @@ def profile(df: DataFrame, sequence: str) -> DataFrame:
     return counts.join(total, "pos").select("pos", "letter", "n", (F.col("n") / F.col("total")).alias("frequency"))
 
 
-def expand_symmetry(points: DataFrame, operators: DataFrame) -> DataFrame:
-    """Every point under every operator (``op``, ``r11``..``r33``, ``t1``..``t3``); the operators of an assembly are few and go out whole."""
+def expand_symmetry(points: DataFrame, operators: DataFrame, keys: list[str]) -> DataFrame:
+    """Every point under every operator (``op``, ``r11``..``r33``, ``t1``..``t3``) of its own ``keys`` (a structure or an assembly)."""
     x, y, z = (F.col(c) for c in "xyz")
     moved = [F.col(f"r{i}1") * x + F.col(f"r{i}2") * y + F.col(f"r{i}3") * z + F.col(f"t{i}") for i in (1, 2, 3)]
     keep = [c for c in points.columns if c not in "xyz"]
-    return points.crossJoin(F.broadcast(operators)).select(*keep, "op", *(m.alias(c) for m, c in zip(moved, "xyz", strict=True)))
+    return points.join(operators, keys).select(*keep, "op", *(m.alias(c) for m, c in zip(moved, "xyz", strict=True)))
+
+
+# Groups and their members
+
+
+def without_whole(df: DataFrame, key: str, flag: Column) -> DataFrame:
+    """``key`` and ``n`` of the groups in which some row isn't flagged (null counts as not)."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), F.bool_and(F.coalesce(flag, F.lit(False))).alias("every")).filter(~F.col("every")).drop("every")
+
+
+def largest_step(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+    """``key`` and ``max_step``, the largest absolute difference of successive values (null for a single row)."""
+    w = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn("__step", F.abs(F.col(value) - F.lag(value).over(w))).groupBy(key).agg(F.max("__step").alias("max_step"))
+
+
+def without_cluster(df: DataFrame, key: str, members: DataFrame, target: str) -> DataFrame:
+    """Rows of the keys that have no member in the target cluster; ``members`` has ``key`` and ``cluster``."""
+    return df.join(members.filter(F.col("cluster") == target).select(key).distinct(), key, "left_anti")
+
+
+def with_cluster(df: DataFrame, key: str, clusters: DataFrame) -> DataFrame:
+    """``cluster`` of each row by its key, null where there is none."""
+    return df.join(clusters.select(key, "cluster"), key, "left")
+
+
+def in_bounds(size: Column, low: int = 4, high: int = 10_000) -> Column:
+    return size.between(low, high)
+
+
+def of_kinds(kind: Column, allowed: list[str] | None = None, excluded: list[str] | None = None) -> Column:
+    """Excluded kinds go first, then those that are not allowed."""
+    keep = ~kind.isin(*excluded) if excluded else F.lit(True)
+    return keep & kind.isin(*allowed) if allowed else keep
+
+
+def composed_of(df: DataFrame, key: str, low: int, high: int, required: dict[str, Column]) -> DataFrame:
+    """Groups of ``low`` to ``high`` rows in which each requirement holds for some row."""
+    found = df.groupBy(key).agg(F.count("*").alias("n"), *(F.bool_or(c).alias(f"__{k}") for k, c in required.items()))
+    for k in required:
+        found = found.filter(F.col(f"__{k}")).drop(f"__{k}")
+    return found.filter(F.col("n").between(low, high))
+
+
+def dominant(df: DataFrame, key: str, value: str, share: float = 0.8, default: str = "unknown", out: str = "kind") -> DataFrame:
+    """The value with more than ``share`` of a group's rows, else ``default``."""
+    counts = df.groupBy(key, value).agg(F.count("*").alias("n"))
+    total = counts.groupBy(key).agg(F.sum("n").alias("total"), F.max(F.struct(F.col("n"), F.col(value).alias("value"))).alias("best"))
+    return total.select(key, F.when(F.col("best.n") > share * F.col("total"), F.col("best.value")).otherwise(default).alias(out))
+
+
+def counts_by_kind(df: DataFrame, key: str, kind: str, names: dict[str, str]) -> DataFrame:
+    """Rows of each kind (``names``: column -> kind) and in all."""
+    return df.groupBy(key).agg(*(F.count_if(F.col(kind) == v).alias(k) for k, v in names.items()), F.count("*").alias("n"))
+
+
+def size_bin(size: Column, bins: tuple = SIZE_BINS) -> Column:
+    """How many of the thresholds the size reaches."""
+    return sum((F.when(size >= t, 1).otherwise(0) for t in bins), F.lit(0))
+
+
+def types_of(kind: str) -> Column:
+    return F.array_join(F.array_sort(F.collect_set(kind)), "+")
+
+
+def type_clusters(df: DataFrame, key: str, kind: str, size: str) -> DataFrame:
+    """Groups with the same set of kinds and the same bin of summed sizes: ``types``, ``bin``, ``n`` and the first key."""
+    each = df.groupBy(key).agg(types_of(kind).alias("types"), F.sum(size).alias("__size"))
+    return each.groupBy("types", size_bin(F.col("__size")).alias("bin")).agg(F.count("*").alias("n"), F.min(key).alias("first"))
+
+
+def signature(df: DataFrame, key: str, kind: str) -> DataFrame:
+    """``types:rows`` of each group."""
+    return df.groupBy(key).agg(F.concat_ws(":", types_of(kind), F.count("*").cast("string")).alias("signature"))
+
+
+def fingerprint(df: DataFrame, key: str, kind: str) -> DataFrame:
+    """The md5 of a group's kinds with their rows, in order."""
+    parts = df.groupBy(key, kind).agg(F.count("*").alias("n")).select(key, F.concat(F.col(kind), F.lit(":"), F.col("n").cast("string")).alias("f"))
+    return parts.groupBy(key).agg(F.md5(F.array_join(F.array_sort(F.collect_list("f")), "|")).alias("fingerprint"))
+
+
+def similarity(same_type: Column, a: Column, b: Column) -> Column:
+    """0 for different types, else the smaller size over the larger."""
+    return F.when(~same_type, 0.0).otherwise(F.least(a, b) / F.greatest(a, b))
+
+
+def index_of(df: DataFrame, key: str, members: dict[str, str]) -> DataFrame:
+    """How many distinct members (``members``: column -> member) each key has."""
+    return df.groupBy(key).agg(*(F.countDistinct(c).alias(k) for k, c in members.items()))
+
+
+def described(df: DataFrame, key: str, value: str, distinct: dict[str, str] | None = None) -> DataFrame:
+    """Rows, mean, median, least and most of a value, and distinct members."""
+    return df.groupBy(key).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.min(value).alias("least"), F.max(value).alias("most"), *(F.countDistinct(c).alias(k) for k, c in (distinct or {}).items()))
+
+
+def failures(df: DataFrame, reason: str) -> DataFrame:
+    """Rows by what stands before the first colon of their reason."""
+    return df.groupBy(F.split_part(reason, F.lit(":"), F.lit(1)).alias("reason")).agg(F.count("*").alias("n"))
+
+
+def first_of_equal(df: DataFrame, key: Column, order: str, name: str = "key") -> DataFrame:
+    """The smallest ``order`` of each key."""
+    return df.groupBy(key.alias(name)).agg(F.min(order).alias(order))
+
+
+def best_per_key(df: DataFrame, key: str, score: str, order: list[str]) -> DataFrame:
+    """The row with the highest score of each key, of equals the first in ``order``; other columns are left out."""
+    best = F.max(F.struct(F.col(score).alias("score"), *((-F.col(c)).alias(c) for c in order)))
+    return df.groupBy(key).agg(best.alias("b")).select(key, F.col("b.score").alias(score), *((-F.col(f"b.{c}")).alias(c) for c in order))
+
+
+def distinct_first(df: DataFrame, columns: list[str], order: str) -> DataFrame:
+    """Distinct values with the place at which each is first seen."""
+    return df.groupBy(*columns).agg(F.min(order).alias("first"))
+
+
+def first_by_name(parts: list[DataFrame], name: str, order: list[str]) -> DataFrame:
+    """Of rows in several tables the first of each name, by the table's number (``part``) and ``order``."""
+    every = None
+    for i, p in enumerate(parts):
+        numbered_part = p.withColumn("part", F.lit(i))
+        every = numbered_part if every is None else every.unionByName(numbered_part)
+    return every.groupBy(name).agg(F.min(F.struct("part", *order)).alias("m")).select(name, "m.*")
+
+
+def batches(df: DataFrame, order: str, size: int) -> DataFrame:
+    """``batch``: rows in order, ``size`` to a batch, the last one with the rest."""
+    if size < 1:
+        raise ValueError("a batch holds one row at least")
+    return numbered(df, order, "__row").withColumn("batch", F.floor(F.col("__row") / size)).drop("__row")
+
+
+def flattened(column: Column, depth: int) -> Column:
+    """Nested arrays, ``depth`` levels made one."""
+    for _ in range(depth):
+        column = F.flatten(column)
+    return column
+
+
+# Weights
+
+
+def static_weight(name: Column, weights: dict[str, float]) -> Column:
+    """1.0 for names without a weight."""
+    pairs = [F.lit(x) for kv in weights.items() for x in kv]
+    return F.coalesce(F.element_at(F.create_map(*pairs), name), F.lit(1.0))
+
+
+def inverse_cluster_weight(df: DataFrame, key: str, cluster: str) -> DataFrame:
+    """For each key 1 over the size (distinct keys) of the smallest cluster it is in."""
+    size = df.groupBy(cluster).agg(F.countDistinct(key).alias("__size"))
+    return df.join(size, cluster).groupBy(key).agg((1 / F.min("__size")).alias("weight"))
+
+
+def cluster_weight(df: DataFrame, cluster: str, factor: Column, dataset: str) -> DataFrame:
+    """``weight``: 1 over the rows of the cluster times ``factor``, as a share of the dataset's sum."""
+    size = df.groupBy(cluster).agg(F.count("*").alias("__size"))
+    raw = df.join(size, cluster).withColumn("__w", (1 / F.col("__size")) * factor)
+    total = raw.groupBy(dataset).agg(F.sum("__w").alias("__total"))
+    return raw.join(total, dataset).withColumn("weight", F.col("__w") / F.col("__total")).drop("__size", "__w", "__total")
+
+
+def chain_weight(types: Column) -> Column:
+    return 1 + 0.5 * F.size(types)
+
+
+def interface_weight(types: Column, tags: tuple[str, ...] = ("ligand-protein", "dna-protein", "protein-rna")) -> Column:
+    """Twice for an interface of a protein with a ligand or a nucleic acid."""
+    return F.when(F.arrays_overlap(types, F.array(*map(F.lit, tags))), 2.0).otherwise(1.0)
+
+
+def drawn(df: DataFrame, key: str, weight: str, n: int, seed: int) -> DataFrame:
+    """``n`` draws with replacement in proportion to ``weight``: ``draw`` and ``key``. The keys' cumulated weights are one window over a dataset's entries by hash range."""
+    total = df.agg(F.sum(weight)).first()[0]
+    parts = 64
+    ranged = df.select(key, weight, F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"))
+    sums = ranged.groupBy("part").agg(F.sum(weight).alias("w"))
+    before = sums.select("part", (F.sum("w").over(Window.orderBy("part")) - F.col("w")).alias("before"), "w")  # a row for each part
+    inside = F.sum(weight).over(Window.partitionBy("part").orderBy(key))
+    spans = ranged.withColumn("high", inside).withColumn("low", F.col("high") - F.col(weight)).select("part", key, "low", "high")
+    u = df.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn("u", uniform(seed, "draw") * total)
+    at = u.join(F.broadcast(before), (F.col("u") >= F.col("before")) & (F.col("u") < F.col("before") + F.col("w"))).withColumn("u", F.col("u") - F.col("before")).drop("before", "w")
+    return at.join(spans, "part").filter((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high"))).select("draw", key)

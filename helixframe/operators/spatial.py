@@ -89,3 +89,38 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, k: int, radius: flo
         if not left.limit(1).count():
             return out
         radius *= 2
+
+
+def between(a: Column, b: Column) -> Column:
+    """The distance of two points given as structs of ``x, y, z``."""
+    return F.sqrt(sum(((a[c] - b[c]) * (a[c] - b[c]) for c in XYZ), F.lit(0.0)))
+
+
+def pairs_of(points: DataFrame, key: str, group: str) -> DataFrame:
+    """All pairs inside a group (columns prefixed ``a_`` and ``b_``), smaller ``key`` first. Groups are cropped ones: their pairs are the result."""
+    a, b = (points.select(*(F.col(c).alias(f"{s}_{c}") for c in points.columns)) for s in "ab")
+    return a.join(b, (F.col(f"a_{group}") == F.col(f"b_{group}")) & (F.col(f"a_{key}") < F.col(f"b_{key}")))
+
+
+def unit_vector(least: float = 1e-8) -> list[Column]:
+    """From ``a`` to ``b``, of length 0 where the points are the same."""
+    return [(F.col(f"b_{c}") - F.col(f"a_{c}")) / F.greatest(distance(), F.lit(least)) for c in XYZ]
+
+
+def same(column: str) -> Column:
+    return F.col(f"a_{column}") == F.col(f"b_{column}")
+
+
+def contact_sets(points: DataFrame, key: str, chain: str, threshold: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """For each two chains in contact: the points of each side, in order, and the least distance."""
+    found = within(points, points, threshold, keys).filter(F.col(f"a_{chain}") < F.col(f"b_{chain}"))
+    names = [F.col(f"a_{k}").alias(k) for k in keys]
+    return found.groupBy(*names, F.col(f"a_{chain}").alias("chain_1"), F.col(f"b_{chain}").alias("chain_2")).agg(
+        F.array_sort(F.collect_set(f"a_{key}")).alias("points_1"), F.array_sort(F.collect_set(f"b_{key}")).alias("points_2"), F.min("distance").alias("min_distance")
+    )
+
+
+def weighted_centres(points: DataFrame, chain: list[str], weight: str) -> DataFrame:
+    """The centre by weight, at the origin where there is no weight."""
+    mass = F.sum(weight)
+    return points.groupBy(*chain).agg(*(F.coalesce(F.sum(F.col(c) * F.col(weight)) / F.nullif(mass, F.lit(0)), F.lit(0.0)).alias(f"c{c}") for c in XYZ))

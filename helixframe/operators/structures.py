@@ -181,7 +181,7 @@ def expanded(atoms: DataFrame, operators: DataFrame, assembly: str = "1", most:
 def glycosidic(atoms: DataFrame, glycans: DataFrame, most: float = GLYCOSIDIC) -> DataFrame:
     """Bonds of glycan atoms to protein atoms, and between glycans next to each other in a chain. ``glycans`` has the codes (``code``)."""
     kind = chem.chain_type(F.col("residue"))
-    marked = _keyed(atoms).join(F.broadcast(glycans.select(F.col("code").alias("residue"), F.lit(True).alias("glycan")).distinct()), "residue", "left").withColumn("glycan", F.coalesce("glycan", F.lit(False))).withColumn("kind", kind)
+    marked = _keyed(atoms).join(glycans.select(F.col("code").alias("residue"), F.lit(True).alias("glycan")).distinct(), "residue", "left").withColumn("glycan", F.coalesce("glycan", F.lit(False))).withColumn("kind", kind)
     near = spatial.within(marked, marked, most, ("structure_id",)).filter("a_glycan")
     protein = F.col("b_kind") == "PROTEIN"
     beside = F.col("b_glycan") & (F.col("a_chain_id") == F.col("b_chain_id")) & (F.col("b_residue_pos") == F.col("a_residue_pos") + 1)
@@ -201,7 +201,7 @@ def pocket(atoms: DataFrame, distance: float = 10.0) -> DataFrame:
 def without_leaving_atoms(atoms: DataFrame, bonds: DataFrame, known: DataFrame) -> DataFrame:
     """For both residues of each bond, atoms go that their component marks as leaving (``code, atom, leaving``)."""
     ends = bonds.select("structure_id", F.col("chain_1").alias("chain_id"), F.col("seq_1").alias("seq_id")).union(bonds.select("structure_id", "chain_2", "seq_2")).distinct()
-    leaving = F.broadcast(known.filter("leaving").select(F.col("code").alias("residue"), "atom").distinct())
+    leaving = known.filter("leaving").select(F.col("code").alias("residue"), "atom").distinct()
     gone = atoms.join(ends, ["structure_id", "chain_id", "seq_id"], "left_semi").join(leaving, ["residue", "atom"], "left_semi").select(*RESIDUE, "atom")
     return atoms.join(gone, [*RESIDUE, "atom"], "left_anti")
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences
+from ..operators import alignments as A
 from ..operators import relational as R
 from ..sources.tables import read_table
+from ..streaming import tasks
 
 HASH_SQL = "(('0x' || substr(md5({} || '|{}'), 1, 8))::UBIGINT / 4294967296.0::DOUBLE)"
 
@@ -38,23 +40,21 @@ def c06_excluded(spark, d: str) -> DataFrame:
     """Orders of which every part is excluded go; an order without lines goes too."""
     part = read_table(spark, d, "part").select("p_partkey", F.col("p_brand").isin("Brand#11", "Brand#12", "Brand#13").alias("out"))
     lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_partkey").join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return lines.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.bool_and(F.coalesce("out", F.lit(False))).alias("every")).filter(~F.col("every")).select("l_orderkey", "n")
+    return R.without_whole(lines, "l_orderkey", F.col("out"))
 
 
 def c07_broken_chains(spark, d: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = read_table(spark, d, "events").select("user_id", "ts", "event_id", "value").withColumn("gap", F.abs(F.col("value") - F.lag("value").over(w)))
-    return e.groupBy("user_id").agg(F.round(F.max("gap"), 6).alias("max_gap")).withColumn("broken", F.coalesce(F.col("max_gap") > 90, F.lit(False)))
+    e = R.largest_step(read_table(spark, d, "events").select("user_id", "ts", "event_id", "value"), "user_id", ["ts", "event_id"], "value")
+    return e.select("user_id", F.round("max_step", 6).alias("max_gap")).withColumn("broken", F.coalesce(F.col("max_gap") > 90, F.lit(False)))
 
 
 def c10_cluster_holdout(spark, d: str) -> DataFrame:
-    held = read_table(spark, d, "documents").filter("source = 'src3'").select("lang", "source").distinct()
     docs = read_table(spark, d, "documents").select("doc_id", "source")
-    return docs.join(held.select("source").distinct(), "source", "left_anti").select("doc_id", "source")
+    return R.without_cluster(docs, "doc_id", docs.select("doc_id", F.col("source").alias("cluster")), "src3")
 
 
 def c12_length_filter(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").filter(F.col("n_chars").between(400, 10000)).select("doc_id", "n_chars")
+    return read_table(spark, d, "documents").filter(R.in_bounds(F.col("n_chars"), 400, 10000)).select("doc_id", "n_chars")
 
 
 def c14_date_modes(spark, d: str) -> DataFrame:
@@ -63,8 +63,7 @@ def c14_date_modes(spark, d: str) -> DataFrame:
 
 
 def c16_composition(spark, d: str) -> DataFrame:
-    lines = read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
-    return lines.filter(F.col("n").between(2, 6) & F.col("returned")).select("l_orderkey", "n")
+    return R.composed_of(read_table(spark, d, "lineitem"), "l_orderkey", 2, 6, {"returned": F.col("l_returnflag") == "R"})
 
 
 def e01_majority(spark, d: str) -> DataFrame:
@@ -73,9 +72,7 @@ def e01_majority(spark, d: str) -> DataFrame:
 
 def e02_dominant(spark, d: str) -> DataFrame:
     """A user's kind: the event type with over 80 % of the events, else unknown."""
-    counts = read_table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    total = counts.groupBy("user_id").agg(F.sum("n").alias("total"), F.max(F.struct("n", "event_type")).alias("best"))
-    return total.select("user_id", F.when(F.col("best.n") > 0.8 * F.col("total"), F.col("best.event_type")).otherwise("unknown").alias("kind"))
+    return R.dominant(read_table(spark, d, "events"), "user_id", "event_type")
 
 
 def e06_identity_clusters(spark, d: str) -> DataFrame:
@@ -87,14 +84,11 @@ def e06_identity_clusters(spark, d: str) -> DataFrame:
 
 def e07_interface_clusters(spark, d: str) -> DataFrame:
     """Orders by their set of return flags and a bin of their quantity."""
-    q = read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), "+").alias("types"), F.sum("l_quantity").alias("q"))
-    size = sum((F.col("q") >= t).cast("int") for t in (10, 25, 50, 100, 200))
-    return q.groupBy("types", size.alias("bin")).agg(F.count("*").alias("n"), F.min("l_orderkey").alias("first"))
+    return R.type_clusters(read_table(spark, d, "lineitem"), "l_orderkey", "l_returnflag", "l_quantity")
 
 
 def e11_signature(spark, d: str) -> DataFrame:
-    q = read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("l_linestatus")), "+").alias("types"), F.count("*").alias("n"))
-    return q.select("l_orderkey", F.concat_ws(":", "types", F.col("n").cast("string")).alias("signature"))
+    return R.signature(read_table(spark, d, "lineitem"), "l_orderkey", "l_linestatus")
 
 
 def e12_similarity(spark, d: str) -> DataFrame:
@@ -102,11 +96,11 @@ def e12_similarity(spark, d: str) -> DataFrame:
     o = read_table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_totalprice")
     w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
     o = o.withColumn("p", F.lag("o_orderpriority").over(w)).withColumn("t", F.lag("o_totalprice").over(w)).filter("p IS NOT NULL")
-    return o.select("o_orderkey", F.round(F.when(F.col("p") != F.col("o_orderpriority"), 0.0).otherwise(F.least("t", "o_totalprice") / F.greatest("t", "o_totalprice")), 9).alias("similarity"))
+    return o.select("o_orderkey", F.round(R.similarity(F.col("p") == F.col("o_orderpriority"), F.col("t"), F.col("o_totalprice")), 9).alias("similarity"))
 
 
 def e13_inverted(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_orderkey").alias("n_orders"), F.countDistinct("l_suppkey").alias("n_suppliers"))
+    return R.index_of(read_table(spark, d, "lineitem"), "l_partkey", {"n_orders": "l_orderkey", "n_suppliers": "l_suppkey"})
 
 
 def e14_profile(spark, d: str) -> DataFrame:
@@ -119,20 +113,12 @@ def e15_deletion_mean(spark, d: str) -> DataFrame:
 
 
 def e29_dataset_stats(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg("n_chars"), 6).alias("mean"), F.median("n_chars").alias("median"), F.min("n_chars").alias("least"), F.max("n_chars").alias("most"), F.countDistinct("source").alias("n_sources"))
+    return R.described(read_table(spark, d, "documents"), "lang", "n_chars", {"n_sources": "source"}).withColumn("mean", F.round("mean", 6))
 
 
 def e33_progress(spark, d: str) -> DataFrame:
-    e = read_table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("total"), F.count_if(F.col("event_type") == "purchase").alias("done"))
-    return e.select("user_id", "total", "done", F.round(F.when(F.col("total") == 0, 0.0).otherwise(100 * F.col("done") / F.col("total")), 6).alias("percent"))
-
-
-def f01_tokens(spark, d: str) -> DataFrame:
-    """Running token numbers over an order's lines: one token a line, or one for each unit of quantity up to three."""
-    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.least(F.lit(3), F.col("l_quantity").cast("int")).alias("units"))
-    tokens = li.select("l_orderkey", "l_linenumber", "l_partkey", F.posexplode(F.sequence(F.lit(1), F.when(F.col("l_partkey") % 2 == 0, 1).otherwise(F.greatest("units", F.lit(1))))).alias("within", "_u"))
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "within")
-    return tokens.select("l_orderkey", "l_linenumber", "l_partkey", "within", (F.row_number().over(w) - 1).alias("token"))
+    states = read_table(spark, d, "events").select("user_id", F.when(F.col("event_type") == "purchase", "completed").otherwise("pending").alias("state"))
+    return tasks.progress(states, "user_id").select("user_id", "total", F.col("completed").alias("done"), F.round("percent", 6).alias("percent"))
 
 
 def f06_budget(spark, d: str) -> DataFrame:
@@ -143,10 +129,7 @@ def f06_budget(spark, d: str) -> DataFrame:
 def f08_weights(spark, d: str) -> DataFrame:
     """Inverse cluster size times a factor of price, normalised in each priority."""
     o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
-    size = o.groupBy("o_custkey").agg(F.count("*").alias("size"))
-    raw = o.join(size, "o_custkey").withColumn("w", (1 / F.col("size")) * (1 + F.col("o_totalprice") / 1_000_000))
-    total = raw.groupBy("o_orderpriority").agg(F.sum("w").alias("total"))
-    return raw.join(F.broadcast(total), "o_orderpriority").select("o_orderkey", F.round(F.col("w") / F.col("total"), 12).alias("weight"))
+    return R.cluster_weight(o, "o_custkey", 1 + F.col("o_totalprice") / 1_000_000, "o_orderpriority").select("o_orderkey", F.round("weight", 12).alias("weight"))
 
 
 def f12_round_robin(spark, d: str) -> DataFrame:
@@ -163,20 +146,20 @@ def d19_paired(spark, d: str) -> DataFrame:
 
 
 def d21_mapping(spark, d: str) -> DataFrame:
-    n = read_table(spark, d, "nation").select("n_nationkey", "n_name").filter("n_nationkey < 12")
-    s = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey", "s_name")
-    return s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"), "left").select("s_suppkey", F.when(F.col("n_name").isNull(), F.col("s_name")).otherwise(F.concat("s_name", F.lit(" UniRef90:"), "n_name")).alias("description"))
+    """Suppliers' names with their nation's, where the nation has a customer."""
+    served = read_table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey")).distinct()
+    n = read_table(spark, d, "nation").join(served, "n_nationkey", "left_semi").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("cluster"))
+    s = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey", F.col("s_name").alias("description"))
+    return A.mapped_to_clusters(s, "s_nationkey", "description", n).select("s_suppkey", "description")
 
 
 def g01_dedup(spark, d: str) -> DataFrame:
-    docs = read_table(spark, d, "documents").select("doc_id", F.md5("text").alias("key"))
-    return docs.groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "key")
+    return R.first_of_equal(read_table(spark, d, "documents").select("doc_id", "text"), F.md5("text"), "doc_id")
 
 
 def g07_best_per_key(spark, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_extendedprice")
-    best = li.groupBy("l_partkey").agg(F.max(F.struct("l_extendedprice", -F.col("l_orderkey"), -F.col("l_linenumber"))).alias("b"))
-    return best.select("l_partkey", F.col("b.l_extendedprice").alias("price"), (-F.col("b.col2")).alias("l_orderkey"))
+    best = R.best_per_key(read_table(spark, d, "lineitem"), "l_partkey", "l_extendedprice", ["l_orderkey", "l_linenumber"])
+    return best.select("l_partkey", F.col("l_extendedprice").alias("price"), "l_orderkey")
 
 
 def g10_top4(spark, d: str) -> DataFrame:
@@ -185,8 +168,8 @@ def g10_top4(spark, d: str) -> DataFrame:
 
 
 def h02_common(spark, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem")
-    return li.filter("l_returnflag = 'A'").select("l_partkey").intersect(li.filter("l_returnflag = 'N'").select("l_partkey"))
+    li = read_table(spark, d, "lineitem").filter(F.col("l_returnflag").isin("A", "N"))
+    return R.common_keys(li, "l_partkey", "l_returnflag").select("l_partkey")
 
 
 def h03_horizontal(spark, d: str) -> DataFrame:
@@ -198,9 +181,9 @@ def h03_horizontal(spark, d: str) -> DataFrame:
 
 def h05_merged(spark, d: str) -> DataFrame:
     """Rows of two tables, the first of each name, with the table that gave it."""
-    c = read_table(spark, d, "customer").select(F.lit(0).alias("part"), F.substring("c_name", -3, 3).alias("name"), F.col("c_custkey").alias("key"))
-    s = read_table(spark, d, "supplier").select(F.lit(1).alias("part"), F.substring("s_name", -3, 3).alias("name"), F.col("s_suppkey").alias("key"))
-    return c.unionByName(s).groupBy("name").agg(F.min(F.struct("part", "key")).alias("m")).select("name", "m.part", "m.key")
+    c = read_table(spark, d, "customer").select(F.substring("c_name", -3, 3).alias("name"), F.col("c_custkey").alias("key"))
+    s = read_table(spark, d, "supplier").select(F.substring("s_name", -3, 3).alias("name"), F.col("s_suppkey").alias("key"))
+    return R.first_by_name([c, s], "name", ["key"])
 
 
 def i02_balanced(spark, d: str) -> DataFrame:
@@ -216,7 +199,7 @@ def i03_weighted(spark, d: str) -> DataFrame:
 
 def a45_shards(spark, d: str) -> DataFrame:
     o = read_table(spark, d, "orders").select("o_orderkey").distinct()
-    return R.numbered(o, "o_orderkey", "row").select("o_orderkey", "row", F.floor(F.col("row") / 1000).alias("shard"))
+    return R.batches(R.numbered(o, "o_orderkey", "row"), "row", 1000).withColumnRenamed("batch", "shard")
 
 
 def l06_relative_positions(spark, d: str) -> DataFrame:
@@ -236,7 +219,7 @@ def n10_task_states(spark, d: str) -> DataFrame:
     return e.select("user_id", "attempts", state.alias("state"))
 
 
-QUERIES = {f.__name__: f for f in (c01_filter_reason, c01_filter_stats, c06_excluded, c07_broken_chains, c10_cluster_holdout, c12_length_filter, c14_date_modes, c16_composition, d19_paired, d21_mapping, e01_majority, e02_dominant, e06_identity_clusters, e07_interface_clusters, e11_signature, e12_similarity, e13_inverted, e14_profile, e15_deletion_mean, e29_dataset_stats, e33_progress, f01_tokens, f06_budget, f08_weights, f12_round_robin, g01_dedup, g07_best_per_key, g10_top4, h02_common, h03_horizontal, h05_merged, i02_balanced, i03_weighted, a45_shards, l06_relative_positions, n10_task_states)}
+QUERIES = {f.__name__: f for f in (c01_filter_reason, c01_filter_stats, c06_excluded, c07_broken_chains, c10_cluster_holdout, c12_length_filter, c14_date_modes, c16_composition, d19_paired, d21_mapping, e01_majority, e02_dominant, e06_identity_clusters, e07_interface_clusters, e11_signature, e12_similarity, e13_inverted, e14_profile, e15_deletion_mean, e29_dataset_stats, e33_progress, f06_budget, f08_weights, f12_round_robin, g01_dedup, g07_best_per_key, g10_top4, h02_common, h03_horizontal, h05_merged, i02_balanced, i03_weighted, a45_shards, l06_relative_positions, n10_task_states)}
 _U = HASH_SQL.format("o_orderkey", 42)
 _V = HASH_SQL.format("o_orderkey", 7)
 _DEL = "regexp_extract_all(regexp_replace(replace(p_brand, '#', '-'), '[^A-Za-z-]', '', 'g'), '[a-z]*[A-Z-]')"
@@ -250,7 +233,7 @@ ORACLES = {
     "c14_date_modes": "SELECT o_orderkey, o_orderdate::DATE <= DATE '1996-06-30' AS before, o_orderdate::DATE >= DATE '1996-06-30' AS after, o_orderdate::DATE = DATE '1996-06-30' AS \"on\" FROM orders",
     "c16_composition": "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) BETWEEN 2 AND 6 AND bool_or(l_returnflag = 'R')",
     "d19_paired": "WITH a AS (SELECT count(DISTINCT c_mktsegment) AS k FROM customer), b AS (SELECT c_nationkey, count(DISTINCT c_mktsegment) AS n_groups FROM customer GROUP BY 1) SELECT c_nationkey, c_mktsegment, min(c_custkey) AS first, n_groups FROM customer JOIN b USING (c_nationkey) JOIN a ON n_groups = k GROUP BY 1, 2, 4",
-    "d21_mapping": "SELECT s_suppkey, s_name || coalesce(' UniRef90:' || n_name, '') AS description FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 12) ON s_nationkey = n_nationkey",
+    "d21_mapping": "SELECT s_suppkey, s_name || coalesce(' UniRef90:' || n_name, '') AS description FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)) ON s_nationkey = n_nationkey",
     "e01_majority": "SELECT user_id, event_type, n FROM (SELECT user_id, event_type, count(*) AS n, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, min(event_id)) AS k FROM events GROUP BY 1, 2) WHERE k = 1",
     "e02_dominant": "WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2), t AS (SELECT user_id, sum(n) AS total FROM c GROUP BY 1) SELECT user_id, coalesce(max(CASE WHEN n > 0.8 * total THEN event_type END), 'unknown') AS kind FROM c JOIN t USING (user_id) GROUP BY 1",
     "e06_identity_clusters": "SELECT representative, size, row_number() OVER (ORDER BY representative) - 1 AS cluster FROM (SELECT min(doc_id) AS representative, count(*) AS size FROM documents GROUP BY md5(lower(replace(text, '-', ''))))",
@@ -262,7 +245,6 @@ ORACLES = {
     "e15_deletion_mean": f"WITH c AS (SELECT unnest(list_transform({_DEL}, lambda x: length(x) - 1)) AS deletions, unnest(range(len({_DEL}))) AS pos FROM part) SELECT pos::INTEGER AS pos, count(*) AS n, round(avg(deletions), 9) AS mean, count(*) FILTER (deletions > 0) AS n_deleted, round(2 / pi() * atan(avg(deletions) / 3), 9) AS value FROM c GROUP BY 1",
     "e29_dataset_stats": "SELECT lang, count(*) AS n, round(avg(n_chars), 6) AS mean, median(n_chars) AS median, min(n_chars) AS least, max(n_chars) AS most, count(DISTINCT source) AS n_sources FROM documents GROUP BY 1",
     "e33_progress": "SELECT user_id, count(*) AS total, count(*) FILTER (event_type = 'purchase') AS done, round(100 * count(*) FILTER (event_type = 'purchase') / count(*), 6) AS percent FROM events GROUP BY 1",
-    "f01_tokens": "WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, unnest(range(CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE greatest(1, least(3, floor(l_quantity)::INTEGER)) END)) AS within FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, within::INTEGER AS within, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, within) - 1)::INTEGER AS token FROM t",
     "f06_budget": "SELECT * FROM (SELECT source, doc_id, n_chars, (sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS running FROM documents) WHERE running <= 50000",
     "f08_weights": "WITH s AS (SELECT o_custkey, count(*) AS size FROM orders GROUP BY 1), w AS (SELECT o_orderkey, o_orderpriority, 1 / size * (1 + o_totalprice / 1000000) AS w FROM orders JOIN s USING (o_custkey)) SELECT o_orderkey, round(w / sum(w) OVER (PARTITION BY o_orderpriority), 12) AS weight FROM w",
     "f12_round_robin": "SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey)::INTEGER AS turn FROM lineitem",

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import chem, sequences
 from ..operators import alignments as A
-from ..operators import crop, spatial
+from ..operators import crop, distillation, spatial
 from ..operators import relational as R
+from ..operators import templates as T
+from ..sources import structures as structure_files
+from ..sources.store import checksum
 from ..sources.tables import read_table
+from ..streaming import files
 from .curation import HASH_SQL
 from .spatial import DIST, POINTS, points
 
@@ -77,19 +81,11 @@ def f12_dense_stack(spark, d: str) -> DataFrame:
     return A.dense_stack(msa(spark, d), rows=300).select("msa", "row", "turn", "place")
 
 
-@query(f"WITH {MSA_SQL}, w AS (SELECT msa, max(length(sequence)) AS w FROM m GROUP BY msa), r AS (SELECT DISTINCT \"row\" FROM m WHERE \"row\" < 4) SELECT \"row\", md5(string_agg(coalesce(sequence, repeat('-', w)), '' ORDER BY msa)) AS digest FROM r CROSS JOIN w LEFT JOIN m USING (\"row\", msa) GROUP BY \"row\"")
+@query(f"WITH {MSA_SQL}, w AS (SELECT msa, max(length(sequence)) AS w FROM m GROUP BY msa), r AS (SELECT DISTINCT \"row\" FROM m) SELECT \"row\", md5(string_agg(coalesce(sequence, repeat('-', w)), '' ORDER BY msa)) AS digest FROM r CROSS JOIN w LEFT JOIN m USING (\"row\", msa) GROUP BY \"row\"")
 def h03_side_by_side(spark, d: str) -> DataFrame:
-    return A.side_by_side(msa(spark, d).filter("row < 4")).select("row", F.md5("sequence").alias("digest"))
-
-
-def h03_all_rows(spark, d: str) -> DataFrame:
-    """All rows of all alignments; without SQL, tested on a small table."""
     return A.side_by_side(msa(spark, d)).select("row", F.md5("sequence").alias("digest"))
 
 
-QUERIES["h03_all_rows"] = h03_all_rows
-
-
 @query(f"WITH {MSA_SQL}, u AS (SELECT *, CASE WHEN \"row\" = 0 THEN -1.0 ELSE {HASH_SQL.format("msa || '|' || \"row\"", 5)} END AS u FROM m) SELECT msa, \"row\" FROM (SELECT *, row_number() OVER (PARTITION BY msa ORDER BY u, \"row\") AS k FROM u) WHERE k <= 6")
 def i08_subsampled(spark, d: str) -> DataFrame:
     return A.subsampled(msa(spark, d), 6, 5).select("msa", "row")
@@ -101,10 +97,9 @@ def d20_species_pairs(spark, d: str) -> DataFrame:
     return A.paired_by_species(c, species=F.col("nation")).select("pair", "msa", (F.col("row") - 1).alias("first"))
 
 
-@query(f"WITH {MSA_SQL} SELECT msa, (sum(n) OVER (ORDER BY msa) - n)::BIGINT AS \"offset\", n FROM (SELECT msa, length(max(CASE WHEN \"row\" = 0 THEN sequence END)) AS n FROM m GROUP BY msa)")
+@query(f"WITH {MSA_SQL} SELECT msa % 5 AS assembly, msa, (sum(n) OVER (PARTITION BY msa % 5 ORDER BY msa) - n)::BIGINT AS \"offset\", n FROM (SELECT msa, length(max(CASE WHEN \"row\" = 0 THEN sequence END)) AS n FROM m GROUP BY msa)")
 def f13_chain_offsets(spark, d: str) -> DataFrame:
-    n = msa(spark, d).groupBy("msa").agg(F.length(F.max(F.when(F.col("row") == 0, F.col("sequence")))).cast("long").alias("n"))
-    return n.withColumn("offset", F.sum("n").over(Window.orderBy("msa")) - F.col("n"))
+    return A.chain_offsets(msa(spark, d).withColumn("assembly", F.col("msa") % 5), "assembly")
 
 
 # Templates: orders are hits of their customer; the price is the score.
@@ -123,81 +118,51 @@ def g09_best_by_cluster(spark, d: str) -> DataFrame:
 @query("SELECT o_orderkey, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE END <= DATE '1996-01-01', true) AS kept, coalesce(CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE END <= DATE '1996-01-01', false) AS dated FROM orders")
 def c25_date_filters(spark, d: str) -> DataFrame:
     date = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date"))
-    early = date <= F.lit("1996-01-01").cast("date")
-    return read_table(spark, d, "orders").select("o_orderkey", F.coalesce(early, F.lit(True)).alias("kept"), F.coalesce(early, F.lit(False)).alias("dated"))
+    return read_table(spark, d, "orders").select("o_orderkey", T.dated_before(date, "1996-01-01", True).alias("kept"), T.dated_before(date, "1996-01-01", False).alias("dated"))
 
 
 @query("SELECT s_suppkey FROM supplier WHERE upper(s_name) NOT IN (SELECT upper(s_name) FROM supplier WHERE s_nationkey < 5)")
 def c26_obsolete(spark, d: str) -> DataFrame:
     s = read_table(spark, d, "supplier")
-    gone = s.filter("s_nationkey < 5").select(F.upper("s_name").alias("gone")).distinct()
-    return s.join(gone, F.upper("s_name") == F.col("gone"), "left_anti").select("s_suppkey")
+    return T.without_obsolete(s, "s_name", s.filter("s_nationkey < 5").select(F.lower("s_name").alias("pdb_id"))).select("s_suppkey")
 
 
 @query("SELECT t.o_orderkey, count(e.o_orderkey) AS allowed FROM orders t LEFT JOIN orders e ON e.o_custkey = t.o_custkey AND e.o_orderdate::DATE <= t.o_orderdate::DATE - 60 GROUP BY t.o_orderkey")
 def k16_sixty_days_before(spark, d: str) -> DataFrame:
     """Orders of the same customer at least 60 days before: a range in an equi-join."""
     o = read_table(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    e = o.select(F.col("o_custkey").alias("c"), F.col("o_orderkey").alias("k"), F.col("day").alias("before"))
-    return o.join(e, (F.col("o_custkey") == F.col("c")) & (F.col("before") <= F.date_sub("day", 60)), "left").groupBy("o_orderkey").agg(F.count("k").alias("allowed"))
+    return T.allowed_before(o, o, "o_custkey", "o_orderkey", "day", "o_orderkey")
 
 
 # Chains and structures: an order is a structure, its lines are residues.
 @query("SELECT l_orderkey, count(*) FILTER (l_returnflag = 'A') AS n_a, count(*) FILTER (l_returnflag = 'N') AS n_n, count(*) FILTER (l_returnflag = 'R') AS n_r, count(*) AS n FROM lineitem GROUP BY 1")
 def e03_metrics(spark, d: str) -> DataFrame:
-    flags = {f"n_{x.lower()}": F.count_if(F.col("l_returnflag") == x) for x in "ANR"}
-    return read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(*(c.alias(k) for k, c in flags.items()), F.count("*").alias("n"))
+    return R.counts_by_kind(read_table(spark, d, "lineitem"), "l_orderkey", "l_returnflag", {f"n_{x.lower()}": x for x in "ANR"})
 
 
 @query("SELECT l_orderkey, md5(string_agg(f, '|' ORDER BY f)) AS fingerprint FROM (SELECT l_orderkey, l_returnflag || ':' || count(*) AS f FROM lineitem GROUP BY l_orderkey, l_returnflag) GROUP BY 1")
 def e10_fingerprint(spark, d: str) -> DataFrame:
-    parts = read_table(spark, d, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.count("*").alias("n")).select("l_orderkey", F.concat("l_returnflag", F.lit(":"), F.col("n").cast("string")).alias("f"))
-    return parts.groupBy("l_orderkey").agg(F.md5(F.array_join(F.array_sort(F.collect_list("f")), "|")).alias("fingerprint"))
-
-
-@query("SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey)::INTEGER AS asym, min(l_linenumber) OVER (PARTITION BY l_orderkey, l_returnflag) AS \"first\" FROM lineitem")
-def f04_positions(spark, d: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey", "l_returnflag")
-    return read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.row_number().over(w.orderBy("l_linenumber", "l_partkey")).alias("asym"), F.min("l_linenumber").over(w).alias("first"))
-
-
-@query("SELECT l_orderkey, l_suppkey, min(l_linenumber) AS first_token, max(l_linenumber) AS last_token, count(*) AS n, count(*) = 1 AND max(l_quantity) = 1 AS metal FROM lineitem GROUP BY 1, 2")
-def f05_molecules(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(F.min("l_linenumber").alias("first_token"), F.max("l_linenumber").alias("last_token"), F.count("*").alias("n"), ((F.count("*") == 1) & (F.max("l_quantity") == 1)).alias("metal"))
+    return R.fingerprint(read_table(spark, d, "lineitem"), "l_orderkey", "l_returnflag")
 
 
 @query("WITH s AS (SELECT l_suppkey, count(DISTINCT l_orderkey) AS size FROM lineitem GROUP BY 1) SELECT l_orderkey, round(1 / min(size), 9) AS weight FROM lineitem JOIN s USING (l_suppkey) GROUP BY 1")
 def f07_inverse_cluster_weight(spark, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
-    size = li.groupBy("l_suppkey").agg(F.countDistinct("l_orderkey").alias("size"))
-    return li.join(size, "l_suppkey").groupBy("l_orderkey").agg(F.round(1 / F.min("size"), 9).alias("weight"))
-
-
-@query("SELECT l_orderkey, l_linenumber, l_partkey, nxt FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, lead(l_linenumber) OVER w AS nxt, lead(l_returnflag) OVER w AS f FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)) WHERE nxt = l_linenumber + 1 AND f = l_returnflag")
-def f14_polymer_bonds(spark, d: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").withColumn("nxt", F.lead("l_linenumber").over(w)).withColumn("f", F.lead("l_returnflag").over(w))
-    return li.filter((F.col("nxt") == F.col("l_linenumber") + 1) & (F.col("f") == F.col("l_returnflag"))).select("l_orderkey", "l_linenumber", "l_partkey", "nxt")
+    return R.inverse_cluster_weight(read_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey"), "l_orderkey", "l_suppkey").withColumn("weight", F.round("weight", 9))
 
 
 @query("SELECT user_id, round(avg(value), 6) AS mean, round(median(value), 6) AS median, min(value) AS least, max(value) AS most, count(*) AS n FROM events GROUP BY 1")
 def e30_statistics(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "events").groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("mean"), F.round(F.median("value"), 6).alias("median"), F.min("value").alias("least"), F.max("value").alias("most"), F.count("*").alias("n"))
+    return R.described(read_table(spark, d, "events"), "user_id", "value").withColumns({c: F.round(c, 6) for c in ("mean", "median")})
 
 
 @query("SELECT split_part(event_type || ':' || user_id, ':', 1) AS reason, count(*) AS n FROM events GROUP BY 1")
 def e32_failures(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "events").groupBy(F.split_part(F.concat_ws(":", "event_type", F.col("user_id").cast("string")), F.lit(":"), F.lit(1)).alias("reason")).agg(F.count("*").alias("n"))
+    return R.failures(read_table(spark, d, "events").select(F.concat_ws(":", "event_type", F.col("user_id").cast("string")).alias("reason")), "reason")
 
 
-@query("SELECT event_id, (props->>'$.k')::INTEGER AS k FROM events")
-def a16_json(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
-
-
-@query("SELECT l_returnflag AS kind, count(DISTINCT l_orderkey) AS n, round(avg(l_discount), 9) AS discount FROM lineitem GROUP BY 1")
+@query("SELECT l_returnflag AS kind, count(DISTINCT l_orderkey) AS n, count(DISTINCT l_suppkey) AS n_suppliers FROM lineitem GROUP BY 1")
 def e09_cluster_sizes(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("kind")).agg(F.countDistinct("l_orderkey").alias("n"), F.round(F.avg("l_discount"), 9).alias("discount"))
+    return R.index_of(read_table(spark, d, "lineitem"), "l_returnflag", {"n": "l_orderkey", "n_suppliers": "l_suppkey"}).withColumnRenamed("l_returnflag", "kind")
 
 
 # Points: embeddings, labels as chains.
@@ -221,17 +186,8 @@ def j08_token_limit(spark, d: str) -> DataFrame:
     return crop.renumbered(crop.first_tokens(p, 20)).select(F.col("structure_id").alias("label"), F.col("id").alias("vec_id"), "token")
 
 
-@query(f"WITH {POINTS} SELECT count(*) FILTER (m <= 0.05::DOUBLE) AS near, count(*) AS n FROM (SELECT a.vec_id, min({DIST}) AS m FROM p a JOIN p b ON a.label = 0 AND b.label = 1 GROUP BY 1)")
-def e04_clash_fraction(spark, d: str) -> DataFrame:
-    """Of one chain's points, those with a point of another within the distance."""
-    p = points(spark, d)
-    a = p.filter("label = 0")
-    hit = spatial.within(a, p.filter("label = 1"), 0.05).select(F.col("a_vec_id").alias("vec_id")).distinct()
-    return a.join(hit.withColumn("hit", F.lit(1)), "vec_id", "left").agg(F.count("hit").alias("near"), F.count("*").alias("n"))
-
-
 @query(f"WITH {POINTS} SELECT label, other, count(*) FILTER (m <= 0.05::DOUBLE) AS near, count(*) AS n FROM (SELECT a.label, b.label AS other, a.vec_id, min({DIST}) AS m FROM p a JOIN p b ON a.label <> b.label GROUP BY 1, 2, 3) GROUP BY 1, 2")
-def e04_all_clash_fractions(spark, d: str) -> DataFrame:
+def e04_clash_fraction(spark, d: str) -> DataFrame:
     """For all ordered pairs of chains."""
     p = points(spark, d)
     sizes = p.groupBy("label").agg(F.count("*").alias("n"))
@@ -241,13 +197,27 @@ def e04_all_clash_fractions(spark, d: str) -> DataFrame:
     return pairs.join(near, ["label", "other"], "left").select("label", "other", F.coalesce("near", F.lit(0)).cast("long").alias("near"), "n")
 
 
-@query(f"WITH {POINTS} SELECT a.label, round(sum((b.x - a.x) / greatest({DIST}, 1e-8::DOUBLE)), 5) AS sx, count(*) AS n FROM p a JOIN p b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1")
+CROPPED = f"WITH {POINTS}, c AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) <= 384)"
+
+
+def cropped_points(spark, d: str) -> DataFrame:
+    """The first 384 points of each label: what follows takes all pairs of a cropped structure."""
+    p = points(spark, d).select(F.col("label").alias("structure_id"), F.col("vec_id").alias("token"), "x", "y", "z")
+    return crop.first_tokens(p, 384).select(F.col("structure_id").alias("label"), F.col("token").alias("vec_id"), "x", "y", "z")
+
+
+@query(f"{CROPPED} SELECT a.label, round(sum((b.x - a.x) / greatest({DIST}, 1e-8::DOUBLE)), 5) AS sx, count(*) AS n FROM c a JOIN c b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1")
 def l08_unit_vectors(spark, d: str) -> DataFrame:
-    """Unit vectors between the points of a chain, summed (each pair once)."""
-    p = points(spark, d)
-    a, b = (p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)) for s in "ab")
-    pairs = a.join(b, (F.col("a_label") == F.col("b_label")) & (F.col("a_vec_id") < F.col("b_vec_id")))
-    return pairs.groupBy(F.col("a_label").alias("label")).agg(F.round(F.sum((F.col("b_x") - F.col("a_x")) / F.greatest(spatial.distance(), F.lit(1e-8))), 5).alias("sx"), F.count("*").alias("n"))
+    """Unit vectors between the points of a cropped chain, summed (each pair once)."""
+    pairs = spatial.pairs_of(cropped_points(spark, d), "vec_id", "label")
+    return pairs.groupBy(F.col("a_label").alias("label")).agg(F.round(F.sum(spatial.unit_vector()[0]), 5).alias("sx"), F.count("*").alias("n"))
+
+
+@query(f"{CROPPED} SELECT greatest(0, least(38, floor(({DIST} * 100 - 3.25::DOUBLE) / 1.25::DOUBLE)))::INTEGER AS bin, count(*) AS n FROM c a JOIN c b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1")
+def l04_distogram(spark, d: str) -> DataFrame:
+    """Counts by bin of the pairs inside a cropped chain (each pair once); pairs never leave the join's tasks unaggregated."""
+    pairs = spatial.pairs_of(cropped_points(spark, d), "vec_id", "label")
+    return pairs.groupBy(chem.distance_bin(spatial.distance() * 100).alias("bin")).agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {POINTS}, q AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i, x, y, z FROM p) SELECT a.label, round(sqrt(avg((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))), 9) AS rmsd FROM q a JOIN q b ON b.label = a.label + 1 AND a.i = b.i GROUP BY 1")
@@ -259,17 +229,16 @@ def l15_rmsd(spark, d: str) -> DataFrame:
     return pairs.groupBy("label").agg(F.round(F.sqrt(F.avg(spatial.squared("a_", "b_"))), 9).alias("rmsd"))
 
 
-@query("SELECT p_partkey, greatest(0, least(38, floor((p_retailprice / 40 - 3.25::DOUBLE) / (47.5::DOUBLE / 39))))::INTEGER AS fine, least(63, floor(p_retailprice / 40 / (22::DOUBLE / 64)))::INTEGER AS template FROM part")
+@query("SELECT p_partkey, greatest(0, least(38, floor((p_retailprice / 40 - 3.25::DOUBLE) / ((50.75::DOUBLE - 3.25::DOUBLE) / 39))))::INTEGER AS fine, least(63, floor(p_retailprice / 40 / (22::DOUBLE / 64)))::INTEGER AS template FROM part")
 def l05_other_bins(spark, d: str) -> DataFrame:
     x = F.col("p_retailprice") / 40
-    return read_table(spark, d, "part").select("p_partkey", chem.distance_bin(x, 39, 3.25, 47.5 / 39).alias("fine"), F.least(F.lit(63), F.floor(x / (22 / 64)).cast("int")).alias("template"))
+    return read_table(spark, d, "part").select("p_partkey", chem.fine_distance_bin(x).alias("fine"), chem.template_distance_bin(x).alias("template"))
 
 
-@query("SELECT a.l_returnflag = b.l_returnflag AS same_chain, a.l_linestatus = b.l_linestatus AS same_entity, count(*) AS n FROM lineitem a JOIN lineitem b USING (l_orderkey) GROUP BY 1, 2")
+@query("SELECT a.l_returnflag = b.l_returnflag AS same_chain, a.l_linestatus = b.l_linestatus AS same_entity, count(*) AS n FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND (a.l_linenumber, a.l_partkey, a.l_suppkey, a.l_quantity, a.l_extendedprice) < (b.l_linenumber, b.l_partkey, b.l_suppkey, b.l_quantity, b.l_extendedprice) GROUP BY 1, 2")
 def l07_pair_masks(spark, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
-    other = li.withColumnsRenamed({"l_returnflag": "f", "l_linestatus": "s"})
-    return li.join(other, "l_orderkey").groupBy((F.col("l_returnflag") == F.col("f")).alias("same_chain"), (F.col("l_linestatus") == F.col("s")).alias("same_entity")).agg(F.count("*").alias("n"))
+    li = read_table(spark, d, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("line"), "l_returnflag", "l_linestatus")
+    return spatial.pairs_of(li, "line", "l_orderkey").groupBy(spatial.same("l_returnflag").alias("same_chain"), spatial.same("l_linestatus").alias("same_entity")).agg(F.count("*").alias("n"))
 
 
 # Sampling by hash, and batches.
@@ -285,48 +254,42 @@ def i05_source_items(spark, d: str) -> DataFrame:
     return R.top_per_key(c, ["c_mktsegment"], [F.col("u"), F.col("c_custkey")], 7).select("c_custkey", "c_mktsegment")
 
 
-@query(f"SELECT p_partkey, CASE WHEN u < 0.25 THEN 'A' WHEN u < 0.5 THEN 'C' WHEN u < 0.75 THEN 'G' ELSE 'T' END AS base FROM (SELECT p_partkey, {HASH_SQL.format('p_partkey', 13)} AS u FROM part)")
+@query(f"WITH c AS (SELECT p_type AS motif, p_size AS pos, draw, {HASH_SQL.format("p_type || '|' || p_size || '|' || draw", 13)} * (1.0::DOUBLE + 2.0::DOUBLE + 3.0::DOUBLE + 2.0::DOUBLE) AS u FROM (SELECT DISTINCT p_type, p_size FROM part), (SELECT unnest([0, 1, 2]) AS draw)) SELECT motif, draw, string_agg(CASE WHEN u < 1 THEN 'A' WHEN u < 3 THEN 'C' WHEN u < 6 THEN 'G' ELSE 'T' END, '' ORDER BY pos) AS sequence FROM c GROUP BY 1, 2")
 def i07_drawn_bases(spark, d: str) -> DataFrame:
-    u = R.uniform(13, "p_partkey")
-    return read_table(spark, d, "part").select("p_partkey", F.when(u < 0.25, "A").when(u < 0.5, "C").when(u < 0.75, "G").otherwise("T").alias("base"))
+    matrix = read_table(spark, d, "part").select(F.col("p_type").alias("motif"), F.col("p_size").alias("pos")).distinct().select("*", *(F.lit(w).alias(b) for b, w in zip("acgt", (1.0, 2.0, 3.0, 2.0), strict=True)))
+    return distillation.drawn_from_motifs(matrix, 3, 13)
 
 
 @query("SELECT event_type, count(*) AS n, round(CASE event_type WHEN 'purchase' THEN 2.0 WHEN 'click' THEN 0.5 ELSE 1.0 END, 1)::DOUBLE AS weight FROM events GROUP BY 1")
 def i04_dataset_weights(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n")).withColumn("weight", F.coalesce(chem.lookup({"purchase": 2.0, "click": 0.5}, F.col("event_type")), F.lit(1.0)))
+    return read_table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n")).withColumn("weight", R.static_weight(F.col("event_type"), {"purchase": 2.0, "click": 0.5}))
 
 
 @query("SELECT k // 10 AS batch, count(*) AS n, min(c_custkey) AS \"first\" FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS k FROM customer) GROUP BY 1")
 def n15_batches(spark, d: str) -> DataFrame:
-    c = R.numbered(read_table(spark, d, "customer").select("c_custkey"), "c_custkey", "k")
-    return c.groupBy(F.floor(F.col("k") / 10).alias("batch")).agg(F.count("*").alias("n"), F.min("c_custkey").alias("first"))
+    c = R.batches(read_table(spark, d, "customer").select("c_custkey"), "c_custkey", 10)
+    return c.groupBy("batch").agg(F.count("*").alias("n"), F.min("c_custkey").alias("first"))
 
 
-@query("SELECT DISTINCT lang, source FROM documents")
+@query("SELECT lang, source, min(doc_id) AS \"first\" FROM documents GROUP BY 1, 2")
 def g14_distinct(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").select("lang", "source").distinct()
+    return R.distinct_first(read_table(spark, d, "documents"), ["lang", "source"], "doc_id")
 
 
-@query("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0")
+@query("SELECT DISTINCT c_nationkey AS path FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier)")
 def a50_missing_keys(spark, d: str) -> DataFrame:
     """What one listing has and another lacks."""
-    return read_table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).exceptAll(read_table(spark, d, "customer").select("c_nationkey").limit(0)).distinct().subtract(read_table(spark, d, "supplier").filter("s_suppkey % 3 = 0").select("s_nationkey"))
+    listing = read_table(spark, d, "customer").select(F.col("c_nationkey").alias("path")).distinct()
+    return files.missing(listing, read_table(spark, d, "supplier").select(F.col("s_nationkey").alias("path")))
 
 
 @query("SELECT doc_id, md5(text) AS md5, sha256(text) AS sha256 FROM documents")
 def b42_checksums(spark, d: str) -> DataFrame:
-    return read_table(spark, d, "documents").select("doc_id", F.md5("text").alias("md5"), F.sha2(F.col("text"), 256).alias("sha256"))
+    return read_table(spark, d, "documents").select("doc_id", *(checksum(F.col("text"), a).alias(a) for a in ("md5", "sha256")))
 
 
-@query("SELECT p_partkey, array_to_string(list_transform(range(1, 1 + p_size % 3), lambda i: i || '_' || p_size % 5), ',') AS ids FROM part")
+@query("SELECT p_partkey, array_to_string(list_transform(range(1, 2 + p_size % 3), lambda i: i || '_' || p_size % 5), ',') AS ids FROM part")
 def b40_operator_ids(spark, d: str) -> DataFrame:
     """Operator products ``(1-n)(m)`` as ids."""
-    p = read_table(spark, d, "part").select("p_partkey", "p_size")
-    ids = F.transform(F.when(F.col("p_size") % 3 > 0, F.sequence(F.lit(1), (F.col("p_size") % 3).cast("int"))).otherwise(F.array().cast("array<int>")), lambda i: F.concat_ws("_", i.cast("string"), (F.col("p_size") % 5).cast("string")))
-    return p.select("p_partkey", F.array_join(ids, ",").alias("ids"))
-
-
-@query("SELECT l_orderkey, upper(l_shipmode_) || k AS atom, l_linenumber, l_partkey FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag AS l_shipmode_, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem)")
-def b43_renamed_atoms(spark, d: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey", F.upper("l_returnflag")).orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    return read_table(spark, d, "lineitem").select("l_orderkey", F.concat(F.upper("l_returnflag"), F.row_number().over(w).cast("string")).alias("atom"), "l_linenumber", "l_partkey")
+    expression = F.format_string("(1-%d)(%d)", F.col("p_size") % 3 + 1, F.col("p_size") % 5)
+    return read_table(spark, d, "part").select("p_partkey", F.array_join(structure_files.operator_ids_of(expression), ",").alias("ids"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import chem
 from ..operators import spatial
 from ..operators.relational import expand_symmetry
 from ..sources.tables import checkpoint_folder, read_table
@@ -63,25 +62,20 @@ def e27_radii(spark, d: str) -> DataFrame:
 
 
 def l20_symmetry(spark, d: str) -> DataFrame:
-    names = ["op", *(f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)), "t1", "t2", "t3"]
-    ops = spark.createDataFrame([("1", 1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0), ("2", -1.0, 0.0, 0.0, 0.0, -1.0, 0.0, 0.0, 0.0, 1.0, 0.5, 0.0, 0.25)], names)
-    out = expand_symmetry(points(spark, d), ops)
-    return out.select("vec_id", "op", *(F.round(c, 9).alias(c) for c in "xyz"))
-
-
-def l04_distogram(spark, d: str) -> DataFrame:
-    """Counts by bin of the pairs inside a chain (each pair once); pairs never leave the join's tasks unaggregated."""
+    """Every label is an assembly with two operators of its own."""
     p = points(spark, d)
-    a, b = (p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)) for s in "ab")
-    pairs = a.join(b, (F.col("a_label") == F.col("b_label")) & (F.col("a_vec_id") < F.col("b_vec_id")))
-    return pairs.groupBy(chem.distance_bin(spatial.distance() * 100).alias("bin")).agg(F.count("*").alias("n"))
+    identity = {f"r{i}{j}": float(i == j) for i in (1, 2, 3) for j in (1, 2, 3)} | {"t1": 0.0, "t2": 0.0, "t3": 0.0}
+    turned = identity | {"r11": -1.0, "r22": -1.0, "t1": 0.5, "t3": 0.25}
+    both = F.array(*(F.struct(F.lit(op).alias("op"), *(F.lit(v).alias(k) for k, v in m.items())) for op, m in (("1", identity), ("2", turned))))
+    ops = p.select("label").distinct().select("label", F.explode(both).alias("o")).select("label", "o.*")
+    return expand_symmetry(p, ops, ["label"]).select("vec_id", "op", *(F.round(c, 9).alias(c) for c in "xyz"))
 
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 for _name, _args in {"d03_pairs": (False, None), "d05_pairs_same_chain": (False, True), "d06_pairs_cross_chain": (True, False)}.items():
     QUERIES[_name], ORACLES[_name] = _pairs(*_args)
-QUERIES |= {"d04_nearest": d04_nearest, "d08_contacts": d08_contacts, "d10_interfaces": d10_interfaces, "e05_clashes": e05_clashes, "e26_centroids": e26_centroids, "e27_radii": e27_radii, "l20_symmetry": l20_symmetry, "l04_distogram": l04_distogram}
+QUERIES |= {"d04_nearest": d04_nearest, "d08_contacts": d08_contacts, "d10_interfaces": d10_interfaces, "e05_clashes": e05_clashes, "e26_centroids": e26_centroids, "e27_radii": e27_radii, "l20_symmetry": l20_symmetry}
 _CONTACTS = f"SELECT a.label AS chain_1, b.label AS chain_2, count(DISTINCT a.vec_id) AS n_1, count(DISTINCT b.vec_id) AS n_2, count(*) AS n_pairs, round(min({DIST}), 9) AS min_distance FROM p a JOIN p b ON a.label < b.label AND {DIST} <= {CONTACT}::DOUBLE GROUP BY 1, 2"
 ORACLES |= {
     "d04_nearest": f"WITH {POINTS}, r AS (SELECT a.vec_id AS i, b.vec_id AS j, {DIST} AS d, row_number() OVER (PARTITION BY a.vec_id ORDER BY {DIST}, b.vec_id)::INTEGER AS rank FROM p a JOIN p b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0) SELECT i, j, rank, round(d, 9) AS distance FROM r WHERE rank <= 3",
@@ -91,5 +85,4 @@ ORACLES |= {
     "e26_centroids": f"WITH {POINTS} SELECT label, count(*) AS n, round(avg(x), 9) AS cx, round(avg(y), 9) AS cy, round(avg(z), 9) AS cz FROM p GROUP BY label",
     "e27_radii": f"WITH {POINTS}, b AS (SELECT label, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM p GROUP BY label) SELECT label, round(max({DIST}), 9) AS radius FROM p a JOIN b USING (label) GROUP BY label",
     "l20_symmetry": f"WITH {POINTS} SELECT vec_id, '1' AS op, round(x, 9) AS x, round(y, 9) AS y, round(z, 9) AS z FROM p UNION ALL SELECT vec_id, '2', round(-x + 0.5, 9), round(-y, 9), round(z + 0.25, 9) FROM p",
-    "l04_distogram": f"WITH {POINTS} SELECT greatest(0, least(38, floor(({DIST} * 100 - 3.25::DOUBLE) / 1.25::DOUBLE)))::INTEGER AS bin, count(*) AS n FROM p a JOIN p b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1",
 }

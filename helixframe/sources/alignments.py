@@ -8,20 +8,33 @@ from pyspark.sql import functions as F
 from ..functions import sequences
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("content"))
+def _records(spark: SparkSession, path: str, sep: str = "\n") -> DataFrame:
+    """``file, block, at, value``: pieces of files between separators, in the order of (block, at) in a file.
+
+    Files are split between tasks as Spark likes, so none has to fit in one row.
+    """
+    rows = spark.read.option("lineSep", sep).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    return rows.select("file", "block", F.monotonically_increasing_id().alias("at"), "value")
+
+
+def _numbered(records: DataFrame, name: str) -> DataFrame:
+    """A gapless number in each file, from counts by block and ranks inside a block."""
+    counts = records.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = counts.select("file", "block", (F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).alias("before"))
+    ranked = records.withColumn("rank", F.row_number().over(Window.partitionBy("file", "block").orderBy("at")))
+    return ranked.join(before, ["file", "block"]).select("file", (F.col("before") + F.col("rank") - 1).cast("int").alias(name), "value")
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """A file's lines in order, numbered inside the file."""
-    return _files(spark, path).select("file", F.posexplode(F.split("content", r"\r?\n")).alias("line", "text"))
+    return _numbered(_records(spark, path), "line").select("file", "line", F.rtrim(F.col("value"), F.lit("\r")).alias("text"))
 
 
 def read_fasta(spark: SparkSession, path: str, keep: str = "all") -> DataFrame:
     """``file, pos, id, description, sequence``; ``keep="last"`` leaves the last record of each id of a file."""
-    parts = F.filter(F.split(F.concat(F.lit("\n"), "content"), r"\n>"), lambda x: F.trim(x) != "")
-    records = _files(spark, path).select("file", F.posexplode(parts).alias("pos", "record"))
-    records = records.select("file", "pos", F.trim(F.split("record", r"\r?\n", 2)[0]).alias("description"), F.regexp_replace(F.coalesce(F.get(F.split("record", r"\n", 2), F.lit(1)), F.lit("")), r"\s", "").alias("sequence"))
+    found = _records(spark, path, "\n>").withColumn("value", F.when(F.col("block") == 0, F.regexp_replace("value", r"^\s*>", "")).otherwise(F.col("value"))).filter(F.trim("value") != "")
+    records = _numbered(found, "pos").select("file", "pos", F.split("value", r"\r?\n", 2).alias("parts"))
+    records = records.select("file", "pos", F.trim(F.col("parts")[0]).alias("description"), F.regexp_replace(F.coalesce(F.get("parts", F.lit(1)), F.lit("")), r"\s", "").alias("sequence"))
     out = records.withColumn("id", F.split("description", r"\s+")[0]).select("file", "pos", "id", "description", "sequence")
     if keep == "last":
         last = F.row_number().over(Window.partitionBy("file", "id").orderBy(F.col("pos").desc()))
@@ -59,22 +72,25 @@ def template_hits(stockholm: DataFrame, scores: DataFrame) -> DataFrame:
 
 def read_mapping(spark: SparkSession, path: str, columns: tuple[str, str] = ("key", "value"), last: bool = True) -> DataFrame:
     """Two-column tab-separated lines; short lines go, and a key's last (or first) line counts."""
-    rows = _lines(spark, path).select("file", "line", F.split("text", "\t").alias("p")).filter(F.size("p") >= 2)
+    rows = _records(spark, path).select("file", "block", "at", F.split(F.rtrim(F.col("value"), F.lit("\r")), "\t").alias("p")).filter(F.size("p") >= 2)
     pick = F.max if last else F.min
-    one = rows.groupBy(F.trim(F.col("p")[0]).alias(columns[0])).agg(pick(F.struct("file", "line", F.trim(F.col("p")[1]).alias("v"))).alias("b"))
+    one = rows.groupBy(F.trim(F.col("p")[0]).alias(columns[0])).agg(pick(F.struct("file", "block", "at", F.trim(F.col("p")[1]).alias("v"))).alias("b"))
     return one.select(columns[0], F.col("b.v").alias(columns[1]))
 
 
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     """``representative, member, cluster``: clusters numbered by their representative's first line."""
-    rows = _lines(spark, path).select("line", F.split("text", "\t").alias("p")).filter(F.size("p") >= 2).select("line", F.col("p")[0].alias("representative"), F.col("p")[1].alias("member"))
-    first = rows.groupBy("representative").agg(F.min("line").alias("first"))
-    named = first.select("representative", F.concat(F.lit("cluster_"), (F.row_number().over(Window.orderBy("first")) - 1).cast("string")).alias("cluster"))
+    rows = _records(spark, path).select("file", "block", "at", F.split(F.rtrim(F.col("value"), F.lit("\r")), "\t").alias("p")).filter(F.size("p") >= 2).select("file", "block", "at", F.col("p")[0].alias("representative"), F.col("p")[1].alias("member"))
+    first = rows.groupBy("representative").agg(F.min(F.struct("file", "block", "at")).alias("first")).select("representative", "first.*")
+    counts = first.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = counts.select("file", "block", (F.sum("n").over(Window.orderBy("file", "block")) - F.col("n")).alias("before"))  # a row for each block of the files
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))).join(before, ["file", "block"])
+    named = ranked.select("representative", F.concat(F.lit("cluster_"), (F.col("before") + F.col("rank") - 1).cast("string")).alias("cluster"))
     return rows.join(named, "representative").select("representative", "member", "cluster")
 
 
 def read_obsolete(spark: SparkSession, path: str) -> DataFrame:
-    return _lines(spark, path).filter(F.col("text").startswith("OBSLTE")).select(F.upper(F.get(F.split(F.trim("text"), r"\s+"), F.lit(2))).alias("pdb_id")).filter(F.col("pdb_id").isNotNull()).distinct()
+    return spark.read.text(path).filter(F.col("value").startswith("OBSLTE")).select(F.upper(F.get(F.split(F.trim("value"), r"\s+"), F.lit(2))).alias("pdb_id")).filter(F.col("pdb_id").isNotNull()).distinct()
 
 
 def read_meme(spark: SparkSession, path: str) -> DataFrame:

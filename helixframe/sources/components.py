@@ -31,15 +31,18 @@ def parse_component(text: str) -> dict:
 
 
 def read_components(spark: SparkSession, path: str) -> DataFrame:
-    """A file may hold many components (``data_`` blocks)."""
+    """A file may hold many components (``data_`` blocks), which are split between tasks."""
+    workers_find_package(spark)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for content in b["value"]:
-                for block in ("\n" + content).split("\ndata_")[1:]:
-                    yield pd.DataFrame({k: [v] for k, v in parse_component("data_" + block).items()})
+            for start, block in zip(b["block"], b["value"], strict=True):
+                head, found, rest = block.partition("data_") if start == 0 and block.lstrip().startswith("data_") else ("", True, block)
+                if found and rest.strip() and (start or not block.startswith("#")):
+                    yield pd.DataFrame({k: [v] for k, v in parse_component("data_" + rest).items()})
 
-    return spark.read.text(path, wholetext=True).mapInPandas(run, SCHEMA)
+    rows = spark.read.option("lineSep", "\ndata_").text(path).select("value", F.col("_metadata.file_block_start").alias("block"))
+    return rows.mapInPandas(run, SCHEMA)
 
 
 def conformers(components: DataFrame) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.relational import numbered
@@ -46,6 +44,12 @@ def write_alignments(df: DataFrame, path: str, form: str = "a3m") -> None:
     df.groupBy("msa").agg(text.alias("value")).repartition("msa").write.mode("overwrite").partitionBy("msa").text(path)
 
 
-def write_json(value: dict, df: DataFrame, path: str) -> None:
-    """A small document beside a table, through Spark's own file systems."""
-    df.sparkSession.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+def checksum(content: Column, algorithm: str = "md5") -> Column:
+    """The hex digest of text or bytes."""
+    if algorithm == "md5":
+        return F.md5(content)
+    if algorithm == "sha1":
+        return F.sha1(content)
+    if algorithm.startswith("sha") and algorithm[3:] in ("224", "256", "384", "512"):
+        return F.sha2(content, int(algorithm[3:]))
+    raise ValueError(f"not an algorithm: {algorithm!r}")

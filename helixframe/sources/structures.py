@@ -12,10 +12,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .star import parse_star, table
+from .tables import workers_find_package
 
 ATOM = "chain_id string, label_chain_id string, entity_id string, seq_id int, ins_code string, residue string, residue_pos int, atom string, atom_pos int, element string, x double, y double, z double, occupancy double, b_factor double, charge int, is_hetero boolean, alt_loc string, serial int"
 BOND = "chain_1 string, seq_1 int, atom_1 string, chain_2 string, seq_2 int, atom_2 string, kind string"
@@ -34,6 +35,7 @@ def atom_rows(data: dict) -> list[dict]:
     """Author ids before label ids; of alternate places the one with strictly higher occupancy, else the first."""
     best: dict[tuple, dict] = {}
     residues: dict[tuple, int] = {}
+    in_chain: dict[str, int] = {}
     for r in table(data, "atom_site"):
         at = [number(r.get(f"cartn_{c}", "")) for c in "xyz"]
         chain = r.get("auth_asym_id") or r.get("label_asym_id")
@@ -42,8 +44,11 @@ def atom_rows(data: dict) -> list[dict]:
         seq = number(r.get("auth_seq_id") or r.get("label_seq_id", ""), int) or 0
         name, residue = r.get("auth_atom_id") or r.get("label_atom_id", ""), r.get("auth_comp_id") or r.get("label_comp_id", "")
         group = (chain, seq, r.get("pdbx_pdb_ins_code", ""), residue)
+        if group not in residues:
+            residues[group] = in_chain.get(chain, 0)
+            in_chain[chain] = residues[group] + 1
         row = {
-            "chain_id": chain, "label_chain_id": r.get("label_asym_id", ""), "entity_id": r.get("label_entity_id", ""), "seq_id": seq, "ins_code": group[2], "residue": residue, "residue_pos": residues.setdefault(group, sum(k[0] == chain for k in residues)),
+            "chain_id": chain, "label_chain_id": r.get("label_asym_id", ""), "entity_id": r.get("label_entity_id", ""), "seq_id": seq, "ins_code": group[2], "residue": residue, "residue_pos": residues[group],
             "atom": name, "element": r.get("type_symbol") or name[:1], "x": at[0], "y": at[1], "z": at[2], "occupancy": 1.0 if number(r.get("occupancy", "")) is None else number(r["occupancy"]), "b_factor": number(r.get("b_iso_or_equiv", "")) or 0.0,
             "charge": number(r.get("pdbx_formal_charge", ""), int) or 0, "is_hetero": r.get("group_pdb") == "HETATM", "alt_loc": r.get("label_alt_id", ""), "serial": number(r.get("id", ""), int) or 0,
         }
@@ -81,6 +86,11 @@ def operator_ids(expression: str) -> list[str]:
     return ["_".join(p) for p in itertools.product(*parts)]
 
 
+def operator_ids_of(expression: Column) -> Column:
+    """``operator_ids`` over a column, in Arrow batches."""
+    return F.pandas_udf(lambda s: s.map(operator_ids), "array<string>")(expression)
+
+
 def operator_rows(data: dict) -> list[dict]:
     """(assembly, operator, chain) with the operator's matrix; products of operators are composed."""
     import numpy as np
@@ -121,6 +131,7 @@ def parse_structure(path: str, content: bytes) -> dict:
 
 
 def read_structures(spark: SparkSession, path: str) -> DataFrame:
+    workers_find_package(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").filter(F.col("path").rlike(r"\.(cif|mmcif)(\.gz)?$"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

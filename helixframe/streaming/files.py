@@ -42,16 +42,19 @@ def processed(files: DataFrame, function: Callable[[str, bytes], bytes | str], a
 
 
 def stream_files(spark: SparkSession, source: str, sink: str, dead_letters: str, checkpoint: str, function: Callable[[str, bytes], bytes | str], batch: int = 100, pattern: str = "*") -> StreamingQuery:
-    """Starts the query over what lies in ``source`` now; a later call takes what has come since."""
-    files = spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", batch).option("pathGlobFilter", pattern).load(source).filter(F.col("length") <= MOST_BYTES)
+    """Starts the query over what lies in ``source`` now; a later call takes what has come since. A file over ``MOST_BYTES`` is not read but is a dead letter."""
+    files = lambda: spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", batch).option("pathGlobFilter", pattern).load(source)
+    small = files().filter(F.col("length") <= MOST_BYTES).select("path", "content", "length")
+    large = files().filter(F.col("length") > MOST_BYTES).select("path", F.lit(None).cast("binary").alias("content"), "length")
 
     def write(df: DataFrame, number: int) -> None:
-        done = processed(df, function).persist()
+        done = processed(df.filter(F.col("length") <= MOST_BYTES), function).persist()
         done.filter("ok").select("path", "result").write.mode("overwrite").parquet(f"{sink}/batch={number}")
-        done.filter("NOT ok").select("path", "error").write.mode("overwrite").parquet(f"{dead_letters}/batch={number}")
+        refused = df.filter(F.col("length") > MOST_BYTES).select("path", F.format_string("%d bytes are more than %d", "length", F.lit(MOST_BYTES)).alias("error"))
+        done.filter("NOT ok").select("path", "error").unionByName(refused).write.mode("overwrite").parquet(f"{dead_letters}/batch={number}")
         done.unpersist()
 
-    return files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return small.unionByName(large).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def retry_delay(attempt: int, first: float = 1.0, most: float = 60.0, draw: float = 0.5) -> float:
@@ -59,6 +62,6 @@ def retry_delay(attempt: int, first: float = 1.0, most: float = 60.0, draw: floa
     return min(first * 2**attempt, most) * (0.5 + draw)
 
 
-def missing(listing: DataFrame, there: DataFrame, overwrite: bool = False) -> DataFrame:
+def missing(listing: DataFrame, there: DataFrame, overwrite: bool = False, key: str = "path") -> DataFrame:
     """Files of a listing that are not there yet."""
-    return listing if overwrite else listing.join(there.select("path"), "path", "left_anti")
+    return listing if overwrite else listing.join(there.select(key).distinct(), key, "left_anti")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -100,6 +100,13 @@ def symmetry_label(operators: int, angles: list[int]) -> str:
     return f"D{operators // 2}" if operators > 2 and operators % 2 == 0 else "unknown"
 
 
+def symmetry_by_count(operators: Column) -> Column:
+    """A guess from the number of operators alone."""
+    known = {1: "identity", 2: "C2", 3: "C3", 4: "C4", 5: "C5", 6: "C6", 12: "T", 24: "O", 60: "I"}
+    pairs = [F.lit(x) for kv in known.items() for x in kv]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), operators.cast("int")), F.lit("other"))
+
+
 def rotation_angle(r: np.ndarray) -> float:
     return float(np.degrees(np.arccos(np.clip((np.trace(r) - 1) / 2, -1, 1))))
 

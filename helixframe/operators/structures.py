@@ -206,18 +206,291 @@ def without_leaving_atoms(atoms: DataFrame, bonds: DataFrame, known: DataFrame)
     return atoms.join(gone, [*RESIDUE, "atom"], "left_anti")
 
 
+def let(value, f):
+    """``f`` of a value that is computed once."""
+    return F.transform(F.array(value), f)[0]
+
+
 def frames(res: DataFrame) -> DataFrame:
     """Each polymer residue's frame from its three backbone atoms: origin and unit vectors; null where they are missing or on a line."""
-    atom = lambda names: F.coalesce(*(F.when(F.col("kind") == k, F.element_at("atoms", n)) for k, n in names.items()))
-    a, o, b = (atom({k: v[i] for k, v in BACKBONE.items()}) for i in range(3))
-    polymer = res.filter(F.col("kind").isin(*BACKBONE)).withColumns({"__a": a, "__o": o, "__b": b})
-    minus = lambda p, q: [F.col(f"{p}.{c}") - F.col(f"{q}.{c}") for c in "xyz"]
-    dot = lambda p, q: sum((i * j for i, j in zip(p, q, strict=True)), F.lit(0.0))
-    unit = lambda v: F.when(F.sqrt(dot(v, v)) >= 1e-6, F.array(*(i / F.sqrt(dot(v, v)) for i in v)))
-    parts = lambda c: [F.col(c)[i] for i in range(3)]
-    one = polymer.withColumn("ex", unit(minus("__b", "__o")))
-    v, ex = minus("__a", "__o"), parts("ex")
-    two = one.withColumn("ey", unit([i - dot(v, ex) * j for i, j in zip(v, ex, strict=True)]))
-    ey = parts("ey")
-    cross = F.when(F.col("ey").isNotNull(), F.array(ex[1] * ey[2] - ex[2] * ey[1], ex[2] * ey[0] - ex[0] * ey[2], ex[0] * ey[1] - ex[1] * ey[0]))
-    return two.withColumn("ez", cross).select(*RESIDUE, F.col("__o.x").alias("x"), F.col("__o.y").alias("y"), F.col("__o.z").alias("z"), F.when(F.col("ey").isNotNull(), F.col("ex")).alias("ex"), "ey", "ez")
+    a, o, b = (F.coalesce(*(F.when(F.col("kind") == k, F.try_element_at("atoms", F.lit(v[i]))) for k, v in BACKBONE.items())) for i in range(3))
+    minus = lambda p, q: F.array(*(p[c] - q[c] for c in "xyz"))
+    dot = lambda p, q: p[0] * q[0] + p[1] * q[1] + p[2] * q[2]
+    unit = lambda v: let(F.sqrt(dot(v, v)), lambda n: F.when(n >= 1e-6, F.transform(v, lambda x: x / n)))
+    cross = lambda p, q: F.array(p[1] * q[2] - p[2] * q[1], p[2] * q[0] - p[0] * q[2], p[0] * q[1] - p[1] * q[0])
+    beside = lambda v, ex: let(dot(v, ex), lambda t: F.array(*(v[i] - t * ex[i] for i in range(3))))
+    polymer = res.filter(F.col("kind").isin(*BACKBONE)).select(*RESIDUE, o.alias("o"), minus(a, o).alias("v"), let(minus(b, o), unit).alias("ex"))
+    two = polymer.withColumn("ey", F.when(F.col("ex").isNotNull(), let(beside(F.col("v"), F.col("ex")), unit)))
+    there = F.col("ey").isNotNull()
+    return two.select(*RESIDUE, F.col("o.x").alias("x"), F.col("o.y").alias("y"), F.col("o.z").alias("z"), F.when(there, F.col("ex")).alias("ex"), "ey", F.when(there, cross(F.col("ex"), F.col("ey"))).alias("ez"))
+
+
+# Accessors of a residue: columns over its ``kind``, ``residue`` and ``atoms`` (by name)
+
+NUCLEIC = ("RNA", "DNA")
+REPRESENTATIVE = {"RNA": ("C1'", "C3'", "C4'"), "DNA": ("C1'", "C3'", "C4'")}
+
+
+def named(*names: str):
+    return F.array(*map(F.lit, names))
+
+
+def atom(name: str):
+    """Null where the residue lacks it."""
+    return F.try_element_at("atoms", F.lit(name))
+
+
+def first_atom():
+    """The one that comes first in the file."""
+    return F.array_min(F.transform(F.map_values("atoms"), lambda a: F.struct(a["atom_pos"].alias("atom_pos"), a.alias("atom"))))["atom"]
+
+
+def centre_atom():
+    """The alpha carbon, C1' of a nucleotide, else the first atom."""
+    return F.coalesce(F.when(F.col("kind") == "PROTEIN", atom("CA")).when(F.col("kind").isin(*NUCLEIC), atom("C1'")), first_atom())
+
+
+def frame_names():
+    return F.when(F.col("kind") == "PROTEIN", named(*BACKBONE["PROTEIN"])).when(F.col("kind").isin(*NUCLEIC), named(*BACKBONE["RNA"]))
+
+
+def backbone_atoms():
+    """The frame's atoms by name; none for other kinds."""
+    return F.map_filter("atoms", lambda k, _: F.coalesce(F.array_contains(frame_names(), k), F.lit(False)))
+
+
+def has_frame():
+    """Whether all of the frame's atoms are there; other kinds need none."""
+    return F.coalesce(F.size(F.array_except(frame_names(), F.map_keys("atoms"))) == 0, F.lit(True))
+
+
+def is_complete():
+    """Backbone by name (nucleotides by C1', C3', C4'), or three atoms for other kinds."""
+    names = F.when(F.col("kind") == "PROTEIN", named(*BACKBONE["PROTEIN"])).when(F.col("kind").isin(*NUCLEIC), named(*REPRESENTATIVE["RNA"]))
+    return F.coalesce(F.size(F.array_intersect(names, F.map_keys("atoms"))) == 3, F.size("atoms") >= 3)
+
+
+def beta_atom():
+    """CB, or CA of glycine."""
+    return F.when(F.col("residue") == "GLY", atom("CA")).otherwise(atom("CB"))
+
+
+def pseudo_beta():
+    return F.coalesce(beta_atom(), atom("CA"))
+
+
+def heavy_atoms():
+    return F.map_filter("atoms", lambda _, a: F.upper(a["element"]) != "H")
+
+
+def representatives(atoms: DataFrame) -> DataFrame:
+    """``pae``, ``plddt`` and ``distogram``: whether an atom stands for its token in these."""
+    kind = chem.token_kind(F.col("residue"))
+    first = F.row_number().over(Window.partitionBy(*RESIDUE).orderBy("atom_pos")) == 1
+    centre = F.when(kind == "PROTEIN", F.col("atom") == "CA").when(kind.isin(*NUCLEIC), F.col("atom") == "C1'").otherwise(first)
+    beta = (kind == "PROTEIN") & ((F.col("atom") == "CB") | ((F.col("residue") == "GLY") & (F.col("atom") == "CA")))
+    return atoms.withColumns({"pae": centre.cast("int"), "plddt": (F.upper("element") != "H").cast("int"), "distogram": beta.cast("int")})
+
+
+def permutations(res: DataFrame, twofold: dict[str, tuple[str, ...]]) -> DataFrame:
+    """``permutations`` of a residue's atoms (places in order): as they are, and with each pair of ``twofold`` names swapped."""
+    ordered = F.transform(F.array_sort(F.transform(F.map_entries("atoms"), lambda e: F.struct(e["value"]["atom_pos"], e["key"]))), lambda x: x["key"])
+    pairs = F.coalesce(*(F.when(F.col("residue") == code, F.array(*(named(*names[k : k + 2]) for k in range(0, len(names), 2)))) for code, names in twofold.items()), F.array().cast("array<array<string>>"))
+
+    def all_of(names):
+        same = F.sequence(F.lit(0), F.size(names) - 1)
+        place = lambda n: F.array_position(names, n).cast("int") - 1
+        exchanged = lambda i, j: F.transform(same, lambda x: F.when(x == i, j).when(x == j, i).otherwise(x))
+        there = F.filter(pairs, lambda p: F.array_contains(names, p[0]) & F.array_contains(names, p[1]))
+        return F.concat(F.array(same), F.transform(there, lambda p: exchanged(place(p[0]), place(p[1]))))
+
+    return res.withColumn("permutations", let(ordered, all_of))
+
+
+def renamed_ligand_atoms(atoms: DataFrame) -> DataFrame:
+    """Atoms of what is no standard residue are named by element and running number; ``old_atom`` keeps their name."""
+    number = F.row_number().over(Window.partitionBy(*RESIDUE, F.upper("element")).orderBy("atom_pos")).cast("string")
+    other = ~chem.is_standard_residue(F.col("residue"))
+    return atoms.withColumn("old_atom", F.col("atom")).withColumn("atom", F.when(other, F.concat(F.upper("element"), number)).otherwise(F.col("atom")))
+
+
+# Chains and structures
+
+
+def polymer_structures(ch: DataFrame) -> DataFrame:
+    """Structures with ``polymer`` (some chain is protein, RNA or DNA), ``n_residues`` and ``n_chains``."""
+    return ch.groupBy("structure_id").agg(F.bool_or(F.col("kind").isin(*BACKBONE)).alias("polymer"), F.sum("n_residues").alias("n_residues"), F.count("*").alias("n_chains"))
+
+
+def structure_metrics(ch: DataFrame) -> DataFrame:
+    """Chains of each kind and residues in all."""
+    kinds = ("PROTEIN", "RNA", "DNA", "LIGAND")
+    return ch.groupBy("structure_id").agg(*(F.count_if(F.col("kind") == k).alias(f"n_{k.lower()}") for k in kinds), F.sum("n_residues").alias("n_residues"))
+
+
+def classified_chains(res: DataFrame, share: float = 0.8) -> DataFrame:
+    """A chain's kind by shares: over ``share`` of one polymer, all ions, all waters, or ligands; else unknown."""
+    part = lambda k: F.count_if(F.col("kind") == k) / F.count("*")
+    kind = F.when(part("PROTEIN") > share, "PROTEIN").when(part("RNA") > share, "RNA").when(part("DNA") > share, "DNA").when(part("ION") == 1, "ION").when(part("WATER") == 1, "WATER").when(part("LIGAND") == 1, "LIGAND").otherwise("UNKNOWN")
+    return res.groupBy(*CHAIN).agg(kind.alias("kind"))
+
+
+def chain_sequences(res: DataFrame) -> DataFrame:
+    """``id`` (structure and chain) and the sequence of polymer residues: amino acids by letter, nucleotides by the last letter of their code."""
+    keyed = res.withColumn("__key", F.struct(*CHAIN))
+    kinds = majority(keyed, "__key", "kind", "residue_pos").select("__key.*", F.col("kind").alias("chain_kind"))
+    letter = F.when(F.col("chain_kind") == "PROTEIN", F.when(F.col("residue").isin(*chem.AMINO_ACIDS), chem.aa_letter(F.col("residue"))).otherwise("X")).otherwise(F.right("residue", F.lit(1)))
+    own = res.join(kinds.filter(F.col("chain_kind").isin(*BACKBONE)), CHAIN).withColumn("letter", letter)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("residue_pos", "letter"))), lambda x: x["letter"]), "")
+    return own.groupBy(*CHAIN).agg(text.alias("sequence")).select(F.concat_ws("_", *CHAIN).alias("id"), "sequence")
+
+
+def touching_chains(atoms: DataFrame, distance: float = INTERFACE) -> DataFrame:
+    """Chain pairs with heavy atoms nearer than ``distance``."""
+    heavy = _keyed(without_hydrogens(atoms))
+    near = spatial.within(heavy, heavy, distance, ("structure_id",), strict=True).filter("a_chain_id < b_chain_id")
+    return near.select(F.col("a_structure_id").alias("structure_id"), F.col("a_chain_id").alias("chain_1"), F.col("b_chain_id").alias("chain_2")).distinct()
+
+
+def with_interface(found: DataFrame, kinds: tuple[str, str] | None = None, least: int = 1) -> DataFrame:
+    """Structures with an interface (of the two kinds, in any order) of at least ``least`` contacts."""
+    wanted = found.filter(F.col("contacts") >= least)
+    return (wanted if kinds is None else wanted.filter(F.col("type") == "-".join(sorted(k.lower() for k in kinds)))).select("structure_id").distinct()
+
+
+def interface_chains(found: DataFrame) -> DataFrame:
+    """A structure's interfaces, most contacts first."""
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("structure_id").orderBy(F.col("contacts").desc(), "chain_1", "chain_2")))
+
+
+def without_listed(atoms: DataFrame, ions: bool = False) -> DataFrame:
+    """Without waters, chains of excluded ligands and, if asked, ions; a structure of which nothing is left goes by itself."""
+    kept = without_excluded_ligands(without_waters(atoms))
+    return kept.filter(~(F.lit(ions) & (chem.chain_type(F.col("residue")) == "ION")))
+
+
+# Tokens
+
+
+def positions(toks: DataFrame) -> DataFrame:
+    """``asym_id``: the chains' numbers by their first token; ``in_chain``: a token's place in its chain; ``first`` and ``last`` token of its residue; ``metal``."""
+    chain, residue = Window.partitionBy(*CHAIN), Window.partitionBy(*RESIDUE)
+    first = toks.withColumn("__first", F.min("token").over(chain))
+    metal = (F.count("*").over(residue) == 1) & (F.col("n_atoms") == 1) & (F.count("*").over(chain) == 1)
+    return first.withColumns({
+        "asym_id": F.dense_rank().over(Window.partitionBy("structure_id").orderBy("__first")) - 1, "in_chain": F.row_number().over(chain.orderBy("token")) - 1,
+        "first": F.min("token").over(residue), "last": F.max("token").over(residue), "metal": metal,
+    }).drop("__first")
+
+
+def token_atoms(atoms: DataFrame, toks: DataFrame) -> DataFrame:
+    """Heavy atoms with their token and their place in it, numbered through the structure (``flat``)."""
+    keys = toks.select(*RESIDUE, "token", F.col("atom").alias("__atom"))
+    own = without_hydrogens(atoms).join(keys, RESIDUE).filter(F.col("__atom").isNull() | (F.col("__atom") == F.col("atom"))).drop("__atom")
+    return own.withColumns({"within": F.row_number().over(Window.partitionBy("structure_id", "token").orderBy("atom_pos")) - 1, "flat": F.row_number().over(Window.partitionBy("structure_id").orderBy("token", "atom_pos")) - 1})
+
+
+def polymer_bonds(toks: DataFrame) -> DataFrame:
+    """Token pairs next to each other: same chain, residue numbers one apart, both standard residues."""
+    w = Window.partitionBy(*CHAIN).orderBy("token")
+    standard = lambda c: c.isin(*chem.AMINO_ACIDS, *chem.RNA[:-1], *chem.DNA[:-1])
+    beside = toks.withColumns({"token_2": F.lead("token").over(w), "__seq": F.lead("seq_id").over(w), "__residue": F.lead("residue").over(w)})
+    return beside.filter((F.col("__seq") == F.col("seq_id") + 1) & standard(F.col("residue")) & standard(F.col("__residue"))).select("structure_id", F.col("token").alias("token_1"), "token_2")
+
+
+def ligand_bonds(atoms: DataFrame, toks: DataFrame, most: float = 2.5) -> DataFrame:
+    """Pairs of a polymer token and another whose nearest atoms are nearer than ``most``."""
+    own = token_atoms(atoms, toks).withColumn("polymer", F.col("residue").isin(*chem.AMINO_ACIDS, *chem.RNA[:-1], *chem.DNA[:-1])).select("structure_id", "token", "polymer", "x", "y", "z")
+    near = spatial.within(own.filter("polymer"), own.filter("NOT polymer"), most, ("structure_id",), strict=True)
+    return near.groupBy(F.col("a_structure_id").alias("structure_id"), F.col("a_token").alias("token_1"), F.col("b_token").alias("token_2")).agg(F.min("distance").alias("distance"))
+
+
+def between_kinds(pairs: DataFrame, toks: DataFrame) -> DataFrame:
+    """Token pairs without those of two polymer tokens."""
+    kind = lambda i: toks.select("structure_id", F.col("token").alias(f"token_{i}"), F.col("kind").isin(*BACKBONE).alias(f"polymer_{i}"))
+    return pairs.join(kind(1), ["structure_id", "token_1"]).join(kind(2), ["structure_id", "token_2"]).filter("NOT (polymer_1 AND polymer_2)").select("structure_id", "token_1", "token_2")
+
+
+def bond_features(atoms: DataFrame, toks: DataFrame, most: float = 2.5) -> DataFrame:
+    """Token pairs with their ``kind``: 1 along a polymer, 2 polymer and ligand, 3 disulfide (the highest counts)."""
+    sulfur = bond_tokens(bonded(atoms).filter("bond = 'disulfide'"), toks).filter("token_1 < token_2")
+    parts = [polymer_bonds(toks).withColumn("kind", F.lit(1)), ligand_bonds(atoms, toks, most).select("structure_id", F.least("token_1", "token_2").alias("token_1"), F.greatest("token_1", "token_2").alias("token_2")).withColumn("kind", F.lit(2)), sulfur.withColumn("kind", F.lit(3))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("structure_id", "token_1", "token_2").agg(F.max("kind").alias("kind"))
+
+
+def matching_tokens(template: DataFrame, query: DataFrame) -> DataFrame:
+    """Template tokens with the first query token of the same residue number and chain."""
+    first = query.groupBy("structure_id", "chain_id", "seq_id").agg(F.min("token").alias("query_token"))
+    return template.join(first, ["structure_id", "chain_id", "seq_id"], "left")
+
+
+def matched_atoms(mobile: DataFrame, target: DataFrame, keys: list[str], least: int = 3) -> DataFrame:
+    """Atoms of equal name, of a repeated target name the last (``atom_pos``); groups with fewer than ``least`` go."""
+    last = target.groupBy(*keys, "atom").agg(F.max_by(F.struct("x", "y", "z"), "atom_pos").alias("t"))
+    both = mobile.join(last, [*keys, "atom"]).select(*keys, "atom", "x", "y", "z", *(F.col(f"t.{c}").alias(f"t{c}") for c in "xyz"))
+    return both.join(both.groupBy(*keys).agg(F.count("*").alias("__n")).filter(F.col("__n") >= least).select(*keys), keys, "left_semi")
+
+
+def chain_members(df: DataFrame, number: str) -> DataFrame:
+    """Each chain's numbers in order (of tokens, or of atoms) and how many."""
+    return df.groupBy(*CHAIN).agg(F.array_sort(F.collect_list(number)).alias("members"), F.count("*").alias("n"))
+
+
+def assembly_statistics(before: DataFrame, after: DataFrame, operators: DataFrame) -> DataFrame:
+    """Chains and atoms of each structure before and after its expansion, the factor, and its operators."""
+    size = lambda t, name: t.groupBy("structure_id").agg(F.countDistinct("chain_id").alias(f"{name}_chains"), F.count("*").alias(f"{name}_atoms"))
+    ops = operators.groupBy("structure_id").agg(F.countDistinct("op").alias("n_operators"))
+    return size(before, "original").join(size(after, "expanded"), "structure_id").join(ops, "structure_id", "left").withColumn("factor", F.col("expanded_chains") / F.col("original_chains"))
+
+
+def moved_bonds(bonds: DataFrame, operators: DataFrame, first: DataFrame) -> DataFrame:
+    """Bonds (``chain_1, chain_2`` and the rest) under every operator that both chains have, with the chains' names in the expansion; ``first`` has each chain's first operator (``chain_id, op``)."""
+    ops = operators.select("structure_id", F.col("chain_id").alias("__chain"), "op")
+    both = bonds.join(ops.withColumnRenamed("__chain", "chain_1"), ["structure_id", "chain_1"]).join(ops.withColumnRenamed("__chain", "chain_2"), ["structure_id", "chain_2", "op"])
+    for i in (1, 2):
+        own = first.select("structure_id", F.col("chain_id").alias(f"chain_{i}"), F.col("op").alias("__first"))
+        both = both.join(own, ["structure_id", f"chain_{i}"]).withColumn(f"chain_{i}", F.when(F.col("op") == F.col("__first"), F.col(f"chain_{i}")).otherwise(F.concat_ws("_", f"chain_{i}", "op"))).drop("__first")
+    return both.drop("op")
+
+
+def operator_issues(operators: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    """Operators that are no rotation: rows not orthogonal and of length 1, or a determinant other than 1."""
+    r = lambda i, j: F.col(f"r{i}{j}")
+    dot = lambda a, b: sum((r(a, k) * r(b, k) for k in (1, 2, 3)), F.lit(0.0))
+    off = [F.abs(dot(a, b) - (1.0 if a == b else 0.0)) > tolerance for a in (1, 2, 3) for b in (1, 2, 3) if a <= b]
+    det = r(1, 1) * (r(2, 2) * r(3, 3) - r(2, 3) * r(3, 2)) - r(1, 2) * (r(2, 1) * r(3, 3) - r(2, 3) * r(3, 1)) + r(1, 3) * (r(2, 1) * r(3, 2) - r(2, 2) * r(3, 1))
+    skew = F.lit(False)
+    for o in off:
+        skew = skew | o
+    return operators.withColumns({"orthogonal": ~skew, "determinant": det}).filter(skew | (F.abs(det - 1) > tolerance))
+
+
+def distillation_entries(ch: DataFrame, model: str = "alphafold2") -> DataFrame:
+    """An entry of the distillation set for each structure: chains, residues and kinds, without resolution, date or cluster."""
+    kinds = F.array_sort(F.collect_list(F.struct("chain_id", "kind")))
+    out = ch.groupBy("structure_id").agg(F.count("*").alias("n_chains"), F.sum("n_residues").alias("n_residues"), F.transform(kinds, lambda x: x["kind"]).alias("chain_types"))
+    return out.withColumn("entry", F.concat(F.col("structure_id"), F.lit(f"_distill_{model}"))).withColumns({"weight": F.lit(1.0), "dataset": F.lit("distillation"), "resolution": F.lit(None).cast("double"), "cluster": F.lit(None).cast("string")})
+
+
+def glycan_residues(res: DataFrame, glycans: DataFrame) -> DataFrame:
+    """Residues with ``glycan``, whether their code is in the table of glycans (``code``)."""
+    known = glycans.select(F.upper("code").alias("__code")).distinct()
+    return res.join(known, F.upper("residue") == F.col("__code"), "left").withColumn("glycan", F.col("__code").isNotNull()).drop("__code")
+
+
+def without_clashing(atoms: DataFrame, distance: float = CLASH, share: float = CLASH_SHARE) -> DataFrame:
+    return atoms.join(clashing_chains(atoms, distance, share).select(*CHAIN), CHAIN, "left_anti")
+
+
+def without_empty_chains(ch: DataFrame, atoms: DataFrame) -> DataFrame:
+    """Chains that still have atoms."""
+    return ch.join(atoms.select(*CHAIN).distinct(), CHAIN, "left_semi")
+
+
+def interface_or_all(toks: DataFrame, near: DataFrame) -> DataFrame:
+    """The interface's tokens, or all of a structure that has none."""
+    return near.unionByName(toks.join(near.select("structure_id").distinct(), "structure_id", "left_anti"))
+
+
+def masked_centres(toks: DataFrame) -> DataFrame:
+    return spatial.weighted_centres(toks, CHAIN, "mask")

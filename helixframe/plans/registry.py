@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, features, kernels, scalar, spatial
+from . import curation, features, kernels, scalar, spatial, structures
 
-MODULES = (scalar, spatial, curation, features, kernels)
+MODULES = (scalar, spatial, curation, features, structures, kernels)
 
 
 def queries() -> dict:

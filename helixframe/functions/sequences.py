@@ -119,3 +119,11 @@ def sequence_codes(s: Column) -> Column:
     """The same by letter as it stands: lower case and gaps are unknown."""
     alphabet = MSA_ALPHABET[:20]
     return F.transform(letters(s), lambda c: F.when(F.instr(F.lit(alphabet), c) > 0, F.instr(F.lit(alphabet), c) - 1).otherwise(20))
+
+
+def has_deletion(deletions: Column) -> Column:
+    return F.transform(deletions, lambda d: (d > 0).cast("int"))
+
+
+def deletion_values(deletions: Column) -> Column:
+    return F.transform(deletions, deletion_value)

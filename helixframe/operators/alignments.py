@@ -116,3 +116,94 @@ def profile(df: DataFrame) -> DataFrame:
     counts = cells.groupBy("msa", "pos", F.col("z.c").alias("letter")).agg(F.count("*").alias("n"), F.sum(F.coalesce("z.d", F.lit(0))).alias("d"))
     total = counts.groupBy("msa", "pos").agg(F.sum("n").alias("rows"), (F.sum("d") / F.sum("n")).alias("deletion_mean"))
     return counts.join(total, ["msa", "pos"]).select("msa", "pos", "letter", (F.col("n") / F.col("rows")).alias("share"), "deletion_mean")
+
+
+def stacked(first: DataFrame, other: DataFrame) -> DataFrame:
+    """The rows of both, the second's after the first's; alignments of other widths are an error."""
+    width = lambda t: t.groupBy("msa").agg(F.max(F.length("sequence")).alias("w"))
+    uneven = width(first).join(width(other).withColumnRenamed("w", "v"), "msa").filter("w <> v").limit(1).collect()
+    if uneven:
+        raise ValueError(f"alignments of {uneven[0].w} and {uneven[0].v} columns")
+    return appended(first, other, least=0)
+
+
+def appended(first: DataFrame, other: DataFrame, least: int = 1) -> DataFrame:
+    """The rows of ``other`` from ``least`` on (its query is left out) after those of ``first``, numbered anew."""
+    both = first.withColumn("__part", F.lit(0)).unionByName(other.filter(F.col("row") >= least).withColumn("__part", F.lit(1)))
+    return both.withColumn("row", F.row_number().over(Window.partitionBy("msa").orderBy("__part", "row")) - 1).drop("__part")
+
+
+def by_cluster(df: DataFrame, mapping: DataFrame, accession: Column) -> DataFrame:
+    """The first row of each cluster (``key, cluster``; a row without one is its own by its accession); the query stays and isn't compared."""
+    named = df.withColumn("__key", accession).join(mapping.select(F.col("key").alias("__key"), "cluster"), "__key", "left")
+    return deduplicated(named, F.coalesce("cluster", "__key")).drop("__key", "cluster")
+
+
+def code_profile(df: DataFrame, codes: Column, pseudocount: float = 0.0) -> DataFrame:
+    """For each column and class its share of the rows (plus a pseudocount)."""
+    cells = df.select("msa", F.posexplode(codes).alias("pos", "code"))
+    counts = cells.groupBy("msa", "pos", "code").agg(F.count("*").alias("n"))
+    total = counts.groupBy("msa", "pos").agg(F.sum("n").alias("rows"))
+    return counts.join(total, ["msa", "pos"]).select("msa", "pos", "code", (F.col("n") / (F.col("rows") + pseudocount)).alias("share"))
+
+
+def letter_profile(df: DataFrame, alphabet: str = "ACDEFGHIKLMNPQRSTVWY-") -> DataFrame:
+    """For each column the shares of the alphabet's letters among themselves."""
+    cells = df.select("msa", F.posexplode(sequences.letters(F.col("sequence"))).alias("pos", "letter")).filter(F.instr(F.lit(alphabet), F.col("letter")) > 0)
+    counts = cells.groupBy("msa", "pos", "letter").agg(F.count("*").alias("n"))
+    total = counts.groupBy("msa", "pos").agg(F.sum("n").alias("rows"))
+    return counts.join(total, ["msa", "pos"]).select("msa", "pos", "letter", (F.col("n") / F.col("rows")).alias("share"))
+
+
+def deletion_columns(df: DataFrame) -> DataFrame:
+    """For each column the mean deletions, the mean of their transformed values, and the rows that have some."""
+    cells = df.select("msa", F.posexplode("deletions").alias("pos", "d"))
+    return cells.groupBy("msa", "pos").agg(F.avg(F.coalesce("d", F.lit(0))).alias("mean"), F.avg(sequences.deletion_value(F.coalesce("d", F.lit(0)))).alias("value"), F.count_if(F.col("d") > 0).alias("rows"))
+
+
+def query_columns(df: DataFrame) -> DataFrame:
+    """``msa, pos, residue``: the query's columns with a letter, and which of its residues each is."""
+    cells = df.filter("row = 0").select("msa", F.posexplode(sequences.letters(F.col("sequence"))).alias("pos", "letter")).filter("letter <> '-'")
+    return cells.withColumn("residue", F.row_number().over(Window.partitionBy("msa").orderBy("pos")) - 1)
+
+
+def on_residues(df: DataFrame) -> DataFrame:
+    """Every row's letter and deletions at each residue of the query (columns where the query has a gap belong to none)."""
+    cells = df.select("msa", "row", F.posexplode(F.arrays_zip(sequences.letters(F.col("sequence")).alias("letter"), F.col("deletions").alias("deletions"))).alias("pos", "c")).select("msa", "row", "pos", "c.*")
+    return cells.join(query_columns(df).select("msa", "pos", "residue"), ["msa", "pos"]).drop("pos")
+
+
+def shifted_on_tokens(df: DataFrame) -> DataFrame:
+    """Every row's letters without its gaps on tokens from 0 on: what follows a gap moves to the left."""
+    bare = F.filter(sequences.letters(F.col("sequence")), lambda c: c != "-")
+    return df.select("msa", "row", F.posexplode(bare).alias("token", "letter"))
+
+
+def paired_stack(df: DataFrame, species: Column, chain: str = "msa", rows: int = 8191) -> DataFrame:
+    """Row 0 of all queries side by side, then a row for each paired species; a chain without the species has gaps."""
+    paired = paired_by_species(df, chain, species, require_all=False, rows=rows).select((F.col("pair") + 1).alias("row"), chain, "sequence")
+    return side_by_side(df.filter("row = 0").select("row", chain, "sequence").unionByName(paired), chain)
+
+
+def processed(df: DataFrame, mapping: DataFrame, rows: int = 16_384) -> DataFrame:
+    """One chain's alignment made ready: repeats and block deletions go, descriptions get their cluster, the first ``rows`` stay."""
+    kept = without_block_deletions(deduplicated(df, F.md5(F.upper("sequence"))))
+    described = kept.withColumn("__key", sequences.accession(F.col("description")))
+    return cropped(mapped_to_clusters(described, "__key", "description", mapping.withColumnRenamed("key", "__key")).drop("__key"), rows)
+
+
+def members_by_species(df: DataFrame, species: Column) -> DataFrame:
+    """Rows of each species, the query left out."""
+    return df.filter("row > 0").withColumn("species", species).filter("species IS NOT NULL").groupBy("msa", "species").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+
+
+def subsampled_if_larger(df: DataFrame, most: int, seed: int) -> DataFrame:
+    """Alignments of up to ``most`` rows as they are, of others the query and ``most`` - 1 by hash."""
+    return subsampled(df, most, seed)
+
+
+def subsampled_at_random(df: DataFrame, seed: int) -> DataFrame:
+    """The query and others by hash, between one row and all of them, as many as the alignment's own hash says."""
+    n = df.groupBy("msa").agg(F.count("*").alias("__rows"))
+    rank = F.row_number().over(Window.partitionBy("msa").orderBy(F.when(F.col("row") == 0, -1.0).otherwise(uniform(seed, "msa", "row")), "row"))
+    return df.join(n, "msa").withColumn("__n", rank).filter(F.col("__n") <= 1 + F.floor(uniform(seed + 1, "msa") * F.col("__rows"))).drop("__n", "__rows")

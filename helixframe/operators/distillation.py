@@ -72,3 +72,34 @@ def sampled_by_source(df: DataFrame, size: int, seed: int, weights: dict[str, fl
     total = F.element_at(F.create_map(*(F.lit(x) for kv in totals.items() for x in kv)), F.col("source"))
     draws = draws.withColumn("__at", F.floor(uniform(seed + 1, "draw") * total).cast("long"))
     return draws.join(placed, ["source", "__at"]).select("draw", *df.columns)
+
+
+def mean_confidence(scores: Column) -> Column:
+    """The mean over all chains' scores (a map of arrays), null where there are none."""
+    flat = F.flatten(F.map_values(scores))
+    return F.aggregate(flat, F.lit(0.0), lambda t, x: t + x) / F.nullif(F.size(flat), F.lit(0))
+
+
+def every_source(parts: dict[str, DataFrame], rows: int | None = None, seed: int = 0) -> DataFrame:
+    """The samples of all sources (``id, sequence`` each)."""
+    out = None
+    for name, df in parts.items():
+        own = samples(df, name, rows, seed)
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def source_weights(sources: DataFrame) -> DataFrame:
+    """``source`` with its fixed weight; one without is never drawn."""
+    pairs = [F.lit(x) for kv in WEIGHTS.items() for x in kv]
+    return sources.withColumn("weight", F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("source")), F.lit(0.0)))
+
+
+def disordered(annotations: DataFrame) -> DataFrame:
+    """``id`` and ``sequence`` of disorder annotations (``pdb_id, chain_id, sequence``)."""
+    return annotations.select(F.concat_ws("_", "pdb_id", "chain_id").alias("id"), "sequence")
+
+
+def with_motifs(proteins: DataFrame, drawn: DataFrame) -> DataFrame:
+    """A sample for each protein (``motif, protein``) and each DNA drawn from its motif."""
+    return proteins.join(drawn, "motif").select("motif", "draw", "protein", F.col("sequence").alias("dna"))

@@ -307,3 +307,10 @@ def drawn(df: DataFrame, key: str, weight: str, n: int, seed: int) -> DataFrame:
     u = df.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn("u", uniform(seed, "draw") * total)
     at = u.join(F.broadcast(before), (F.col("u") >= F.col("before")) & (F.col("u") < F.col("before") + F.col("w"))).withColumn("u", F.col("u") - F.col("before")).drop("before", "w")
     return at.join(spans, "part").filter((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high"))).select("draw", key)
+
+
+def composed(df: DataFrame, steps: list) -> DataFrame:
+    """Functions from DataFrames to DataFrames, one after the other."""
+    for step in steps:
+        df = step(df)
+    return df

@@ -34,6 +34,9 @@ SEARCHES = {
 # End of fixed values.
 
 
+# programs' arguments.
+
+
 def jackhmmer(query: str, database: str, output: str, cpus: int = 4, reported: int | None = None, z: int | None = None) -> list[str]:
     extra = ([] if reported is None else ["--seq_limit", str(reported)]) + ([] if z is None else ["-Z", str(z)])
     return ["jackhmmer", "-N", "1", "-E", "0.0001", "--incE", "0.0001", "--F1", "0.0005", "--F2", "0.00005", "--F3", "0.0000005", "--cpu", str(cpus), "-A", output, *extra, query, database]
@@ -67,6 +70,20 @@ def mmseqs(fasta: str, output: str, scratch: str, identity: float = 0.4, coverag
     return ["mmseqs", "easy-cluster", fasta, output, scratch, "--min-seq-id", str(identity), "-c", str(coverage), "--cov-mode", str(mode)]
 
 
+# End of fixed values.
+
+
+def named_search(name: str, folder: str = "databases") -> Callable[[str, str, int], list[str]]:
+    """The command of a search by its database's name."""
+    path = f"{folder}/{name}"
+    if name in ("uniclust30", "bfd"):
+        return lambda q, o, _: hhblits(q, path, o)
+    if name in ("rfam", "rnacentral", "nt"):
+        return lambda q, o, n: nhmmer(q, path, o, n)
+    limits = SEARCHES[name]
+    return lambda q, o, _: jackhmmer(q, path, o, reported=limits.reported, z=limits.z)
+
+
 def searched(queries: DataFrame, command: Callable[[str, str, int], list[str]], timeout: int = 3600) -> DataFrame:
     """``id, found, output, error`` for rows ``id, sequence``; ``command`` takes the query's and the output's path and its length.
 

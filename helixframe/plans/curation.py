@@ -212,14 +212,7 @@ def l06_relative_positions(spark, d: str) -> DataFrame:
     return pairs.groupBy(rel.alias("rel")).agg(F.count("*").alias("n"))
 
 
-def n10_task_states(spark, d: str) -> DataFrame:
-    """A user's events as task reports: purchases complete, others are attempts; three attempts without one are a dead letter."""
-    e = read_table(spark, d, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("done"), F.count_if(F.col("event_type") != "purchase").alias("attempts"))
-    state = F.when(F.col("done") > 0, "completed").when(F.col("attempts") >= 3, "dead_letter").otherwise("pending")
-    return e.select("user_id", "attempts", state.alias("state"))
-
-
-QUERIES = {f.__name__: f for f in (c01_filter_reason, c01_filter_stats, c06_excluded, c07_broken_chains, c10_cluster_holdout, c12_length_filter, c14_date_modes, c16_composition, d19_paired, d21_mapping, e01_majority, e02_dominant, e06_identity_clusters, e07_interface_clusters, e11_signature, e12_similarity, e13_inverted, e14_profile, e15_deletion_mean, e29_dataset_stats, e33_progress, f06_budget, f08_weights, f12_round_robin, g01_dedup, g07_best_per_key, g10_top4, h02_common, h03_horizontal, h05_merged, i02_balanced, i03_weighted, a45_shards, l06_relative_positions, n10_task_states)}
+QUERIES = {f.__name__: f for f in (c01_filter_reason, c01_filter_stats, c06_excluded, c07_broken_chains, c10_cluster_holdout, c12_length_filter, c14_date_modes, c16_composition, d19_paired, d21_mapping, e01_majority, e02_dominant, e06_identity_clusters, e07_interface_clusters, e11_signature, e12_similarity, e13_inverted, e14_profile, e15_deletion_mean, e29_dataset_stats, e33_progress, f06_budget, f08_weights, f12_round_robin, g01_dedup, g07_best_per_key, g10_top4, h02_common, h03_horizontal, h05_merged, i02_balanced, i03_weighted, a45_shards, l06_relative_positions)}
 _U = HASH_SQL.format("o_orderkey", 42)
 _V = HASH_SQL.format("o_orderkey", 7)
 _DEL = "regexp_extract_all(regexp_replace(replace(p_brand, '#', '-'), '[^A-Za-z-]', '', 'g'), '[a-z]*[A-Z-]')"
@@ -258,5 +251,4 @@ ORACLES = {
     "i03_weighted": f"SELECT o_orderkey, round(ln(greatest({_V}, 1e-12)) / o_totalprice, 15) AS draw FROM orders ORDER BY ln(greatest({_V}, 1e-12)) / o_totalprice DESC, o_orderkey LIMIT 100",
     "a45_shards": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS shard FROM (SELECT DISTINCT o_orderkey FROM orders)",
     "l06_relative_positions": "SELECT CASE WHEN a.l_suppkey % 2 = b.l_suppkey % 2 THEN greatest(-4, least(4, b.l_linenumber - a.l_linenumber)) + 4 ELSE 9 END AS rel, count(*) AS n FROM lineitem a JOIN lineitem b USING (l_orderkey) GROUP BY 1",
-    "n10_task_states": "SELECT user_id, attempts, CASE WHEN done > 0 THEN 'completed' WHEN attempts >= 3 THEN 'dead_letter' ELSE 'pending' END AS state FROM (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS done, count(*) FILTER (event_type <> 'purchase') AS attempts FROM events GROUP BY 1)",
 }

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import crop, geometry, search, spatial
+from ..operators import crop, geometry, spatial
 from ..sources.tables import checkpoint_folder, read_table
 from ..streaming import tasks
 from .features import msa
@@ -52,11 +52,6 @@ def g12_chain_growth(spark, d: str) -> DataFrame:
     return geometry.cropped_to_chains(chains, near, 4, 1)
 
 
-def k01_search(spark, d: str) -> DataFrame:
-    queries = read_table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.lit("ACDEFGHIKLMNPQRSTVWY").alias("sequence"))
-    return search.searched(queries, lambda q, o, n: search.jackhmmer(q, "uniref90.fasta", o))
-
-
 def n16_task_stream(spark, d: str) -> DataFrame:
     """Events as task reports in a stateful stream over the table's files: views start, purchases complete, all else fails."""
     schema = read_table(spark, d, "events").schema
@@ -73,5 +68,5 @@ def n16_task_stream(spark, d: str) -> DataFrame:
     return rows.groupBy("task").agg(F.max(F.struct("batch", "state", "tried")).alias("m")).select("task", "m.state", "m.tried")
 
 
-QUERIES = {f.__name__: f for f in (l13_superposition, l26_realigned, g06_greedy, j04_contiguous_crop, g12_chain_growth, k01_search, n16_task_stream)}
+QUERIES = {f.__name__: f for f in (l13_superposition, l26_realigned, g06_greedy, j04_contiguous_crop, g12_chain_growth, n16_task_stream)}
 ORACLES: dict[str, str] = {}

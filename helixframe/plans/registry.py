@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, features, kernels, scalar, spatial, structures
+from . import curation, features, files, jobs, kernels, msas, scalar, spatial, structures
 
-MODULES = (scalar, spatial, curation, features, structures, kernels)
+MODULES = (scalar, spatial, curation, features, structures, msas, files, jobs, kernels)
 
 
 def queries() -> dict:

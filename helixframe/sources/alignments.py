@@ -120,3 +120,10 @@ def write_fasta(df: DataFrame, path: str, id_col: str = "id", sequence_col: str
 
 def a3m_text(row: Column, description: Column, sequence: Column) -> Column:
     return F.concat(F.lit(">"), F.coalesce(F.nullif(description, F.lit("")), F.concat(F.lit("sequence_"), row.cast("string"))), F.lit("\n"), sequence)
+
+
+def read_motif_json(spark: SparkSession, path: str) -> DataFrame:
+    """``motif, name, pos, a, c, g, t`` of JSON motifs (``matrix_id, name, pfm`` by base), a list or single objects."""
+    rows = spark.read.schema("matrix_id string, name string, pfm struct<A: array<double>, C: array<double>, G: array<double>, T: array<double>>").option("multiLine", "true").json(path)
+    cells = rows.select(F.col("matrix_id").alias("motif"), "name", F.posexplode(F.arrays_zip(*(F.col(f"pfm.{b}").alias(b.lower()) for b in "ACGT"))).alias("pos", "c"))
+    return cells.select("motif", "name", "pos", "c.*")

@@ -53,3 +53,33 @@ def checksum(content: Column, algorithm: str = "md5") -> Column:
     if algorithm.startswith("sha") and algorithm[3:] in ("224", "256", "384", "512"):
         return F.sha2(content, int(algorithm[3:]))
     raise ValueError(f"not an algorithm: {algorithm!r}")
+
+
+def write_features(df: DataFrame, path: str) -> None:
+    """A row a structure, arrays as columns."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def read_features(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """All features, or some: the others are not read."""
+    df = spark.read.parquet(path)
+    return df if columns is None else df.select(*columns)
+
+
+def write_tokens(tokens: DataFrame, path: str) -> None:
+    """A JSON object a token."""
+    tokens.write.mode("overwrite").json(path)
+
+
+def read_tokens(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """With the columns of ``like``, whatever the objects lack."""
+    return spark.read.schema(like.schema).json(path)
+
+
+def read_alignments(spark: SparkSession, path: str, form: str = "a3m") -> DataFrame:
+    """What ``write_alignments`` wrote: ``msa`` and the rows of its format's reader."""
+    from .alignments import read_a3m, read_stockholm
+
+    files = f"{path}/msa=*/"
+    rows = {"a3m": read_a3m, "stockholm": read_stockholm}[form](spark, files)
+    return rows.withColumn("msa", F.regexp_extract("file", r"msa=([^/]*)/", 1)).drop("file")

@@ -130,9 +130,9 @@ def parse_structure(path: str, content: bytes) -> dict:
         return {"structure_id": name, "path": path, "method": "", "resolution": None, "release_date": None, "atoms": [], "bonds": [], "operators": [], "error": f"{type(e).__name__}: {e}"}
 
 
-def read_structures(spark: SparkSession, path: str) -> DataFrame:
-    workers_find_package(spark)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").filter(F.col("path").rlike(r"\.(cif|mmcif)(\.gz)?$"))
+def parsed(files: DataFrame) -> DataFrame:
+    """A nested row for each ``path`` and ``content`` (bytes)."""
+    workers_find_package(files.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -140,7 +140,32 @@ def read_structures(spark: SparkSession, path: str) -> DataFrame:
                 row = parse_structure(p, bytes(c))
                 yield pd.DataFrame({k: [v] for k, v in row.items()})
 
-    return files.mapInPandas(run, SCHEMA)
+    return files.select("path", "content").mapInPandas(run, SCHEMA)
+
+
+def read_structures(spark: SparkSession, path: str) -> DataFrame:
+    return parsed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").filter(F.col("path").rlike(r"\.(cif|mmcif)(\.gz)?$")))
+
+
+def star_rows(files: DataFrame, category: str) -> DataFrame:
+    """``path, pos, values``: the rows of a category in each ``path`` and ``content`` (bytes), columns by lower-case name."""
+    workers_find_package(files.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(p, i, r) for p, c in zip(b["path"], b["content"], strict=True) for i, r in enumerate(table(parse_star(bytes(c).decode()), category))]
+            yield pd.DataFrame(rows, columns=["path", "pos", "values"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, pos int, values map<string,string>")
+
+
+def release_dates(files: DataFrame) -> DataFrame:
+    """``pdb_id, date`` of each file, from its text alone: the last word of the first line with the key; null where it is no date."""
+    lines = files.select("path", F.posexplode(F.split(F.decode("content", "UTF-8"), r"\r?\n")).alias("pos", "line")).filter(F.col("line").startswith("_pdbx_database_status.recvd_initial_deposition_date"))
+    first = lines.groupBy("path").agg(F.min_by("line", "pos").alias("line"))
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.(cif|mmcif)(\.gz)?$", "")
+    found = files.select("path").join(first, "path", "left")
+    return found.select(name.alias("pdb_id"), F.try_to_date(F.element_at(F.split("line", r"\s+"), -1), "yyyy-M-d").alias("date"))
 
 
 def _flat(structures: DataFrame, column: str) -> DataFrame:

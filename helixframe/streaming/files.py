@@ -7,6 +7,8 @@ writes the same rows again to its own folder, which it overwrites, so nothing is
 from __future__ import annotations
 
 import gzip
+import random
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -57,6 +59,31 @@ def stream_files(spark: SparkSession, source: str, sink: str, dead_letters: str,
     return small.unionByName(large).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def packed(files: DataFrame) -> DataFrame:
+    """``path`` with ``.gz`` and the content packed (the same bytes for the same content)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"path": b["path"] + ".gz", "content": [gzip.compress(bytes(c), mtime=0) for c in b["content"]]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, content binary")
+
+
+def retried(function: Callable, attempts: int = 3, first: float = 1.0, most: float = 60.0, sleep: Callable[[float], None] = time.sleep, draw: Callable[[], float] = random.random) -> Callable:
+    """``function``, called up to ``attempts`` times with a doubling wait between; the last error is raised."""
+
+    def call(*args, **kwargs):
+        for attempt in range(attempts):
+            try:
+                return function(*args, **kwargs)
+            except Exception:  # noqa: BLE001  the caller names no kinds: all are tried again
+                if attempt + 1 == attempts:
+                    raise
+                sleep(retry_delay(attempt, first, most, draw()))
+
+    return call
+
+
 def retry_delay(attempt: int, first: float = 1.0, most: float = 60.0, draw: float = 0.5) -> float:
     """Seconds to wait: doubling up to ``most``, times 0.5 to 1.5 by ``draw`` in [0, 1)."""
     return min(first * 2**attempt, most) * (0.5 + draw)

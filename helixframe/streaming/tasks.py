@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-FINAL = ("completed", "dead_letter")
+FINAL = ("completed", "dead_letter", "cancelled")
+# Seconds until a silent worker counts as lost, and how often a task is tried.
+WORKER_TIMEOUT, ATTEMPTS = 30, 3
+# End of fixed values.
 
 
 def step(state: str, tried: int, report: str, attempts: int) -> tuple[str, int]:
@@ -45,3 +48,76 @@ def progress(states: DataFrame, job: str) -> DataFrame:
     """Tasks by outcome and the share that is done, for each job."""
     out = states.groupBy(job).agg(F.count("*").alias("total"), F.count_if(F.col("state") == "completed").alias("completed"), F.count_if(F.col("state") == "dead_letter").alias("failed"))
     return out.withColumn("percent", F.when(F.col("total") == 0, 0.0).otherwise(100 * F.col("completed") / F.col("total")))
+
+
+# Jobs as tables: ``tasks`` has ``job, task, state, tried`` and, where needed, ``priority, worker``
+
+
+def submitted(keys: DataFrame, job: str, key: str) -> DataFrame:
+    """A pending task for each key of a job, named ``job_000000`` in the order of keys."""
+    place = F.row_number().over(Window.partitionBy(job).orderBy(key)) - 1
+    return keys.select(F.col(job).cast("string").alias("job"), key, F.format_string("%s_%06d", F.col(job).cast("string"), place).alias("task"), F.lit("pending").alias("state"), F.lit(0).alias("tried"))
+
+
+def fetched(tasks: DataFrame, workers: int, order: list[Column]) -> DataFrame:
+    """The tasks that the workers of each job take next: pending ones, the highest priority first; they are assigned and tried once more."""
+    place = F.row_number().over(Window.partitionBy("job").orderBy(F.col("priority").desc(), *order))
+    taken = (F.col("state") == "pending") & (F.col("__n") <= workers)
+    ranked = tasks.withColumn("__n", F.when(F.col("state") == "pending", place))
+    return ranked.withColumns({"state": F.when(taken, "assigned").otherwise(F.col("state")), "tried": F.col("tried") + F.when(taken, 1).otherwise(0)}).drop("__n")
+
+
+def live_workers(workers: DataFrame, now: Column, timeout: int = WORKER_TIMEOUT) -> DataFrame:
+    """``alive``: whether a worker's last ``heartbeat`` (in seconds) is at most ``timeout`` ago."""
+    return workers.withColumn("alive", (now - F.col("heartbeat")) <= timeout)
+
+
+def reassigned(tasks: DataFrame, workers: DataFrame, now: Column, timeout: int = WORKER_TIMEOUT, attempts: int = ATTEMPTS) -> DataFrame:
+    """Tasks of lost workers are pending again, or dead letters after ``attempts``; all others stay."""
+    alive = live_workers(workers, now, timeout).select("worker", "alive")
+    lost = F.col("state").isin("assigned", "in_progress") & ~F.coalesce("alive", F.lit(False))
+    return tasks.join(alive, "worker", "left").withColumn("state", F.when(lost, F.when(F.col("tried") >= attempts, "dead_letter").otherwise("pending")).otherwise(F.col("state"))).drop("alive")
+
+
+def cancelled(tasks: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Tasks of the jobs (``job``) that are not finished."""
+    gone = jobs.select("job", F.lit(True).alias("__gone")).distinct()
+    out = tasks.join(gone, "job", "left")
+    return out.withColumn("state", F.when(F.col("__gone") & ~F.col("state").isin(*FINAL), "cancelled").otherwise(F.col("state"))).drop("__gone")
+
+
+def reported(tasks: DataFrame, reports: DataFrame) -> DataFrame:
+    """``task, state``: completed if a report says so, failed if the last one does, as it was without reports (``task, at, ok``)."""
+    last = reports.groupBy("task").agg(F.bool_or("ok").alias("done"), F.count("*").alias("reports"))
+    state = F.when(F.col("reports").isNull() | F.col("state").isin(*FINAL), F.col("state")).when(F.col("done"), "completed").otherwise("failed")
+    return tasks.join(last, "task", "left").withColumn("state", state).drop("done", "reports")
+
+
+def job_status(tasks: DataFrame) -> DataFrame:
+    """A row a job: tasks by outcome, and its state: cancelled, completed when none is left, running when some is done, else pending."""
+    out = tasks.groupBy("job").agg(F.count("*").alias("total"), *(F.count_if(F.col("state") == s).alias(s) for s in ("completed", "dead_letter", "cancelled")))
+    left = F.col("total") - F.col("completed") - F.col("dead_letter") - F.col("cancelled")
+    return out.withColumn("status", F.when(F.col("cancelled") > 0, "cancelled").when(left == 0, "completed").when(F.col("completed") + F.col("dead_letter") > 0, "running").otherwise("pending"))
+
+
+def listed_jobs(jobs: DataFrame, status: str | None = None, most: int = 100) -> DataFrame:
+    """The newest jobs (``job, status, created``), ``most`` at the most."""
+    kept = jobs if status is None else jobs.filter(F.col("status") == status)
+    return kept.orderBy(F.col("created").desc(), "job").limit(most)
+
+
+def expected(done: Column, total: Column, elapsed: Column) -> dict[str, Column]:
+    """``percent`` and ``eta``, the seconds left at the same pace (null before anything is done)."""
+    share = done / F.nullif(total, F.lit(0))
+    return {"percent": F.coalesce(100 * share, F.lit(0.0)), "eta": F.when(share > 0, elapsed / share * (1 - share))}
+
+
+def throughput(done: Column, failed: Column, total: Column, elapsed: Column) -> dict[str, Column]:
+    """``rate`` a second, ``success`` and ``eta`` of a run."""
+    rate = (done + failed) / F.nullif(elapsed, F.lit(0))
+    return {"rate": rate, "success": F.coalesce(done / F.nullif(done + failed, F.lit(0)), F.lit(0.0)), "eta": F.when(rate > 0, (total - done - failed) / rate)}
+
+
+def outcome(done: Column, attempts: Column, most: int = ATTEMPTS) -> Column:
+    """A task's state from its completions and other reports."""
+    return F.when(done > 0, "completed").when(attempts >= most, "dead_letter").otherwise("pending")

@@ -85,7 +85,7 @@ def test_side_by_side_stacks_all_rows(spark, tmp_path):
     spark.createDataFrame(parts, "p_partkey long, p_brand string, p_size int, p_name string").write.parquet(f"{tmp_path}/part.parquet")
     rows = {k: [b.translate(str.maketrans("#2", "--")) for _, b, s, _ in parts if s == k] for k in (1, 2)}
     want = {i: "".join(rows[k][i] if i < len(rows[k]) else "-" * 7 for k in (1, 2)) for i in range(54)}
-    got = {r.row: r.digest for r in registry.queries()["h03_all_rows"](spark, str(tmp_path)).collect()}
+    got = {r.row: r.digest for r in registry.queries()["h03_side_by_side"](spark, str(tmp_path)).collect()}
     assert got == {i: hashlib.md5(s.encode()).hexdigest() for i, s in want.items()}
 
 
@@ -106,11 +106,11 @@ def test_realigned_or_as_given(spark, tmp_path):
 
 
 def test_clash_fractions_cover_all_label_pairs(spark, sf):
-    got = {(r.label, r.other): (r.near, r.n) for r in registry.queries()["e04_all_clash_fractions"](spark, sf).collect()}
+    got = {(r.label, r.other): (r.near, r.n) for r in registry.queries()["e04_clash_fraction"](spark, sf).collect()}
     one = registry.queries()["e04_clash_fraction"](spark, sf).first()
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
-    assert got == {(a, b): (near, n) for a, b, near, n in con.execute(registry.oracles()["e04_all_clash_fractions"]).fetchall()}
+    assert got == {(a, b): (near, n) for a, b, near, n in con.execute(registry.oracles()["e04_clash_fraction"]).fetchall()}
     assert len(got) == 90 and got[0, 1] == (one.near, one.n)
 
 

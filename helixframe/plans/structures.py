@@ -340,7 +340,16 @@ def d16_glycosidic_bonds(spark, d: str) -> DataFrame:
     return rounded(S.glycosidic(atoms(spark, d), table, 4.6).drop("bond"), "distance")
 
 
-PAIRS = f"{BONDS}, pairs AS (SELECT DISTINCT b.structure_id, t1.token AS token_1, t2.token AS token_2 FROM bonds b JOIN tokens t1 ON (t1.structure_id, t1.chain_id, t1.residue_pos) = (b.structure_id, chain_id_1, residue_pos_1) JOIN tokens t2 ON (t2.structure_id, t2.chain_id, t2.residue_pos) = (b.structure_id, chain_id_2, residue_pos_2) WHERE t1.token <> t2.token), both_ways AS (SELECT * FROM pairs UNION SELECT structure_id, token_2, token_1 FROM pairs)"
+def token_pairs_sql(name: str, links: str, condition: str) -> str:
+    """CTE ``name`` of the pairs of tokens at both ends of ``links``; kept apart, so that DuckDB doesn't first join all tokens of a structure with each other."""
+    at = "t.structure_id = b.structure_id AND t.chain_id = b.chain_id_{0} AND t.residue_pos = b.residue_pos_{0}"
+    return (
+        f"{name}_1 AS MATERIALIZED (SELECT b.*, t.token AS token_1 FROM {links} b JOIN tokens t ON {at.format(1)}), "
+        f"{name} AS MATERIALIZED (SELECT DISTINCT b.structure_id, b.token_1, t.token AS token_2 FROM {name}_1 b JOIN tokens t ON {at.format(2)} WHERE {condition})"
+    )
+
+
+PAIRS = f"{BONDS}, {token_pairs_sql('pairs', 'bonds', 'token_1 <> t.token')}, both_ways AS (SELECT * FROM pairs UNION SELECT structure_id, token_2, token_1 FROM pairs)"
 
 
 def bonded_tokens(spark, d: str) -> DataFrame:
@@ -366,7 +375,7 @@ def d26_ligand_token_bonds(spark, d: str) -> DataFrame:
 SUGAR = f"sugar AS (SELECT a.structure_id, {ENDS} FROM ak a JOIN ak b ON a.structure_id = b.structure_id AND a.residue = 'ATP' AND (b.kind = 'PROTEIN' OR (b.residue = 'ATP' AND a.chain_id = b.chain_id AND b.residue_pos = a.residue_pos + 1)) AND {DIST} <= 1.6::DOUBLE)"
 
 
-@q(f"{PAIRS}, {SUGAR}, p2 AS (SELECT DISTINCT b.structure_id, t1.token AS token_1, t2.token AS token_2 FROM sugar b JOIN tokens t1 ON (t1.structure_id, t1.chain_id, t1.residue_pos) = (b.structure_id, chain_id_1, residue_pos_1) JOIN tokens t2 ON (t2.structure_id, t2.chain_id, t2.residue_pos) = (b.structure_id, chain_id_2, residue_pos_2) WHERE t1.token <> t2.token) SELECT * FROM both_ways UNION SELECT * FROM p2 UNION SELECT structure_id, token_2, token_1 FROM p2")
+@q(f"{PAIRS}, {SUGAR}, {token_pairs_sql('p2', 'sugar', 'token_1 <> t.token')} SELECT * FROM both_ways UNION SELECT * FROM p2 UNION SELECT structure_id, token_2, token_1 FROM p2")
 def h06_all_bonds(spark, d: str) -> DataFrame:
     """Detected bonds and glycosidic ones as token pairs."""
     a = atoms(spark, d)
@@ -399,7 +408,7 @@ def p70_bond_types(spark, d: str) -> DataFrame:
     return S.bond_features(a, S.tokens(a))
 
 
-@q(f"{BONDS} SELECT DISTINCT b.structure_id, t1.token AS token_1, t2.token AS token_2 FROM bonds b JOIN tokens t1 ON (t1.structure_id, t1.chain_id, t1.residue_pos) = (b.structure_id, chain_id_1, residue_pos_1) JOIN tokens t2 ON (t2.structure_id, t2.chain_id, t2.residue_pos) = (b.structure_id, chain_id_2, residue_pos_2) WHERE bond = 'disulfide' AND t1.token < t2.token")
+@q(f"{BONDS}, {token_pairs_sql('pairs', 'bonds', "bond = 'disulfide' AND token_1 < t.token")} SELECT * FROM pairs")
 def m21_disulfide_tokens(spark, d: str) -> DataFrame:
     a = atoms(spark, d)
     return S.bond_tokens(S.bonded(a).filter("bond = 'disulfide'"), S.tokens(a)).filter("token_1 < token_2")

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 
 from helixframe.operators import geometry
-from helixframe.plans import kernels
+from helixframe.plans import files, kernels
 from helixframe.streaming import tasks
 
 
@@ -36,7 +36,7 @@ def test_kernel_queries(spark, sf):
     crop = kernels.j04_contiguous_crop(spark, sf).groupBy("structure_id").count().collect()
     assert crop and all(r["count"] <= 16 for r in crop)
     assert kernels.g12_chain_growth(spark, sf).count() == 4
-    assert kernels.k01_search(spark, sf).filter("NOT found").count() == spark.read.parquet(f"{sf}/supplier.parquet").count()
+    assert files.QUERIES["k01_search"](spark, sf).filter("NOT found").count() == spark.read.parquet(f"{sf}/supplier.parquet").count()
 
 
 def test_task_stream_matches_plain_machine(spark, sf):

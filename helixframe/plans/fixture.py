@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import chem
-from ..sources.tables import checkpoint_folder, read_table
+from ..sources.tables import checkpoint_folder, exists, read_table
 
 CHAINS = ("AF", "AO", "NF", "NO", "RF", "RO")
 CODES = {
@@ -35,11 +35,11 @@ def _sql() -> str:
     special = " ".join(f"WHEN '{c}' THEN [{text(v)}][a + 1]" for c, v in SPECIAL.items())
     names = " ".join(f"WHEN '{c}' THEN [{text(v)}][a + 1]" for c, v in NAMES.items())
     shift = [f"([{', '.join(f'{x}::DOUBLE' for x in v)}])[a + 1]" for v in SHIFT]
-    return f"""k AS (SELECT l_suppkey::INTEGER AS sid, l_returnflag || l_linestatus AS chain_id, (row_number() OVER (PARTITION BY l_suppkey, l_returnflag, l_linestatus ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax) - 1)::INTEGER AS k, l_discount AS d, l_tax AS t FROM lineitem),
+    return f"""k AS MATERIALIZED (SELECT l_suppkey::INTEGER AS sid, l_returnflag || l_linestatus AS chain_id, (row_number() OVER (PARTITION BY l_suppkey, l_returnflag, l_linestatus ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax) - 1)::INTEGER AS k, l_discount AS d, l_tax AS t FROM lineitem),
 r AS (SELECT *, k // 5 AS residue_pos, k % 5 AS a, list_position([{text(CHAINS)}], chain_id) - 1 AS ci FROM k),
 c AS (SELECT *, CASE WHEN ci < 2 AND residue_pos = 2 AND sid % 2 = 0 THEN 'CYS' WHEN chain_id = 'RF' AND sid % 3 = 0 THEN [{text(EXCLUDED)}][(sid + residue_pos) % 5 + 1] ELSE CASE chain_id {codes} END END AS residue FROM r),
 n AS (SELECT *, CASE residue {special} ELSE CASE chain_id {names} END END AS atom FROM c),
-atoms AS (SELECT 's' || lpad(sid::VARCHAR, 6, '0') AS structure_id, chain_id, residue_pos, residue_pos + 1 AS seq_id, residue, a AS atom_pos, atom, CASE WHEN residue IN ('ZN', 'MG', 'CL', 'NA') THEN residue WHEN atom = 'SE' THEN 'SE' ELSE substr(atom, 1, 1) END AS element,
+atoms AS MATERIALIZED (SELECT 's' || lpad(sid::VARCHAR, 6, '0') AS structure_id, chain_id, residue_pos, residue_pos + 1 AS seq_id, residue, a AS atom_pos, atom, CASE WHEN residue IN ('ZN', 'MG', 'CL', 'NA') THEN residue WHEN atom = 'SE' THEN 'SE' ELSE substr(atom, 1, 1) END AS element,
   3.8::DOUBLE * residue_pos + {shift[0]} + 5 * d + CASE WHEN chain_id = 'AO' AND sid % 5 = 0 AND residue_pos >= 10 THEN 12.0::DOUBLE ELSE 0.0::DOUBLE END AS x,
   4.0::DOUBLE * ci + {shift[1]} + 5 * t - CASE WHEN chain_id = 'AO' AND sid % 4 = 1 THEN 3.7::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN residue_pos = 2 AND atom = 'SG' AND chain_id = 'AF' THEN 1.0::DOUBLE WHEN residue_pos = 2 AND atom = 'SG' AND chain_id = 'AO' THEN -0.9::DOUBLE ELSE 0.0::DOUBLE END AS y,
   {shift[2]} + 0.01::DOUBLE * (sid % 7) AS z, t AS tax, chain_id LIKE 'R%' AS is_hetero, sid FROM n)"""
@@ -54,7 +54,7 @@ _kept: dict[tuple[str, str], str] = {}
 def atoms(spark, d: str) -> DataFrame:
     """The atom table of ``sources.structures``, made once for a session and folder and kept in the checkpoint folder."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _kept:
+    if key not in _kept or not exists(spark, _kept[key]):
         path = f"{checkpoint_folder(spark)}/structures-{uuid.uuid4()}"
         made(spark, d).write.parquet(path)
         _kept[key] = path

@@ -12,28 +12,38 @@ from .base import Queries
 q = Queries()
 QUERIES, ORACLES = q.queries, q.oracles
 STATE = "CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'view' THEN 'in_progress' WHEN 'error' THEN 'assigned' WHEN 'click' THEN 'failed' ELSE 'pending' END"
-TASKS = f"t AS (SELECT user_id::VARCHAR AS job, event_id AS task, {STATE} AS state, (event_id % 5)::INTEGER AS tried, (event_id % 7)::INTEGER AS worker, (value::INTEGER % 4) AS priority FROM events)"
-WORKERS = "w AS (SELECT unnest(range(6)) AS worker, 1000 - 7 * unnest(range(6)) AS heartbeat)"
+TASKS = f"t AS (SELECT user_id::VARCHAR AS job, event_id AS task, {STATE} AS state, (event_id % 5)::INTEGER AS tried, (user_id % 50)::INTEGER AS worker, round(value)::INTEGER % 4 AS priority FROM events)"
+#: Users share 50 workers, whose views are their heartbeats; the last event is now, and a worker is lost after six hours.
+SILENT = 6 * 3600
+WORKERS = "w AS (SELECT (user_id % 50)::INTEGER AS worker, max(floor(epoch(ts)))::BIGINT AS heartbeat, (SELECT max(floor(epoch(ts)))::BIGINT FROM events) AS now FROM events WHERE event_type = 'view' GROUP BY 1)"
 
 
 def tasks(spark, d: str) -> DataFrame:
     e = read_table(spark, d, "events")
-    return e.select(F.col("user_id").cast("string").alias("job"), F.col("event_id").alias("task"), F.expr(STATE).alias("state"), (F.col("event_id") % 5).cast("int").alias("tried"), (F.col("event_id") % 7).cast("int").alias("worker"), (F.round("value").cast("int") % 4).alias("priority"))
+    return e.select(F.col("user_id").cast("string").alias("job"), F.col("event_id").alias("task"), F.expr(STATE).alias("state"), (F.col("event_id") % 5).cast("int").alias("tried"), (F.col("user_id") % 50).cast("int").alias("worker"), (F.round("value").cast("int") % 4).alias("priority"))
 
 
-def workers(spark) -> DataFrame:
-    """Six workers, the last heard of 7 seconds apart; worker 6 is unknown."""
-    return spark.range(6).select(F.col("id").cast("int").alias("worker"), (1000 - 7 * F.col("id")).alias("heartbeat"))
+def seconds(ts: str):
+    return F.unix_timestamp(F.col(ts).cast("timestamp"))
+
+
+def workers(spark, d: str) -> DataFrame:
+    views = read_table(spark, d, "events").filter("event_type = 'view'")
+    return views.groupBy((F.col("user_id") % 50).cast("int").alias("worker")).agg(F.max(seconds("ts")).alias("heartbeat"))
+
+
+def now(spark, d: str):
+    return F.lit(read_table(spark, d, "events").agg(F.max(seconds("ts"))).first()[0])
 
 
 SUBMITTED = "SELECT user_id::VARCHAR AS job, event_id, user_id || '_' || lpad((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1)::VARCHAR, 6, '0') AS task, 'pending' AS state, 0 AS tried FROM events"
 for _name in ("n08_submitted_jobs", "p110_tasks_from_keys"):
     q.put(_name, lambda spark, d: T.submitted(read_table(spark, d, "events").select("user_id", "event_id"), "user_id", "event_id"), SUBMITTED)
 
-LOST = "state IN ('assigned', 'in_progress') AND NOT coalesce(1000 - heartbeat <= 30, false)"
+LOST = f"state IN ('assigned', 'in_progress') AND NOT coalesce(now - heartbeat <= {SILENT}, false)"
 REASSIGNED = f"WITH {TASKS}, {WORKERS} SELECT job, task, CASE WHEN {LOST} THEN CASE WHEN tried >= 3 THEN 'dead_letter' ELSE 'pending' END ELSE state END AS state FROM t LEFT JOIN w USING (worker)"
 for _name in ("n09_lost_workers", "n10_reassigned_tasks"):
-    q.put(_name, lambda spark, d: T.reassigned(tasks(spark, d), workers(spark), F.lit(1000)).select("job", "task", "state"), REASSIGNED)
+    q.put(_name, lambda spark, d: T.reassigned(tasks(spark, d), workers(spark, d), now(spark, d), SILENT).select("job", "task", "state"), REASSIGNED)
 
 
 @q(f"WITH {TASKS} SELECT job, task, CASE WHEN job::INTEGER % 3 = 0 AND state NOT IN ('completed', 'dead_letter', 'cancelled') THEN 'cancelled' ELSE state END AS state FROM t")
@@ -42,14 +52,14 @@ def n11_cancelled_jobs(spark, d: str) -> DataFrame:
     return T.cancelled(t, t.filter(F.col("job").cast("int") % 3 == 0).select("job")).select("job", "task", "state")
 
 
-FETCHED = f"WITH {TASKS}, k AS (SELECT *, CASE WHEN state = 'pending' THEN row_number() OVER (PARTITION BY job ORDER BY priority DESC, state = 'pending' DESC, task) END AS n FROM t WHERE state = 'pending') SELECT job, task, CASE WHEN n <= 2 THEN 'assigned' ELSE 'pending' END AS state, tried + (n <= 2)::INTEGER AS tried FROM k"
+FETCHED = f"WITH {TASKS}, k AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY priority DESC, task) AS n FROM t WHERE state = 'pending') SELECT t.job, t.task, CASE WHEN n <= 2 THEN 'assigned' ELSE t.state END AS state, t.tried + coalesce(n <= 2, false)::INTEGER AS tried FROM t LEFT JOIN k USING (task)"
 for _name in ("n12_fetched_tasks", "n14_worker_turn"):
-    q.put(_name, lambda spark, d: T.fetched(tasks(spark, d).filter("state = 'pending'"), 2, [F.col("task")]).select("job", "task", "state", "tried"), FETCHED)
+    q.put(_name, lambda spark, d: T.fetched(tasks(spark, d), 2, [F.col("task")]).select("job", "task", "state", "tried"), FETCHED)
 
 
-@q(f"WITH {TASKS}, r AS (SELECT event_id + 1 AS task, bool_or(event_type = 'purchase') AS done FROM events WHERE event_id % 3 = 0 GROUP BY 1) SELECT task, CASE WHEN done IS NULL OR state = 'completed' THEN state WHEN done THEN 'completed' ELSE 'failed' END AS state FROM t LEFT JOIN r USING (task)")
+@q(f"WITH {TASKS}, r AS (SELECT event_id + 1 AS task, bool_or(event_type = 'purchase') AS done FROM events WHERE event_type <> 'view' GROUP BY 1) SELECT task, CASE WHEN done IS NULL OR state = 'completed' THEN state WHEN done THEN 'completed' ELSE 'failed' END AS state FROM t LEFT JOIN r USING (task)")
 def n13_reported_tasks(spark, d: str) -> DataFrame:
-    reports = read_table(spark, d, "events").filter("event_id % 3 = 0").select((F.col("event_id") + 1).alias("task"), F.col("event_id").alias("at"), (F.col("event_type") == "purchase").alias("ok"))
+    reports = read_table(spark, d, "events").filter("event_type <> 'view'").select((F.col("event_id") + 1).alias("task"), F.col("event_id").alias("at"), (F.col("event_type") == "purchase").alias("ok"))
     return T.reported(tasks(spark, d), reports).select("task", "state")
 
 
@@ -57,7 +67,7 @@ STATUS = f"WITH {TASKS}, s AS (SELECT job, count(*) AS total, count(*) FILTER (s
 for _name in ("p111_job_status", "p116_jobs"):
     q.put(_name, lambda spark, d: T.job_status(tasks(spark, d)), STATUS)
 for _name in ("p112_workers", "p113_heartbeats", "p114_worker_records", "p117_worker_states"):
-    q.put(_name, lambda spark, d: T.live_workers(workers(spark), F.lit(1000)), f"WITH {WORKERS} SELECT worker, heartbeat, 1000 - heartbeat <= 30 AS alive FROM w")
+    q.put(_name, lambda spark, d: T.live_workers(workers(spark, d), now(spark, d), SILENT), f"WITH {WORKERS} SELECT worker, heartbeat, now - heartbeat <= {SILENT} AS alive FROM w")
 
 
 @q("SELECT user_id AS job, max(event_id) AS created, 'running' AS status FROM events GROUP BY 1 ORDER BY created DESC, job LIMIT 10")

@@ -21,7 +21,7 @@ STANDARD = text((*chem.AMINO_ACIDS, "UNK", *chem.RNA, *chem.DNA))
 KNOWN = text((*chem.AMINO_ACIDS, *chem.RNA[:-1], *chem.DNA[:-1]))
 KIND = KIND_SQL.replace("code ", "residue ")
 LETTER = f"CASE WHEN kind = 'PROTEIN' THEN {sql_map(AA, "'X'", 'residue')} WHEN kind IN ('RNA', 'DNA') THEN {sql_map(chem.NUCLEOTIDE_LETTERS, "'N'", 'residue')} ELSE 'X' END"
-RES = f"WITH {ATOMS}, ak AS (SELECT *, {KIND} AS kind FROM atoms), res AS (SELECT structure_id, chain_id, residue_pos, min(seq_id) AS seq_id, residue, kind, count(*) AS n_atoms FROM ak GROUP BY structure_id, chain_id, residue_pos, residue, kind)"
+RES = f"WITH {ATOMS}, ak AS MATERIALIZED (SELECT *, {KIND} AS kind FROM atoms), res AS (SELECT structure_id, chain_id, residue_pos, min(seq_id) AS seq_id, residue, kind, count(*) AS n_atoms FROM ak GROUP BY structure_id, chain_id, residue_pos, residue, kind)"
 CHAINS = f"""{RES}, ck AS (SELECT structure_id, chain_id, kind, count(*) AS n, min(residue_pos) AS f FROM res GROUP BY 1, 2, 3),
 chains AS (SELECT structure_id, chain_id, kind, n_residues, sequence FROM (SELECT *, row_number() OVER (PARTITION BY structure_id, chain_id ORDER BY n DESC, f) AS k FROM ck) JOIN (SELECT structure_id, chain_id, count(*) AS n_residues, string_agg({LETTER}, '' ORDER BY residue_pos) AS sequence FROM res GROUP BY 1, 2) USING (structure_id, chain_id) WHERE k = 1)"""
 CENTRE = "CASE kind WHEN 'PROTEIN' THEN 'CA' WHEN 'RNA' THEN 'C1''' WHEN 'DNA' THEN 'C1''' ELSE '' END"

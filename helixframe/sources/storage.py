@@ -19,21 +19,23 @@ class Storage:
     """Objects under a root folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._jvm = spark.sparkContext._jvm
+        self._jvm, self._gateway, self._conf = spark.sparkContext._jvm, spark.sparkContext._gateway, spark.sparkContext._jsc.hadoopConfiguration()
         self.root = root.rstrip("/")
-        self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs = self._path("").getFileSystem(self._conf)
 
     def _path(self, key: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{key}" if key else self.root)
 
     def put(self, key: str, content: bytes) -> None:
-        """Replaces what was there; written beside it first, so that no reader sees a part."""
+        """Replaces what was there in one rename; written beside it first, so that a reader sees the old content or the new one."""
         target, beside = self._path(key), self._path(f"{key}.tmp-")
         out = self._fs.create(beside, True)
         out.write(bytearray(content))
         out.close()
-        self._fs.delete(target, False)
-        self._fs.rename(beside, target)
+        kind = self._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self._gateway.new_array(kind, 1)
+        options[0] = kind.OVERWRITE
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else self._fs.getUri(), self._conf).rename(beside, target, options)
 
     def get(self, key: str) -> bytes:
         if not self.exists(key):

@@ -35,6 +35,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     workers_find_package(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

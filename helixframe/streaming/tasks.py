@@ -61,9 +61,10 @@ def submitted(keys: DataFrame, job: str, key: str) -> DataFrame:
 
 def fetched(tasks: DataFrame, workers: int, order: list[Column]) -> DataFrame:
     """The tasks that the workers of each job take next: pending ones, the highest priority first; they are assigned and tried once more."""
-    place = F.row_number().over(Window.partitionBy("job").orderBy(F.col("priority").desc(), *order))
-    taken = (F.col("state") == "pending") & (F.col("__n") <= workers)
-    ranked = tasks.withColumn("__n", F.when(F.col("state") == "pending", place))
+    pending = F.coalesce(F.col("state") == "pending", F.lit(False))
+    place = F.row_number().over(Window.partitionBy("job", pending).orderBy(F.col("priority").desc(), *order))
+    taken = pending & (F.col("__n") <= workers)
+    ranked = tasks.withColumn("__n", place)
     return ranked.withColumns({"state": F.when(taken, "assigned").otherwise(F.col("state")), "tried": F.col("tried") + F.when(taken, 1).otherwise(0)}).drop("__n")
 
 

@@ -107,11 +107,10 @@ def test_realigned_or_as_given(spark, tmp_path):
 
 def test_clash_fractions_cover_all_label_pairs(spark, sf):
     got = {(r.label, r.other): (r.near, r.n) for r in registry.queries()["e04_clash_fraction"](spark, sf).collect()}
-    one = registry.queries()["e04_clash_fraction"](spark, sf).first()
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
     assert got == {(a, b): (near, n) for a, b, near, n in con.execute(registry.oracles()["e04_clash_fraction"]).fetchall()}
-    assert len(got) == 90 and got[0, 1] == (one.near, one.n)
+    assert len(got) == 90
 
 
 def test_search_without_programs_gives_the_query(spark):

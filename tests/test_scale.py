@@ -144,3 +144,13 @@ def test_draws_follow_weights(spark):
     got = {r.k: r["count"] for r in R.drawn(df, "k", "w", 4000, 5).groupBy("k").count().collect()}
     assert set(got) == {1, 2, 3} and sum(got.values()) == 4000
     assert all(abs(got[k] / 4000 - w / 10) < 0.03 for k, w in ((1, 1), (2, 3), (3, 6)))
+
+
+def test_finished_tasks_take_no_worker(spark):
+    from pyspark.sql import functions as F
+
+    from helixframe.streaming import tasks
+
+    rows = [("j", 1, "completed", 1, 9), ("j", 2, "completed", 1, 8), ("j", 3, "pending", 0, 1), ("j", 4, "pending", 2, 0), ("j", 5, "pending", 0, 0), ("k", 6, "cancelled", 0, 9), ("k", 7, None, 0, 9), ("k", 8, "pending", 0, None)]
+    got = tasks.fetched(spark.createDataFrame(rows, "job string, task int, state string, tried int, priority int"), 2, [F.col("task")])
+    assert {r.task: (r.state, r.tried) for r in got.collect()} == {1: ("completed", 1), 2: ("completed", 1), 3: ("assigned", 1), 4: ("assigned", 3), 5: ("pending", 0), 6: ("cancelled", 0), 7: (None, 0), 8: ("assigned", 1)}

@@ -535,9 +535,21 @@ def test_toxicity_learns_and_ignores_identity():
     assert gap[0] < 0.2 * gap[1]
     s = fair.score(["what a vileword you are", "n1 n2 n3", "", None, "vileworded " * 3000])
     assert s[0] > 0.5 > s[1] and s[2] == s[3] < 0.5 and 0 <= s.min() and s.max() <= 1
+    both = op9.Sentences(["women and men met", "women women", "nobody", "vileword men"] * 2, np.array([0.0, 1, 0, 1] * 2), (("people", "women", "men"),))
+    assert both.mentions == 10 and both.swaps == 2 * 8 + 2 * 16
     assert op9.ToxicityModel.fit(["a"], [1], 1.0).score(["b"])[0] == 1.0 and op9.ToxicityModel.fit([], [], 0.0).score([None])[0] == 0.0
 
 
+def test_chosen_penalty_closes_the_gap(spark):
+    """On planted sentences the scores' spread falls by four fifths, and held-out rows are judged as well as before."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    train, held = labels.filter(op9.fold("doc_id", 5) != 0), docs.join(labels.filter(op9.fold("doc_id", 5) == 0), "doc_id").select("text", "toxic").collect()
+    fair, plain = (op9.fit_toxicity(docs, train, counterfactual=c) for c in (None, 0.0))
+    spread = [np.ptp(m.score([f"the {w} live here" for w in ("people", "muslims", "christians", "jews", "women", "men")])) for m in (fair, plain)]
+    right = [np.mean([(p >= 0.5) == r.toxic for p, r in zip(m.score([r.text for r in held]), held, strict=True)]) for m in (fair, plain)]
+    assert spread[0] <= 0.2 * spread[1] and right[0] >= right[1] and fair.counterfactual in op9.PENALTIES and fair.swaps > 1000
+
+
 def test_toxicity_rows(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
     got = op9.op9_toxicity(spark, sf).join(labels, "doc_id").collect()
@@ -623,12 +635,12 @@ def test_toxicity_tables_with_neutral_mentions(spark, tmp_path):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs, marks = (spark.read.parquet(f"{tmp_path}/{n}.parquet") for n in ("documents", "labels"))
     train = marks.filter(op9.fold("doc_id", 5) != 0)
-    fair, plain = (op9.fit_toxicity(docs, train, counterfactual=c, chars=c_max) for c, c_max in ((op9.COUNTERFACTUAL, 100_000), (0.0, 100_000)))
+    fair, plain = (op9.fit_toxicity(docs, train, counterfactual=c, chars=c_max) for c, c_max in ((None, 100_000), (0.0, 100_000)))
     named = sum(t.split().count(x) for i, t, *_ in rows for x in ("muslims", "christians", "lesbian") if zlib.crc32(str(i).encode()) % 5)
     assert fair.mentions == named and fair.swaps > 5 * named
     logit = lambda m, t: float(np.log(m.score([t])[0] / (1 - m.score([t])[0])))
     gaps = [[logit(m, "n1 " + a) - logit(m, "n1 " + g[0]) for g in op9.IDENTITY for a in g[1:]] for m in (fair, plain)]
-    assert max(gaps[0]) < 0.25 * max(gaps[1])
+    assert max(gaps[0]) < 0.2 * max(gaps[1]) and fair.counterfactual > 0
     held = [r for r in op9.op9_toxicity(spark, str(tmp_path)).collect() if r.held_out]
     assert all(r.predicted == (r.doc_id % 5 == 0 and r.doc_id < 900) for r in held) and any(r.doc_id in neutral for r in held)
     score = {i: m.score([rows[i][1] for i in sorted(neutral)]).mean() for i, m in enumerate((fair, plain))}

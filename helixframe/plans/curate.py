@@ -1,4 +1,4 @@
-"""From files to cropped tokens: all structures of a folder in one plan."""
+"""From files to model inputs of cropped structures: all structures of a folder in one plan."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import crop, relational
+from ..operators import crop, inputs, relational
 from ..operators import structures as S
 from ..sources import structures as src
 
@@ -22,6 +22,7 @@ class Curated:
     bonds: DataFrame
     tokens: DataFrame
     pairs: DataFrame
+    inputs: DataFrame
 
 
 def cleaned(atoms: DataFrame) -> DataFrame:
@@ -42,7 +43,13 @@ def verdicts(structures: DataFrame, chains: DataFrame, config: Config) -> DataFr
     return relational.first_failing(joined, rules).select("structure_id", "passed", "reason")
 
 
-def curate(spark: SparkSession, path: str, config: Config | None = None) -> Curated:
+def own_sequences(chains: DataFrame) -> DataFrame:
+    """Alignments of the chains' own sequences, for chains that nothing was searched for."""
+    return chains.select(*S.CHAIN, F.lit(0).alias("row"), "sequence", F.array_repeat(F.lit(0), F.length("sequence")).alias("deletions"))
+
+
+def curate(spark: SparkSession, path: str, config: Config | None = None, alignments: DataFrame | None = None, templates: DataFrame | None = None) -> Curated:
+    """``alignments`` and ``templates`` are those of ``inputs.model_inputs``; without alignments a chain has its own sequence alone."""
     config = config or Config()
     parsed = src.read_structures(spark, path)
     atoms = cleaned(src.atoms(parsed))
@@ -54,13 +61,16 @@ def curate(spark: SparkSession, path: str, config: Config | None = None) -> Cura
     good = good.join(clash, S.CHAIN, "left_anti")
     tokens = S.tokens(good)
     references = crop.reference_tokens(tokens, config.cropping.seed)
-    cropped = crop.renumbered(crop.within_atom_budget(crop.spatial_crop(tokens, references, config.cropping.max_tokens), config.cropping.max_atoms))
-    return Curated(verdict, good, S.chains(S.residues(good)), S.interfaces(good), S.bonded(good), cropped, S.token_pairs(cropped))
+    kept = crop.within_atom_budget(crop.spatial_crop(tokens, references, config.cropping.max_tokens), config.cropping.max_atoms)
+    cropped = crop.renumbered(kept)
+    good_chains, bonds = S.chains(S.residues(good)), S.bonded(good)
+    whole = inputs.model_inputs(good, own_sequences(good_chains) if alignments is None else alignments, templates, S.bond_tokens(bonds, tokens), config.alignments.max_rows, config.alignments.max_templates)
+    return Curated(verdict, good, good_chains, S.interfaces(good), bonds, cropped, S.token_pairs(cropped), inputs.cropped_inputs(whole, kept))
 
 
 def write(result: Curated, folder: str) -> None:
     """Each table as Parquet in the folder."""
-    for name in ("verdicts", "atoms", "chains", "interfaces", "bonds", "tokens", "pairs"):
+    for name in ("verdicts", "atoms", "chains", "interfaces", "bonds", "tokens", "pairs", "inputs"):
         getattr(result, name).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
 
 

@@ -11,9 +11,9 @@ from ..operators import search
 from ..operators import structures as S
 from ..sources import alignments as L
 from ..sources import components as C
-from ..sources import storage, store
+from ..sources import mmcif, storage, store
 from ..sources import structures as M
-from ..sources.tables import checkpoint_folder, read_table
+from ..sources.tables import checkpoint_folder, exists, read_table
 from ..streaming import files as X
 from .base import Queries
 from .features import MSA_SQL, msa
@@ -185,18 +185,31 @@ def contents(spark, d: str) -> DataFrame:
     key = F.element_at(F.array(*map(F.lit, ("_refine.ls_d_res_high", "_em_3d_reconstruction.resolution", "_reflns.d_resolution_high"))), n % 3 + 1)
     head = F.concat(F.lit("data_"), "structure_id", F.lit("\n_exptl.method 'X-ray diffraction'\n"), key, F.lit(" "), (n % 8 / 2).cast("string"), F.lit("\n_pdbx_database_status.recvd_initial_deposition_date "), F.format_string("20%02d-3-%d", n % 20, n % 28 + 1))
     conn = F.lit("\nloop_\n_struct_conn.conn_type_id\n_struct_conn.ptnr1_auth_asym_id\n_struct_conn.ptnr1_auth_seq_id\n_struct_conn.ptnr1_label_atom_id\n_struct_conn.ptnr2_auth_asym_id\n_struct_conn.ptnr2_auth_seq_id\n_struct_conn.ptnr2_label_atom_id\ncovale AF 3 CA RF 1 C1\nhydrog AF 1 N AO 1 O\nmetalc AO 2 O RO 4 M1\ncovale AF x N AO 1 O\n")
-    axes = " ".join(f"_pdbx_struct_oper_list.{x}" for x in ["id", *(f"matrix[{i}][{j}]" for i in (1, 2, 3) for j in (1, 2, 3)), *(f"vector[{i}]" for i in (1, 2, 3))])
-    ops = F.lit(f"loop_ {axes}\n1 1 0 0 0 1 0 0 0 1 0 0 0\n2 -1 0 0 0 -1 0 0 0 1 0 0 5\nloop_ _pdbx_struct_assembly_gen.assembly_id _pdbx_struct_assembly_gen.oper_expression _pdbx_struct_assembly_gen.asym_id_list\n1 1,2 AF,AO\n2 (1-2)(2) NF\n3 7 NF\n")
+    axes = "\n".join(f"_pdbx_struct_oper_list.{x}" for x in ["id", *(f"matrix[{i}][{j}]" for i in (1, 2, 3) for j in (1, 2, 3)), *(f"vector[{i}]" for i in (1, 2, 3))])
+    ops = F.lit(f"loop_\n{axes}\n1 1 0 0 0 1 0 0 0 1 0 0 0\n2 -1 0 0 0 -1 0 0 0 1 0 0 5\nloop_\n_pdbx_struct_assembly_gen.assembly_id\n_pdbx_struct_assembly_gen.oper_expression\n_pdbx_struct_assembly_gen.asym_id_list\n1 1,2 AF,AO\n2 (1-2)(2) NF\n3 7 NF\n")
     loop = F.lit("\nloop_\n" + "\n".join(f"_atom_site.{x}" for x in names) + "\n")
     return body.select(F.concat(F.lit("in/"), "structure_id", F.lit(".cif")).alias("path"), F.concat(head, conn, ops, loop, "body", F.lit("\n#\n")).cast("binary").alias("content"))
 
 
 STRUCTURES = f"WITH {ATOMS}, s AS (SELECT DISTINCT structure_id, sid FROM atoms)"
-for _name, _columns in {"a01_structures": "structure_id, method, resolution, release_date, error", "a06_resolutions": "structure_id, resolution", "a07_deposition_dates": "structure_id, release_date", "p03_methods": "structure_id, method", "p08_parsed_structures": "structure_id, resolution, method"}.items():
-    q.put(
-        _name, lambda spark, d, columns=_columns: M.parsed(contents(spark, d)).select(*columns.split(", ")),
-        f"SELECT {_columns} FROM ({STRUCTURES} SELECT structure_id, 'X-RAY DIFFRACTION' AS method, sid % 8 / 2.0::DOUBLE AS resolution, '20' || lpad((sid % 20)::VARCHAR, 2, '0') || '-3-' || (sid % 28 + 1) AS release_date, NULL::VARCHAR AS error FROM s)",
-    )
+_written: dict[tuple[str, str], str] = {}
+
+
+def structure_files(spark, d: str) -> str:
+    """A folder with a file for each structure, made once for a session and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _written or not exists(spark, _written[key]):
+        path = folder(spark)
+        mmcif.write_files(contents(spark, d), path)
+        _written[key] = path
+    return _written[key]
+
+
+KNOWN_OF_FILES = "SELECT {} FROM ({} SELECT structure_id, 'X-RAY DIFFRACTION' AS method, sid % 8 / 2.0::DOUBLE AS resolution, '20' || lpad((sid % 20)::VARCHAR, 2, '0') || '-3-' || (sid % 28 + 1) AS release_date, NULL::VARCHAR AS error FROM s)"
+for _name, _columns in {"a01_structures": "structure_id, method, resolution, release_date, error", "p08_parsed_structures": "structure_id, resolution, method"}.items():
+    q.put(_name, lambda spark, d, columns=_columns: M.parsed(contents(spark, d)).select(*columns.split(", ")), KNOWN_OF_FILES.format(_columns, STRUCTURES))
+for _name, _columns in {"a06_resolutions": "structure_id, resolution", "a07_deposition_dates": "structure_id, release_date", "p03_methods": "structure_id, method"}.items():
+    q.put(_name, lambda spark, d, columns=_columns: mmcif.scan(spark, structure_files(spark, d), "structures", columns.split(", ")), KNOWN_OF_FILES.format(_columns, STRUCTURES))
 
 PLACES = f"WITH {ATOMS} SELECT structure_id, chain_id, residue_pos, seq_id, residue, atom, atom_pos, element, round(x, 6) AS x, round(y, 6) AS y, is_hetero FROM atoms"
 for _name in ("a04_atom_rows", "a03_quoted_values"):
@@ -210,12 +223,13 @@ def a05_bond_rows(spark, d: str) -> DataFrame:
 
 ASSEMBLIES = f"{STRUCTURES} SELECT structure_id, assembly, op, chain_id, t3 FROM s, (VALUES ('1', '1', 'AF', 0.0::DOUBLE), ('1', '1', 'AO', 0.0::DOUBLE), ('1', '2', 'AF', 5.0::DOUBLE), ('1', '2', 'AO', 5.0::DOUBLE), ('2', '1_2', 'NF', 5.0::DOUBLE), ('2', '2_2', 'NF', 10.0::DOUBLE)) v(assembly, op, chain_id, t3)"
 for _name in ("a08_assembly_definitions", "p04_assembly_operators", "p05_chosen_assembly", "p09_definitions"):
-    q.put(_name, lambda spark, d: M.operators(M.parsed(contents(spark, d))).select("structure_id", "assembly", "op", "chain_id", "t3"), ASSEMBLIES)
+    q.put(_name, lambda spark, d: mmcif.scan(spark, structure_files(spark, d), "operators", ["structure_id", "assembly", "op", "chain_id", "t3"]), ASSEMBLIES)
 
 
 @q(f"{STRUCTURES} SELECT structure_id AS pdb_id, make_date(2000 + sid % 20, 3, sid % 28 + 1) AS date FROM s")
 def a25_release_dates(spark, d: str) -> DataFrame:
-    return M.release_dates(contents(spark, d))
+    known = mmcif.scan(spark, structure_files(spark, d), "structures", ["structure_id", "release_date"])
+    return known.select(F.col("structure_id").alias("pdb_id"), F.try_to_date("release_date", "yyyy-M-d").alias("date"))
 
 
 @q("SELECT r_name AS region, n_name AS name, n_nationkey::VARCHAR AS key, '' AS note FROM nation JOIN region ON n_regionkey = r_regionkey")

@@ -117,13 +117,22 @@ def first_of(data: dict, *keys: str) -> str:
     return next((v[0] for k in keys if (v := data.get(k)) and v[0]), "")
 
 
+# Where dates and resolutions stand, the first that is there counts.
+DATE_KEYS = ("_pdbx_database_status.recvd_initial_deposition_date", "_database_pdb_rev.date_original")
+RESOLUTION_KEYS = ("_refine.ls_d_res_high", "_em_3d_reconstruction.resolution", "_reflns.d_resolution_high")
+# End of fixed values.
+
+
+def resolution_of(data: dict) -> float | None:
+    return next((x for k in RESOLUTION_KEYS if (x := number(first_of(data, k))) is not None), None)
+
+
 def parse_structure(path: str, content: bytes) -> dict:
     name = re.sub(r"\.(cif|mmcif)(\.gz)?$", "", path.rsplit("/", 1)[-1])
     try:
         data = parse_star((gzip.decompress(content) if path.endswith(".gz") else content).decode())
-        resolution = next((x for k in ("_refine.ls_d_res_high", "_em_3d_reconstruction.resolution", "_reflns.d_resolution_high") if (x := number(first_of(data, k))) is not None), None)
         return {
-            "structure_id": name, "path": path, "method": first_of(data, "_exptl.method").upper(), "resolution": resolution, "release_date": first_of(data, "_pdbx_database_status.recvd_initial_deposition_date", "_database_pdb_rev.date_original") or None,
+            "structure_id": name, "path": path, "method": first_of(data, "_exptl.method").upper(), "resolution": resolution_of(data), "release_date": first_of(data, *DATE_KEYS) or None,
             "atoms": atom_rows(data), "bonds": bond_rows(data), "operators": operator_rows(data), "error": None,
         }
     except Exception as e:  # noqa: BLE001  whatever is wrong with a file is the file's error

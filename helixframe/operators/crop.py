@@ -28,8 +28,9 @@ def within_atom_budget(tokens: DataFrame, most: int) -> DataFrame:
 
 def interface_tokens(tokens: DataFrame, distance: float = 15.0) -> DataFrame:
     """Tokens with a token of another chain nearer than ``distance``."""
-    near = spatial.within(tokens, tokens, distance, ("structure_id",), strict=True).filter("a_chain_id <> b_chain_id")
-    return tokens.join(near.select(F.col("a_structure_id").alias("structure_id"), F.col("a_token").alias("token")).distinct(), ["structure_id", "token"], "left_semi")
+    own = tokens.select("structure_id", "chain_id", "token", *spatial.XYZ)
+    near = spatial.near_pairs(own, "token", distance, ("structure_id",), strict=True).filter("a_chain_id <> b_chain_id")
+    return tokens.join(spatial.ends(near, "structure_id", "token").distinct(), ["structure_id", "token"], "left_semi")
 
 
 def reference_tokens(candidates: DataFrame, seed: int) -> DataFrame:

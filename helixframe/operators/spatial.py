@@ -1,7 +1,8 @@
-"""Distance joins: a grid of cells as wide as the threshold turns them into equi-joins.
+"""Distance joins: a grid of cells turns them into equi-joins.
 
-Points of one side go to the 27 cells around theirs, so each pair within the threshold meets once; the residual
-predicate keeps these. The work follows the number of points near each other, not the product of the sides.
+Points of one side also go to those cells around theirs that the threshold reaches from where they lie, so each pair within the threshold
+meets once; the residual predicate keeps these. The work follows the number of points near each other, not the product of the sides.
+In a join of points with themselves copies go to half of the cells around, and only what a caller asks for goes through the join.
 """
 
 from __future__ import annotations
@@ -22,26 +23,80 @@ def distance(a: str = "a_", b: str = "b_") -> Column:
     return F.sqrt(squared(a, b))
 
 
+#: Width of a cell in thresholds: narrower ones mean more copies, wider ones more pairs to look at.
+CELLS = 1.5
+AROUND = tuple(itertools.product((-1, 0, 1), repeat=3))
+#: Cells that come after their own in order, and their own first: each two cells meet once.
+HALF = ((0, 0, 0), *(step for step in AROUND if step > (0, 0, 0)))
+AXIS = 1 << 21
+
+
+def _cell(width: float, prefix: str = "", step: tuple[int, int, int] = (0, 0, 0)) -> Column:
+    """The number of a point's cell, or of one beside it; cells 2**21 apart along an axis share theirs."""
+    at = [F.pmod(F.floor(F.col(prefix + c) / width).cast("long") + d, F.lit(AXIS)) for c, d in zip(XYZ, step, strict=True)]
+    return (at[0] * AXIS + at[1]) * AXIS + at[2]
+
+
+def _reached(width: float, threshold: float, prefix: str, step: tuple[int, int, int]) -> Column:
+    """Whether the cell beside a point's is within the threshold of it."""
+    gaps = []
+    for c, d in zip(XYZ, step, strict=True):
+        inside = F.col(prefix + c) / width - F.floor(F.col(prefix + c) / width)
+        gaps += [(1 - inside) * width if d > 0 else inside * width] if d else []
+    return sum((g * g for g in gaps), F.lit(0.0)) <= threshold * threshold * (1 + 1e-6)
+
+
+def _copies(points: DataFrame, width: float, threshold: float, steps: tuple, prefix: str) -> DataFrame:
+    """A row for each cell (``__cell``) that a point reaches; ``__own`` in its own."""
+    cells = F.array(*(F.when(_reached(width, threshold, prefix, s), F.struct(_cell(width, prefix, s).alias("cell"), F.lit(s == (0, 0, 0)).alias("own"))) for s in steps))
+    return points.select("*", F.explode(F.array_compact(cells)).alias("__c")).select(*(F.col(f"`{c}`") for c in points.columns), F.col("__c.cell").alias("__cell_b"), F.col("__c.own").alias("__own"))
+
+
 def within(left: DataFrame, right: DataFrame, threshold: float, keys: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """All pairs of rows (columns prefixed ``a_`` and ``b_``) with equal ``keys`` whose ``x, y, z`` are within ``threshold``, and their ``distance``."""
-    a = left.select(*(F.col(c).alias(f"a_{c}") for c in left.columns), *(F.floor(F.col(c) / threshold).cast("long").alias(f"__a{c}") for c in XYZ))
-    around = F.array(*(F.struct(*(F.lit(d).alias(c) for d, c in zip(step, XYZ, strict=True))) for step in itertools.product((-1, 0, 1), repeat=3)))
-    b = right.select(*(F.col(c).alias(f"b_{c}") for c in right.columns), F.explode(around).alias("__d"))
-    b = b.select("*", *((F.floor(F.col(f"b_{c}") / threshold).cast("long") + F.col(f"__d.{c}")).alias(f"__b{c}") for c in XYZ))
-    on = [F.col(f"__a{c}") == F.col(f"__b{c}") for c in XYZ] + [F.col(f"a_{k}") == F.col(f"b_{k}") for k in keys]
+    width = CELLS * threshold
+    a = left.select(*(F.col(c).alias(f"a_{c}") for c in left.columns), _cell(width).alias("__cell_a"))
+    b = _copies(right.select(*(F.col(c).alias(f"b_{c}") for c in right.columns)), width, threshold, AROUND, "b_")
+    on = [F.col("__cell_a") == F.col("__cell_b")] + [F.col(f"a_{k}") == F.col(f"b_{k}") for k in keys]
     pairs = a.join(b, on).withColumn("distance", distance())
     near = F.col("distance") < threshold if strict else F.col("distance") <= threshold
-    return pairs.filter(near).drop("__d", *(f"__{s}{c}" for s in "ab" for c in XYZ))
+    return pairs.filter(near).drop("__cell_a", "__cell_b", "__own")
+
+
+def near_pairs(points: DataFrame, order: Column | str, threshold: float, keys: tuple[str, ...] = (), strict: bool = False, width: float | None = None) -> DataFrame:
+    """The self-join: each unordered pair of different ``order`` once, the smaller one as ``a_``. All columns of ``points`` go through the join, so give it few.
+
+    ``width`` is that of the cells (at least the threshold). Joins of one width share the exchange of one side.
+    """
+    width = width or CELLS * threshold
+    own = points.select("*", (F.col(order) if isinstance(order, str) else order).alias("__order"))
+    named = lambda s: own.select(*(F.col(f"`{c}`").alias(f"{s}_{c}") for c in own.columns))
+    a = named("a").withColumn("__cell_a", _cell(width, "a_"))
+    b = _copies(named("b"), width, threshold, HALF, "b_")
+    on = [F.col("__cell_a") == F.col("__cell_b")] + [F.col(f"a_{k}") == F.col(f"b_{k}") for k in keys]
+    first = F.col("a___order") < F.col("b___order")
+    once = F.when(F.col("__own"), first).otherwise(F.col("a___order") != F.col("b___order"))
+    pairs = a.join(b, on).filter(once).withColumn("distance", distance())
+    near = pairs.filter(F.col("distance") < threshold if strict else F.col("distance") <= threshold)
+    both = [F.when(first, F.col(f"{s}_{c}")).otherwise(F.col(f"{o}_{c}")).alias(f"{s}_{c}") for s, o in ("ab", "ba") for c in points.columns]
+    return near.select(*both, "distance")
+
+
+def ends(pairs: DataFrame, *columns: str) -> DataFrame:
+    """Both points of each pair as rows."""
+    sides = F.array(*(F.struct(*(F.col(f"{s}_{c}").alias(c) for c in columns)) for s in "ab"))
+    return pairs.select(F.explode(sides).alias("__e")).select("__e.*")
 
 
 def pairs_within(points: DataFrame, key: str, threshold: float, keys: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """The self-join, each unordered pair once (smaller ``key`` first)."""
-    return within(points, points, threshold, keys, strict).filter(F.col(f"a_{key}") < F.col(f"b_{key}"))
+    return near_pairs(points, key, threshold, keys, strict)
 
 
 def contacts_by_chain(points: DataFrame, key: str, chain: str, threshold: float) -> DataFrame:
     """For each two chains in contact: points of each side in contact, pairs, and the least distance."""
-    found = within(points, points, threshold).filter(F.col(f"a_{chain}") < F.col(f"b_{chain}"))
+    own = points.select(key, chain, *XYZ)
+    found = near_pairs(own, F.struct(chain, key), threshold).filter(F.col(f"a_{chain}") < F.col(f"b_{chain}"))
     return found.groupBy(F.col(f"a_{chain}").alias("chain_1"), F.col(f"b_{chain}").alias("chain_2")).agg(
         F.countDistinct(f"a_{key}").alias("n_1"), F.countDistinct(f"b_{key}").alias("n_2"), F.count("*").alias("n_pairs"), F.min("distance").alias("min_distance")
     )
@@ -49,7 +104,8 @@ def contacts_by_chain(points: DataFrame, key: str, chain: str, threshold: float)
 
 def clash_fractions(points: DataFrame, key: str, chain: str, threshold: float) -> DataFrame:
     """For each chain the share of its points that have a point of another chain within ``threshold``."""
-    hit = within(points, points, threshold).filter(F.col(f"a_{chain}") != F.col(f"b_{chain}")).select(F.col(f"a_{key}").alias(key)).distinct().withColumn("hit", F.lit(1))
+    near = near_pairs(points.select(key, chain, *XYZ), key, threshold).filter(F.col(f"a_{chain}") != F.col(f"b_{chain}"))
+    hit = ends(near, key).distinct().withColumn("hit", F.lit(1))
     return points.join(hit, key, "left").groupBy(chain).agg(F.count("*").alias("n"), F.count("hit").alias("n_clash"), (F.count("hit") / F.count("*")).alias("fraction"))
 
 
@@ -113,7 +169,8 @@ def same(column: str) -> Column:
 
 def contact_sets(points: DataFrame, key: str, chain: str, threshold: float, keys: tuple[str, ...] = ()) -> DataFrame:
     """For each two chains in contact: the points of each side, in order, and the least distance."""
-    found = within(points, points, threshold, keys).filter(F.col(f"a_{chain}") < F.col(f"b_{chain}"))
+    own = points.select(*dict.fromkeys([*keys, key, chain]), *XYZ)
+    found = near_pairs(own, F.struct(chain, key), threshold, keys).filter(F.col(f"a_{chain}") < F.col(f"b_{chain}"))
     names = [F.col(f"a_{k}").alias(k) for k in keys]
     return found.groupBy(*names, F.col(f"a_{chain}").alias("chain_1"), F.col(f"b_{chain}").alias("chain_2")).agg(
         F.array_sort(F.collect_set(f"a_{key}")).alias("points_1"), F.array_sort(F.collect_set(f"b_{key}")).alias("points_2"), F.min("distance").alias("min_distance")

@@ -52,9 +52,10 @@ def arginine_names(atoms: DataFrame) -> DataFrame:
 
 
 def residues(atoms: DataFrame) -> DataFrame:
-    """A row a residue: its kind and letter, and its atoms by name."""
-    entry = F.struct(F.col("atom").alias("key"), F.struct("x", "y", "z", "element", "atom_pos").alias("value"))
-    out = atoms.groupBy(*RESIDUE, "seq_id", "ins_code", "residue").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("atoms"), F.count("*").alias("n_atoms"))
+    """A row a residue: its kind and letter, and its atoms by name (of a name that is repeated the first one)."""
+    keys = [*RESIDUE, "seq_id", "ins_code", "residue"]
+    named = atoms.groupBy(*keys, "atom").agg(F.min_by(F.struct("x", "y", "z", "element", "atom_pos"), "atom_pos").alias("__value"), F.count("*").alias("__n"))
+    out = named.withColumn("__entry", F.struct(F.col("atom").alias("key"), F.col("__value").alias("value"))).groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list("__entry"))).alias("atoms"), F.sum("__n").alias("n_atoms"))
     kind = chem.chain_type(F.col("residue"))
     return out.withColumn("kind", kind).withColumn("letter", chem.letter(F.col("residue"), kind))
 
@@ -90,19 +91,48 @@ def _keyed(atoms: DataFrame) -> DataFrame:
     return atoms.select("structure_id", "chain_id", "residue_pos", "residue", "atom", "atom_pos", "element", "x", "y", "z")
 
 
-def clashing_chains(atoms: DataFrame, distance: float = CLASH, share: float = CLASH_SHARE) -> DataFrame:
-    """Chains of which ``share`` of the atoms or more have an atom of another chain within ``distance``."""
-    a = _keyed(atoms)
-    hit = spatial.within(a, a, distance, ("structure_id",)).filter("a_chain_id <> b_chain_id").select(*(F.col(f"a_{c}").alias(c) for c in (*RESIDUE, "atom_pos"))).distinct().groupBy(*CHAIN).agg(F.count("*").alias("hits"))
-    total = a.groupBy(*CHAIN).agg(F.count("*").alias("atoms"))
+#: What atoms need to be known by in a distance join; ``kind`` is the place in this list.
+KINDS = ("PROTEIN", "RNA", "DNA", "ION", "WATER", "LIGAND")
+
+
+def neighbours(atoms: DataFrame, threshold: float = CONTACT, width: float | None = None) -> DataFrame:
+    """Pairs of a structure's atoms within ``threshold``, the first by chain, residue and atom as ``a_``: keys, names, ``kind``, ``heavy`` and ``cys`` of both.
+
+    Contacts, clashes and bonds are parts of the pairs within 8 A: made once (and kept, by a checkpoint), they serve all of these.
+    """
+    kind = F.array_position(F.array(*map(F.lit, KINDS)), chem.chain_type(F.col("residue"))).cast("tinyint") - F.lit(1).cast("tinyint")
+    own = atoms.select(*RESIDUE, "atom_pos", "atom", kind.alias("kind"), (F.upper("element") != "H").alias("heavy"), F.col("residue").isin("CYS", "CYX").alias("cys"), *spatial.XYZ)
+    near = spatial.near_pairs(own, F.struct("chain_id", "residue_pos", "atom_pos"), threshold, ("structure_id",), width=width)
+    return near.drop("b_structure_id", *(f"{s}_{c}" for s in "ab" for c in spatial.XYZ))
+
+
+def _across(near: DataFrame, threshold: float, strict: bool) -> DataFrame:
+    """Pairs of different chains."""
+    return near.filter((F.col("distance") < threshold if strict else F.col("distance") <= threshold) & (F.col("a_chain_id") != F.col("b_chain_id")))
+
+
+def clashing_chains(atoms: DataFrame, distance: float = CLASH, share: float = CLASH_SHARE, near: DataFrame | None = None) -> DataFrame:
+    """Chains of which ``share`` of the atoms or more have an atom of another chain within ``distance``. ``near`` may have the atoms' ``neighbours`` of a larger one."""
+    pairs = _across(neighbours(atoms, distance) if near is None else near, distance, False).withColumn("b_structure_id", F.col("a_structure_id"))
+    hit = spatial.ends(pairs, *RESIDUE, "atom_pos").distinct().groupBy(*CHAIN).agg(F.count("*").alias("hits"))
+    total = atoms.groupBy(*CHAIN).agg(F.count("*").alias("atoms"))
     return total.join(hit, CHAIN).withColumn("fraction", F.col("hits") / F.col("atoms")).filter(F.col("fraction") >= share)
 
 
-def interfaces(atoms: DataFrame, threshold: float = CONTACT, least: int = 5) -> DataFrame:
-    """Chain pairs with ``least`` residue pairs strictly nearer than ``threshold`` by heavy atoms: contacts, residues, least distance, type."""
-    heavy = _keyed(without_hydrogens(atoms))
-    near = spatial.within(heavy, heavy, threshold, ("structure_id",), strict=True).filter("a_chain_id < b_chain_id")
-    pairs = near.groupBy(F.col("a_structure_id").alias("structure_id"), F.col("a_chain_id").alias("chain_1"), F.col("b_chain_id").alias("chain_2"), "a_residue_pos", "b_residue_pos").agg(F.min("distance").alias("distance"))
+def clashes_by_pair(atoms: DataFrame, distance: float = CLASH, near: DataFrame | None = None) -> DataFrame:
+    """For all ordered pairs of a structure's chains the atoms of the first with one of the other within ``distance``, their number in all and the share. ``near`` as in ``clashing_chains``."""
+    pairs = _across(neighbours(atoms, distance) if near is None else near, distance, False)
+    sides = F.array(*(F.struct(*(F.col(f"{s}_{c}").alias(c) for c in ("chain_id", "residue_pos", "atom_pos")), F.col(f"{o}_chain_id").alias("other")) for s, o in ("ab", "ba")))
+    hit = pairs.select(F.col("a_structure_id").alias("structure_id"), F.explode(sides).alias("e")).select("structure_id", "e.*").distinct().groupBy(*CHAIN, "other").agg(F.count("*").alias("near"))
+    sizes = atoms.groupBy(*CHAIN).agg(F.count("*").alias("n"))
+    every = sizes.join(sizes.select("structure_id", F.col("chain_id").alias("other")), "structure_id").filter("chain_id <> other").join(hit, [*CHAIN, "other"], "left")
+    return every.withColumn("near", F.coalesce("near", F.lit(0)).cast("long")).withColumn("fraction", F.col("near") / F.col("n"))
+
+
+def interfaces(atoms: DataFrame, threshold: float = CONTACT, least: int = 5, near: DataFrame | None = None) -> DataFrame:
+    """Chain pairs with ``least`` residue pairs strictly nearer than ``threshold`` by heavy atoms: contacts, residues, least distance, type. ``near`` as in ``clashing_chains``."""
+    found = _across(neighbours(atoms, threshold) if near is None else near, threshold, True).filter("a_heavy AND b_heavy")
+    pairs = found.groupBy(F.col("a_structure_id").alias("structure_id"), F.col("a_chain_id").alias("chain_1"), F.col("b_chain_id").alias("chain_2"), "a_residue_pos", "b_residue_pos").agg(F.min("distance").alias("distance"))
     out = pairs.groupBy("structure_id", "chain_1", "chain_2").agg(F.count("*").alias("contacts"), F.countDistinct("a_residue_pos").alias("residues_1"), F.countDistinct("b_residue_pos").alias("residues_2"), F.min("distance").alias("min_distance"))
     kinds = chains(residues(atoms)).select("structure_id", "chain_id", F.lower("kind").alias("kind"))
     one, two = (kinds.withColumnsRenamed({"chain_id": f"chain_{i}", "kind": f"kind_{i}"}) for i in (1, 2))
@@ -110,21 +140,19 @@ def interfaces(atoms: DataFrame, threshold: float = CONTACT, least: int = 5) ->
     return typed.withColumn("type", F.array_join(F.array_sort(F.array("kind_1", "kind_2")), "-")).drop("kind_1", "kind_2")
 
 
-def bonded(atoms: DataFrame, backbone: bool = True) -> DataFrame:
-    """Covalent bonds by distance: inside ligands, along chains, and across chains unless both are polymers."""
-    a = _keyed(atoms).withColumn("kind", chem.chain_type(F.col("residue")))
+def bonded(atoms: DataFrame, backbone: bool = True, near: DataFrame | None = None) -> DataFrame:
+    """Covalent bonds by distance: inside ligands, along chains, and across chains unless both are polymers. ``near`` as in ``clashing_chains``."""
+    pairs = (neighbours(atoms, BOND) if near is None else near).filter(F.col("distance") <= BOND)
+    is_ = lambda s, *kinds: F.col(f"{s}_kind").isin(*(KINDS.index(k) for k in kinds))
     polymer = ("PROTEIN", "RNA", "DNA")
-    near = spatial.within(a, a, BOND, ("structure_id",))
-    poly = F.col("a_kind").isin(*polymer) & F.col("b_kind").isin(*polymer)
-    before = F.struct("a_chain_id", "a_residue_pos", "a_atom_pos") < F.struct("b_chain_id", "b_residue_pos", "b_atom_pos")
-    inside = (F.col("a_chain_id") == F.col("b_chain_id")) & (F.col("a_residue_pos") == F.col("b_residue_pos")) & F.col("a_kind").isin("LIGAND", "ION") & before
-    across = (F.col("a_chain_id") < F.col("b_chain_id")) & ~poly
-    link = ((F.col("a_atom") == "C") & (F.col("b_atom") == "N") & (F.col("a_kind") == "PROTEIN")) | ((F.col("a_atom") == "O3'") & (F.col("b_atom") == "P") & F.col("a_kind").isin("RNA", "DNA"))
-    along = (F.col("a_chain_id") == F.col("b_chain_id")) & (F.col("b_residue_pos") == F.col("a_residue_pos") + 1) & link & F.lit(backbone)
+    same_chain = F.col("a_chain_id") == F.col("b_chain_id")
+    inside = same_chain & (F.col("a_residue_pos") == F.col("b_residue_pos")) & is_("a", "LIGAND", "ION")
+    across = ~same_chain & ~(is_("a", *polymer) & is_("b", *polymer))
+    link = ((F.col("a_atom") == "C") & (F.col("b_atom") == "N") & is_("a", "PROTEIN")) | ((F.col("a_atom") == "O3'") & (F.col("b_atom") == "P") & is_("a", "RNA", "DNA"))
+    along = same_chain & (F.col("b_residue_pos") == F.col("a_residue_pos") + 1) & link & F.lit(backbone)
     low, high = DISULFIDE
-    sulfur = (F.col("a_atom") == "SG") & (F.col("b_atom") == "SG") & F.col("a_residue").isin("CYS", "CYX") & F.col("b_residue").isin("CYS", "CYX") & F.col("distance").between(low, high) & before
-    kind = F.when(sulfur, "disulfide").when(along, "backbone").when(inside, "ligand").when(across, "cross")
-    out = near.withColumn("bond", kind).filter(F.col("bond").isNotNull())
+    sulfur = (F.col("a_atom") == "SG") & (F.col("b_atom") == "SG") & F.col("a_cys") & F.col("b_cys") & F.col("distance").between(low, high)
+    out = pairs.withColumn("bond", F.when(sulfur, "disulfide").when(along, "backbone").when(inside, "ligand").when(across, "cross")).filter(F.col("bond").isNotNull())
     return out.select(F.col("a_structure_id").alias("structure_id"), "bond", *(F.col(f"{s}_{c}").alias(f"{c}_{i}") for i, s in ((1, "a"), (2, "b")) for c in ("chain_id", "residue_pos", "atom")), "distance")
 
 
@@ -345,11 +373,10 @@ def chain_sequences(res: DataFrame) -> DataFrame:
     return own.groupBy(*CHAIN).agg(text.alias("sequence")).select(F.concat_ws("_", *CHAIN).alias("id"), "sequence")
 
 
-def touching_chains(atoms: DataFrame, distance: float = INTERFACE) -> DataFrame:
-    """Chain pairs with heavy atoms nearer than ``distance``."""
-    heavy = _keyed(without_hydrogens(atoms))
-    near = spatial.within(heavy, heavy, distance, ("structure_id",), strict=True).filter("a_chain_id < b_chain_id")
-    return near.select(F.col("a_structure_id").alias("structure_id"), F.col("a_chain_id").alias("chain_1"), F.col("b_chain_id").alias("chain_2")).distinct()
+def touching_chains(atoms: DataFrame, distance: float = INTERFACE, near: DataFrame | None = None) -> DataFrame:
+    """Chain pairs with heavy atoms nearer than ``distance``. ``near`` as in ``clashing_chains``."""
+    found = _across(neighbours(atoms, distance) if near is None else near, distance, True).filter("a_heavy AND b_heavy")
+    return found.select(F.col("a_structure_id").alias("structure_id"), F.col("a_chain_id").alias("chain_1"), F.col("b_chain_id").alias("chain_2")).distinct()
 
 
 def with_interface(found: DataFrame, kinds: tuple[str, str] | None = None, least: int = 1) -> DataFrame:

@@ -169,8 +169,8 @@ def e09_cluster_sizes(spark, d: str) -> DataFrame:
 @query(f"WITH {POINTS} SELECT DISTINCT a.vec_id FROM p a JOIN p b ON a.label <> b.label AND {DIST} < 0.05::DOUBLE")
 def j01_interface_tokens(spark, d: str) -> DataFrame:
     p = points(spark, d)
-    near = spatial.within(p, p, 0.05, strict=True).filter("a_label <> b_label")
-    return p.join(near.select(F.col("a_vec_id").alias("vec_id")).distinct(), "vec_id", "left_semi").select("vec_id")
+    near = spatial.near_pairs(p, "vec_id", 0.05, strict=True).filter("a_label <> b_label")
+    return p.join(spatial.ends(near, "vec_id").distinct(), "vec_id", "left_semi").select("vec_id")
 
 
 @query(f"WITH {POINTS}, r AS (SELECT label, x, y, z FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {HASH_SQL.format("label || '|' || vec_id", 9)}, vec_id) AS k FROM p) WHERE k = 1), n AS (SELECT b.vec_id, b.label, row_number() OVER (PARTITION BY b.label ORDER BY {DIST} + b.vec_id * 1e-6::DOUBLE, b.vec_id) AS k FROM p b JOIN r a USING (label)) SELECT label, vec_id FROM n WHERE k <= 12")
@@ -186,17 +186,6 @@ def j08_token_limit(spark, d: str) -> DataFrame:
     return crop.renumbered(crop.first_tokens(p, 20)).select(F.col("structure_id").alias("label"), F.col("id").alias("vec_id"), "token")
 
 
-@query(f"WITH {POINTS} SELECT label, other, count(*) FILTER (m <= 0.05::DOUBLE) AS near, count(*) AS n FROM (SELECT a.label, b.label AS other, a.vec_id, min({DIST}) AS m FROM p a JOIN p b ON a.label <> b.label GROUP BY 1, 2, 3) GROUP BY 1, 2")
-def e04_clash_fraction(spark, d: str) -> DataFrame:
-    """For all ordered pairs of chains."""
-    p = points(spark, d)
-    sizes = p.groupBy("label").agg(F.count("*").alias("n"))
-    pairs = sizes.join(sizes.select(F.col("label").alias("other")), F.col("label") != F.col("other"))
-    hit = spatial.within(p, p, 0.05).filter("a_label <> b_label").select(F.col("a_label").alias("label"), F.col("b_label").alias("other"), "a_vec_id").distinct()
-    near = hit.groupBy("label", "other").agg(F.count("*").alias("near"))
-    return pairs.join(near, ["label", "other"], "left").select("label", "other", F.coalesce("near", F.lit(0)).cast("long").alias("near"), "n")
-
-
 CROPPED = f"WITH {POINTS}, c AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) <= 384)"
 
 

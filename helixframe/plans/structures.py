@@ -10,6 +10,7 @@ from ..operators import assemble, crop, geometry, spatial
 from ..operators import relational as R
 from ..operators import structures as S
 from ..operators import templates as T
+from ..sources.tables import checkpoint_folder
 from .base import Queries
 from .fixture import ATOMS, atoms, text
 from .scalar import AA, INDEX, KIND_SQL, sql_map
@@ -323,6 +324,31 @@ for _name, _kind in (("d12_cross_chain_bonds", "cross"), ("d13_ligand_bonds", "l
     q.put(_name, lambda spark, d, kind=_kind: rounded(S.bonded(atoms(spark, d)).filter(F.col("bond") == kind), "distance"), f"{BONDS} SELECT * REPLACE (round(distance, 6) AS distance) FROM bonds WHERE bond = '{_kind}'")
 
 
+@q(f"""{RES}, h AS (SELECT DISTINCT a.structure_id, a.chain_id, b.chain_id AS other, a.residue_pos, a.atom_pos FROM ak a JOIN ak b ON a.structure_id = b.structure_id AND a.chain_id <> b.chain_id AND {DIST} <= 1.7::DOUBLE),
+s AS (SELECT structure_id, chain_id, count(*) AS n FROM atoms GROUP BY 1, 2) SELECT s.structure_id, s.chain_id, t.chain_id AS other, count(h.atom_pos) AS near, s.n FROM s JOIN s t ON s.structure_id = t.structure_id AND s.chain_id <> t.chain_id LEFT JOIN h ON (h.structure_id, h.chain_id, h.other) = (s.structure_id, s.chain_id, t.chain_id) GROUP BY 1, 2, 3, 5""")
+def e04_clash_fraction(spark, d: str) -> DataFrame:
+    """For all ordered pairs of a structure's chains."""
+    return S.clashes_by_pair(atoms(spark, d)).select("structure_id", "chain_id", "other", "near", "n")
+
+
+@q(f"""{BONDS}, near AS (SELECT a.structure_id, a.chain_id AS chain_1, b.chain_id AS chain_2, a.residue_pos AS r1, a.atom_pos AS a1, b.residue_pos AS r2, b.atom_pos AS a2, a.element <> 'H' AND b.element <> 'H' AS heavy, {DIST} AS d FROM ak a JOIN ak b ON a.structure_id = b.structure_id AND a.chain_id < b.chain_id AND {DIST} <= 8),
+i AS (SELECT structure_id, count(*) AS interfaces FROM (SELECT structure_id, chain_1, chain_2 FROM near WHERE heavy AND d < 8 GROUP BY ALL HAVING count(DISTINCT (r1, r2)) >= 5) GROUP BY 1),
+h AS (SELECT structure_id, chain_1 AS chain_id, r1 AS r, a1 AS a FROM near WHERE d <= 1.7::DOUBLE UNION SELECT structure_id, chain_2, r2, a2 FROM near WHERE d <= 1.7::DOUBLE),
+cl AS (SELECT structure_id, count(*) AS clashing FROM (SELECT structure_id, chain_id, count(*) AS n FROM h GROUP BY 1, 2) JOIN (SELECT structure_id, chain_id, count(*) AS m FROM atoms GROUP BY 1, 2) USING (structure_id, chain_id) WHERE n / m >= 0.3 GROUP BY 1),
+b AS (SELECT structure_id, count(*) AS bonds FROM bonds GROUP BY 1)
+SELECT structure_id, coalesce(interfaces, 0) AS interfaces, coalesce(clashing, 0) AS clashing, coalesce(bonds, 0) AS bonds FROM (SELECT DISTINCT structure_id FROM atoms) LEFT JOIN i USING (structure_id) LEFT JOIN cl USING (structure_id) LEFT JOIN b USING (structure_id)""")
+def l03_kept_neighbours(spark, d: str) -> DataFrame:
+    """Interfaces, clashing chains and bonds from one distance join."""
+    checkpoint_folder(spark)
+    a = atoms(spark, d)
+    near = S.neighbours(a).checkpoint()
+    count = lambda df, name: df.groupBy("structure_id").agg(F.count("*").alias(name))
+    out = a.select("structure_id").distinct()
+    for df, name in ((S.interfaces(a, near=near), "interfaces"), (S.clashing_chains(a, near=near), "clashing"), (S.bonded(a, near=near), "bonds")):
+        out = out.join(count(df, name), "structure_id", "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))
+    return out
+
+
 @q(f"{BONDS} SELECT structure_id, bond, count(*) AS n FROM bonds GROUP BY 1, 2")
 def p57_detected_bonds(spark, d: str) -> DataFrame:
     return S.bonded(atoms(spark, d)).groupBy("structure_id", "bond").agg(F.count("*").alias("n"))

@@ -13,6 +13,7 @@ from helixframe.config import Config
 from helixframe.functions import chem, sequences
 from helixframe.operators import relational as R
 from helixframe.operators import search
+from helixframe.operators import structures as S
 from helixframe.plans import curate, registry
 from helixframe.sources import components as C
 
@@ -105,12 +106,12 @@ def test_realigned_or_as_given(spark, tmp_path):
         search.realigned(df, model=str(tmp_path / "none.hmm")).collect()
 
 
-def test_clash_fractions_cover_all_label_pairs(spark, sf):
-    got = {(r.label, r.other): (r.near, r.n) for r in registry.queries()["e04_clash_fraction"](spark, sf).collect()}
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
-    assert got == {(a, b): (near, n) for a, b, near, n in con.execute(registry.oracles()["e04_clash_fraction"]).fetchall()}
-    assert len(got) == 90
+def test_clash_fractions_cover_all_chain_pairs(spark):
+    rows = [("s", c, 0, i, "C", "C", "ALA", x, 0.0, 0.0) for c, xs in (("A", (0, 1, 50)), ("B", (2.5, 70)), ("C", (90,))) for i, x in enumerate(map(float, xs))] + [("t", "A", 0, 0, "C", "C", "ALA", 0.0, 0.0, 0.0)]
+    atoms = spark.createDataFrame(rows, "structure_id string, chain_id string, residue_pos int, atom_pos int, atom string, element string, residue string, x double, y double, z double")
+    got = {(r.chain_id, r.other): (r.near, r.n) for r in S.clashes_by_pair(atoms).collect()}
+    assert got == {("A", "B"): (1, 3), ("A", "C"): (0, 3), ("B", "A"): (1, 2), ("B", "C"): (0, 2), ("C", "A"): (0, 1), ("C", "B"): (0, 1)}
+    assert S.clashes_by_pair(atoms, 2.5).filter("chain_id = 'A' and other = 'B'").first().near == 2
 
 
 def test_search_without_programs_gives_the_query(spark):

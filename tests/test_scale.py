@@ -154,3 +154,33 @@ def test_finished_tasks_take_no_worker(spark):
     rows = [("j", 1, "completed", 1, 9), ("j", 2, "completed", 1, 8), ("j", 3, "pending", 0, 1), ("j", 4, "pending", 2, 0), ("j", 5, "pending", 0, 0), ("k", 6, "cancelled", 0, 9), ("k", 7, None, 0, 9), ("k", 8, "pending", 0, None)]
     got = tasks.fetched(spark.createDataFrame(rows, "job string, task int, state string, tried int, priority int"), 2, [F.col("task")])
     assert {r.task: (r.state, r.tried) for r in got.collect()} == {1: ("completed", 1), 2: ("completed", 1), 3: ("assigned", 1), 4: ("assigned", 3), 5: ("pending", 0), 6: ("cancelled", 0), 7: (None, 0), 8: ("assigned", 1)}
+
+
+def test_near_pairs_are_all_pairs(spark):
+    """Against all pairs: any width, thresholds met exactly, points on cells' edges, far away and without a place."""
+    import math
+    import random
+
+    from helixframe.operators import spatial
+
+    rng = random.Random(4)
+    rows = [(i, i % 2, *(rng.choice([rng.uniform(-3, 3), float(rng.randrange(-3, 4))]) for _ in range(3))) for i in range(300)]
+    rows += [(300, 0, math.nan, 0.0, 0.0), (301, 0, 1e9, 0.0, 0.0), (302, 0, 1e9 + 0.5, 0.0, 0.0), (303, 1, -1e9, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "i int, g int, x double, y double, z double").repartition(3)
+    far = lambda a, b: math.sqrt(sum((p - q) * (p - q) for p, q in zip(a[2:], b[2:], strict=True)))
+    for threshold, width, strict in ((1.0, None, False), (1.0, 1.0, True), (0.5, 3.0, False), (2.0, 2.5, True)):
+        close = lambda a, b, t=threshold, s=strict: far(a, b) < t if s else far(a, b) <= t
+        want = sorted((a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and close(a, b))
+        got = spatial.near_pairs(df, "i", threshold, ("g",), strict, width).select("a_i", "b_i").collect()
+        assert sorted(map(tuple, got)) == want
+        both = spatial.within(df.filter("i < 150"), df, threshold, ("g",), strict).select("a_i", "b_i").collect()
+        assert sorted(map(tuple, both)) == sorted((a[0], b[0]) for a in rows[:150] for b in rows if a[1] == b[1] and close(a, b))
+    assert spatial.near_pairs(df.limit(0), "i", 1.0).count() == 0
+
+
+def test_repeated_atom_names_keep_the_first(spark):
+    from helixframe.operators import structures as S
+
+    rows = [("s", "A", 0, 1, "", "ALA", "CA", p, "C", float(p), 0.0, 0.0) for p in (3, 1, 2)] + [("s", "A", 0, 1, "", "ALA", "N", 0, "N", 0.0, 0.0, 0.0)]
+    r = S.residues(spark.createDataFrame(rows, "structure_id string, chain_id string, residue_pos int, seq_id int, ins_code string, residue string, atom string, atom_pos int, element string, x double, y double, z double")).first()
+    assert r.n_atoms == 4 and set(r.atoms) == {"CA", "N"} and r.atoms["CA"].x == 1.0

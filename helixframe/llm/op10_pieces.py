@@ -141,12 +141,13 @@ class Agenda:
 
 
 class PieceCodec:
-    def __init__(self, path: str, check: str = "chunks"):
+    def __init__(self, path: str, check: str = "chunks", most: int | None = None):
+        """``most``: chunks that are kept, ``CACHE`` by default."""
         import sentencepiece
 
         if check not in ("chunks", "texts", "none"):
             raise ValueError(f"not a check: {check!r}")
-        self.check = check
+        self.check, self.most = check, most or CACHE
         self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.vocab_size()
         self.id = {sp.id_to_piece(i): i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
@@ -297,7 +298,7 @@ class PieceCodec:
         if self.check == "chunks":
             self._verify(new, ids)
         now = dict(zip(new, ids, strict=True))
-        if len(cache) + len(now) > CACHE:
+        if len(cache) + len(now) > self.most:
             old, cache = cache, {}
             now |= {c: old[c] for chunks in split for c in chunks if c in old}
             self.cache = cache
@@ -314,13 +315,13 @@ class PieceCodec:
         return self.library.decode([np.frombuffer(x, dtype="<u4").tolist() for x in ids], num_threads=1) if ids else []
 
 
-_codecs: dict[tuple[str, str], PieceCodec] = {}
+_codecs: dict[tuple[str, str, int], PieceCodec] = {}
 
 
-def codec(path: str, check: str) -> PieceCodec:
-    if (path, check) not in _codecs:
-        _codecs[path, check] = PieceCodec(path, check)
-    return _codecs[path, check]
+def codec(path: str, check: str, most: int = CACHE) -> PieceCodec:
+    if (path, check, most) not in _codecs:
+        _codecs[path, check, most] = PieceCodec(path, check, most)
+    return _codecs[path, check, most]
 
 
 def joined(batches: Iterator[pa.RecordBatch], most: int = PASS_CHARS) -> Iterator[tuple[pa.Array, list[str]]]:
@@ -358,15 +359,18 @@ def _output(name: str, ids: list[bytes], decoded: list[str]) -> pa.Array:
     return pa.array([hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest() for x in (ids if name == "ids_sha256" else decoded)], pa.string())
 
 
-def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, check: str = "chunks", outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
-    """``id_col`` and ``outputs`` (see ``OUTPUTS``) for every row; ids have begin and end."""
+def encode_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, check: str = "chunks", outputs: tuple[str, ...] = ("ids", "decoded"), chars: int = PASS_CHARS, chunks: int = CACHE) -> DataFrame:
+    """``id_col`` and ``outputs`` (see ``OUTPUTS``) for every row; ids have begin and end.
+
+    ``chars`` of texts go through the agenda together and ``chunks`` distinct chunks are kept: less of both takes less of a worker's memory and more time.
+    """
     path = model or MODEL
     prepare(df.sparkSession)
     given = df.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-        c = codec(path if "/" in path else model_path(path), check)
-        for keys, texts in joined(batches):
+        c = codec(path if "/" in path else model_path(path), check, chunks)
+        for keys, texts in joined(batches, chars):
             ids = c.encode_batch(texts)
             decoded = c.decode_batch(ids)
             yield [keys, *(_output(x, ids, decoded) for x in outputs)]

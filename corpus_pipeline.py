@@ -51,7 +51,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode_pieces(docs, outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+    # Executors come here with what the stages before have left in their memory, so the workers take little.
+    return encode_pieces(docs, outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"), chars=500_000, chunks=100_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_table
+from ..sources.tables import checkpoint_folder, read_table
 from ..streaming import tasks as T
 from .base import Queries
 
@@ -46,6 +48,37 @@ for _name in ("n09_lost_workers", "n10_reassigned_tasks"):
     q.put(_name, lambda spark, d: T.reassigned(tasks(spark, d), workers(spark, d), now(spark, d), SILENT).select("job", "task", "state"), REASSIGNED)
 
 
+LIVES = f"""WITH e AS (SELECT user_id::VARCHAR AS worker, event_id, ts, event_type AS kind, event_id % 4 AS tried, coalesce(epoch_us(ts) // 1000 - epoch_us(lag(ts) OVER w) // 1000 > {SILENT * 1000}, false)::INTEGER AS gap FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(gap) OVER (PARTITION BY worker ORDER BY ts, event_id) AS life FROM e),
+m AS (SELECT *, last_value(CASE WHEN kind IN ('view', 'purchase', 'error') THEN kind END IGNORE NULLS) OVER b AS before, last_value(CASE WHEN kind = 'view' THEN tried END IGNORE NULLS) OVER b AS told, last_value(CASE WHEN kind IN ('view', 'purchase', 'error') THEN kind END IGNORE NULLS) OVER n AS now, last_value(CASE WHEN kind = 'view' THEN tried END IGNORE NULLS) OVER n AS trying, row_number() OVER (PARTITION BY worker, life ORDER BY ts DESC, event_id DESC) AS back, max(ts) OVER () AS latest
+  FROM s WINDOW b AS (PARTITION BY worker, life ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), n AS (PARTITION BY worker, life ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+o AS (SELECT worker, 'in_progress' AS state, tried, epoch_us(ts) // 1000 AS happened FROM m WHERE kind = 'view'
+UNION ALL SELECT worker, CASE WHEN kind = 'purchase' THEN 'completed' WHEN told >= 3 THEN 'dead_letter' ELSE 'pending' END, told, epoch_us(ts) // 1000 FROM m WHERE kind IN ('purchase', 'error') AND before = 'view'
+UNION ALL SELECT worker, CASE WHEN trying >= 3 THEN 'dead_letter' ELSE 'pending' END, trying, epoch_us(ts) // 1000 + {SILENT * 1000} FROM m WHERE back = 1 AND now = 'view' AND epoch_us(latest) // 1000 - epoch_us(ts) // 1000 > {SILENT * 1000})
+SELECT worker, state, tried::BIGINT AS tried, happened::BIGINT AS happened FROM o"""
+
+
+@q(LIVES)
+def n09_worker_stream(spark, d: str) -> DataFrame:
+    """Users as workers with a task of their own: views start it, purchases complete it, errors fail it, all else is a heartbeat."""
+    schema = read_table(spark, d, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(d.rstrip("/") + "/events.parquet*")
+    report = F.when(F.col("event_type") == "view", "started").when(F.col("event_type") == "purchase", "completed").when(F.col("event_type") == "error", "failed").otherwise("heartbeat")
+    user = F.col("user_id").cast("string")
+    messages = events.select(user.alias("worker"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("place"), F.concat(F.lit("t"), user).alias("task"), report.alias("report"), (F.col("event_id") % 4).alias("tried"))
+    out = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+
+    store = spark.conf.get(T.ROCKS[0])
+    try:
+        T.worker_states(messages, SILENT).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{out}/log").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(T.ROCKS[0], store)
+    return spark.read.parquet(f"{out}/rows/*").select("worker", "state", "tried", F.unix_millis("at").alias("happened"))
+
+
 @q(f"WITH {TASKS} SELECT job, task, CASE WHEN job::INTEGER % 3 = 0 AND state NOT IN ('completed', 'dead_letter', 'cancelled') THEN 'cancelled' ELSE state END AS state FROM t")
 def n11_cancelled_jobs(spark, d: str) -> DataFrame:
     t = tasks(spark, d)

@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from ..sources.tables import workers_find_package
 
 FINAL = ("completed", "dead_letter", "cancelled")
 # Seconds until a silent worker counts as lost, and how often a task is tried.
@@ -44,6 +47,87 @@ def task_states(reports: DataFrame, attempts: int = 3) -> DataFrame:
     return reports.groupBy("task").applyInPandasWithState(run, "task string, state string, tried long", "state string, tried long", "update", GroupStateTimeout.NoTimeout)
 
 
+class WorkerLife(StatefulProcessor):
+    """A worker's open tasks and when it was last heard of; a timer ``timeout`` seconds later (of event time) finds it lost.
+
+    A gap inside a batch is noticed as well, so results don't depend on how the messages fall into batches.
+    """
+
+    def __init__(self, timeout: int, attempts: int):
+        self.timeout, self.attempts = timeout * 1000, attempts
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "at long")
+        self.tasks = handle.getMapState("tasks", "task string", "tried long")
+
+    def _lost(self, worker: str, open_: dict[str, int], at: int) -> list[tuple]:
+        """All open tasks go back, or are dead letters after the last attempt."""
+        rows = [(worker, task, "dead_letter" if tried >= self.attempts else "pending", tried, at) for task, tried in sorted(open_.items())]
+        open_.clear()
+        return rows
+
+    def _told(self, worker: str, open_: dict[str, int], at: int, task: str | None, report: str, tried: int) -> list[tuple]:
+        if report == "started":
+            open_[task] = tried
+            return [(worker, task, "in_progress", tried, at)]
+        if report not in ("completed", "failed", "cancelled") or task not in open_:
+            return []  # a heartbeat, or the task isn't this worker's any more
+        tried = open_.pop(task)
+        state = report if report != "failed" else "dead_letter" if tried >= self.attempts else "pending"
+        return [(worker, task, state, tried, at)]
+
+    def _open(self) -> dict[str, int]:
+        return {k[0]: v[0] for k, v in self.tasks.iterator()} if self.tasks.exists() else {}
+
+    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["worker", "task", "state", "tried", "at"])
+        return out.assign(at=pd.to_datetime(out["at"], unit="ms"))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(["at", "place"], kind="stable")
+        last, out, before = self.last.get()[0] if self.last.exists() else None, [], self._open()
+        open_ = dict(before)
+        for at, task, report, tried in zip((batch["at"].astype("datetime64[us]").astype("int64") // 1000).tolist(), batch["task"], batch["report"], batch["tried"], strict=True):
+            if last is not None and at - last > self.timeout:
+                out += self._lost(key[0], open_, last + self.timeout)
+            last = at if last is None else max(last, at)
+            out += self._told(key[0], open_, at, task, report, 0 if pd.isna(tried) else int(tried))
+        for task in before.keys() - open_.keys():
+            self.tasks.removeKey((task,))
+        for task, tried in open_.items() - before.items():
+            self.tasks.updateValue((task,), (tried,))
+        self.last.update((last,))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(last + self.timeout)
+        yield self._frame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._frame(self._lost(key[0], self._open(), self.last.get()[0] + self.timeout))
+        self.tasks.clear()
+        self.last.clear()
+
+    def close(self) -> None:
+        pass
+
+
+ROCKS = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def worker_states(messages: DataFrame, timeout: int = WORKER_TIMEOUT, attempts: int = ATTEMPTS, delay: str = "0 seconds") -> DataFrame:
+    """``worker, task, state, tried, at`` whenever a task changes, from a stream of messages (``worker, at, place, task, report, tried``).
+
+    Reports are ``started`` (of which attempt: ``tried``), ``completed``, ``failed``, ``cancelled`` and ``heartbeat``; any of them shows that the worker
+    lives, messages of equal ``at`` count by ``place``. A worker silent for over ``timeout`` seconds of event time is lost: its open tasks are pending
+    again, or dead letters after ``attempts``. The session's state store becomes RocksDB, which timers need.
+    """
+    messages.sparkSession.conf.set(*ROCKS)
+    workers_find_package(messages.sparkSession)
+    given = messages.select("worker", F.col("at").cast("timestamp").alias("at"), "place", "task", "report", F.col("tried").cast("long").alias("tried")).withWatermark("at", delay)
+    return given.groupBy("worker").transformWithStateInPandas(WorkerLife(timeout, attempts), "worker string, task string, state string, tried long, at timestamp", "Update", "EventTime")
+
+
 def progress(states: DataFrame, job: str) -> DataFrame:
     """Tasks by outcome and the share that is done, for each job."""
     out = states.groupBy(job).agg(F.count("*").alias("total"), F.count_if(F.col("state") == "completed").alias("completed"), F.count_if(F.col("state") == "dead_letter").alias("failed"))

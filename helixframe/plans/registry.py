@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, features, files, inputs, jobs, kernels, msas, scalar, spatial, structures
+from . import curation, features, files, inputs, jobs, kernels, msas, rigid, scalar, spatial, structures
 
-MODULES = (scalar, spatial, curation, features, structures, inputs, msas, files, jobs, kernels)
+MODULES = (scalar, spatial, curation, features, structures, inputs, rigid, msas, files, jobs, kernels)
 
 
 def queries() -> dict:

@@ -31,7 +31,7 @@ ee AS (SELECT *, (sxx + syy + szz) / 3 AS q FROM ss), f AS (SELECT *, sqrt(((sxx
 g AS (SELECT *, acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, ((sxx - q) * ((syy - q) * (szz - q) - syz * syz) - sxy * (sxy * (szz - q) - syz * sxz) + sxz * (sxy * syz - (syy - q) * sxz)) / (2 * p * p * p)))) / 3 AS phi FROM f),
 lam AS (SELECT *, q + 2 * p * cos(phi) AS e1 FROM g),
 fits AS (SELECT structure_id, n, weight, uaz, utx, hxx, hyz, hzy, sqrt(greatest(0, (squares - 2 * (sqrt(e1) + sqrt(greatest(0, 3 * q - e1 + 2 * det / sqrt(e1))))) / weight)) AS rmsd FROM lam JOIN means USING (structure_id))
-SELECT structure_id, n, weight, round(uaz, 6) AS mobile_z, round(utx, 6) AS target_x, round(hxx, 4) AS hxx, round(hyz, 4) AS hyz, round(hzy, 4) AS hzy, round(rmsd, 3) AS rmsd FROM fits"""
+SELECT structure_id, n, weight, round(uaz / sqrt(2), 6) AS mobile_z, round(utx / sqrt(2), 6) AS target_x, round(hxx / sqrt(2), 4) AS hxx, round(hyz / sqrt(2), 4) AS hyz, round(hzy / sqrt(2), 4) AS hzy, round(rmsd, 3) AS rmsd FROM fits"""
 
 
 def paired(spark, d: str, weighted: bool) -> DataFrame:
@@ -45,8 +45,9 @@ def paired(spark, d: str, weighted: bool) -> DataFrame:
 
 def fits(spark, d: str, weighted: bool) -> DataFrame:
     out = rigid.superpositions(paired(spark, d, weighted), ["structure_id"], MOBILE, TARGET, "w")
-    h = lambda i: F.round(F.col("covariance")[i], 4)
-    return out.select("structure_id", "n", "weight", F.round(F.col("mobile_centroid")[2], 6).alias("mobile_z"), F.round(F.col("target_centroid")[0], 6).alias("target_x"), h(0).alias("hxx"), h(5).alias("hyz"), h(7).alias("hzy"), F.round("rmsd", 3).alias("rmsd"))
+    scaled = lambda c, places: F.round(c / math.sqrt(2), places)  # noqa: E731  so that no value is half way between two decimals
+    h = lambda i: scaled(F.col("covariance")[i], 4)
+    return out.select("structure_id", "n", "weight", scaled(F.col("mobile_centroid")[2], 6).alias("mobile_z"), scaled(F.col("target_centroid")[0], 6).alias("target_x"), h(0).alias("hxx"), h(5).alias("hyz"), h(7).alias("hzy"), F.round("rmsd", 3).alias("rmsd"))
 
 
 for _name, _weighted in (("l13_superpositions", False), ("l16_weighted_superpositions", True)):

@@ -186,29 +186,6 @@ def j08_token_limit(spark, d: str) -> DataFrame:
     return crop.renumbered(crop.first_tokens(p, 20)).select(F.col("structure_id").alias("label"), F.col("id").alias("vec_id"), "token")
 
 
-CROPPED = f"WITH {POINTS}, c AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) <= 384)"
-
-
-def cropped_points(spark, d: str) -> DataFrame:
-    """The first 384 points of each label: what follows takes all pairs of a cropped structure."""
-    p = points(spark, d).select(F.col("label").alias("structure_id"), F.col("vec_id").alias("token"), "x", "y", "z")
-    return crop.first_tokens(p, 384).select(F.col("structure_id").alias("label"), F.col("token").alias("vec_id"), "x", "y", "z")
-
-
-@query(f"{CROPPED} SELECT a.label, round(sum((b.x - a.x) / greatest({DIST}, 1e-8::DOUBLE)), 5) AS sx, count(*) AS n FROM c a JOIN c b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1")
-def l08_unit_vectors(spark, d: str) -> DataFrame:
-    """Unit vectors between the points of a cropped chain, summed (each pair once)."""
-    pairs = spatial.pairs_of(cropped_points(spark, d), "vec_id", "label")
-    return pairs.groupBy(F.col("a_label").alias("label")).agg(F.round(F.sum(spatial.unit_vector()[0]), 5).alias("sx"), F.count("*").alias("n"))
-
-
-@query(f"{CROPPED} SELECT greatest(0, least(38, floor(({DIST} * 100 - 3.25::DOUBLE) / 1.25::DOUBLE)))::INTEGER AS bin, count(*) AS n FROM c a JOIN c b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1")
-def l04_distogram(spark, d: str) -> DataFrame:
-    """Counts by bin of the pairs inside a cropped chain (each pair once); pairs never leave the join's tasks unaggregated."""
-    pairs = spatial.pairs_of(cropped_points(spark, d), "vec_id", "label")
-    return pairs.groupBy(chem.distance_bin(spatial.distance() * 100).alias("bin")).agg(F.count("*").alias("n"))
-
-
 @query(f"WITH {POINTS}, q AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i, x, y, z FROM p) SELECT a.label, round(sqrt(avg((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))), 9) AS rmsd FROM q a JOIN q b ON b.label = a.label + 1 AND a.i = b.i GROUP BY 1")
 def l15_rmsd(spark, d: str) -> DataFrame:
     """Successive labels' points, paired by rank."""

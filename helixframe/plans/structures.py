@@ -684,19 +684,41 @@ def j03_interface_or_all(spark, d: str) -> DataFrame:
     return S.interface_or_all(t, crop.interface_tokens(t, 4.0).select(*t.columns)).select("structure_id", "token")
 
 
-@q(f"{TOKENS} SELECT a.structure_id, a.token AS i, b.token AS j, round({DIST}, 6) AS distance FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < 40 AND b.token < 40 AND a.token < b.token")
+def token_places(spark, d: str) -> DataFrame:
+    return toks(spark, d).select("structure_id", "token", "x", "y", "z")
+
+
+@q(f"{TOKENS} SELECT a.structure_id, a.token, count(*) AS n, round(min({DIST}), 6) AS nearest, round(sum({DIST}) / sqrt(2), 4) AS total FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token <> b.token GROUP BY 1, 2")
 def j02_token_distances(spark, d: str) -> DataFrame:
-    t = crop.first_tokens(toks(spark, d), 40).select("structure_id", "token", "x", "y", "z")
-    return spatial.pairs_of(t, "token", "structure_id").select(F.col("a_structure_id").alias("structure_id"), F.col("a_token").alias("i"), F.col("b_token").alias("j"), F.round(spatial.distance(), 6).alias("distance"))
+    """Each token's row of its structure's distance matrix: how many, the least and the sum."""
+    pairs = spatial.pairs_of(token_places(spark, d), "token", "structure_id").withColumn("distance", spatial.distance())
+    both = F.explode(F.array("a_token", "b_token")).alias("token")
+    out = pairs.select(F.col("a_structure_id").alias("structure_id"), both, "distance").groupBy("structure_id", "token")
+    return out.agg(F.count("*").alias("n"), F.round(F.min("distance"), 6).alias("nearest"), F.round(F.sum("distance") / F.sqrt(F.lit(2.0)), 4).alias("total"))
 
 
 for _name in ("l01_pairwise_distances", "l02_tiled_distances", "p28_distances"):
     q.put(
-        _name, lambda spark, d: rounded(spatial.pairs_of(crop.first_tokens(toks(spark, d), 64).select("structure_id", "token", "x", "y", "z"), "token", "structure_id").groupBy(F.col("a_structure_id").alias("structure_id")).agg(F.count("*").alias("n"), F.sum(spatial.distance()).alias("total"), F.max(spatial.distance()).alias("most")), "total", "most", places=4),
-        f"{TOKENS} SELECT a.structure_id, count(*) AS n, round(sum({DIST}), 4) AS total, round(max({DIST}), 4) AS most FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < 64 AND b.token < 64 AND a.token < b.token GROUP BY 1",
+        _name, lambda spark, d: rounded(spatial.pairs_of(token_places(spark, d), "token", "structure_id").groupBy(F.col("a_structure_id").alias("structure_id")).agg(F.count("*").alias("n"), (F.sum(spatial.distance()) / F.sqrt(F.lit(2.0))).alias("total"), F.max(spatial.distance()).alias("most")), "total", "most", places=3),
+        f"{TOKENS} SELECT a.structure_id, count(*) AS n, round(sum({DIST}) / sqrt(2), 3) AS total, round(max({DIST}), 3) AS most FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < b.token GROUP BY 1",
     )
 
 
+@q(f"{TOKENS} SELECT a.structure_id, round(sum((b.x - a.x) / greatest({DIST}, 1e-8::DOUBLE)), 4) AS sx, round(sum((b.z - a.z) / greatest({DIST}, 1e-8::DOUBLE)), 4) AS sz, count(*) AS n FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < b.token GROUP BY 1")
+def l08_unit_vectors(spark, d: str) -> DataFrame:
+    """Unit vectors between a structure's tokens, summed (each pair once)."""
+    unit = spatial.unit_vector()
+    pairs = spatial.pairs_of(token_places(spark, d), "token", "structure_id").groupBy(F.col("a_structure_id").alias("structure_id"))
+    return pairs.agg(F.round(F.sum(unit[0]), 4).alias("sx"), F.round(F.sum(unit[2]), 4).alias("sz"), F.count("*").alias("n"))
+
+
+@q(f"{TOKENS} SELECT a.structure_id, greatest(0, least(38, floor(({DIST} - 3.25::DOUBLE) / 1.25::DOUBLE)))::INTEGER AS bin, count(*) AS n FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < b.token GROUP BY 1, 2")
+def l04_distogram(spark, d: str) -> DataFrame:
+    """Counts by bin of a structure's token pairs; pairs never leave the join's tasks unaggregated."""
+    pairs = spatial.pairs_of(token_places(spark, d), "token", "structure_id")
+    return pairs.groupBy(F.col("a_structure_id").alias("structure_id"), chem.distance_bin(spatial.distance()).alias("bin")).agg(F.count("*").alias("n"))
+
+
 @q(f"{TOKENS} SELECT structure_id, token, chain_id FROM (SELECT *, sum(n_atoms) OVER (PARTITION BY structure_id ORDER BY token) AS s FROM tokens) WHERE s <= 200")
 def p33_within_atom_budget(spark, d: str) -> DataFrame:
     return crop.within_atom_budget(toks(spark, d), 200).select("structure_id", "token", "chain_id")
@@ -735,15 +757,21 @@ SELECT {KEYS}, round(ex, 5) AS ex, round((ax - ox - t * ex) / sqrt((ax - ox - t
 for _name in ("l09_backbone_frames", "l11_frames", "p62_rigid_frames", "p72_frames_by_name"):
     q.put(_name, lambda spark, d: S.frames(res(spark, d)).filter("ey IS NOT NULL").select(*S.RESIDUE, F.round(F.col("ex")[0], 5).alias("ex"), F.round(F.col("ey")[0], 5).alias("vx"), F.round("x", 5).alias("x")), _frame_sql())
 
-PAIR = f"{TOKENS} SELECT a.structure_id, a.token AS i, b.token AS j, CASE WHEN a.chain_id = b.chain_id THEN greatest(-32, least(32, b.seq_id - a.seq_id)) + 32 ELSE 65 END::INTEGER AS relative, (a.chain_id = b.chain_id)::INTEGER AS same_chain, CASE WHEN a.token <> b.token THEN greatest(0, least(38, floor(({DIST} - 3.25::DOUBLE) / 1.25::DOUBLE)))::INTEGER END AS bin FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < 24 AND b.token < 24"
+PAIR = f"{TOKENS} SELECT a.structure_id, a.token AS i, b.token AS j, CASE WHEN a.chain_id = b.chain_id THEN greatest(-32, least(32, b.seq_id - a.seq_id)) + 32 ELSE 65 END::INTEGER AS relative, (a.chain_id = b.chain_id)::INTEGER AS same_chain, CASE WHEN a.token <> b.token THEN greatest(0, least(38, floor(({DIST} - 3.25::DOUBLE) / 1.25::DOUBLE)))::INTEGER END AS bin FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id"
+#: A row of the matrix of all of a structure's tokens, as sums weighted by the column, so that the order counts.
 for _name, _columns in (("m09_token_pairs", "relative, same_chain, bin"), ("m13_relative_positions", "relative"), ("m14_same_chain", "same_chain"), ("m16_distogram", "bin"), ("p63_relative_encoding", "relative"), ("p81_pair_features", "relative, same_chain"), ("p71_pair_features", "relative, same_chain, bin")):
-    q.put(_name, lambda spark, d, columns=_columns: S.token_pairs(crop.first_tokens(toks(spark, d), 24)).select("structure_id", "i", "j", *columns.split(", ")), f"SELECT structure_id, i, j, {_columns} FROM ({PAIR})")
+    q.put(
+        _name, lambda spark, d, columns=tuple(_columns.split(", ")): S.token_pairs(toks(spark, d)).groupBy("structure_id", "i").agg(F.count("*").alias("n"), *(F.sum(F.expr(f"{c} * (j % 7 + 1)")).alias(c) for c in columns)),
+        f"SELECT structure_id, i, count(*) AS n, {', '.join(f'sum({c} * (j % 7 + 1))::BIGINT AS {c}' for c in _columns.split(', '))} FROM ({PAIR}) GROUP BY 1, 2",
+    )
 
 
-@q(f"{TOKENS} SELECT a.structure_id, a.token AS i, b.token AS j, substr(a.chain_id, 1, 1) = substr(b.chain_id, 1, 1) AS same_entity FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < b.token AND b.token < 24")
+@q(f"{TOKENS} SELECT a.structure_id, a.token, count(*) FILTER (substr(a.chain_id, 1, 1) = substr(b.chain_id, 1, 1)) AS same_entity, count(*) AS n FROM tokens a JOIN tokens b ON a.structure_id = b.structure_id AND a.token < b.token GROUP BY 1, 2")
 def m15_same_entity(spark, d: str) -> DataFrame:
-    t = crop.first_tokens(toks(spark, d), 24).select("structure_id", "token", F.substring("chain_id", 1, 1).alias("entity"))
-    return spatial.pairs_of(t, "token", "structure_id").select(F.col("a_structure_id").alias("structure_id"), F.col("a_token").alias("i"), F.col("b_token").alias("j"), spatial.same("entity").alias("same_entity"))
+    """For each token how many of those after it are of its entity."""
+    t = toks(spark, d).select("structure_id", "token", F.substring("chain_id", 1, 1).alias("entity"))
+    pairs = spatial.pairs_of(t, "token", "structure_id").groupBy(F.col("a_structure_id").alias("structure_id"), F.col("a_token").alias("token"))
+    return pairs.agg(F.count_if(spatial.same("entity")).alias("same_entity"), F.count("*").alias("n"))
 
 
 def joined(column: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .relational import uniform
+from .relational import in_ranges, uniform
 
 # Lengths, confidence and weights of the sources.
 LENGTHS = {"mgnify": (16, 2000), "rfam": (16, 2000), "disordered": (16, 2000), "short": (10, 50)}
@@ -49,16 +49,15 @@ def statistics(df: DataFrame) -> DataFrame:
 def sampled_by_source(df: DataFrame, size: int, seed: int, weights: dict[str, float] | None = None) -> DataFrame:
     """``size`` draws with replacement: a source by weight, then a row of it, each by hash; sources without weight or rows are left out.
 
-    Rows are numbered inside hash ranges of their source, so a large source is not one task's window; a draw finds its
+    Rows are numbered by source and id in sampled ranges, so a large source is not one task's window; a draw finds its
     row by number.
     """
     weights = {k: w for k, w in (weights or WEIGHTS).items() if w > 0}
-    parts = 256
-    keyed = df.filter(F.col("source").isin(list(weights))).withColumn("__part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
-    counts = keyed.groupBy("source", "__part").agg(F.count("*").alias("__n"))
+    keyed = in_ranges(df.filter(F.col("source").isin(list(weights))), "source", "id")
+    counts = keyed.groupBy("source", "__part").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
     w = Window.partitionBy("source").orderBy("__part")
-    before = counts.select("source", "__part", (F.sum("__n").over(w) - F.col("__n")).alias("__before"))
-    placed = keyed.withColumn("__rank", F.row_number().over(Window.partitionBy("source", "__part").orderBy("id"))).join(F.broadcast(before), ["source", "__part"]).withColumn("__at", F.col("__before") + F.col("__rank") - 1)
+    before = counts.select("source", "__part", (F.sum("__n").over(w) - F.col("__n") - F.col("__first")).alias("__before"))  # a row for each range and source
+    placed = keyed.join(F.broadcast(before), ["source", "__part"]).withColumn("__at", F.col("__before") + F.col("__at"))
     totals = {r["source"]: r["n"] for r in counts.groupBy("source").agg(F.sum("__n").alias("n")).collect()}
     there = {k: w for k, w in weights.items() if totals.get(k)}
     if not there:

@@ -55,9 +55,7 @@ def numbered(df: DataFrame, order: str, name: str, start: int = 0) -> DataFrame:
     Rows are exchanged into ranges that Spark samples, so that they hold about as many rows however the values lie, and are
     kept in the checkpoint folder; a row's number is its place in its range and the rows of the ranges before.
     """
-    checkpoint_folder(df.sparkSession)
-    ranges = max(RANGES, -(-df.count() // RANGE_ROWS))
-    placed = df.repartitionByRange(ranges, order).sortWithinPartitions(order).select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__at")).checkpoint()
+    placed = in_ranges(df, order)
     counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))
     before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # a row for each range
     return placed.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__at") + start).drop("__part", "__before", "__at")
@@ -295,18 +293,33 @@ def interface_weight(types: Column, tags: tuple[str, ...] = ("ligand-protein", "
     return F.when(F.arrays_overlap(types, F.array(*map(F.lit, tags))), 2.0).otherwise(1.0)
 
 
+def in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """Rows in ranges that Spark samples, so that they hold about as many rows however the values lie, with ``__part`` and their place ``__at`` in it; kept in the checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
+    ranges = max(RANGES, -(-df.count() // RANGE_ROWS))
+    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("__at")).checkpoint()
+
+
 def drawn(df: DataFrame, key: str, weight: str, n: int, seed: int) -> DataFrame:
-    """``n`` draws with replacement in proportion to ``weight``: ``draw`` and ``key``. The keys' cumulated weights are one window over a dataset's entries by hash range."""
-    total = df.agg(F.sum(weight)).first()[0]
-    parts = 64
-    ranged = df.select(key, weight, F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"))
-    sums = ranged.groupBy("part").agg(F.sum(weight).alias("w"))
-    before = sums.select("part", (F.sum("w").over(Window.orderBy("part")) - F.col("w")).alias("before"), "w")  # a row for each part
-    inside = F.sum(weight).over(Window.partitionBy("part").orderBy(key))
-    spans = ranged.withColumn("high", inside).withColumn("low", F.col("high") - F.col(weight)).select("part", key, "low", "high")
-    u = df.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn("u", uniform(seed, "draw") * total)
-    at = u.join(F.broadcast(before), (F.col("u") >= F.col("before")) & (F.col("u") < F.col("before") + F.col("w"))).withColumn("u", F.col("u") - F.col("before")).drop("before", "w")
-    return at.join(spans, "part").filter((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high"))).select("draw", key)
+    """``n`` draws with replacement in proportion to ``weight``: ``draw`` and ``key`` (a column without ties). Rows without a weight above 0 are not drawn.
+
+    Weights are cumulated in the order of keys, in sampled ranges. Then draws and the rows' spans are sorted together, again in sampled ranges, and a
+    draw takes the last span that begins before it; what the ranges before a range hold is a row for each of them.
+    """
+    placed = in_ranges(df.select(F.col(key).alias("__key"), F.col(weight).cast("double").alias("__w")).filter("__w > 0"), "__key")
+    sums = placed.groupBy("__part").agg(F.sum("__w").alias("__sum"))
+    before = sums.select("__part", (F.sum("__sum").over(Window.orderBy("__part")) - F.col("__sum")).alias("__before"))  # a row for each range
+    total = sums.agg(F.sum("__sum")).first()[0]
+    if not total:
+        return df.sparkSession.range(0).select(F.col("id").alias("draw")).crossJoin(df.select(key).limit(0))
+    inside = F.sum("__w").over(Window.partitionBy("__part").orderBy("__at"))
+    spans = placed.withColumn("__high", inside).join(F.broadcast(before), "__part").select((F.col("__before") + F.col("__high") - F.col("__w")).alias("__u"), F.lit(0).alias("__kind"), F.col("__key"), F.lit(None).cast("long").alias("draw"))
+    draws = df.sparkSession.range(n).withColumnRenamed("id", "draw").select((uniform(seed, "draw") * total).alias("__u"), F.lit(1).alias("__kind"), F.lit(None).cast(placed.schema["__key"].dataType).alias("__key"), "draw")
+    both = in_ranges(spans.unionByName(draws), "__u", "__kind")
+    last = both.groupBy("__part").agg(F.max_by("__key", F.when(F.col("__kind") == 0, F.col("__at"))).alias("__last"))
+    carried = last.select("__part", F.last("__last", ignorenulls=True).over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)).alias("__carried"))  # a row for each range
+    found = both.withColumn("__found", F.last("__key", ignorenulls=True).over(Window.partitionBy("__part").orderBy("__at")))
+    return found.filter("__kind = 1").join(F.broadcast(carried), "__part").select("draw", F.coalesce("__found", "__carried").alias(key))
 
 
 def composed(df: DataFrame, steps: list) -> DataFrame:

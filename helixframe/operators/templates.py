@@ -88,3 +88,85 @@ def slots(hits: DataFrame, query: list[str], most: int = MAX_TEMPLATES) -> DataF
     ranked = top_per_key(hits, query, [F.col("score").desc(), F.col("hit")], most).withColumn("slot", F.col("rank") - 1).drop("rank")
     every = hits.select(*query).distinct().withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     return every.join(ranked, [*query, "slot"], "left")
+
+
+# Templates straight from their files
+
+# Atoms of a residue's frame, its second one stands for it.
+FRAME_ATOMS = {"PROTEIN": ("N", "CA", "C"), "NUCLEIC": ("C1'", "C3'", "C4'")}
+# End of fixed values.
+
+
+def aligned_positions(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, pos, template_pos`` for every column in which both rows of a hit's alignment have a letter.
+
+    ``query_aligned`` and ``template_aligned`` are gapped and equally long (what one has beyond the other is left out); ``query_start`` and ``template_start``
+    say which residue (from 0) their first letters are.
+    """
+    letters = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    q, t = letters(F.col("query_aligned")), letters(F.col("template_aligned"))
+    n = F.least(F.size(q), F.size(t))
+    cells = hits.select(*keys, "query_start", "template_start", F.posexplode(F.arrays_zip(F.slice(q, F.lit(1), n).alias("q"), F.slice(t, F.lit(1), n).alias("t"))).alias("k", "c"))
+    upto = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    there = lambda s: (F.col(f"c.{s}") != "-").cast("int")
+    placed = cells.withColumns({"pos": (F.sum(there("q")).over(upto) - 1 + F.col("query_start")).cast("int"), "template_pos": (F.sum(there("t")).over(upto) - 1 + F.col("template_start")).cast("int")})
+    return placed.filter((F.col("c.q") != "-") & (F.col("c.t") != "-")).select(*keys, "pos", "template_pos")
+
+
+def backbone_places(atoms: DataFrame) -> DataFrame:
+    """Each residue's three frame atoms ``a, o, b`` as arrays (null where one lacks or has no place)."""
+    from ..functions import chem
+
+    kind = chem.chain_type(F.col("residue"))
+    good = ~(F.isnan("x") | F.isnan("y") | F.isnan("z"))
+    at = lambda i: F.min_by(F.when(good, F.array("x", "y", "z")), F.when((kind == "PROTEIN") & (F.col("atom") == FRAME_ATOMS["PROTEIN"][i]) | kind.isin("RNA", "DNA") & (F.col("atom") == FRAME_ATOMS["NUCLEIC"][i]), F.col("atom_pos")))
+    return atoms.groupBy("structure_id", "chain_id", "residue_pos").agg(F.min("residue").alias("residue"), *(at(i).alias(n) for i, n in enumerate("aob")))
+
+
+def with_frames(residues: DataFrame) -> DataFrame:
+    """``frame``: unit vectors x (from ``o`` to ``b``), y (in the plane, away from ``a``) and z; null where the atoms are missing or on a line."""
+    from .structures import let
+
+    minus = lambda p, r: F.zip_with(p, r, lambda x, y: x - y)
+    dot = lambda p, r: p[0] * r[0] + p[1] * r[1] + p[2] * r[2]
+    unit = lambda v: let(F.sqrt(dot(v, v)), lambda n: F.when(n >= 1e-6, F.transform(v, lambda x: x / n)))
+    cross = lambda p, r: F.array(p[1] * r[2] - p[2] * r[1], p[2] * r[0] - p[0] * r[2], p[0] * r[1] - p[1] * r[0])
+    out = residues.withColumn("__x", let(minus(F.col("b"), F.col("o")), unit))
+    beside = let(minus(F.col("o"), F.col("a")), lambda v: let(dot(v, F.col("__x")), lambda t: F.zip_with(v, F.col("__x"), lambda p, x: p - t * x)))
+    out = out.withColumn("__y", let(beside, unit))
+    return out.withColumn("frame", F.when(F.col("__y").isNotNull(), F.array("__x", "__y", cross(F.col("__x"), F.col("__y"))))).drop("__x", "__y")
+
+
+def template_frames(atoms: DataFrame, hits: DataFrame, lengths: DataFrame) -> DataFrame:
+    """A row for each hit of a query, over the query's positions: ``mask`` (its residue has a place), ``frame`` and ``frame_mask``, and for all pairs of positions
+    ``distogram`` (the distance's bin, -1 where one of them has no place), ``unit_vector`` (from the second to the first) and ``local_vector`` (from the first to
+    the second, in the first one's frame), zeros where there is none.
+
+    ``atoms`` is an atom table (``sources.mmcif.scan`` reads just its columns of the hits' files); ``hits`` has ``query, slot, hit, chain_id`` and the columns of
+    ``aligned_positions``; ``lengths`` has ``query, n``. What lies beyond the query's end is dropped, and a hit without a file has masks of 0.
+    """
+    from ..functions import chem
+    from .structures import let
+
+    wanted = hits.select(F.col("hit").alias("structure_id"), "chain_id").distinct()
+    placed = with_frames(backbone_places(atoms.join(wanted, ["structure_id", "chain_id"], "left_semi"))).withColumnsRenamed({"structure_id": "hit", "residue_pos": "template_pos"})
+    mapping = aligned_positions(hits, ["query", "slot", "hit", "chain_id"])
+    rows = mapping.join(placed.filter("o IS NOT NULL"), ["hit", "chain_id", "template_pos"]).groupBy("query", "slot").agg(F.array_sort(F.collect_list(F.struct("pos", "o", "frame"))).alias("__p"))
+    every = hits.select("query", "slot", "hit").join(lengths.select("query", "n"), "query").join(rows, ["query", "slot"], "left")
+    numbers = F.sequence(F.lit(0), F.col("n") - 1)
+    listed = every.withColumn("__pos", F.transform(F.coalesce("__p", F.array().cast(rows.schema["__p"].dataType)), lambda p: p["pos"]))
+    dense = listed.withColumn("__d", F.transform(numbers, lambda i: F.get("__p", F.array_position("__pos", i).cast("int") - 1)))
+    zero = F.array(*[F.lit(0.0)] * 3)
+
+    def pair(f, none):
+        return F.transform("__d", lambda p: F.transform("__d", lambda r: F.when(p.isNotNull() & r.isNotNull(), f(p, r)).otherwise(none)))
+
+    minus = lambda p, r: F.zip_with(p, r, lambda x, y: x - y)
+    dot = lambda p, r: p[0] * r[0] + p[1] * r[1] + p[2] * r[2]
+    far = lambda v: F.sqrt(dot(v, v))
+    unit = lambda v: let(F.greatest(far(v), F.lit(1e-8)), lambda n: F.transform(v, lambda x: x / n))
+    local = lambda p, r: F.when(p["frame"].isNotNull(), let(unit(minus(r["o"], p["o"])), lambda v: F.transform(p["frame"], lambda axis: dot(axis, v)))).otherwise(zero)
+    return dense.select(
+        "query", "slot", "hit", F.transform("__d", lambda p: p.isNotNull().cast("int")).alias("mask"), F.transform("__d", lambda p: p["frame"]).alias("frame"), F.transform("__d", lambda p: p["frame"].isNotNull().cast("int")).alias("frame_mask"),
+        pair(lambda p, r: chem.fine_distance_bin(far(minus(p["o"], r["o"]))), F.lit(-1)).alias("distogram"), pair(lambda p, r: unit(minus(p["o"], r["o"])), zero).alias("unit_vector"), pair(local, zero).alias("local_vector"),
+    )

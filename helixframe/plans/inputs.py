@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import chem
 from ..operators import inputs as I
 from ..operators import structures as S
+from ..operators import templates as T
 from .base import Queries
 from .fixture import atoms
 from .msas import CODE
@@ -146,3 +147,61 @@ def m20_pair_inputs(spark, d: str) -> DataFrame:
     kept = S.tokens(a).filter(F.col("chain_id").isin("AO", "RF"))
     out = I.with_pairs(I.cropped_inputs(I.model_inputs(a), kept))
     return out.select("structure_id", digest("relative_position").alias("relative_position"), digest("distogram").alias("distogram"))
+
+
+# Template frames: the hits' files are scanned for what is needed of them
+
+HITS = f"""{CHAINS}, {FAMILY}, bb AS (SELECT structure_id, chain_id, residue_pos, {', '.join(f"max({c}) FILTER (atom = '{n}') AS {k}{c}" for k, n in (('a', 'N'), ('o', 'CA'), ('b', 'C')) for c in 'xyz')} FROM ak WHERE kind = 'PROTEIN' AND chain_id = 'AF' GROUP BY 1, 2, 3),
+xx AS (SELECT *, sqrt((bx - ox) * (bx - ox) + (by_ - oy) * (by_ - oy) + (bz - oz) * (bz - oz)) AS lx FROM (SELECT * RENAME ("by" AS by_) FROM bb)),
+yy AS (SELECT *, (bx - ox) / lx AS xx, (by_ - oy) / lx AS xy, (bz - oz) / lx AS xz FROM xx), tt AS (SELECT *, (ox - ax) * xx + (oy - ay) * xy + (oz - az) * xz AS t FROM yy),
+vv AS (SELECT *, ox - ax - t * xx AS vx, oy - ay - t * xy AS vy, oz - az - t * xz AS vz FROM tt), ww AS (SELECT *, sqrt(vx * vx + vy * vy + vz * vz) AS lv FROM vv),
+fr AS (SELECT structure_id, residue_pos, ox AS x, oy AS y, oz AS z, xx, xy, xz, vx / lv AS yx, vy / lv AS yy, vz / lv AS yz, coalesce(lx >= 1e-6 AND lv >= 1e-6, false) AS framed FROM ww WHERE ox IS NOT NULL),
+on_query AS (SELECT q.structure_id AS query, k - 1 AS slot, f.residue_pos + 2 AS pos, f.* EXCLUDE (structure_id, residue_pos) FROM fam q JOIN (SELECT unnest([1, 2])::INTEGER AS k) ON true JOIN fam h ON h.chain_id = 'AF' AND q.chain_id = 'AF' AND h.idx = q.idx + k JOIN fr f ON f.structure_id = h.structure_id AND f.residue_pos < q.n AND f.residue_pos + 2 < q.n)"""
+
+
+def hits_of_files(spark, d: str) -> DataFrame:
+    """Each structure's chain AF has those of the next two as hits, two places to the right."""
+    f = family(spark, d).filter("chain_id = 'AF'")
+    hit = f.select(F.col("structure_id").alias("hit"), F.col("idx").alias("__idx"), F.col("sequence").alias("__other"))
+    pairs = f.withColumn("slot", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("__idx", F.col("idx") + F.col("slot") + 1).join(hit, "__idx")
+    own = F.concat("sequence", F.lit("--"))
+    other = F.concat(F.lit("--"), F.rpad(F.substring("__other", F.lit(1), F.col("n")), F.col("n"), F.lit("-")))
+    return pairs.select(F.col("structure_id").alias("query"), "slot", "hit", "chain_id", "n", own.alias("query_aligned"), other.alias("template_aligned"), F.lit(0).alias("query_start"), F.lit(0).alias("template_start"))
+
+
+def frames_of_files(spark, d: str) -> DataFrame:
+    from ..sources import mmcif
+    from .files import structure_files
+
+    hits = hits_of_files(spark, d)
+    found = mmcif.scan(spark, structure_files(spark, d), "atoms", ["structure_id", "chain_id", "residue_pos", "residue", "atom", "atom_pos", "x", "y", "z"])
+    return T.template_frames(found, hits, hits.select("query", "n").distinct())
+
+
+@q(
+    f"""{HITS}, own AS (SELECT query, slot, sum(framed::INTEGER)::INTEGER AS n_frames, count(*)::INTEGER AS n_places, round(sum(CASE WHEN framed THEN xx * yy - xy * yx ELSE 0 END) / sqrt(2), 4) AS zz FROM on_query GROUP BY 1, 2)
+SELECT query, slot, n_places, n_frames, zz FROM own"""
+)
+def l12_template_frames(spark, d: str) -> DataFrame:
+    out = frames_of_files(spark, d)
+    count = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
+    last = F.transform("frame", lambda f: F.coalesce(f[2][2], F.lit(0.0)))
+    return out.select("query", "slot", count("mask").alias("n_places"), count("frame_mask").alias("n_frames"), F.round(F.aggregate(last, F.lit(0.0), lambda s, x: s + x) / F.sqrt(F.lit(2.0)), 4).alias("zz")).filter("n_places > 0")
+
+
+PLACES = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))"
+
+
+@q(f"{HITS} SELECT a.query, a.slot, a.pos, sum((b.pos + 1) * greatest(0, least(38, floor(({PLACES} - 3.25::DOUBLE) / ((50.75::DOUBLE - 3.25::DOUBLE) / 39)))))::BIGINT AS bins, count(*) AS n FROM on_query a JOIN on_query b ON a.query = b.query AND a.slot = b.slot GROUP BY 1, 2, 3")
+def p68_template_distograms(spark, d: str) -> DataFrame:
+    rows = frames_of_files(spark, d).select("query", "slot", F.posexplode("distogram").alias("pos", "row"))
+    there = F.filter("row", lambda b: b >= 0)
+    bins = F.aggregate(F.transform("row", lambda b, j: F.when(b >= 0, b * (j + 1)).otherwise(0)), F.lit(0), lambda s, x: s + x)
+    return rows.select("query", "slot", "pos", bins.cast("long").alias("bins"), F.size(there).cast("long").alias("n")).filter("n > 0")
+
+
+@q(f"{HITS} SELECT a.query, a.slot, a.pos, round(sum((a.x - b.x) / greatest({PLACES}, 1e-8)) / sqrt(2), 4) AS ux, round(sum(CASE WHEN a.framed THEN ((b.x - a.x) * a.yx + (b.y - a.y) * a.yy + (b.z - a.z) * a.yz) / greatest({PLACES}, 1e-8) ELSE 0 END) / sqrt(2), 4) AS ly FROM on_query a JOIN on_query b ON a.query = b.query AND a.slot = b.slot GROUP BY 1, 2, 3")
+def p69_template_unit_vectors(spark, d: str) -> DataFrame:
+    rows = frames_of_files(spark, d).select("query", "slot", F.posexplode(F.arrays_zip("mask", "unit_vector", "local_vector")).alias("pos", "r")).filter("r.mask = 1")
+    total = lambda c, k: F.round(F.aggregate(F.transform(F.col(f"r.{c}"), lambda v: v[k]), F.lit(0.0), lambda s, x: s + x) / F.sqrt(F.lit(2.0)), 4)
+    return rows.select("query", "slot", "pos", total("unit_vector", 0).alias("ux"), total("local_vector", 1).alias("ly"))

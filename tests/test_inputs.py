@@ -92,3 +92,25 @@ def test_one_exchange_for_an_input(spark, made):
         spark.conf.set("spark.sql.adaptive.enabled", old[0])
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
     assert plan.count("Exchange hashpartitioning(structure_id") == 5 == plan.count("Exchange ")
+
+
+def test_template_frames(spark):
+    from helixframe.operators import templates as T
+
+    atoms = spark.createDataFrame(
+        residue("h", "A", 0, "ALA", ("N", 0, 1, 0), ("CA", 0, 0, 0), ("C", 2, 0, 0)) + residue("h", "A", 1, "GLY", ("CA", 0, 0, 5)) + residue("h", "A", 2, "ALA", ("N", 4, 0, 0), ("CA", 5, 0, 0), ("C", 6, 0, 0)) + residue("h", "A", 3, "DA", ("C3'", 0, 100, 0))
+        + residue("h", "B", 0, "ALA", ("CA", 9, 9, 9)) + residue("other", "A", 0, "ALA", ("CA", 9, 9, 9)),
+        ATOM,
+    )
+    hits = spark.createDataFrame([("q", 0, "h", "A", "-AG-K", "AG-AG", 1, 0), ("q", 1, "gone", "A", "AAAA", "AAAA", 0, 0), ("r", 0, "h", "A", "AAA", "AA", 0, 2)], "query string, slot int, hit string, chain_id string, query_aligned string, template_aligned string, query_start int, template_start int")
+    assert sorted(map(tuple, T.aligned_positions(hits, ["query", "slot"]).collect())) == [("q", 0, 1, 1), ("q", 0, 3, 3), *(("q", 1, i, i) for i in range(4)), ("r", 0, 0, 2), ("r", 0, 1, 3)]
+    lengths = spark.createDataFrame([("q", 3), ("r", 2)], "query string, n int")
+    got = {(r.query, r.slot): r for r in T.template_frames(atoms, hits, lengths).collect()}
+    q, none, r = got["q", 0], got["q", 1], got["r", 0]
+    assert q.mask == [0, 1, 0] and q.frame_mask == [0, 0, 0] and q.distogram == [[-1] * 3, [-1, 0, -1], [-1] * 3]  # place 3 is beyond the query's end
+    assert none.mask == [0, 0, 0] and none.unit_vector[1][2] == [0, 0, 0]
+    assert r.mask == [1, 1] and r.frame_mask == [0, 0] and r.distogram[0] == [0, 38]  # one residue is on a line, the other lacks atoms
+    start = hits.filter("query = 'r'").drop("template_start").selectExpr("*", "0 as template_start")
+    (f,) = T.template_frames(atoms, start, lengths).collect()
+    assert f.frame_mask == [1, 0] and f.frame[0] == [[1, 0, 0], [0, -1, 0], [0, 0, -1]] and f.unit_vector[0][1] == [0, 0, -1] and f.local_vector[0][1] == [0, 0, -1] and f.local_vector[1][0] == [0, 0, 0]
+    assert T.template_frames(atoms.limit(0), hits.limit(0), lengths).count() == 0

@@ -30,10 +30,10 @@ def folder(spark) -> str:
     return f"{checkpoint_folder(spark)}/files-{uuid.uuid4()}"
 
 
-def lines(df: DataFrame, spark, order: str) -> str:
-    """The column ``value`` as one text file, in order."""
+def lines(df: DataFrame, spark, order: str, files: int = 4) -> str:
+    """The column ``value`` as text files, each with a range of rows in order (one where rows belong to what others began)."""
     path = folder(spark)
-    df.repartition(1).sortWithinPartitions(order).select("value").write.text(path)
+    df.repartitionByRange(files, order).sortWithinPartitions(order).select("value").write.text(path)
     return path
 
 
@@ -116,7 +116,7 @@ def a24_obsolete_entries(spark, d: str) -> DataFrame:
 def a18_disorder_annotations(spark, d: str) -> DataFrame:
     s = read_table(spark, d, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 5 == 1, F.col("s_name")).otherwise(F.concat_ws("\t", "s_name", F.lit("A"), F.lit("SEQ"), F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string"))).alias("value"))
     head = spark.createDataFrame([(-1, "pdb\tchain\tsequence\tstart\tend")], "s_suppkey long, value string")
-    return L.read_disorder(spark, lines(head.unionByName(s), spark, "s_suppkey"))
+    return L.read_disorder(spark, lines(head.unionByName(s), spark, "s_suppkey", 1))
 
 
 MOTIF = "(SELECT p_type, p_partkey, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) - 1 AS pos, p_size / 2.0::DOUBLE AS a, p_size / 4.0::DOUBLE AS c, 1.0::DOUBLE AS g, 0.5::DOUBLE AS t FROM part)"
@@ -132,7 +132,7 @@ def a17_read_meme(spark, d: str) -> DataFrame:
     rows = motif_rows(spark, d).withColumn("value", F.concat_ws(" ", *(F.col(b).cast("string") for b in "acgt")))
     heads = rows.select("p_type").distinct().select(F.concat(F.col("p_type"), F.lit("|0000000")).alias("at"), F.concat(F.lit("MOTIF "), "p_type", F.lit(" name")).alias("value"))
     body = rows.select(F.concat("p_type", F.lit("|"), F.lpad((F.col("pos") + 1).cast("string"), 7, "0")).alias("at"), "value")
-    return L.read_meme(spark, lines(heads.unionByName(body), spark, "at"))
+    return L.read_meme(spark, lines(heads.unionByName(body), spark, "at", 1))
 
 
 @q(f"SELECT p_type AS motif, 'name' AS name, pos::INTEGER AS pos, a, c, g, t FROM {MOTIF}")
@@ -159,7 +159,7 @@ def hit_files(spark, d: str) -> tuple[str, str]:
     sto = p.filter("p_partkey % 2 = 0").select("p_partkey", F.concat(name, F.lit("/1-9 "), F.translate("p_name", " ", "-")).alias("value"))
     tbl = p.filter("p_partkey % 4 = 0").select("p_partkey", F.concat_ws("  ", name, F.lit("-"), F.lit("query"), F.lit("-"), (F.col("p_size") / 8.0).cast("string"), F.col("p_retailprice").cast("string"), F.lit("0.0")).alias("value"))
     head = spark.createDataFrame([(-1, "# STOCKHOLM 1.0")], "p_partkey long, value string")
-    return lines(head.unionByName(sto), spark, "p_partkey"), lines(head.unionByName(tbl), spark, "p_partkey")
+    return lines(head.unionByName(sto), spark, "p_partkey", 1), lines(head.unionByName(tbl), spark, "p_partkey", 1)
 
 
 @q(f"SELECT 'x' || p_partkey AS pdb_id, 'B' AS chain_id, sequence, CASE WHEN p_partkey % 4 = 0 THEN e_value ELSE 1.0::DOUBLE END AS e_value, CASE WHEN p_partkey % 4 = 0 THEN score ELSE 0.0::DOUBLE END AS score FROM {HIT}")
@@ -283,29 +283,38 @@ for _name in ("l19_reference_conformers", "p26_conformers_of_structures"):
 # Tables and objects
 
 
+def objects(spark, root: str, pattern: str = "*") -> DataFrame:
+    """``key`` and ``content`` of the objects below a folder."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return found.select(F.substring_index("path", f"{root.rsplit('/', 1)[-1]}/", -1).alias("key"), "content")
+
+
 @q("SELECT 'nation/' || lpad(n_nationkey::VARCHAR, 2, '0') AS key, length(n_name)::INTEGER AS n, md5(n_name) AS digest FROM nation")
 def a31_objects(spark, d: str) -> DataFrame:
-    """Objects that are put, listed and got again; one that is deleted is gone."""
-    box = storage.create_storage(spark, folder(spark))
-    for r in read_table(spark, d, "nation").collect():
-        box.put(f"nation/{r.n_nationkey:02d}", r.n_name.encode())
+    """Objects that tasks put and get again; one that is deleted is gone."""
+    root = folder(spark)
+    n = read_table(spark, d, "nation")
+    storage.put_all(n.select(F.format_string("nation/%02d", "n_nationkey").alias("key"), F.col("n_name").cast("binary").alias("content")), root)
+    box = storage.create_storage(spark, root)
     box.put("nation/99", b"gone")
     box.delete("nation/99")
-    rows = [(k, len(box.get(k)), box.get(k).decode()) for k in box.list("nation/")]
-    return spark.createDataFrame(rows, "key string, n int, text string").select("key", "n", F.md5("text").alias("digest"))
+    return objects(spark, root).select("key", F.length("content").alias("n"), F.md5("content").alias("digest"))
 
 
 @q("SELECT 'r' || r_regionkey || '.json' AS key, r_name AS name FROM region")
 def a32_listed_objects(spark, d: str) -> DataFrame:
-    box = storage.create_storage(spark, folder(spark))
-    for r in read_table(spark, d, "region").collect():
-        box.put_json(f"r{r.r_regionkey}.json", {"name": r.r_name})
-        box.put(f"other/{r.r_regionkey}", b"")
-    return spark.createDataFrame([(k, box.get_json(k)["name"]) for k in box.list("r")], "key string, name string")
+    root = folder(spark)
+    r = read_table(spark, d, "region")
+    named = r.select(F.format_string("r%d.json", "r_regionkey").alias("key"), F.to_json(F.struct(F.col("r_name").alias("name"))).cast("binary").alias("content"))
+    storage.put_all(named.unionByName(r.select(F.format_string("other/%d", "r_regionkey").alias("key"), F.lit(b"").alias("content"))), root)
+    return objects(spark, root, "r*.json").select("key", F.get_json_object(F.decode("content", "UTF-8"), "$.name").alias("name"))
 
 
 for _name, _store, _scheme in (("a33_s3_paths", "s3", "s3a"), ("a34_google_paths", "gcs", "gs"), ("a35_azure_paths", "azure", "abfss"), ("a36_stores", "local", "file")):
-    q.put(_name, lambda spark, d, s=_store: spark.createDataFrame([(s, storage.SCHEMES[s])], "store string, scheme string"), f"SELECT '{_store}' AS store, '{_scheme}' AS scheme")
+    q.put(
+        _name, lambda spark, d, s=_store: read_table(spark, d, "supplier").select("s_suppkey", storage.uri(s, "bucket", F.concat(F.lit("in/"), "s_name", F.lit(".cif"))).alias("path")),
+        f"SELECT s_suppkey, '{_scheme}://' || {"''" if _store == 'local' else "'bucket'"} || '/' || 'in/' || s_name || '.cif' AS path FROM supplier",
+    )
 
 
 def kept_features(spark, d: str) -> DataFrame:
@@ -398,11 +407,19 @@ for _name in ("k10_realigned_hits", "k14_realigned"):
         "SELECT s_suppkey::VARCHAR AS id, false AS realigned, '>query' || chr(10) || 'ACDEF' || chr(10) || '>hit' || chr(10) || 'AC-EF' || chr(10) AS output, 'hmmbuild is not installed' AS error FROM supplier",
     )
 
+#: A part is a query of its own: its key names the files, its name's length is the sequence's.
 COMMANDS = {
-    "k02_jackhmmer_arguments": (lambda: search.jackhmmer("q", "d", "o", 4, 500_000, 138_515_945), "jackhmmer -N 1 -E 0.0001 --incE 0.0001 --F1 0.0005 --F2 0.00005 --F3 0.0000005 --cpu 4 -A o --seq_limit 500000 -Z 138515945 q d"),
-    "p93_hhblits_arguments": (lambda: search.hhblits("q", "d", "o"), "hhblits -i q -d d -oa3m o -n 3 -e 0.001 -cpu 4"),
-    "p94_nhmmer_arguments": (lambda: search.nhmmer("q", "d", "o", 49), "nhmmer -E 0.001 --incE 0.001 --rna --watson --F3 0.02 --cpu 4 -A o q d"),
-    "p108_hmmsearch_arguments": (lambda: search.hmmsearch("m", "d", "a", "s"), "hmmsearch --noali --F1 0.1 --F2 0.1 --F3 0.1 -E 100 --incE 100 -Z 10000 --cpu 4 -A a --tblout s m d"),
+    "k02_jackhmmer_arguments": (lambda i, n: search.jackhmmer(f"q{i}", "d", f"o{i}", 4, 500_000, 138_515_945), "'jackhmmer -N 1 -E 0.0001 --incE 0.0001 --F1 0.0005 --F2 0.00005 --F3 0.0000005 --cpu 4 -A o' || p_partkey || ' --seq_limit 500000 -Z 138515945 q' || p_partkey || ' d'"),
+    "p93_hhblits_arguments": (lambda i, n: search.hhblits(f"q{i}", "d", f"o{i}"), "'hhblits -i q' || p_partkey || ' -d d -oa3m o' || p_partkey || ' -n 3 -e 0.001 -cpu 4'"),
+    "p94_nhmmer_arguments": (lambda i, n: search.nhmmer(f"q{i}", "d", f"o{i}", 4 * n), "'nhmmer -E 0.001 --incE 0.001 --rna --watson --F3 ' || CASE WHEN 4 * length(p_name) < 50 THEN '0.02' ELSE '0.00005' END || ' --cpu 4 -A o' || p_partkey || ' q' || p_partkey || ' d'"),
+    "p108_hmmsearch_arguments": (lambda i, n: search.hmmsearch(f"m{i}", "d", f"a{i}", f"s{i}"), "'hmmsearch --noali --F1 0.1 --F2 0.1 --F3 0.1 -E 100 --incE 100 -Z 10000 --cpu 4 -A a' || p_partkey || ' --tblout s' || p_partkey || ' m' || p_partkey || ' d'"),
 }
+
+
+def commands(spark, d: str, command) -> DataFrame:
+    text = F.pandas_udf(lambda i, n: (i.to_frame("i").assign(n=n)).apply(lambda r: " ".join(command(r.i, r.n)), axis=1), "string")
+    return read_table(spark, d, "part").select("p_partkey", text("p_partkey", F.length("p_name")).alias("command"))
+
+
 for _name, (_command, _text) in COMMANDS.items():
-    q.put(_name, lambda spark, d, c=_command: spark.createDataFrame([(" ".join(c()),)], "command string"), f"SELECT '{_text}' AS command")
+    q.put(_name, lambda spark, d, c=_command: commands(spark, d, c), f"SELECT p_partkey, {_text} AS command FROM part")

@@ -305,10 +305,15 @@ def e31_mean_confidence(spark, d: str) -> DataFrame:
     return scores.select("l_orderkey", F.round(distillation.mean_confidence(F.col("scores")), 6).alias("mean"))
 
 
-@q("SELECT * FROM (VALUES ('mgnify', 0.495::DOUBLE), ('disordered', 0.02::DOUBLE), ('rfam', 0.05::DOUBLE), ('short', 0.005::DOUBLE), ('jaspar', 0.0::DOUBLE), ('other', 0.0::DOUBLE)) v(source, weight)")
+SEGMENTS = {"AUTOMOBILE": "mgnify", "BUILDING": "disordered", "FURNITURE": "rfam", "HOUSEHOLD": "short", "MACHINERY": "jaspar"}
+
+
+@q(f"SELECT source, coalesce(weight, 0) AS weight FROM (SELECT DISTINCT CASE c_mktsegment {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENTS.items())} ELSE 'other' END AS source FROM customer) LEFT JOIN (VALUES ('mgnify', 0.495::DOUBLE), ('disordered', 0.02::DOUBLE), ('rfam', 0.05::DOUBLE), ('short', 0.005::DOUBLE), ('jaspar', 0.0::DOUBLE)) v(source, weight) USING (source)")
 def i06_source_weights(spark, d: str) -> DataFrame:
-    names = spark.createDataFrame([(n,) for n in (*distillation.WEIGHTS, "other")], "source string")
-    return distillation.source_weights(names)
+    """Market segments stand for sources; one that has no weight of its own gets none."""
+    segment = F.col("c_mktsegment")
+    name = F.coalesce(*(F.when(segment == k, v) for k, v in SEGMENTS.items()), F.lit("other"))
+    return distillation.source_weights(read_table(spark, d, "customer").select(name.alias("source")).distinct())
 
 
 DRAWN = f"WITH c AS (SELECT p_type AS motif, p_size AS pos, draw, {HASH_SQL.format("p_type || '|' || p_size || '|' || draw", 13)} * (1.0::DOUBLE + 2.0::DOUBLE + 3.0::DOUBLE + 2.0::DOUBLE) AS u FROM (SELECT DISTINCT p_type, p_size FROM part), (SELECT unnest([0, 1]) AS draw)), g AS (SELECT motif, draw, string_agg(CASE WHEN u < 1 THEN 'A' WHEN u < 3 THEN 'C' WHEN u < 6 THEN 'G' ELSE 'T' END, '' ORDER BY pos) AS dna FROM c GROUP BY 1, 2)"

@@ -20,10 +20,12 @@ import re
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import StructType
 
 from .star import parse_star
+from .storage import file_system, put_all
 from .structures import ATOM, BOND, DATE_KEYS, OPERATOR, RESOLUTION_KEYS, atom_rows, bond_rows, first_of, number, operator_rows, resolution_of
 from .tables import workers_find_package
 
@@ -148,15 +150,6 @@ class Files(InputPartition):
         self.paths = paths
 
 
-def file_system(path: str):
-    """pyarrow's file system of a path and the path in it."""
-    from pyarrow import fs
-
-    if re.match(r"file:/(?!/)", path):
-        path = path[5:]
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-
-
 class MmcifReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         options = {k.lower(): v for k, v in options.items()}
@@ -242,15 +235,5 @@ def scan(spark: SparkSession, path: str, table: str = "structures", columns: Ite
 
 
 def write_files(files: DataFrame, folder: str) -> None:
-    """Each ``content`` as the file of its ``path``'s name in the folder, written by the tasks that have it; a task that runs again writes the same file again."""
-
-    def run(rows) -> None:
-        for r in rows:
-            system, at = file_system(f"{folder}/{r.path.rsplit('/', 1)[-1]}")
-            system.create_dir(at.rsplit("/", 1)[0])
-            with system.open_output_stream(f"{at}.part", compression=None) as out:
-                out.write(bytes(r.content))
-            system.move(f"{at}.part", at)
-
-    workers_find_package(files.sparkSession)
-    files.select("path", "content").foreachPartition(run)
+    """Each ``content`` as the file of its ``path``'s name in the folder."""
+    put_all(files.select(F.element_at(F.split("path", "/"), -1).alias("key"), "content"), folder)

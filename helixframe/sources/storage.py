@@ -7,14 +7,47 @@ from __future__ import annotations
 
 import io
 import json
+import re
 
 import numpy as np
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .tables import workers_find_package
 
 #: Names of stores and the schemes that Spark knows them by.
 SCHEMES = {"local": "file", "hdfs": "hdfs", "s3": "s3a", "gcs": "gs", "azure": "abfss", "view": "viewfs"}
 
 
+def uri(store: str, bucket: str, key: Column) -> Column:
+    """The path by which Spark knows an object; local ones have no bucket."""
+    return F.concat(F.lit(f"{SCHEMES[store]}://{'' if store == 'local' else bucket}/"), key)
+
+
+def file_system(path: str):
+    """pyarrow's file system of a path and the path in it."""
+    from pyarrow import fs
+
+    if re.match(r"file:/(?!/)", path):
+        path = path[5:]
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def put_all(objects: DataFrame, root: str) -> None:
+    """Each ``content`` (bytes) as the object ``key`` below ``root``, put by the tasks that have it; a task that runs again puts the same again. Spark's ``binaryFile`` source reads them."""
+
+    def run(rows) -> None:
+        for r in rows:
+            system, at = file_system(f"{root.rstrip('/')}/{r.key}")
+            system.create_dir(at.rsplit("/", 1)[0])
+            with system.open_output_stream(f"{at}.part", compression=None) as out:
+                out.write(bytes(r.content))
+            system.move(f"{at}.part", at)
+
+    workers_find_package(objects.sparkSession)
+    objects.select("key", "content").foreachPartition(run)
+
+
 class Storage:
     """Objects under a root folder."""
 

@@ -12,15 +12,23 @@ RNA, DNA = ("A", "G", "C", "U", "N"), ("DA", "DG", "DC", "DT", "DN")
 AA_LETTERS = "ARNDCQEGHILKMFPSTWYV"
 NUCLEOTIDE_LETTERS = {"A": "A", "G": "G", "C": "C", "U": "U", "DA": "A", "DG": "G", "DC": "C", "DT": "T"}
 WATER = ("HOH",)
-IONS = "AG AL AU BA BR CA CD CE CL CO CR CS CU DY EU F FE GA GD HG IN IR K LA LI LU MG MN MO NA NI OS PB PD PR PT RB RU SB SM SR TB TH TL V W Y YB ZN ZR".split()
-CRYSTALLIZATION_AIDS = "SO4 GOL EDO PO4 ACT PEG DMS TRS PGE PG4 FMT EPE MPD MES CD IOD".split()
+IONS = (
+    "AG", "AL", "AU", "BA", "BR", "CA", "CD", "CE", "CL", "CO", "CR", "CS", "CU", "DY", "EU", "F", "FE", "GA", "GD", "HG", "IN", "IR", "K", "LA",
+    "LI", "LU", "MG", "MN", "MO", "NA", "NI", "OS", "PB", "PD", "PR", "PT", "RB", "RU", "SB", "SM", "SR", "TB", "TH", "TL", "V", "W", "Y", "YB",
+    "ZN", "ZR",
+)
+CRYSTALLIZATION_AIDS = (
+    "SO4", "GOL", "EDO", "PO4", "ACT", "PEG", "DMS", "TRS", "PGE", "PG4", "FMT", "EPE", "MPD", "MES", "CD", "IOD",
+)
 EXCLUDED_LIGANDS = (
-    "144 15P 1PE 2F2 2JC 3HR 3SY 7N5 7PE 9JE AAE ABA ACE ACN ACT ACY AZI BAM BCN BCT BDN BEN BME BO3 BTB BTC BU1 C8E CAD CAQ "
-    "CBM CCN CIT CL CLR CM CMO CO3 CPT CXS D10 DEP DIO DMS DN DOD DOX EDO EEE EGL EOH EOX EPE ETF FCY FJO FLC FMT FW5 GOL "
-    "GSH GTT GYF HED IHP IHS IMD IOD IPA IPH LDA MB3 MEG MES MLA MLI MOH MPD MRD MSE MYR N NA NH2 NH4 NHE NO3 O4B OHE OLA "
-    "OLC OMB OME OXA P6G PE3 PE4 PEG PEO PEP PG0 PG4 PGE PGR PLM PO4 POL POP PVO SAR SCN SEO SEP SIN SO4 SPD SPM SR STE STO "
-    "STU TAR TBU TME TPO TRS UNK UNL UNX UPL URE"
-).split()
+    "144", "15P", "1PE", "2F2", "2JC", "3HR", "3SY", "7N5", "7PE", "9JE", "AAE", "ABA", "ACE", "ACN", "ACT", "ACY", "AZI", "BAM", "BCN", "BCT",
+    "BDN", "BEN", "BME", "BO3", "BTB", "BTC", "BU1", "C8E", "CAD", "CAQ", "CBM", "CCN", "CIT", "CL", "CLR", "CM", "CMO", "CO3", "CPT", "CXS", "D10",
+    "DEP", "DIO", "DMS", "DN", "DOD", "DOX", "EDO", "EEE", "EGL", "EOH", "EOX", "EPE", "ETF", "FCY", "FJO", "FLC", "FMT", "FW5", "GOL", "GSH", "GTT",
+    "GYF", "HED", "IHP", "IHS", "IMD", "IOD", "IPA", "IPH", "LDA", "MB3", "MEG", "MES", "MLA", "MLI", "MOH", "MPD", "MRD", "MSE", "MYR", "N", "NA",
+    "NH2", "NH4", "NHE", "NO3", "O4B", "OHE", "OLA", "OLC", "OMB", "OME", "OXA", "P6G", "PE3", "PE4", "PEG", "PEO", "PEP", "PG0", "PG4", "PGE",
+    "PGR", "PLM", "PO4", "POL", "POP", "PVO", "SAR", "SCN", "SEO", "SEP", "SIN", "SO4", "SPD", "SPM", "SR", "STE", "STO", "STU", "TAR", "TBU", "TME",
+    "TPO", "TRS", "UNK", "UNL", "UNX", "UPL", "URE",
+)
 MAX_RESOLUTION, TRAINING_CUTOFF = 9.0, "2021-09-30"
 PEPTIDE_RESIDUES, PEPTIDE_CLUSTER_RESIDUES, PROTEIN_IDENTITY = 16, 10, 0.4
 ATOM_NAME_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 '"

@@ -9,7 +9,11 @@ from ..functions import chem
 from .structures import BACKBONE, RESIDUE, without_hydrogens
 
 # Elements in order of atomic number, as far as structures have them.
-ELEMENTS = "H HE LI BE B C N O F NE NA MG AL SI P S CL AR K CA SC TI V CR MN FE CO NI CU ZN GA GE AS SE BR KR RB SR Y ZR NB MO TC RU RH PD AG CD IN SN SB TE I XE".split()
+ELEMENTS = (
+    "H", "HE", "LI", "BE", "B", "C", "N", "O", "F", "NE", "NA", "MG", "AL", "SI", "P", "S", "CL", "AR", "K", "CA", "SC", "TI", "V", "CR", "MN", "FE",
+    "CO", "NI", "CU", "ZN", "GA", "GE", "AS", "SE", "BR", "KR", "RB", "SR", "Y", "ZR", "NB", "MO", "TC", "RU", "RH", "PD", "AG", "CD", "IN", "SN",
+    "SB", "TE", "I", "XE",
+)
 AMBIGUOUS = {"ARG": ("NH1", "NH2"), "ASP": ("OD1", "OD2"), "GLU": ("OE1", "OE2"), "LEU": ("CD1", "CD2"), "PHE": ("CD1", "CD2", "CE1", "CE2"), "TYR": ("CD1", "CD2", "CE1", "CE2"), "VAL": ("CG1", "CG2")}
 # End of fixed values.
 

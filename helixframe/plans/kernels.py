@@ -9,10 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import crop, geometry, spatial
+from ..operators import crop, geometry
+from ..operators import structures as S
 from ..sources.tables import checkpoint_folder, read_table
 from ..streaming import tasks
 from .features import msa
+from .fixture import atoms
 from .spatial import points
 
 
@@ -46,10 +48,9 @@ def j04_contiguous_crop(spark, d: str) -> DataFrame:
 
 
 def g12_chain_growth(spark, d: str) -> DataFrame:
-    p = points(spark, d).withColumn("structure_id", F.lit("s"))
-    near = spatial.contacts_by_chain(p, "vec_id", "label", 0.08).select(F.lit("s").alias("structure_id"), F.col("chain_1").cast("string").alias("chain_1"), F.col("chain_2").cast("string").alias("chain_2"), F.col("n_pairs").alias("contacts"))
-    chains = p.select("structure_id", F.col("label").cast("string").alias("chain_id")).distinct()
-    return geometry.cropped_to_chains(chains, near, 4, 1)
+    """Up to four chains of each structure, grown along its interfaces."""
+    a = atoms(spark, d)
+    return geometry.cropped_to_chains(a.select("structure_id", "chain_id").distinct(), S.interfaces(a).select("structure_id", "chain_1", "chain_2", "contacts"), 4, 1)
 
 
 def n16_task_stream(spark, d: str) -> DataFrame:

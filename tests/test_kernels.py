@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 
 from helixframe.operators import geometry
-from helixframe.plans import files, kernels
+from helixframe.plans import files, kernels, structures
 from helixframe.streaming import tasks
 
 
@@ -35,7 +35,15 @@ def test_kernel_queries(spark, sf):
     assert kernels.g06_greedy(spark, sf).count() > 0
     crop = kernels.j04_contiguous_crop(spark, sf).groupBy("structure_id").count().collect()
     assert crop and all(r["count"] <= 16 for r in crop)
-    assert kernels.g12_chain_growth(spark, sf).count() == 4
+    near = {}
+    for r in structures.QUERIES["d11_interfaces"](spark, sf).collect():
+        near.setdefault(r.structure_id, set()).add((r.chain_1, r.chain_2))
+    grown = {}
+    for r in kernels.g12_chain_growth(spark, sf).orderBy("structure_id", "place").collect():
+        grown.setdefault(r.structure_id, []).append(r.chain_id)
+    assert len(grown) == 10 and all(len(c) == len(set(c)) <= 4 for c in grown.values())
+    touching = lambda s, c, others: any((min(c, o), max(c, o)) in near.get(s, ()) for o in others)
+    assert sum(touching(s, c, own[:i]) for s, own in grown.items() for i, c in enumerate(own) if i) > 20
     assert files.QUERIES["k01_search"](spark, sf).filter("NOT found").count() == spark.read.parquet(f"{sf}/supplier.parquet").count()
 
 

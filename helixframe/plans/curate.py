@@ -57,8 +57,8 @@ def curate(spark: SparkSession, path: str, config: Config | None = None, alignme
     chains = S.chains(S.residues(atoms))
     verdict = verdicts(parsed, chains, config)
     good = atoms.join(verdict.filter("passed").select("structure_id"), "structure_id", "left_semi")
-    good = S.without_broken_chains(S.without_excluded_ligands(good), config.filtering.max_ca_distance)
     checkpoint_folder(spark)
+    good = S.without_broken_chains(S.without_excluded_ligands(good), config.filtering.max_ca_distance).checkpoint()  # files are parsed for the verdicts and once for all else
     near = S.neighbours(good, max(S.CONTACT, config.filtering.clash_distance)).checkpoint()  # clashes, interfaces and bonds are read from it
     clash = S.clashing_chains(good, config.filtering.clash_distance, config.filtering.clash_share, near).select(*S.CHAIN)
     good = good.join(clash, S.CHAIN, "left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import geometry, rigid
 from ..operators import structures as S
-from ..sources.tables import read_table
+from ..sources.tables import checkpoint_folder, read_table
 from .base import Queries
 from .curation import HASH_SQL
 from .fixture import ATOMS, atoms
@@ -114,7 +114,8 @@ _AXES = {"C1": (1, 0, 0, 0, 0, 0), "C2": (2, 1, 1, 0, 0, 0), "C3": (3, 1, 0, 1,
 
 @q("SELECT s_suppkey, operators, axes, axes_2, axes_3, axes_4, axes_5, symmetry FROM supplier JOIN (VALUES " + ", ".join(f"({g}, {', '.join(f'{n}::BIGINT' for n in _AXES[name])}, '{name}')" for g, name in enumerate(GROUPS)) + f") v(g, operators, axes, axes_2, axes_3, axes_4, axes_5, symmetry) ON g = s_suppkey % {len(GROUPS)}")
 def p38_symmetry_groups(spark, d: str) -> DataFrame:
-    return rigid.symmetry_groups(operators(spark, d), ["s_suppkey"])
+    checkpoint_folder(spark)
+    return rigid.symmetry_groups(operators(spark, d).checkpoint(), ["s_suppkey"])  # tables have plain columns; made ones would be planned for long
 
 
 @q(f"SELECT s_suppkey, op, round(degrees(acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, (m11 + m22 + m33 - 1) / 2)))), 3) AS angle FROM supplier JOIN (VALUES {', '.join(f'({g}, {op}, {m[0]}::DOUBLE, {m[4]}::DOUBLE, {m[8]}::DOUBLE)' for g, op, *m in elements())}) v(g, op, m11, m22, m33) ON g = s_suppkey % {len(GROUPS)}")

@@ -184,3 +184,29 @@ def test_repeated_atom_names_keep_the_first(spark):
     rows = [("s", "A", 0, 1, "", "ALA", "CA", p, "C", float(p), 0.0, 0.0) for p in (3, 1, 2)] + [("s", "A", 0, 1, "", "ALA", "N", 0, "N", 0.0, 0.0, 0.0)]
     r = S.residues(spark.createDataFrame(rows, "structure_id string, chain_id string, residue_pos int, seq_id int, ins_code string, residue string, atom string, atom_pos int, element string, x double, y double, z double")).first()
     assert r.n_atoms == 4 and set(r.atoms) == {"CA", "N"} and r.atoms["CA"].x == 1.0
+
+
+def test_points_are_not_broadcast_by_their_file(spark, tmp_path):
+    """A file of few bytes with many points must not send them through the driver."""
+    from helixframe.operators import spatial
+
+    spark.range(20_000).selectExpr("id", "0 as g", "id % 10 * 1.0 as x", "id div 10 * 2.0 as y", "0.0 as z").write.parquet(f"{tmp_path}/points")
+    p = spark.read.parquet(f"{tmp_path}/points")
+    for joined in (spatial.near_pairs(p, "id", 1.5, ("g",)), spatial.within(p, p, 1.5, ("g",))):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert spatial.near_pairs(p, "id", 1.5, ("g",)).count() == 18_000
+
+
+def test_bonds_and_features_are_not_broadcast(spark, sf):
+    """As above, for the tokens of bonds and the rows of a structure; a bond's kind is not worked out inside the join."""
+    from helixframe.operators import assemble
+    from helixframe.operators import structures as S
+    from helixframe.plans.fixture import atoms
+
+    a = atoms(spark, sf)
+    t, bonds = S.tokens(a), S.bonded(a)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(assemble.assembled(a, t, S.bond_tokens(bonds, t)))
+    joins = [x for x in plan(bonds).splitlines() if "SortMergeJoin" in x]
+    assert len(joins) == 1 and "disulfide" not in joins[0] and "kind" not in joins[0].rsplit("], Inner", 1)[-1]

@@ -19,6 +19,19 @@ def test_shards(spark, tmp_path):
     assert one.count() == 250 and one.agg(F.min("id")).first()[0] == 2000 and store.read_shards(spark, str(tmp_path)).count() == 1250
 
 
+def test_shards_share_files(spark, tmp_path, monkeypatch):
+    """There are no more files than rows fill, and some shards are read from their own folders."""
+    monkeypatch.setattr(store, "BUNDLE_ROWS", 1000)
+    df = spark.range(3000).withColumn("v", F.col("id") * 2)
+    store.write_shards(df, str(tmp_path), "id", 10)
+    assert store.read_manifest(spark, str(tmp_path)) == {"num_shards": 300, "total_count": 3000}
+    assert len(list(tmp_path.glob("data/**/*.parquet"))) < 30
+    some = store.read_shards(spark, str(tmp_path), ["shard_000000", "shard_000299", "shard_000400"])
+    assert sorted((r.id, r.v, r.shard) for r in some.collect()) == [(i, 2 * i, f"shard_{i // 10:06d}") for i in (*range(10), *range(2990, 3000))]
+    assert {f.split("bundle=")[1].split("/")[0] for f in some.inputFiles()} >= {"0", "2"} and some.columns == ["id", "v", "shard"]
+    assert store.read_shards(spark, str(tmp_path), ["shard_000400"]).count() == 0 and store.read_shards(spark, str(tmp_path)).count() == 3000
+
+
 def test_alignment_texts(spark, tmp_path):
     df = spark.createDataFrame([("m", 1, "", "A-"), ("m", 0, "q one", "AC"), ("n", 0, "z", "G")], "msa string, row int, description string, sequence string")
     for form, want in (("a3m", ">q one\nAC\n>sequence_1\nA-"), ("stockholm", "# STOCKHOLM 1.0\n\nq AC\nsequence_1 A-\n//"), ("json", '{"msa":"m","rows":[{"description":"q one","sequence":"AC"},{"description":"","sequence":"A-"}]}')):

@@ -34,7 +34,9 @@ def l26_realigned(spark, d: str) -> DataFrame:
             both = [geometry.aligned(x, y) for x, y in zip(b["p_name"], b["p_type"], strict=True)]
             yield pd.DataFrame({"p_partkey": b["p_partkey"], "query": [x for x, _ in both], "template": [y for _, y in both], "mapping": [geometry.mapped(x, y) for x, y in both]})
 
-    return read_table(spark, d, "part").select("p_partkey", "p_name", "p_type").mapInPandas(run, "p_partkey long, query string, template string, mapping array<int>")
+    pairs = read_table(spark, d, "part").select("p_partkey", "p_name", "p_type")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a row is a few bytes and much work: by the file's bytes they'd all be one task's
+    return pairs.repartition(n, "p_partkey").mapInPandas(run, "p_partkey long, query string, template string, mapping array<int>")
 
 
 def g06_greedy(spark, d: str) -> DataFrame:

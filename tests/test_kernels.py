@@ -47,6 +47,11 @@ def test_kernel_queries(spark, sf):
     assert files.QUERIES["k01_search"](spark, sf).filter("NOT found").count() == spark.read.parquet(f"{sf}/supplier.parquet").count()
 
 
+def test_realigned_rows_are_dealt_out(spark, sf):
+    """However small their file is."""
+    assert kernels.l26_realigned(spark, sf).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_task_stream_matches_plain_machine(spark, sf):
     want: dict[str, tuple[str, int]] = {}
     for r in spark.read.parquet(f"{sf}/events.parquet").orderBy("event_id").collect():

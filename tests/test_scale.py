@@ -210,3 +210,18 @@ def test_bonds_and_features_are_not_broadcast(spark, sf):
     assert "Broadcast" not in plan(assemble.assembled(a, t, S.bond_tokens(bonds, t)))
     joins = [x for x in plan(bonds).splitlines() if "SortMergeJoin" in x]
     assert len(joins) == 1 and "disulfide" not in joins[0] and "kind" not in joins[0].rsplit("], Inner", 1)[-1]
+
+
+def test_atoms_and_tokens_meet_by_merge(spark, sf):
+    """Tokens of a file of few bytes must not go through the driver to find their atoms; interfaces' atoms neither."""
+    from helixframe.operators import structures as S
+    from helixframe.plans.fixture import atoms
+
+    a = atoms(spark, sf)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    t = S.tokens(a)
+    assert "Broadcast" not in plan(S.token_atoms(a, t)) and "Broadcast" not in plan(S.ligand_bonds(a, t))
+    for found in (S.bonded(a), S.neighbours(a), S.touching_chains(a)):
+        assert "Broadcast" not in plan(found)
+    near = [x for x in plan(S.interfaces(a)).splitlines() if "__cell" in x and "Join" in x]
+    assert near and all("SortMergeJoin" in x for x in near)

@@ -74,11 +74,11 @@ def _nearest_frame(atoms: Column, centre: Column) -> Column:
     return let(near, lambda n: F.array(F.get(n, F.lit(0))["i"], centre, F.get(n, F.lit(1))["i"]))
 
 
-def residue_blocks(atoms: DataFrame) -> DataFrame:
+def residue_blocks(atoms: DataFrame, frames: bool = True) -> DataFrame:
     """Residues with their heavy atoms in order, the number of their first token and atom, and ``frames``: for each token the places of its frame's atoms or null.
 
     A standard residue is one token; of others every atom is. A polymer token's frame has fixed atoms, any other's its atom and the two
-    nearest ones of the residue. An atom name that is repeated counts once, where it stands first.
+    nearest ones of the residue. An atom name that is repeated counts once, where it stands first. ``frames`` may be left out.
     """
     entry = F.struct("atom_pos", "atom", "element", "x", "y", "z", "charge")
     one = without_hydrogens(atoms).groupBy(*RESIDUE).agg(F.min("seq_id").alias("seq_id"), F.min("residue").alias("residue"), F.array_sort(F.collect_list(entry)).alias("atoms"))
@@ -87,11 +87,11 @@ def residue_blocks(atoms: DataFrame) -> DataFrame:
     own = own.withColumn("n_tokens", F.when(F.col("standard"), 1).otherwise(F.col("n_atoms")))
     names = F.transform("atoms", lambda a: a["atom"])
     fixed = lambda n: F.coalesce(*(F.when(kind.isin(*kinds), F.array(*(_place(n, x) for x in FRAME[kinds[0]]))) for kinds in (("PROTEIN",), NUCLEIC)))
-    frames = F.when(F.col("standard"), F.array(_frame(F.col("atoms"), let(names, fixed)))).otherwise(F.transform(F.sequence(F.lit(0), F.col("n_atoms") - 1), lambda t: let(_nearest_frame(F.col("atoms"), t), lambda at: _frame(F.col("atoms"), at))))
+    framed = F.when(F.col("standard"), F.array(_frame(F.col("atoms"), let(names, fixed)))).otherwise(F.transform(F.sequence(F.lit(0), F.col("n_atoms") - 1), lambda t: let(_nearest_frame(F.col("atoms"), t), lambda at: _frame(F.col("atoms"), at))))
     order = Window.partitionBy("structure_id").orderBy("chain_id", "residue_pos").rowsBetween(Window.unboundedPreceding, -1)
     before = lambda c: F.coalesce(F.sum(c).over(order), F.lit(0)).cast("int")
     asym = F.dense_rank().over(Window.partitionBy("structure_id").orderBy("chain_id")) - 1
-    return own.withColumn("frames", frames).withColumns({"first_token": before("n_tokens"), "first_atom": before("n_atoms"), "asym_id": asym})
+    return (own.withColumn("frames", framed) if frames else own).withColumns({"first_token": before("n_tokens"), "first_atom": before("n_atoms"), "asym_id": asym})
 
 
 def token_frames(blocks: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def _beta(b: Column) -> Column:
 
 def structure_rows(blocks: DataFrame) -> DataFrame:
     """A row a structure: token arrays, atom arrays (flat, with ``atom_to_token``), frames, chains; ``r`` keeps its residues in order."""
-    names = ("chain_id", "residue_pos", "seq_id", "residue", "kind", "standard", "restype", "n_atoms", "n_tokens", "first_token", "first_atom", "asym_id", "atoms", "frames")
+    names = ("chain_id", "residue_pos", "seq_id", "residue", "kind", "standard", "restype", "n_atoms", "n_tokens", "first_token", "first_atom", "asym_id", "atoms", *(["frames"] if "frames" in blocks.columns else []))
     rows = blocks.groupBy("structure_id").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("r"))
 
     def per_token(f) -> Column:
@@ -133,14 +133,16 @@ def structure_rows(blocks: DataFrame) -> DataFrame:
     tokens = {
         "seq_id": per_token(lambda b: b["seq_id"]), "asym_id": per_token(lambda b: b["asym_id"]), "restype": per_token(lambda b: b["restype"]), "kind": per_token(lambda b: b["kind"]),
         "atoms_in_token": F.flatten(F.transform("r", lambda b: F.when(b["standard"], F.array(b["n_atoms"])).otherwise(F.array_repeat(F.lit(1), b["n_tokens"])))),
-        "centre": F.flatten(F.transform("r", _centre)), "pseudo_beta": per_token(_beta), "frame_atoms": F.flatten(F.transform("r", flat)),
+        "centre": F.flatten(F.transform("r", _centre)), "pseudo_beta": per_token(_beta), **({"frame_atoms": F.flatten(F.transform("r", flat))} if "frames" in names else {}),
     }
     atoms = {
         "atom_to_token": per_atom(lambda b, a, i: b["first_token"] + F.when(b["standard"], 0).otherwise(i)), "atom_pos": per_atom(lambda b, a, i: F.array(a["x"], a["y"], a["z"])), "atom_element": per_atom(lambda b, a, i: element_index(a["element"])),
         "atom_name": per_atom(lambda b, a, i: chem.atom_name_codes(a["atom"])), "atom_charge": per_atom(lambda b, a, i: a["charge"]), "atom_ambiguous": per_atom(lambda b, a, i: twofold(b, a)),
     }
     out = rows.select("structure_id", "r", chains.alias("chains"), *(c.alias(n) for n, c in (tokens | atoms).items()))
-    masks = {"pseudo_beta_mask": F.transform("pseudo_beta", lambda p: p.isNotNull().cast("int")), "has_frame": F.transform("frame_atoms", lambda f: (f[0] >= 0).cast("int"))}
+    masks = {"pseudo_beta_mask": F.transform("pseudo_beta", lambda p: p.isNotNull().cast("int"))}
+    if "frames" in names:
+        masks["has_frame"] = F.transform("frame_atoms", lambda f: (f[0] >= 0).cast("int"))
     return out.withColumns({"n_tokens": F.size("restype"), "n_atoms": F.size("atom_to_token"), **masks})
 
 
@@ -170,14 +172,14 @@ def template_rows(templates: DataFrame) -> DataFrame:
     return one.groupBy("structure_id").agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("templates_of"))
 
 
-def model_inputs(atoms: DataFrame, alignments: DataFrame | None = None, templates: DataFrame | None = None, bonds: DataFrame | None = None, most_rows: int = MOST_ROWS, slots: int = SLOTS, partitions: int | None = None) -> DataFrame:
-    """All features of each structure of ``atoms``.
+def model_inputs(atoms: DataFrame, alignments: DataFrame | None = None, templates: DataFrame | None = None, bonds: DataFrame | None = None, most_rows: int = MOST_ROWS, slots: int = SLOTS, partitions: int | None = None, frames: bool = True) -> DataFrame:
+    """All features of each structure of ``atoms``; those of frames (``frame_atoms``, ``has_frame``) may be left out.
 
     ``bonds`` has ``structure_id, token_1, token_2``. ``msa`` and ``deletions`` are by token, then by row: the chains' alignments stand next to
     each other by row, and a shorter one (or a chain without one) has gaps. Template features are by slot, then by token; a residue that a template
     has no place for has the gap's class and masks of 0. Tokens of one residue share its column and template places.
     """
-    out = structure_rows(residue_blocks(by_structure(atoms, partitions)))
+    out = structure_rows(residue_blocks(by_structure(atoms, partitions), frames))
     if alignments is not None:
         out = out.join(alignment_columns(by_structure(alignments, partitions), most_rows), "structure_id", "left")
         rows = F.coalesce(F.array_max(F.transform(F.flatten(F.map_values("msa_of")), lambda c: F.size(c["codes"]))), F.lit(0))
@@ -231,10 +233,11 @@ def cropped_inputs(inputs: DataFrame, kept: DataFrame, partitions: int | None =
     pick = lambda values, at: F.transform(at, lambda i: F.get(values, i))
     there = set(inputs.columns)
     out = out.withColumns({c: pick(F.col(c), F.col("__kept")) for c in BY_TOKEN if c in there} | {c: F.transform(c, lambda s: pick(s, F.col("__kept"))) for c in BY_SLOT if c in there} | {c: pick(F.col(c), F.col("__atoms")) for c in BY_ATOM})
-    place = lambda a: F.when(a < 0, -1).otherwise(F.array_position("__atoms", a).cast("int") - 1)
-    frames = F.transform("frame_atoms", lambda f: let(F.transform(f, place), lambda g: F.when(F.array_min(g) >= 0, g).otherwise(F.array(*[F.lit(-1)] * 3))))
-    out = out.withColumns({"frame_atoms": frames, "atom_to_token": F.transform("atom_to_token", lambda t: F.col("__new")[t]), "n_tokens": F.size("__kept"), "n_atoms": F.size("__atoms")})
-    out = out.withColumn("has_frame", F.transform("frame_atoms", lambda f: (f[0] >= 0).cast("int")))
+    out = out.withColumns({"atom_to_token": F.transform("atom_to_token", lambda t: F.col("__new")[t]), "n_tokens": F.size("__kept"), "n_atoms": F.size("__atoms")})
+    if "frame_atoms" in there:
+        place = lambda a: F.when(a < 0, -1).otherwise(F.array_position("__atoms", a).cast("int") - 1)
+        frames = F.transform("frame_atoms", lambda f: let(F.transform(f, place), lambda g: F.when(F.array_min(g) >= 0, g).otherwise(F.array(*[F.lit(-1)] * 3))))
+        out = out.withColumn("frame_atoms", frames).withColumn("has_frame", F.transform("frame_atoms", lambda f: (f[0] >= 0).cast("int")))
     if "token_bonds" in there:
         moved = F.transform("token_bonds", lambda b: F.struct(F.col("__new")[b["token_1"]].alias("token_1"), F.col("__new")[b["token_2"]].alias("token_2")))
         out = out.withColumn("token_bonds", F.filter(moved, lambda b: (b["token_1"] >= 0) & (b["token_2"] >= 0)))
@@ -243,12 +246,12 @@ def cropped_inputs(inputs: DataFrame, kept: DataFrame, partitions: int | None =
 
 def with_pairs(inputs: DataFrame, most: int = 32) -> DataFrame:
     """``relative_position``, ``same_chain`` and ``distogram`` (null on the diagonal) of all token pairs, as a matrix in the row; meant for cropped inputs."""
-    numbers = F.sequence(F.lit(0), F.col("n_tokens") - 1)
-    at = lambda c, i: F.col(c)[i]
-    same = lambda i, j: at("asym_id", i) == at("asym_id", j)
-    apart = lambda i, j: F.sqrt(sum(((at("centre", i)[k] - at("centre", j)[k]) * (at("centre", i)[k] - at("centre", j)[k]) for k in range(3)), F.lit(0.0)))
-    matrix = lambda f: F.transform(numbers, lambda i: F.transform(numbers, lambda j: f(i, j)))
+    # Tokens are structs that the two loops go over: looking each value up by its number would take most of the time.
+    tokens = F.arrays_zip(F.col("seq_id").alias("seq"), F.col("asym_id").alias("asym"))
+    centres = F.transform("centre", lambda c: F.struct(*(c[k].alias(x) for k, x in enumerate("xyz"))))
+    matrix = lambda values, f: let(values, lambda v: F.transform(v, lambda a, i: F.transform(v, lambda b, j: f(a, b, i, j))))
+    apart = lambda a, b: F.sqrt(sum(((a[x] - b[x]) * (a[x] - b[x]) for x in "xyz"), F.lit(0.0)))
     return inputs.withColumns({
-        "relative_position": matrix(lambda i, j: chem.relative_position(at("seq_id", i), at("seq_id", j), same(i, j), most)), "same_chain": matrix(lambda i, j: same(i, j).cast("int")),
-        "distogram": matrix(lambda i, j: F.when(i != j, chem.distance_bin(apart(i, j)))),
+        "relative_position": matrix(tokens, lambda a, b, i, j: chem.relative_position(a["seq"], b["seq"], a["asym"] == b["asym"], most)), "same_chain": matrix(tokens, lambda a, b, i, j: (a["asym"] == b["asym"]).cast("int")),
+        "distogram": matrix(centres, lambda a, b, i, j: F.when(i != j, chem.distance_bin(apart(a, b)))),
     })

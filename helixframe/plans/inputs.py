@@ -145,7 +145,7 @@ def m20_pair_inputs(spark, d: str) -> DataFrame:
     """Pair features of the same crop, as matrices of the row."""
     a = atoms(spark, d)
     kept = S.tokens(a).filter(F.col("chain_id").isin("AO", "RF"))
-    out = I.with_pairs(I.cropped_inputs(I.model_inputs(a), kept))
+    out = I.with_pairs(I.cropped_inputs(I.model_inputs(a, frames=False), kept))
     return out.select("structure_id", digest("relative_position").alias("relative_position"), digest("distogram").alias("distogram"))
 
 

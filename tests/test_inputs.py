@@ -78,6 +78,17 @@ def test_inputs(spark, made):
     assert I.model_inputs(made.limit(0), msa, tpl, bonds).count() == 0
 
 
+def test_pairs_need_no_frames(spark, made):
+    """Frames are most of the work of a structure's row, and what is left out of it can't be pruned from inside its residues."""
+    bare = I.model_inputs(made, frames=False)
+    assert set(I.model_inputs(made).columns) - set(bare.columns) == {"frame_atoms", "has_frame"}
+    kept = spark.createDataFrame([("s", k) for k in (5, 4, 0, 7)], "structure_id string, token int")
+    got, want = (I.with_pairs(I.cropped_inputs(i, kept)).select("seq_id", "relative_position", "same_chain", "distogram").first() for i in (bare, I.model_inputs(made)))
+    assert got == want
+    plan = bare.select("structure_id", "centre")._jdf.queryExecution().optimizedPlan().toString()
+    assert "acos" not in plan.lower() and "upper(element" not in plan
+
+
 def test_one_exchange_for_an_input(spark, made):
     """Each input is shuffled once; all that follows keeps the partitions."""
     msa = spark.createDataFrame([("s", "A", 0, "AGS", [0, 1, 0])], "structure_id string, chain_id string, row int, sequence string, deletions array<int>")

@@ -131,3 +131,24 @@ def test_tables_not_asked_for_are_not_made():
     assert len(M.parse_structure("x.cif", text)["atoms"]) == 1
     row = M.parse_structure("x.cif", text, ("bonds",))
     assert row["atoms"] == [] and row["error"] is None and row["method"] == "X-RAY DIFFRACTION"
+
+
+def test_small_files_are_dealt_by_number(spark, tmp_path, monkeypatch):
+    """A few large tasks would be all there is of many small files."""
+    from pyspark.sql.types import StructType
+
+    for i in range(25):
+        (tmp_path / f"{i:03d}.cif").write_text("data_x\n_exptl.method X\n")
+    monkeypatch.setattr(mmcif, "PARTITION_FILES", 10)
+    reader = mmcif.MmcifReader({"path": str(tmp_path)}, StructType.fromDDL(mmcif.TABLES["structures"]))
+    parts = reader.partitions()
+    assert [len(p.paths) for p in parts] == [10, 10, 5] and sorted(x for p in parts for x in p.paths) == [f"{tmp_path}/{i:03d}.cif" for i in range(25)]
+
+
+def test_rows_that_look_like_keywords():
+    """Rows of a loop are passed on quickly; what may be a keyword, an item, a text or a note is still looked at."""
+    rows = ["loop1 1 2 3 A", "data1x 1 2 3 A", "x 4 5 6 B", " y 7 8 9 C", "# note", "'q r' 1 1 1 D", "z . 1 1 E"]
+    names = ("label_atom_id", "Cartn_x", "Cartn_y", "Cartn_z", "auth_asym_id")
+    text = "data_x\nloop_\n" + "".join(f"_atom_site.{n}\n" for n in names) + "".join(f"{r}\n" for r in rows) + "loop_\n_other.a\n1\n"
+    got = mmcif.file_rows("atoms", ["atom"], "a/x.cif", lambda: iter(text.splitlines(True)))
+    assert [(r["atom"], r["chain_id"], r["x"], r["occupancy"]) for r in got] == [("loop1", "A", 1.0, 1.0), ("data1x", "A", 1.0, 1.0), ("x", "B", 4.0, 1.0), ("y", "C", 7.0, 1.0), ("q r", "D", 1.0, 1.0)]

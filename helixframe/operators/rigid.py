@@ -74,9 +74,9 @@ def superpositions(pairs: DataFrame, keys: list[str], mobile: tuple[str, str, st
     return found.mapInPandas(run, schema)
 
 
-def fitted(points: DataFrame, fits: DataFrame, keys: list[str], columns: tuple[str, str, str] = XYZ) -> DataFrame:
-    """Points with their group's rotation and translation (of ``superpositions``) applied; those of a group without a fit stay."""
-    own = fits.select(*keys, F.col("rotation").alias("__r"), F.col("translation").alias("__t"))
+def fitted(points: DataFrame, fits: DataFrame, keys: list[str], columns: tuple[str, str, str] = XYZ, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Points with their group's rotation and translation (of ``superpositions``) applied; those of a group without a fit stay. ``keep`` names columns of the fits that come along."""
+    own = fits.select(*keys, *keep, F.col("rotation").alias("__r"), F.col("translation").alias("__t"))
     at = [F.col(f"`{c}`") for c in columns]
     turned = {c: F.when(F.col("__r").isNull(), at[i]).otherwise(sum((F.col("__r")[3 * i + j] * at[j] for j in range(3)), F.lit(0.0)) + F.col("__t")[i]) for i, c in enumerate(columns)}
     return points.join(own, keys, "left").withColumns(turned).drop("__r", "__t")

@@ -35,12 +35,17 @@ SELECT structure_id, n, weight, round(uaz / sqrt(2), 6) AS mobile_z, round(utx /
 
 
 def paired(spark, d: str, weighted: bool) -> DataFrame:
+    """An atom goes to its own structure as a mobile point and to the one before as a target, so that atoms are read once and both meet by one exchange by structure, which later groups keep."""
     own = atoms(spark, d).filter("chain_id = 'AF'")
-    names = own.select("structure_id").distinct().withColumn("idx", F.row_number().over(Window.orderBy("structure_id")))  # a row a structure
-    n = own.join(names, "structure_id")
-    b = n.select((F.col("idx") - 1).alias("idx"), "residue_pos", "atom_pos", *(F.col(c).alias(f"b{c}") for c in "xyz"))
+    before = F.lag("structure_id").over(Window.orderBy("structure_id"))
+    names = own.select("structure_id").distinct().withColumn("before", before)  # a row a structure
     weight = F.when(F.col("element") == "H", 0).otherwise(F.col("atom_pos") + 1 if weighted else 1).cast("double")
-    return n.select("structure_id", "idx", "residue_pos", "atom_pos", *(F.col(c).alias(f"a{c}") for c in "xyz"), weight.alias("w")).join(b, ["idx", "residue_pos", "atom_pos"])
+    to = F.explode(F.array(F.struct(F.col("structure_id").alias("to"), F.lit(True).alias("mobile")), F.struct(F.col("before").alias("to"), F.lit(False).alias("mobile"))))
+    sides = own.select("structure_id", "residue_pos", "atom_pos", *"xyz", weight.alias("w")).join(names, "structure_id").select(to.alias("at"), "residue_pos", "atom_pos", *"xyz", "w")
+    points = sides.filter("at.to IS NOT NULL").select(F.col("at.to").alias("structure_id"), "at.mobile", "residue_pos", "atom_pos", *"xyz", "w").repartition("structure_id")
+    of = lambda c, mobile: F.max(F.when(F.col("mobile") == mobile, F.col(c)))  # noqa: E731  an atom's place is its own, so there is one of each
+    met = points.groupBy("structure_id", "residue_pos", "atom_pos").agg(*(of(c, s == "a").alias(f"{s}{c}") for s in "ab" for c in "xyz"), of("w", True).alias("w"), of("w", False).alias("__target"))
+    return met.filter("w IS NOT NULL AND __target IS NOT NULL").drop("__target")
 
 
 def fits(spark, d: str, weighted: bool) -> DataFrame:
@@ -58,13 +63,14 @@ for _name, _weighted in (("l13_superpositions", False), ("l16_weighted_superposi
 def l14_rotations(spark, d: str) -> DataFrame:
     """Rotations are orthogonal with determinant 1, and the moved points are as far from their targets as the fit says (and not farther than they were about their centroids)."""
     p = paired(spark, d, False)
-    found = rigid.superpositions(p, ["structure_id"], MOBILE, TARGET, "w")
-    moved = rigid.fitted(p, found, ["structure_id"], MOBILE).filter("w > 0")
-    far = moved.groupBy("structure_id").agg(F.sqrt(F.avg(sum(((F.col(a) - F.col(b)) * (F.col(a) - F.col(b)) for a, b in zip(MOBILE, TARGET, strict=True)), F.lit(0.0)))).alias("far"))
     r = lambda i, j: F.col("rotation")[3 * i + j]
     off = sum((F.abs(sum((r(i, k) * r(j, k) for k in range(3)), F.lit(0.0)) - float(i == j)) for i in range(3) for j in range(3)), F.lit(0.0))
     det = sum((r(0, i) * (r(1, (i + 1) % 3) * r(2, (i + 2) % 3) - r(1, (i + 2) % 3) * r(2, (i + 1) % 3)) for i in range(3)), F.lit(0.0))
-    return found.join(far, "structure_id").select("structure_id", "n", ((off < 1e-9) & (F.abs(det - 1) < 1e-9)).alias("orthogonal"), (F.abs(F.col("far") - F.col("rmsd")) < 1e-6).alias("best"))
+    found = rigid.superpositions(p, ["structure_id"], MOBILE, TARGET, "w").withColumn("orthogonal", (off < 1e-9) & (F.abs(det - 1) < 1e-9))
+    moved = rigid.fitted(p, found, ["structure_id"], MOBILE, ("n", "orthogonal", "rmsd")).filter("w > 0 AND n IS NOT NULL")  # fits come along, so that they are made once
+    far = F.sqrt(F.avg(sum(((F.col(a) - F.col(b)) * (F.col(a) - F.col(b)) for a, b in zip(MOBILE, TARGET, strict=True)), F.lit(0.0))))
+    out = moved.groupBy("structure_id").agg(F.max("n").alias("n"), F.bool_and("orthogonal").alias("orthogonal"), F.max("rmsd").alias("rmsd"), far.alias("far"))
+    return out.select("structure_id", "n", "orthogonal", (F.abs(F.col("far") - F.col("rmsd")) < 1e-6).alias("best"))
 
 
 # Symmetry: a supplier's group is told by its key, and its operators are turned about z by as many degrees as its key.

@@ -97,3 +97,23 @@ def test_augmented_groups_are_turned(spark):
     assert np.allclose(turns @ turns.transpose(0, 2, 1), np.eye(3)) and np.allclose(np.linalg.det(turns), 1) and abs(turns.mean(axis=0)).max() < 0.15
     still = rigid.augmented(df.filter("g = 1"), ["g"], 7, centred=False, rotated=False, shifted=False).orderBy("i").collect()
     assert [r.x for r in still] == [p[2] for p in points if p[0] == 1]
+
+
+def test_pairs_of_structures_meet_by_one_exchange(spark, sf):
+    """Atoms are read and exchanged by structure once for the fits and the moved points together, and fits are made once."""
+    from helixframe.plans.fixture import atoms
+
+    p = plans.paired(spark, sf, True)
+    own = {}
+    for r in atoms(spark, sf).filter("chain_id = 'AF'").collect():
+        own.setdefault(r.structure_id, {})[r.residue_pos, r.atom_pos] = r
+    names = sorted(own)
+    want = {(s, *k): (a.x, a.y, a.z, b.x, b.y, b.z, 0.0 if a.element == "H" else k[1] + 1.0) for s, o in zip(names, names[1:], strict=False) for k, a in own[s].items() if (b := own[o].get(k))}
+    got = p.select("structure_id", "residue_pos", "atom_pos", *M, *T, "w").collect()
+    assert len(got) == len(want) > 0 and {tuple(r[:3]): tuple(r[3:]) for r in got} == want
+    df = plans.l14_rotations(spark, sf)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("MapInPandas") == 1 and "residue_pos" not in "".join(x for x in plan.splitlines() if "Join" in x)
+    points = [x for x in plan.splitlines() if "Exchange hashpartitioning(structure_id" in x and "REPARTITION_BY_COL" in x and "Reused" not in x]
+    assert len(points) == 1, plan

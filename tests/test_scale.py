@@ -225,3 +225,28 @@ def test_atoms_and_tokens_meet_by_merge(spark, sf):
         assert "Broadcast" not in plan(found)
     near = [x for x in plan(S.interfaces(a)).splitlines() if "__cell" in x and "Join" in x]
     assert near and all("SortMergeJoin" in x for x in near)
+
+
+def test_atoms_are_exchanged_once_for_tokens_and_features(spark, sf):
+    """One exchange by structure and one sort of atoms serve groups, token numbers and feature rows."""
+    from helixframe.operators import assemble
+    from helixframe.operators import structures as S
+    from helixframe.plans.fixture import atoms
+
+    a = atoms(spark, sf)
+    t = S.tokens(a)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(t).count("Exchange") == 1 and sum("Sort [" in x for x in plan(t).splitlines()) == 1
+    assert plan(assemble.token_features(t)).count("Exchange") == 1
+
+
+def test_centres_of_tokens(spark):
+    """The highest of repeated centres, else the first atom; other codes than standard ones have a token an atom."""
+    from helixframe.operators import structures as S
+
+    named = [("ALA", "CA", 3, 1.0), ("ALA", "N", 0, 9.0), ("ALA", "CA", 1, 2.0), ("GLY", "O", 2, 5.0), ("GLY", "C", 1, 6.0), ("GLY", None, 3, 7.0), ("ala", "CA", 5, 1.0), ("ala", "N", 4, 3.0), ("DA", "C1'", 2, 4.0), ("DA", "CA", 0, 8.0), ("ZN", "ZN", 0, 1.0), ("ATP", "CA", 1, 1.0), ("ATP", "C2", 0, 2.0)]
+    pos = {r: i for i, r in enumerate(dict.fromkeys(r for r, *_ in named))}
+    rows = [("s", "A", pos[r], pos[r], "", r, atom, p, "C", x, 0.0, 0.0) for r, atom, p, x in named] + [("s", "A", 0, 0, "", "ALA", "H", 9, "H", 99.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "structure_id string, chain_id string, residue_pos int, seq_id int, ins_code string, residue string, atom string, atom_pos int, element string, x double, y double, z double").repartition(3)
+    got = [(r.residue, r.kind, r.n_atoms, r.x, r.atom) for r in S.tokens(df).orderBy("token").collect()]
+    assert got == [("ALA", "PROTEIN", 3, 2.0, None), ("GLY", "PROTEIN", 3, 6.0, None), ("ala", "LIGAND", 2, 3.0, None), ("DA", "DNA", 2, 4.0, None), ("ZN", "ION", 1, 1.0, "ZN"), ("ATP", "LIGAND", 1, 2.0, "C2"), ("ATP", "LIGAND", 1, 1.0, "CA")]

@@ -59,19 +59,15 @@ def curate(spark: SparkSession, path: str, config: Config | None = None, alignme
     good = atoms.join(verdict.filter("passed").select("structure_id"), "structure_id", "left_semi")
     checkpoint_folder(spark)
     good = S.without_broken_chains(S.without_excluded_ligands(good), config.filtering.max_ca_distance).checkpoint()  # files are parsed for the verdicts and once for all else
-    near = S.neighbours(good, max(S.CONTACT, config.filtering.clash_distance)).checkpoint()  # clashes, interfaces and bonds are read from it
-    clash = S.clashing_chains(good, config.filtering.clash_distance, config.filtering.clash_share, near).select(*S.CHAIN)
+    clash = S.clashing_chains(good, config.filtering.clash_distance, config.filtering.clash_share).select(*S.CHAIN).checkpoint()
     good = good.join(clash, S.CHAIN, "left_anti")
-    for side in "ab":
-        gone = clash.select(F.col("structure_id").alias("a_structure_id"), F.col("chain_id").alias(f"{side}_chain_id"))
-        near = near.join(gone, ["a_structure_id", f"{side}_chain_id"], "left_anti")
     tokens = S.tokens(good)
     references = crop.reference_tokens(tokens, config.cropping.seed)
     kept = crop.within_atom_budget(crop.spatial_crop(tokens, references, config.cropping.max_tokens), config.cropping.max_atoms)
     cropped = crop.renumbered(kept)
-    good_chains, bonds = S.chains(S.residues(good)), S.bonded(good, near=near)
+    good_chains, bonds = S.chains(S.residues(good)), S.bonded(good)
     whole = inputs.model_inputs(good, own_sequences(good_chains) if alignments is None else alignments, templates, S.bond_tokens(bonds, tokens), config.alignments.max_rows, config.alignments.max_templates)
-    return Curated(verdict, good, good_chains, S.interfaces(good, near=near), bonds, cropped, S.token_pairs(cropped), inputs.cropped_inputs(whole, kept))
+    return Curated(verdict, good, good_chains, S.interfaces(good), bonds, cropped, S.token_pairs(cropped), inputs.cropped_inputs(whole, kept))
 
 
 def write(result: Curated, folder: str) -> None:

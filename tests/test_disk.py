@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,3 +46,18 @@ def test_neighbours_are_not_kept(spark, sf):
     from helixframe.plans.structures import QUERIES
 
     assert "ExistingRDD" not in plan(QUERIES["l03_kept_neighbours"](spark, sf))
+
+
+def test_residues_of_bonds_look_for_tokens_once(settled):
+    """Against all pairs: bonds are repeated, both ways and inside a residue; a residue has some tokens, or none."""
+    rng = random.Random(3)
+    toks = [(s, c, r, 0) for s in "st" for c in "AB" for r in range(5) for _ in range(rng.randrange(4))]
+    toks = [(s, c, r, i) for i, (s, c, r, _) in enumerate(toks)]
+    bonds = [(rng.choice("st"), *(x for _ in "12" for x in (rng.choice("AB"), rng.randrange(6)))) for _ in range(80)]
+    of = lambda s, c, r: [t[3] for t in toks if t[:3] == (s, c, r)]
+    want = {(s, i, j) for s, c, r, d, q in bonds for a in of(s, c, r) for b in of(s, d, q) if a != b for i, j in ((a, b), (b, a))}
+    bonds = settled.createDataFrame(bonds, "structure_id string, chain_id_1 string, residue_pos_1 int, chain_id_2 string, residue_pos_2 int")
+    toks = settled.createDataFrame(toks, "structure_id string, chain_id string, residue_pos int, token int")
+    found = S.bond_tokens(bonds, toks)
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert "Union" not in plan(found)

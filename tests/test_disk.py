@@ -61,3 +61,8 @@ def test_residues_of_bonds_look_for_tokens_once(settled):
     found = S.bond_tokens(bonds, toks)
     assert sorted(map(tuple, found.collect())) == sorted(want)
     assert "Union" not in plan(found)
+
+
+def test_glycans_are_copied_and_atoms_find_codes_without_exchange(settled, sf):
+    found = plan(S.glycosidic(atoms(settled, sf), settled.createDataFrame([("ATP",)], "code string")))
+    assert "SortMergeJoin [residue" not in found and "BroadcastHashJoin [residue" in found

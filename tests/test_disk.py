@@ -66,3 +66,16 @@ def test_residues_of_bonds_look_for_tokens_once(settled):
 def test_glycans_are_copied_and_atoms_find_codes_without_exchange(settled, sf):
     found = plan(S.glycosidic(atoms(settled, sf), settled.createDataFrame([("ATP",)], "code string")))
     assert "SortMergeJoin [residue" not in found and "BroadcastHashJoin [residue" in found
+
+
+def test_only_sulfurs_look_for_disulfides(spark, sf):
+    a = atoms(spark, sf)
+    assert "EqualTo(atom,SG)" in plan(S.bond_features(a, S.tokens(a)))
+    want = sorted(map(tuple, S.bonded(a).filter("bond = 'disulfide'").collect()))
+    assert want and sorted(map(tuple, S.disulfides(a).collect())) == want
+
+
+def test_atoms_that_are_near_look_for_tokens(settled, sf):
+    """Atoms with their tokens went by residue before the distance join."""
+    a = atoms(settled, sf)
+    assert not any(" chain_id#" in x for x in exchanges(S.ligand_bonds(a, S.tokens(a))))

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.operators import spatial
+from helixframe.operators import assemble, spatial
 from helixframe.operators import structures as S
 from helixframe.plans.fixture import atoms
 
@@ -79,3 +79,12 @@ def test_atoms_that_are_near_look_for_tokens(settled, sf):
     """Atoms with their tokens went by residue before the distance join."""
     a = atoms(settled, sf)
     assert not any(" chain_id#" in x for x in exchanges(S.ligand_bonds(a, S.tokens(a))))
+
+
+def test_features_come_from_one_exchange(settled, sf):
+    a = atoms(settled, sf)
+    made = assemble.assembled(a)
+    assert len(exchanges(made)) == 1
+    both = [df.select("structure_id", *(F.to_json(F.struct(c)).alias(c) for c in sorted(set(made.columns) - {"structure_id"}))) for df in (made, assemble.assembled(a, S.tokens(a)))]
+    one, two = (sorted(map(tuple, df.collect())) for df in both)
+    assert one and one == two

@@ -88,3 +88,10 @@ def test_features_come_from_one_exchange(settled, sf):
     both = [df.select("structure_id", *(F.to_json(F.struct(c)).alias(c) for c in sorted(set(made.columns) - {"structure_id"}))) for df in (made, assemble.assembled(a, S.tokens(a)))]
     one, two = (sorted(map(tuple, df.collect())) for df in both)
     assert one and one == two
+
+
+def test_atoms_go_without_names_where_bonds_need_none(settled, sf):
+    a = atoms(settled, sf)
+    found = plan(S.bond_tokens(S.bonded(a), S.tokens(a)))
+    assert "a_role" in found and "a_atom#" not in found
+    assert "a_atom#" in plan(S.bonded(a))
